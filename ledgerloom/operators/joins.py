@@ -1,0 +1,30 @@
+"""Join helpers with explicit, checked broadcast decisions."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup side is broadcast only when it provably has at most this many rows.
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has <= max_rows rows.
+
+    ``limit(max_rows + 1).count()`` stops reading once the bound is passed,
+    so the check is cheap even when the answer is "no".
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint behind a row-count bound; otherwise leave the choice to
+    the planner/AQE (sort-merge, or a runtime broadcast once sizes are measured)."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "left",
+           max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Fact-to-dimension lookup join with a size-checked broadcast of the dimension."""
+    return fact.join(broadcast_if_small(dim, max_rows), on, how)
