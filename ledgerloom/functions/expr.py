@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "col_of", "live_rows", "epoch_ts", "epoch_date", "epoch_or_null_date", "blank_to_null",
     "div0", "strict_json", "pct", "json_number", "json_text", "null_safe_eq",
-    "money", "MONEY", "SUM_MONEY",
+    "money", "MONEY", "SUM_MONEY", "round_ratio_units", "round_ratio", "avg_money",
 ]
 
 MONEY = "decimal(18,2)"
@@ -81,11 +81,41 @@ def json_text(v, path: str) -> Column:
     return F.try_variant_get(col_of(v), path, "string")
 
 
-def pct(num, den, digits: int = 1) -> Column:
-    """round(num / den * 100, digits) as double when den > 0, else null (exact decimal math)."""
-    num = col_of(num).cast("decimal(38,6)")
-    den = col_of(den).cast("decimal(38,6)")
-    return F.when(den > 0, F.round(num * 100 / den, digits).cast("double"))
+def _scaled(c, scale: int) -> Column:
+    """Decimal (or integer) value -> integral decimal(38,0) in units of 10^-scale."""
+    c = col_of(c)
+    return (c * (10 ** scale)).cast("decimal(38,0)") if scale else c.cast("decimal(38,0)")
+
+
+def round_ratio_units(num, den, times: int = 1, digits: int = 1, num_scale: int = 0, den_scale: int = 0) -> Column:
+    """round(num / den * times, digits) * 10^digits as an exact integer (half away from zero).
+
+    Inputs with ``num_scale``/``den_scale`` decimals are turned into integers first;
+    the division is an integral ``div``, so no intermediate decimal/double rounding
+    can move a result across a half-way point.  Null when den <= 0 or null.
+    """
+    n, d = _scaled(num, num_scale), _scaled(den, den_scale)
+    exp = den_scale - num_scale + digits
+    mult = times * 10 ** max(exp, 0)
+    dd = d * (10 ** max(-exp, 0)) if exp < 0 else d
+    q = F.call_function("div", F.abs(n) * (2 * mult) + dd, dd * 2)
+    return F.when(d > 0, F.signum(n).cast("long") * q)
+
+
+def round_ratio(num, den, times: int = 1, digits: int = 1, num_scale: int = 0, den_scale: int = 0) -> Column:
+    """``round_ratio_units`` as a double (units / 10^digits)."""
+    return round_ratio_units(num, den, times, digits, num_scale, den_scale) / float(10 ** digits)
+
+
+def pct(num, den, digits: int = 1, num_scale: int = 0, den_scale: int = 0) -> Column:
+    """round(num / den * 100, digits) as double when den > 0, else null."""
+    return round_ratio(num, den, 100, digits, num_scale, den_scale)
+
+
+def avg_money(total, count) -> Column:
+    """Average of a money column from its sum and count, rounded to cents (decimal(18,2))."""
+    units = round_ratio_units(total, count, 1, 2, 2, 0)
+    return (units.cast("decimal(38,0)") * F.lit(0.01).cast("decimal(3,2)")).cast(MONEY)
 
 
 def null_safe_eq(left, right) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import config as C
-from ledgerloom.functions.expr import MONEY, div0
+from ledgerloom.functions.expr import MONEY, avg_money, div0, pct, round_ratio
 from ledgerloom.operators.joins import broadcast_if_small
 from ledgerloom.operators.rank import with_percent_rank
 from ledgerloom.operators.topn import top1_per_key
@@ -170,7 +170,7 @@ def rpt_promo_effectiveness(orders: DataFrame, campaigns: DataFrame, campaign_ma
         F.countDistinct("customer_id").alias("unique_customers"),
         F.sum("total_revenue").alias("_gross"),
         F.sum("number_of_line_items").alias("_items"),
-        F.avg("total_revenue").alias("_aov"))
+        F.count("total_revenue").alias("_n_rev"))
     j = c.join(agg, (c.promo_code == agg._code) & c.campaign_start.eqNullSafe(agg._cs)
                & c.campaign_end.eqNullSafe(agg._ce), "left")
     gross = F.coalesce(F.col("_gross"), F.lit(0)).cast("decimal(38,2)")
@@ -182,6 +182,6 @@ def rpt_promo_effectiveness(orders: DataFrame, campaigns: DataFrame, campaign_ma
         F.coalesce(F.col("unique_customers"), F.lit(0)).cast("long").alias("unique_customers"),
         gross.alias("gross_revenue"),
         F.coalesce(F.col("_items"), F.lit(0)).cast("long").alias("total_items_sold"),
-        F.round(F.coalesce(F.col("_aov"), F.lit(0)), 2).cast(MONEY).alias("avg_order_value"),
-        F.when(budget > 0, F.round((gross - budget) / budget * 100, 1)).cast("double").alias("campaign_roi_pct"),
-        F.when(budget > 0, F.round(gross / budget, 2)).cast("double").alias("revenue_per_dollar_spent"))
+        F.coalesce(avg_money("_gross", "_n_rev"), F.lit(0).cast(MONEY)).alias("avg_order_value"),
+        pct(gross - budget, budget, 1, 2, 2).alias("campaign_roi_pct"),
+        round_ratio(gross, budget, 1, 2, 2, 2).alias("revenue_per_dollar_spent"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import config as C
-from ledgerloom.functions.expr import MONEY, pct
+from ledgerloom.functions.expr import MONEY, avg_money, pct
 
 
 def loyalty_campaign_targets(customers: DataFrame, orders: DataFrame, as_of: dt.date) -> DataFrame:
@@ -46,7 +46,7 @@ def regional_performance(orders: DataFrame, customers: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("_n"))
     return g.select(
         "region", "state", "order_month", "total_orders", "active_customers", "monthly_revenue",
-        F.round(F.col("_sum_rev") / F.col("_n_rev"), 2).cast(MONEY).alias("avg_order_value"),
+        avg_money("_sum_rev", "_n_rev").alias("avg_order_value"),
         F.col("promo_orders").cast("long").alias("promo_orders"),
         pct("promo_orders", "_n", 1).alias("promo_adoption_pct"))
 
@@ -71,7 +71,7 @@ def regional_target_attainment(performance: DataFrame, targets: DataFrame) -> Da
         F.coalesce(F.col("order_target"), F.lit(0)).cast("long").alias("target_orders"),
         F.coalesce(rev, F.lit(0)).cast("decimal(38,2)").alias("actual_revenue"),
         F.coalesce(trev, F.lit(0)).cast(MONEY).alias("target_revenue"),
-        pct(rev, trev, 1).alias("revenue_attainment_pct"),
+        pct(rev, trev, 1, 2, 2).alias("revenue_attainment_pct"),
         pct(F.col("total_orders"), F.col("order_target"), 1).alias("order_attainment_pct"),
         (F.coalesce(rev, F.lit(0)) - F.coalesce(trev, F.lit(0))).cast("decimal(38,2)").alias("revenue_gap"),
         status.alias("performance_status"))
