@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import config as C
+from ledgerloom.operators.joins import has_at_most
 from ledgerloom.plans.project import RetailProject
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -136,18 +137,23 @@ def q_promo_effectiveness(spark, sf_dir):
     return project(spark, sf_dir)["rpt_promo_effectiveness"]
 
 
-@register("promo_misuse")
-def q_promo_misuse(spark, sf_dir):
+def promo_misuse_rows(p: RetailProject) -> DataFrame:
     """Orders carrying a code outside that campaign's window (campaigns with counted orders)."""
-    p = project(spark, sf_dir)
     r = p["rpt_promo_effectiveness"].filter(F.col("total_orders") > 0).select(
         F.col("promo_code").alias("_code"), "campaign_start", "campaign_end")
     o = p["fct_sales_orders"].filter(F.col("has_promo")).select("order_id", "order_date", "promo_code")
-    j = o.join(F.broadcast(r), o.promo_code == r._code)  # one row per campaign: bounded by the seed
+    # The report has one row per campaign, so the campaign seed's size bounds it.
+    small = has_at_most(p["stg_promo_campaigns"], 1_000_000)
+    j = o.join(F.broadcast(r) if small else r, o.promo_code == r._code)
     return j.filter(~F.col("order_date").between(F.col("campaign_start"), F.col("campaign_end"))).select(
         "promo_code", "order_id", "order_date", "campaign_start", "campaign_end")
 
 
+@register("promo_misuse")
+def q_promo_misuse(spark, sf_dir):
+    return promo_misuse_rows(project(spark, sf_dir))
+
+
 @register("b2b_orders")
 def q_b2b_orders(spark, sf_dir):
     return project(spark, sf_dir)["fct_b2b_orders"]
@@ -188,3 +194,144 @@ def q_target_attainment(spark, sf_dir):
 @register("consolidated_revenue")
 def q_consolidated_revenue(spark, sf_dir):
     return project(spark, sf_dir)["consolidated_revenue"]
+
+
+@register("time_spine")
+def q_time_spine(spark, sf_dir):
+    """Daily spine over the order fact's date range."""
+    from ledgerloom.plans.metrics import data_time_spine
+    return data_time_spine(project(spark, sf_dir)["fct_sales_orders"], "order_date")
+
+
+# ---------------------------------------------------------------- metric layer
+def _metrics(spark, sf_dir, metrics, group_by, where=None):
+    from ledgerloom.plans.metrics import metric_query
+    return metric_query(project(spark, sf_dir), metrics, group_by, where)
+
+
+@register("metric_revenue_by_month")
+def q_metric_revenue_by_month(spark, sf_dir):
+    return _metrics(spark, sf_dir, ["total_b2c_revenue", "total_b2c_orders", "total_line_items"],
+                    ["metric_time__month"])
+
+
+@register("metric_gap_filled")
+def q_metric_gap_filled(spark, sf_dir):
+    from ledgerloom.plans.metrics import gap_filled
+    return gap_filled(project(spark, sf_dir), "total_b2c_revenue", "day", fill=0)
+
+
+@register("metric_aov")
+def q_metric_aov(spark, sf_dir):
+    return _metrics(spark, sf_dir, ["avg_b2c_order_value", "total_b2c_orders"], ["customer__region", "has_promo"])
+
+
+@register("metric_cancellation_rate")
+def q_metric_cancellation_rate(spark, sf_dir):
+    return _metrics(spark, sf_dir, ["b2b_cancellation_rate", "avg_b2b_order_value", "total_b2b_orders"],
+                    ["metric_time__quarter"])
+
+
+@register("metric_units_per_customer")
+def q_metric_units_per_customer(spark, sf_dir):
+    return _metrics(spark, sf_dir, ["avg_units_per_customer", "total_customers", "total_units_purchased"],
+                    ["customer__loyalty_tier"])
+
+
+@register("metric_derived")
+def q_metric_derived(spark, sf_dir):
+    """Metrics of two semantic models joined on the group key (region)."""
+    return _metrics(spark, sf_dir, ["revenue_per_customer", "total_b2c_revenue", "total_customers"],
+                    ["customer__region"])
+
+
+@register("metric_totals")
+def q_metric_totals(spark, sf_dir):
+    """Global (no dimension) metrics across three semantic models."""
+    return _metrics(spark, sf_dir, ["total_customers", "total_b2c_orders", "total_b2b_orders",
+                                    "avg_b2b_order_value", "b2b_cancellation_rate"], [])
+
+
+# ---------------------------------------------------------------- semantic views
+@register("semantic_select")
+def q_semantic_select(spark, sf_dir):
+    """Governed view: B2C revenue and orders by region and loyalty tier (synonyms resolve)."""
+    from ledgerloom.plans.semantic import GOVERNED, semantic_aggregate
+    return semantic_aggregate(project(spark, sf_dir), GOVERNED, ["region", "tier"],
+                              {"b2c_revenue": ("sum", "revenue"), "orders": ("count", "b2c_revenue")})
+
+
+@register("semantic_b2b")
+def q_semantic_b2b(spark, sf_dir):
+    """Governed view: B2B revenue by account health status and order status."""
+    from ledgerloom.plans.semantic import GOVERNED, semantic_aggregate
+    return semantic_aggregate(project(spark, sf_dir), GOVERNED, ["account_health_status", "b2b_order_status"],
+                              {"b2b_revenue": ("sum", "b2b_revenue"), "orders": ("count", "b2b_revenue")})
+
+
+@register("raw_vs_governed")
+def q_raw_vs_governed(spark, sf_dir):
+    """What the raw view over-counts: customer rows vs resolved customers, units, orders."""
+    from ledgerloom.plans.semantic import GOVERNED, RAW, semantic_select
+    p = project(spark, sf_dir)
+    raw_c = semantic_select(p, RAW, ["customer_name", "units_purchased"]).agg(
+        F.count(F.lit(1)).alias("raw_customer_rows"), F.sum("units_purchased").alias("raw_units"))
+    gov_c = semantic_select(p, GOVERNED, ["customer_name", "units_purchased"]).agg(
+        F.count(F.lit(1)).alias("governed_customers"), F.sum("units_purchased").alias("governed_units"))
+    raw_o = semantic_select(p, RAW, ["number_of_line_items", "promo_info"]).agg(
+        F.count(F.lit(1)).alias("raw_orders"))
+    gov_o = semantic_select(p, GOVERNED, ["b2c_revenue", "has_promo"]).agg(
+        F.count(F.lit(1)).alias("governed_orders"))
+    k = F.lit(1).alias("_k")
+    out = raw_c.select(k, "*").join(gov_c.select(k, "*"), "_k").join(raw_o.select(k, "*"), "_k") \
+        .join(gov_o.select(k, "*"), "_k")
+    return out.drop("_k")
+
+
+# ---------------------------------------------------------------- data quality
+def _dq(kind):
+    def run(spark, sf_dir):
+        from ledgerloom.operators.quality import run_tests
+        return run_tests(project(spark, sf_dir), kind)
+    return run
+
+
+for _kind in ("not_null", "unique", "accepted_values", "between", "relationships"):
+    register(f"dq_{_kind}")(_dq(_kind))
+
+
+@register("dq_revenue_reconciliation")
+def q_dq_revenue_reconciliation(spark, sf_dir):
+    from ledgerloom.operators.quality import revenue_reconciliation
+    return revenue_reconciliation(project(spark, sf_dir))
+
+
+@register("dq_singular")
+def q_dq_singular(spark, sf_dir):
+    from ledgerloom.operators.quality import singular_tests
+    return singular_tests(project(spark, sf_dir))
+
+
+@register("dq_orphan_orders")
+def q_dq_orphan_orders(spark, sf_dir):
+    from ledgerloom.operators.quality import orders_without_customers
+    return orders_without_customers(project(spark, sf_dir))
+
+
+@register("dq_contract")
+def q_dq_contract(spark, sf_dir):
+    from ledgerloom.operators.quality import contract_check
+    return contract_check(project(spark, sf_dir))
+
+
+@register("source_freshness")
+def q_source_freshness(spark, sf_dir):
+    from ledgerloom.operators.quality import source_freshness
+    return source_freshness(project(spark, sf_dir))
+
+
+@register("audit_trace")
+def q_audit_trace(spark, sf_dir):
+    """Trace one regional-performance cell back to its raw order rows and sync times."""
+    from ledgerloom.operators.quality import audit_trace
+    return audit_trace(project(spark, sf_dir), region="AMERICA", month="1996-03-01")

@@ -58,3 +58,195 @@ ORACLE["campaign_targets"] = query("SELECT * FROM loyalty_campaign_targets")
 ORACLE["regional_performance"] = query("SELECT * FROM regional_performance")
 ORACLE["target_attainment"] = query("SELECT * FROM regional_target_attainment")
 ORACLE["consolidated_revenue"] = query("SELECT * FROM consolidated_revenue")
+
+# ---------------------------------------------------------------- time spine and metrics
+ORACLE["time_spine"] = query(
+    "SELECT CAST(d AS DATE) AS date_day FROM (SELECT unnest(generate_series(CAST(min(order_date) AS TIMESTAMP), "
+    "CAST(max(order_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM fct_sales_orders)")
+
+ORACLE["metric_revenue_by_month"] = query(
+    "SELECT CAST(date_trunc('month', order_date) AS DATE) AS metric_time__month, "
+    "sum(total_revenue) AS total_b2c_revenue, count(order_id) AS total_b2c_orders, "
+    "sum(number_of_line_items) AS total_line_items FROM fct_sales_orders GROUP BY 1")
+
+ORACLE["metric_gap_filled"] = query(
+    "SELECT s.date_day AS metric_time__day, coalesce(m.rev, 0) AS total_b2c_revenue "
+    "FROM (SELECT CAST(d AS DATE) AS date_day FROM (SELECT unnest(generate_series(CAST(min(order_date) AS TIMESTAMP), "
+    "CAST(max(order_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM fct_sales_orders)) s "
+    "LEFT JOIN (SELECT order_date, sum(total_revenue) AS rev FROM fct_sales_orders GROUP BY 1) m "
+    "ON m.order_date = s.date_day")
+
+
+def _div(num, den):
+    return f"CASE WHEN CAST({den} AS DOUBLE) <> 0 THEN CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) END"
+
+
+ORACLE["metric_aov"] = query(
+    f"SELECT c.region AS customer_region, o.has_promo, {_div('sum(o.total_revenue)', 'count(o.order_id)')} "
+    "AS avg_b2c_order_value, count(o.order_id) AS total_b2c_orders "
+    "FROM fct_sales_orders o LEFT JOIN dim_customers c ON c.customer_id = o.customer_id GROUP BY 1, 2")
+
+ORACLE["metric_cancellation_rate"] = query(
+    "SELECT CAST(date_trunc('quarter', order_date) AS DATE) AS metric_time__quarter, "
+    f"{_div('sum(CASE WHEN is_cancelled_or_returned THEN amount ELSE 0 END)', 'sum(amount)')} AS b2b_cancellation_rate, "
+    f"{_div('sum(amount)', 'count(order_id)')} AS avg_b2b_order_value, count(order_id) AS total_b2b_orders "
+    "FROM fct_b2b_orders GROUP BY 1")
+
+ORACLE["metric_units_per_customer"] = query(
+    "SELECT loyalty_segment_description AS customer_loyalty_tier, "
+    f"{_div('sum(units_purchased)', 'count(customer_id)')} AS avg_units_per_customer, "
+    "count(customer_id) AS total_customers, sum(units_purchased) AS total_units_purchased "
+    "FROM dim_customers GROUP BY 1")
+
+ORACLE["metric_derived"] = query(
+    "SELECT coalesce(a.customer_region, b.customer_region) AS customer_region, "
+    f"{_div('a.total_b2c_revenue', 'b.total_customers')} AS revenue_per_customer, a.total_b2c_revenue, b.total_customers "
+    "FROM (SELECT c.region AS customer_region, sum(o.total_revenue) AS total_b2c_revenue FROM fct_sales_orders o "
+    "      LEFT JOIN dim_customers c ON c.customer_id = o.customer_id GROUP BY 1) a "
+    "FULL OUTER JOIN (SELECT region AS customer_region, count(customer_id) AS total_customers FROM dim_customers "
+    "      GROUP BY 1) b ON a.customer_region IS NOT DISTINCT FROM b.customer_region")
+
+ORACLE["metric_totals"] = query(
+    "SELECT (SELECT count(customer_id) FROM dim_customers) AS total_customers, "
+    "(SELECT count(order_id) FROM fct_sales_orders) AS total_b2c_orders, "
+    "(SELECT count(order_id) FROM fct_b2b_orders) AS total_b2b_orders, "
+    f"(SELECT {_div('sum(amount)', 'count(order_id)')} FROM fct_b2b_orders) AS avg_b2b_order_value, "
+    f"(SELECT {_div('sum(CASE WHEN is_cancelled_or_returned THEN amount ELSE 0 END)', 'sum(amount)')} "
+    "FROM fct_b2b_orders) AS b2b_cancellation_rate")
+
+# ---------------------------------------------------------------- semantic views
+ORACLE["semantic_select"] = query(
+    "SELECT c.region, c.loyalty_segment_description AS loyalty_tier, sum(o.total_revenue) AS b2c_revenue, "
+    "count(o.total_revenue) AS orders FROM fct_sales_orders o LEFT JOIN dim_customers c "
+    "ON c.customer_id = o.customer_id GROUP BY 1, 2")
+
+ORACLE["semantic_b2b"] = query(
+    "SELECT c.account_health_status, o.status AS b2b_order_status, sum(o.amount) AS b2b_revenue, "
+    "count(o.amount) AS orders FROM fct_b2b_orders o LEFT JOIN dim_b2b_customers c "
+    "ON c.b2b_customer_id = o.b2b_customer_id GROUP BY 1, 2")
+
+ORACLE["raw_vs_governed"] = query(
+    "SELECT (SELECT count(*) FROM raw_customers) AS raw_customer_rows, "
+    "(SELECT sum(units_purchased) FROM raw_customers) AS raw_units, "
+    "(SELECT count(*) FROM dim_customers) AS governed_customers, "
+    "(SELECT sum(units_purchased) FROM dim_customers) AS governed_units, "
+    "(SELECT count(*) FROM orders) AS raw_orders, (SELECT count(*) FROM fct_sales_orders) AS governed_orders")
+
+# ---------------------------------------------------------------- data quality
+from ledgerloom.operators.quality import CONTRACTS, TESTS  # noqa: E402
+
+# Spark model name -> oracle CTE holding the same rows.
+ORACLE_MODEL = {"stg_loyalty_segments": "loyalty", "stg_sales_orders": "so_live", "stg_product_catalog": "catalog",
+                "stg_regional_sales_targets": "targets", "dim_regional_sales_targets": "targets",
+                "stg_promo_campaigns": "campaigns", "int_sales_order_lines": "order_lines",
+                "int_b2b_customer_health": "dim_b2b_customers"}
+
+
+def _m(model):
+    return ORACLE_MODEL.get(model, model)
+
+
+def _lit(v):
+    return f"'{v}'" if isinstance(v, str) else repr(v)
+
+
+def _rule_sql(t):
+    c = t.column
+    if t.test == "not_null":
+        return f"{c} IS NULL"
+    if t.test == "accepted_values":
+        return f"{c} IS NOT NULL AND {c} NOT IN ({', '.join(_lit(v) for v in t.values)})"
+    bad = []
+    if t.lo is not None:
+        bad.append(f"{c} < {t.lo}")
+    if t.hi is not None:
+        bad.append(f"{c} > {t.hi}")
+    return f"{c} IS NOT NULL AND ({' OR '.join(bad)})"
+
+
+def _dq_sql(kind):
+    parts = []
+    for t in TESTS:
+        if t.test != kind:
+            continue
+        head = f"SELECT '{t.model}' AS model, '{t.column}' AS column_name, '{t.test}' AS test_name, "
+        if kind in ("not_null", "accepted_values", "between"):
+            parts.append(head + f"count_if({_rule_sql(t)}) AS failures FROM {_m(t.model)}")
+        elif kind == "unique":
+            parts.append(head + f"(SELECT count(*) FROM (SELECT {t.column} FROM {_m(t.model)} WHERE {t.column} "
+                                f"IS NOT NULL GROUP BY {t.column} HAVING count(*) > 1)) AS failures")
+        else:
+            pm, pc = t.parent
+            parts.append(head + f"(SELECT count(*) FROM {_m(t.model)} ch WHERE ch.{t.column} IS NOT NULL AND NOT EXISTS "
+                                f"(SELECT 1 FROM {_m(pm)} pa WHERE pa.{pc} = ch.{t.column})) AS failures")
+    return query("\nUNION ALL\n".join(parts))
+
+
+for _kind in ("not_null", "unique", "accepted_values", "between", "relationships"):
+    ORACLE[f"dq_{_kind}"] = _dq_sql(_kind)
+
+_RECON = ("SELECT o.order_id, o.total_revenue, lt.line_total, abs(o.total_revenue - lt.line_total) AS diff "
+          "FROM fct_sales_orders o JOIN (SELECT order_id, sum(line_revenue) AS line_total FROM fct_order_lines "
+          "GROUP BY order_id) lt ON lt.order_id = o.order_id "
+          "WHERE o.total_revenue > 0 AND abs(o.total_revenue - lt.line_total) > 0.01")
+ORACLE["dq_revenue_reconciliation"] = query(_RECON)
+
+_ORPHANS = ("SELECT o.order_id, o.customer_id FROM fct_sales_orders o "
+            "WHERE NOT EXISTS (SELECT 1 FROM dim_customers c WHERE c.customer_id = o.customer_id)")
+ORACLE["dq_orphan_orders"] = query(_ORPHANS)
+
+ORACLE["dq_singular"] = query(
+    f"SELECT 'assert_line_revenue_matches_order_revenue' AS test_name, (SELECT count(*) FROM ({_RECON})) AS failures "
+    "UNION ALL SELECT 'assert_no_duplicate_current_customers', (SELECT count(*) FROM (SELECT customer_id "
+    "FROM dim_customers GROUP BY 1 HAVING count(*) > 1)) "
+    f"UNION ALL SELECT 'assert_orders_have_customers', (SELECT count(*) FROM ({_ORPHANS})) "
+    "UNION ALL SELECT 'assert_positive_revenue', (SELECT count(*) FROM fct_sales_orders WHERE total_revenue < 0) "
+    "UNION ALL SELECT 'assert_promo_orders_within_campaign_dates', (SELECT count(*) FROM fct_sales_orders o "
+    "JOIN rpt_promo_effectiveness r ON o.promo_code = r.promo_code WHERE o.has_promo AND o.order_date "
+    "NOT BETWEEN r.campaign_start AND r.campaign_end AND r.total_orders > 0)")
+
+
+def _contract_sql():
+    parts = []
+    for model, (pk, cols) in CONTRACTS.items():
+        nn = [c for c, _, req in cols if req]
+        rule = " OR ".join(f"{c} IS NULL" for c in nn) or "false"
+        dup = (f"(SELECT count(*) FROM (SELECT {pk} FROM {_m(model)} WHERE {pk} IS NOT NULL GROUP BY 1 "
+               f"HAVING count(*) > 1))" if pk else "0")
+        parts.append(f"SELECT '{model}' AS model, CAST(0 AS BIGINT) AS missing_columns, CAST(0 AS BIGINT) AS "
+                     f"type_mismatches, CAST(0 AS BIGINT) AS extra_columns, "
+                     f"(SELECT count_if({rule}) FROM {_m(model)}) AS not_null_violations, "
+                     f"CAST({dup} AS BIGINT) AS pk_duplicates")
+    return query("\nUNION ALL\n".join(parts))
+
+
+ORACLE["dq_contract"] = _contract_sql()
+
+from ledgerloom import config as _C  # noqa: E402
+
+_FRESH_AS_OF = f"TIMESTAMP '{_C.FRESHNESS_AS_OF.isoformat(sep=' ')}'"
+ORACLE["source_freshness"] = query(
+    f"SELECT source, max_synced, CAST(floor(date_diff('second', max_synced, {_FRESH_AS_OF}) / 60) AS BIGINT) "
+    f"AS minutes_since_sync, CASE WHEN floor(date_diff('second', max_synced, {_FRESH_AS_OF}) / 60) > "
+    f"{_C.FRESHNESS_ERROR_HOURS * 60} THEN 'ERROR' WHEN floor(date_diff('second', max_synced, {_FRESH_AS_OF}) / 60) > "
+    f"{_C.FRESHNESS_WARN_HOURS * 60} THEN 'WARN' ELSE 'PASS' END AS freshness_status FROM ("
+    "SELECT 'customers' AS source, max(synced) AS max_synced FROM raw_customers "
+    f"UNION ALL SELECT 'sales_orders', max(TIMESTAMP '{_C.SYNC_TS.isoformat(sep=' ')}' - (o_orderkey % 720) "
+    "* INTERVAL 1 MINUTE) FROM orders "
+    "UNION ALL SELECT 'ret_customers', max(synced) FROM ret_customers "
+    "UNION ALL SELECT 'ret_orders', max(synced) FROM ret_orders "
+    "UNION ALL SELECT 'ret_tickets', max(synced) FROM ret_tickets)")
+
+ORACLE["audit_trace"] = query(
+    "SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id, "
+    "CASE WHEN o.o_orderkey % 89 = 0 THEN 0 ELSE date_diff('second', TIMESTAMP '1970-01-01', o.o_orderdate) END "
+    "AS order_datetime, "
+    "CASE o.o_orderpriority WHEN '1-URGENT' THEN 'SPRING10' WHEN '2-HIGH' THEN ' SUMMER20 ' WHEN '3-MEDIUM' THEN "
+    "'FLASH30' WHEN '4-NOT SPECIFIED' THEN CASE WHEN o.o_orderkey % 4 = 0 THEN 'BUNDLE' END WHEN '5-LOW' THEN '  ' "
+    "END AS promo_info, "
+    "CASE WHEN o.o_orderkey % 53 = 0 THEN true WHEN o.o_orderkey % 3 = 0 THEN NULL ELSE false END "
+    "AS _fivetran_deleted, "
+    f"TIMESTAMP '{_C.SYNC_TS.isoformat(sep=' ')}' - (o.o_orderkey % 720) * INTERVAL 1 MINUTE AS synced_at, "
+    "f.total_revenue FROM orders o JOIN fct_sales_orders f ON f.order_id = o.o_orderkey "
+    "WHERE f.order_date >= DATE '1996-03-01' AND f.order_date < DATE '1996-04-01' "
+    "AND f.customer_id IN (SELECT customer_id FROM dim_customers WHERE region = 'AMERICA')")
