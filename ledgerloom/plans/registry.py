@@ -335,3 +335,34 @@ def q_audit_trace(spark, sf_dir):
     """Trace one regional-performance cell back to its raw order rows and sync times."""
     from ledgerloom.operators.quality import audit_trace
     return audit_trace(project(spark, sf_dir), region="AMERICA", month="1996-03-01")
+
+
+# ---------------------------------------------------------------- business questions
+def _question(fn_name, *args):
+    def run(spark, sf_dir):
+        from ledgerloom.plans import questions
+        return getattr(questions, fn_name)(project(spark, sf_dir), *args)
+    return run
+
+
+for _key, _fn, _args in [
+    ("q_revenue_last_month", "revenue_last_month", (C.DEFAULT_AS_OF,)),
+    ("q_customers_by_tier", "customers_by_tier", ()),
+    ("q_top_region", "top_region", (C.DEFAULT_AS_OF,)),
+    ("q_monthly_revenue", "monthly_revenue", (C.DEFAULT_AS_OF,)),
+    ("q_at_risk_accounts", "at_risk_accounts", ()),
+    ("q_top10_ltv", "top10_ltv", ()),
+    ("q_revenue_by_category", "revenue_by_category", ()),
+    ("q_latest_orders", "latest_orders", ()),
+    ("q_latest_synced", "latest_synced", ()),
+    ("q_spot_checks", "spot_checks", ()),
+    ("q_scd2_versions", "scd2_versions", ()),
+    ("q_valid_to_histogram", "valid_to_histogram", ()),
+    ("q_ltv_segment", "ltv_segments", ()),
+    ("q_price_tier", "price_tiers", ()),
+    ("q_favourite_category", "favourite_category", ()),
+    ("q_order_measures", "order_measures", ()),
+    ("q_product_measures", "product_measures", ()),
+    ("q_cancellation_kpis", "cancellation_kpis", ()),
+]:
+    register(_key)(_question(_fn, *_args))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle.sql import AS_OF, query
+from oracle.sql import avg_money as avg_money_sql
 
 ORACLE: dict[str, str] = {}
 
@@ -250,3 +251,74 @@ ORACLE["audit_trace"] = query(
     "f.total_revenue FROM orders o JOIN fct_sales_orders f ON f.order_id = o.o_orderkey "
     "WHERE f.order_date >= DATE '1996-03-01' AND f.order_date < DATE '1996-04-01' "
     "AND f.customer_id IN (SELECT customer_id FROM dim_customers WHERE region = 'AMERICA')")
+
+# ---------------------------------------------------------------- business questions
+_W6 = f"order_date >= CAST({AS_OF} - INTERVAL 6 MONTH AS DATE) AND order_date < {AS_OF}"
+_W12 = f"order_date >= CAST({AS_OF} - INTERVAL 12 MONTH AS DATE) AND order_date < {AS_OF}"
+_LM_START = f"CAST(date_trunc('month', {AS_OF} - INTERVAL 1 MONTH) AS DATE)"
+_LM_END = f"CAST(date_trunc('month', {AS_OF}) AS DATE)"
+
+ORACLE["q_revenue_last_month"] = query(
+    f"SELECT {_LM_START} AS month_start, CAST(coalesce(sum(total_revenue), 0) AS DECIMAL(38,2)) AS total_revenue, "
+    f"count(*) AS orders FROM fct_sales_orders WHERE order_date >= {_LM_START} AND order_date < {_LM_END}")
+ORACLE["q_customers_by_tier"] = query(
+    "SELECT loyalty_segment_description AS loyalty_tier, count(*) AS customers FROM dim_customers GROUP BY 1")
+ORACLE["q_top_region"] = query(
+    "SELECT c.region, count(*) AS orders FROM (SELECT customer_id FROM fct_sales_orders WHERE "
+    f"{_W6}) o JOIN dim_customers c ON c.customer_id = o.customer_id GROUP BY 1 "
+    "ORDER BY orders DESC, region ASC NULLS LAST LIMIT 1")
+ORACLE["q_monthly_revenue"] = query(
+    "SELECT CAST(date_trunc('month', order_date) AS DATE) AS order_month, "
+    "CAST(sum(total_revenue) AS DECIMAL(38,2)) AS monthly_revenue, count(*) AS orders "
+    f"FROM fct_sales_orders WHERE {_W12} GROUP BY 1")
+ORACLE["q_at_risk_accounts"] = query(
+    "SELECT b2b_customer_id, company_name, region, open_tickets, return_rate, health_score FROM dim_b2b_customers "
+    "WHERE account_health_status = 'at_risk'")
+ORACLE["q_top10_ltv"] = query(
+    "SELECT customer_id, customer_name, region, lifetime_revenue, total_orders FROM loyalty_campaign_targets "
+    "ORDER BY lifetime_revenue DESC NULLS LAST, customer_id ASC LIMIT 10")
+ORACLE["q_revenue_by_category"] = query(
+    "SELECT product_category, CAST(sum(line_revenue) AS DECIMAL(38,2)) AS revenue, sum(quantity) AS units "
+    "FROM fct_order_lines GROUP BY 1")
+ORACLE["q_latest_orders"] = query(
+    "SELECT order_id, customer_id, order_timestamp, total_revenue FROM fct_sales_orders "
+    "ORDER BY order_timestamp DESC NULLS LAST, order_id DESC LIMIT 10")
+ORACLE["q_latest_synced"] = query(
+    "SELECT o_orderkey AS id, o_custkey AS customer_id, "
+    "CASE WHEN o_orderkey % 89 = 0 THEN 0 ELSE date_diff('second', TIMESTAMP '1970-01-01', o_orderdate) END "
+    f"AS order_datetime, TIMESTAMP '{_C.SYNC_TS.isoformat(sep=' ')}' - (o_orderkey % 720) * INTERVAL 1 MINUTE "
+    "AS _fivetran_synced FROM orders ORDER BY _fivetran_synced DESC, id DESC LIMIT 10")
+ORACLE["q_spot_checks"] = query(
+    "SELECT count(DISTINCT customer_id) AS distinct_customers, count(*) AS orders, "
+    "CAST(sum(total_revenue) AS DECIMAL(38,2)) AS total_revenue FROM fct_sales_orders")
+ORACLE["q_scd2_versions"] = query(
+    "SELECT customer_id, count(*) AS versions FROM raw_customers GROUP BY 1 HAVING count(*) > 1")
+ORACLE["q_valid_to_histogram"] = query(
+    "SELECT valid_to, count(*) AS versions FROM raw_customers GROUP BY 1")
+ORACLE["q_ltv_segment"] = query(
+    f"SELECT CASE WHEN ltv >= {_C.LTV_HIGH_MIN} THEN 'high' WHEN ltv >= {_C.LTV_MID_MIN} THEN 'mid' ELSE 'low' END "
+    "AS ltv_segment, count(*) AS customers, CAST(sum(ltv) AS DECIMAL(38,2)) AS lifetime_revenue "
+    "FROM (SELECT coalesce(lifetime_revenue, 0) AS ltv FROM loyalty_campaign_targets) GROUP BY 1")
+ORACLE["q_price_tier"] = query(
+    f"SELECT CASE WHEN unit_cost >= {_C.PRICE_PREMIUM_MIN} THEN 'premium' WHEN unit_cost >= {_C.PRICE_MID_MIN} "
+    "THEN 'mid_range' ELSE 'budget' END AS price_tier, count(*) AS products FROM catalog GROUP BY 1")
+ORACLE["q_favourite_category"] = query(
+    "SELECT customer_id, product_category AS favourite_category, CAST(rev AS DECIMAL(38,2)) AS category_revenue "
+    "FROM (SELECT customer_id, product_category, rev, row_number() OVER (PARTITION BY customer_id "
+    "ORDER BY rev DESC, product_category ASC) AS rn FROM (SELECT customer_id, product_category, "
+    "sum(line_revenue) AS rev FROM fct_order_lines WHERE product_category IS NOT NULL GROUP BY 1, 2)) WHERE rn = 1")
+ORACLE["q_order_measures"] = query(
+    "SELECT channel, total_revenue, recognised_revenue, returned_revenue, orders, "
+    f"{avg_money_sql('total_revenue', 'n')} AS avg_order_value FROM (SELECT channel, "
+    "CAST(sum(revenue) AS DECIMAL(38,2)) AS total_revenue, CAST(sum(net_revenue) AS DECIMAL(38,2)) AS "
+    "recognised_revenue, CAST(sum(revenue - net_revenue) AS DECIMAL(38,2)) AS returned_revenue, count(*) AS orders, "
+    "count(revenue) AS n FROM consolidated_revenue GROUP BY 1)")
+ORACLE["q_product_measures"] = query(
+    "SELECT product_category, CAST(sum(line_revenue) AS DECIMAL(38,2)) AS net_revenue, sum(quantity) AS net_units, "
+    "count(DISTINCT customer_id) AS distinct_buyers FROM fct_order_lines GROUP BY 1")
+ORACLE["q_cancellation_kpis"] = query(
+    "SELECT region, cancelled_orders, orders, CAST(cancelled_orders AS DOUBLE) / CAST(orders AS DOUBLE) "
+    "AS cancellation_rate, CASE WHEN accounts > 0 THEN CAST(rev AS DOUBLE) / CAST(accounts AS DOUBLE) END "
+    "AS revenue_per_account FROM (SELECT a.region, count_if(o.is_cancelled_or_returned) AS cancelled_orders, "
+    "count(*) AS orders, sum(o.amount) AS rev, count(DISTINCT o.b2b_customer_id) AS accounts FROM fct_b2b_orders o "
+    "LEFT JOIN dim_b2b_customers a ON a.b2b_customer_id = o.b2b_customer_id GROUP BY 1)")
