@@ -1,36 +1,81 @@
-"""Order line items: lateral flatten of the parsed JSON array (M11)."""
+"""Order line items from the parsed JSON document (M11) and per-order totals.
+
+One element-level rule (``line_fields``) feeds both shapes:
+
+* ``int_sales_order_lines`` — a lateral ``variant_explode`` (one row per element);
+* ``order_totals`` — the same rule folded over the element array of each order
+  with higher-order functions, so order revenue needs no explode, no shuffle
+  and no join back to the orders (a map-only projection).
+
+Element semantics follow a lateral flatten: an array yields its elements, an
+object yields its member values, scalars and null yield nothing.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import json_number, json_text
 
 
-def int_sales_order_lines(stg_orders: DataFrame, price_scale: int = 2) -> DataFrame:
-    """One row per JSON line element of every parsed order.
+def element_type(price_scale: int = 2) -> str:
+    p = "decimal(38,0)" if price_scale == 0 else f"decimal(18,{price_scale})"
+    return (f"struct<product_id:decimal(38,0),name:string,qty:decimal(38,0),quantity:decimal(38,0),"
+            f"price:{p},unit_price:{p}>")
 
-    quantity = qty, else quantity, else 1; unit_price = price, else unit_price, else 0;
-    elements without a product id are dropped; ``line_number`` is the 0-based index.
-    ``price_scale=0`` reproduces an unscaled numeric cast of the price (rounded to
-    whole units); the default keeps cents.
+
+def line_fields(v: Column, price_scale: int = 2) -> dict[str, Column]:
+    """Typed fields of one line element (a VARIANT), read with a single typed cast.
+
+    quantity = qty, else quantity, else 1; unit_price = price, else unit_price, else 0.
+    A field that is absent or not readable as its type is null (then defaulted);
+    numeric text is read as a number; quantities round half-up to integers.
     """
+    e = F.try_variant_get(v, "$", element_type(price_scale))
+    return fields_of(e)
+
+
+def fields_of(e: Column) -> dict[str, Column]:
+    qty = F.coalesce(e["qty"], e["quantity"], F.lit(1)).cast("long")
+    price = F.coalesce(e["price"], e["unit_price"], F.lit(0)).cast("decimal(18,2)")
+    return {
+        "product_id": e["product_id"].cast("long"),
+        "product_name": e["name"],
+        "quantity": qty,
+        "unit_price": price,
+        "line_revenue": (qty * price).cast("decimal(18,2)"),
+    }
+
+
+def int_sales_order_lines(stg_orders: DataFrame, price_scale: int = 2) -> DataFrame:
+    """One row per JSON line element of every parsed order; elements without a
+    product id are dropped; ``line_number`` is the 0-based position."""
     spark = stg_orders.sparkSession
     orders = (stg_orders.filter(F.col("ordered_products_json").isNotNull())
                         .select("order_id", "order_date", "customer_id", "ordered_products_json"))
     exploded = orders.lateralJoin(spark.tvf.variant_explode(F.col("ordered_products_json").outer()))
-    v = F.col("value")
-    qty = F.coalesce(json_number(v, "$.qty", 0), json_number(v, "$.quantity", 0), F.lit(1)).cast("long")
-    price = F.coalesce(json_number(v, "$.price", price_scale), json_number(v, "$.unit_price", price_scale),
-                       F.lit(0)).cast("decimal(18,2)")
-    lines = exploded.select(
-        "order_id", "order_date", "customer_id",
-        F.col("pos").alias("line_number"),
-        json_number(v, "$.product_id", 0).cast("long").alias("product_id"),
-        json_text(v, "$.name").alias("product_name"),
-        qty.alias("quantity"),
-        price.alias("unit_price"),
-    )
-    return (lines.filter(F.col("product_id").isNotNull())
-                 .withColumn("line_revenue", (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)")))
+    f = line_fields(F.col("value"), price_scale)
+    lines = exploded.select("order_id", "order_date", "customer_id", F.col("pos").alias("line_number"),
+                            f["product_id"].alias("product_id"), f["product_name"].alias("product_name"),
+                            f["quantity"].alias("quantity"), f["unit_price"].alias("unit_price"),
+                            f["line_revenue"].alias("line_revenue"))
+    return lines.filter(F.col("product_id").isNotNull())
+
+
+def _elements(doc: Column) -> Column:
+    """The values a lateral flatten of ``doc`` would produce, as array<variant>."""
+    return F.coalesce(F.try_variant_get(doc, "$", "array<variant>"),
+                      F.map_values(F.try_variant_get(doc, "$", "map<string,variant>")))
+
+
+def order_totals(doc: Column, price_scale: int = 2) -> tuple[Column, Column]:
+    """(sum of line revenue, number of lines) of one order's document; null when
+    the document yields no line with a product id (as a left join to no lines).
+    Each element is read once: (product id, line revenue) pairs, then filter and fold."""
+    typed = F.transform(_elements(doc), lambda e: F.try_variant_get(e, "$", element_type(price_scale)))
+    kept = F.filter(typed, lambda x: x["product_id"].isNotNull())
+    total = F.aggregate(kept, F.lit(0).cast("decimal(38,2)"),
+                        lambda acc, x: (acc + fields_of(x)["line_revenue"]).cast("decimal(38,2)"))
+    n = F.size(kept)
+    has = kept.isNotNull() & (n > 0)
+    return F.when(has, total), F.when(has, n.cast("long"))

@@ -25,20 +25,37 @@ PUBLIC_MARTS = ["dim_customers", "dim_b2b_customers", "fct_sales_orders", "fct_o
                 "dim_regional_sales_targets", "fct_b2b_orders"]
 
 
+def _complete(path: str) -> bool:
+    return os.path.exists(os.path.join(path, "_SUCCESS"))
+
+
 class RetailProject:
+    """``root``: materialization folder (shared storage on a cluster).  When the raw
+    tables were landed there (``land``) or the public marts published (``publish``),
+    the project reads those tables instead of re-deriving them — the lineage is cut
+    at the written table, as consumers of published marts do."""
+
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = C.DEFAULT_AS_OF,
-                 price_scale: int = 2, rank_slices: int | None = None, published_dir: str | None = None):
+                 price_scale: int = 2, rank_slices: int | None = None, root: str | None = None):
         self.spark, self.sf_dir, self.as_of, self.price_scale = spark, sf_dir, as_of, price_scale
         self.rank_slices = rank_slices or int(spark.conf.get("spark.sql.shuffle.partitions", "64"))
-        self.raw = RawSources(spark, sf_dir)
-        self.published_dir = published_dir
+        self.root = root
+        self.raw = RawSources(spark, sf_dir, landed=self._landed)
         self._models: dict[str, DataFrame] = {}
 
+    def _landed(self, name: str):
+        from ledgerloom.sources.sinks import landing_path
+        if self.root and _complete(landing_path(self.root, name)):
+            return self.spark.read.parquet(landing_path(self.root, name))
+        return None
+
     def model(self, name: str) -> DataFrame:
         """``ref(name)``: the model's DataFrame (built once)."""
         if name not in self._models:
-            if self.published_dir and name in PUBLIC_MARTS and os.path.exists(os.path.join(self.published_dir, name)):
-                self._models[name] = self.spark.read.parquet(os.path.join(self.published_dir, name))
+            from ledgerloom.sources.sinks import published_path, read_table
+            if (self.root and name in PUBLIC_MARTS and self.price_scale == 2
+                    and _complete(published_path(self.root, name))):
+                self._models[name] = read_table(self.spark, published_path(self.root, name))
             else:
                 self._models[name] = getattr(self, "_build_" + name)()
         return self._models[name]
@@ -93,7 +110,7 @@ class RetailProject:
         return marts.dim_b2b_customers(self["int_b2b_customer_health"])
 
     def _build_fct_sales_orders(self):
-        return marts.fct_sales_orders(self["stg_sales_orders"], self["int_sales_order_lines"])
+        return marts.fct_sales_orders(self["stg_sales_orders"], self.price_scale)
 
     def _build_fct_order_lines(self):
         return marts.fct_order_lines(self["int_sales_order_lines"], self["stg_product_catalog"])
@@ -124,16 +141,28 @@ class RetailProject:
     def _build_consolidated_revenue(self):
         return finance.consolidated_revenue(self["fct_sales_orders"], self["fct_b2b_orders"])
 
-    # ------------------------------------------------------------ publishing
-    def publish(self, out_dir: str, names=PUBLIC_MARTS) -> dict[str, str]:
-        """Write the public marts (contract-checked) as Parquet under ``out_dir``.
-
-        Facts are partitioned by order month so date filters prune files.
-        """
-        from ledgerloom.sources.sinks import write_contracted
-        paths = {}
+    # ------------------------------------------------------------ materialization
+    def land(self, names=("customers", "loyalty_segments", "sales_orders", "ret_customers", "ret_orders",
+                          "ret_tickets")) -> list[str]:
+        """Write the raw tables as the connector lands them (Parquet, full replace)."""
+        from ledgerloom.sources.sinks import landing_path, write_table
+        assert self.root, "land() needs a root folder"
+        out = []
         for name in names:
-            path = os.path.join(out_dir, name)
-            write_contracted(self[name], name, path)
-            paths[name] = path
-        return paths
+            path = landing_path(self.root, name)
+            write_table(self.raw.table(name), path)
+            out.append(path)
+        self.raw = RawSources(self.spark, self.sf_dir, landed=self._landed)
+        self._models.clear()
+        return out
+
+    def publish(self, names=PUBLIC_MARTS, on_violation: str = "report") -> list[dict]:
+        """Write the public marts, contract-enforced; later ``ref``s read them.
+
+        Facts are range-partitioned on their date and written by month."""
+        from ledgerloom.sources.sinks import published_path, write_contracted
+        assert self.root, "publish() needs a root folder"
+        reports = [write_contracted(self[name], name, published_path(self.root, name), on_violation)
+                   for name in names]
+        self._models.clear()
+        return reports

@@ -27,7 +27,20 @@ def register(name: str):
     return deco
 
 
+# sf_dir -> materialization root, set by ``use_materialized`` (bench / scheduled builds).
+_ROOTS: dict[str, str] = {}
+
+
+def use_materialized(sf_dir: str, root: str | None) -> None:
+    """Make queries over ``sf_dir`` read landed raw tables / published marts under ``root``."""
+    if root:
+        _ROOTS[sf_dir] = root
+    else:
+        _ROOTS.pop(sf_dir, None)
+
+
 def project(spark: SparkSession, sf_dir: str, **kw) -> RetailProject:
+    kw.setdefault("root", _ROOTS.get(sf_dir))
     return RetailProject(spark, sf_dir, **kw)
 
 

@@ -124,8 +124,17 @@ def raw_loyalty_segments(spark) -> DataFrame:
               "valid_from date, valid_to date, _fivetran_deleted boolean")
 
 
-def _line_element(scale: int = 2) -> Column:
-    """One JSON line object per lineitem row, with the key variants of the source."""
+def _json_pair(key: str, value: Column) -> Column:
+    """``"key":value`` text, or null when ``value`` is null (the key is then left out)."""
+    return F.concat(F.lit(f'"{key}":'), value)
+
+
+def _line_element() -> Column:
+    """One JSON line object per lineitem row, with the key variants of the source.
+
+    The object text is assembled with string functions (codegen'd, per row);
+    leading struct fields give each order's array a total order.
+    """
     ok = F.col("l_orderkey")
     ln = F.col("l_linenumber")
     q = F.col("l_quantity").cast("long")
@@ -135,17 +144,18 @@ def _line_element(scale: int = 2) -> Column:
     has_price = ~((ok % 11 == 5) & (ln == 2))
     odd = ok % 2 == 1
     alt_price = ok % 5 == 0
-    doc = F.struct(
-        F.when(has_pid, F.col("l_partkey")).alias("product_id"),
-        F.concat(F.lit("Item "), F.col("l_partkey").cast("string")).alias("name"),
-        F.when(has_qty & ~odd, q).alias("qty"),
-        F.when(has_qty & odd, q).alias("quantity"),
-        F.when(has_price & ~alt_price, p).alias("price"),
-        F.when(has_price & alt_price, p).alias("unit_price"),
-    )
-    # Leading fields give the array a total order; equal leading fields mean equal documents.
+    pk = F.col("l_partkey").cast("string")
+    text = F.concat(F.lit("{"), F.concat_ws(
+        ",",
+        F.when(has_pid, _json_pair("product_id", pk)),
+        _json_pair("name", F.concat(F.lit('"Item '), pk, F.lit('"'))),
+        F.when(has_qty & ~odd, _json_pair("qty", q.cast("string"))),
+        F.when(has_qty & odd, _json_pair("quantity", q.cast("string"))),
+        F.when(has_price & ~alt_price, _json_pair("price", p.cast("string"))),
+        F.when(has_price & alt_price, _json_pair("unit_price", p.cast("string"))),
+    ), F.lit("}"))
     return F.struct(ln.alias("s_ln"), F.col("l_partkey").alias("s_pk"), q.alias("s_q"), p.alias("s_p"),
-                    doc.alias("doc"))
+                    text.alias("doc"))
 
 
 def raw_sales_orders(spark, sf_dir: str) -> DataFrame:
@@ -153,15 +163,16 @@ def raw_sales_orders(spark, sf_dir: str) -> DataFrame:
     li = read_star(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
     lines = (li.groupBy("l_orderkey")
-               .agg(F.array_sort(F.collect_list(_line_element())).alias("elems"),
+               .agg(F.sort_array(F.collect_list(_line_element())).alias("elems"),
                     F.count(F.lit(1)).alias("n_lines")))
     o = read_star(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     df = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
     k = F.col("o_orderkey")
-    docs = F.transform(F.col("elems"), lambda e: e["doc"])
+    docs = F.concat(F.lit("["), F.array_join(F.transform(F.col("elems"), lambda e: e["doc"]), ","), F.lit("]"))
     products = (F.when(k % 97 == 0, F.lit("{bad"))
-                .otherwise(F.coalesce(F.to_json(docs), F.lit("[]"))))
-    clicked = F.coalesce(F.to_json(F.transform(F.col("elems"), lambda e: e["s_pk"])), F.lit("[]"))
+                .otherwise(F.coalesce(docs, F.lit("[]"))))
+    clicked = F.coalesce(F.concat(F.lit("["), F.array_join(F.transform(F.col("elems"), lambda e: e["s_pk"]), ","),
+                                  F.lit("]")), F.lit("[]"))
     prio = F.col("o_orderpriority")
     promo = (F.when(prio == "1-URGENT", F.lit(PROMO_BY_PRIORITY["1-URGENT"]))
              .when(prio == "2-HIGH", F.lit(PROMO_BY_PRIORITY["2-HIGH"]))
@@ -252,13 +263,15 @@ def raw_ret_tickets(spark, sf_dir: str) -> DataFrame:
 class RawSources:
     """The six raw tables of one data directory, built lazily."""
 
-    def __init__(self, spark, sf_dir: str):
+    def __init__(self, spark, sf_dir: str, landed=None):
         self.spark, self.sf_dir = spark, sf_dir
+        self._landed = landed  # name -> DataFrame of the landed table, or None
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, name, fn):
         if name not in self._cache:
-            self._cache[name] = fn()
+            df = self._landed(name) if self._landed else None
+            self._cache[name] = df if df is not None else fn()
         return self._cache[name]
 
     @property
