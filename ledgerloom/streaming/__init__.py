@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The modelled project has no incremental model, snapshot, watermark, event-time
+window or stateful operator; raw tables arrive by an external batch sync and
+every model is a full-replace batch table.  Nothing is invented here for parity.
+"""
