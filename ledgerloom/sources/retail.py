@@ -217,13 +217,15 @@ def raw_ret_customers(spark, sf_dir: str) -> DataFrame:
 
 
 def raw_ret_orders(spark, sf_dir: str) -> DataFrame:
-    """B2B orders: one per lineitem row whose supplier key % 25 <> 7.  The id is
-    ``l_orderkey * 16 + l_linenumber``; the star data repeats such pairs, so the
-    uniqueness rule on it reports duplicates, as a real feed with a broken key would."""
+    """B2B orders: one per lineitem row, booked to the supplier's account — except that
+    suppliers with key % 25 = 7 book to the next account, so those accounts have no
+    orders.  The id is ``l_orderkey * 16 + l_linenumber``; the star data repeats such
+    pairs, so the uniqueness rule on it reports duplicates, as a real feed with a
+    broken key would."""
     li = read_star(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate")
-    li = li.filter(F.col("l_suppkey") % 25 != 7)
     ln, sk = F.col("l_linenumber"), F.col("l_suppkey")
+    account = F.when(sk % 25 == 7, sk + 1).otherwise(sk)
     status = (F.when((F.col("l_returnflag") == "R") & (ln <= sk % 8), F.lit("returned"))
               .when((F.col("l_returnflag") == "A") & (ln <= sk % 4), F.lit("cancelled"))
               .otherwise(F.lit("completed")))
@@ -233,7 +235,7 @@ def raw_ret_orders(spark, sf_dir: str) -> DataFrame:
     rid = F.col("l_orderkey") + ln
     return li.select(
         (F.col("l_orderkey") * 16 + ln).alias("id"),
-        _ret_account_id(sk).alias("order_user_id"),
+        _ret_account_id(account).alias("order_user_id"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
         status.alias("status"),
         reason.alias("cancel_return_reason"),
