@@ -47,9 +47,43 @@ def fields_of(e: Column) -> dict[str, Column]:
     }
 
 
+def order_items(doc: Column, price_scale: int = 2) -> Column:
+    """The document's line elements, each read once into a typed struct (null when the
+    element is not an object); positions are those of a lateral flatten."""
+    return F.transform(_elements(doc), lambda e: F.try_variant_get(e, "$", element_type(price_scale)))
+
+
+def int_order_items(stg_orders: DataFrame, price_scale: int = 2) -> DataFrame:
+    """One row per order with its typed line items (parsed and cast exactly once).
+
+    Both the line fact (explode) and the order fact (fold) derive from this, so a
+    build that materializes it reads every JSON document once.
+    """
+    return stg_orders.select(
+        "order_id", "order_number", "customer_id", "order_date", "order_timestamp", "number_of_line_items",
+        "promo_code",
+        (F.col("ordered_products_json").isNull() & F.col("ordered_products_raw").isNotNull())
+        .alias("has_unparsed_products"),
+        order_items(F.col("ordered_products_json"), price_scale).alias("items"))
+
+
+def lines_from_items(items: DataFrame) -> DataFrame:
+    """posexplode of the typed items; elements without a product id are dropped."""
+    e = items.select("order_id", "order_date", "customer_id", F.posexplode("items").alias("line_number", "it"))
+    f = fields_of(F.col("it"))
+    return e.filter(F.col("it.product_id").isNotNull()).select(
+        "order_id", "order_date", "customer_id", "line_number",
+        f["product_id"].alias("product_id"), f["product_name"].alias("product_name"),
+        f["quantity"].alias("quantity"), f["unit_price"].alias("unit_price"), f["line_revenue"].alias("line_revenue"))
+
+
 def int_sales_order_lines(stg_orders: DataFrame, price_scale: int = 2) -> DataFrame:
-    """One row per JSON line element of every parsed order; elements without a
-    product id are dropped; ``line_number`` is the 0-based position."""
+    """One row per JSON line element of every parsed order (lateral flatten form).
+
+    ``lines_from_items(int_order_items(...))`` gives the same rows; this variant
+    keeps the direct ``variant_explode`` formulation for callers that have only
+    the staged orders.
+    """
     spark = stg_orders.sparkSession
     orders = (stg_orders.filter(F.col("ordered_products_json").isNotNull())
                         .select("order_id", "order_date", "customer_id", "ordered_products_json"))
@@ -68,14 +102,17 @@ def _elements(doc: Column) -> Column:
                       F.map_values(F.try_variant_get(doc, "$", "map<string,variant>")))
 
 
-def order_totals(doc: Column, price_scale: int = 2) -> tuple[Column, Column]:
-    """(sum of line revenue, number of lines) of one order's document; null when
-    the document yields no line with a product id (as a left join to no lines).
-    Each element is read once: (product id, line revenue) pairs, then filter and fold."""
-    typed = F.transform(_elements(doc), lambda e: F.try_variant_get(e, "$", element_type(price_scale)))
-    kept = F.filter(typed, lambda x: x["product_id"].isNotNull())
+def totals_from_items(items: Column) -> tuple[Column, Column]:
+    """(sum of line revenue, number of lines) over typed items; null when no line has
+    a product id (as a left join to no lines)."""
+    kept = F.filter(items, lambda x: x["product_id"].isNotNull())
     total = F.aggregate(kept, F.lit(0).cast("decimal(38,2)"),
                         lambda acc, x: (acc + fields_of(x)["line_revenue"]).cast("decimal(38,2)"))
     n = F.size(kept)
     has = kept.isNotNull() & (n > 0)
     return F.when(has, total), F.when(has, n.cast("long"))
+
+
+def order_totals(doc: Column, price_scale: int = 2) -> tuple[Column, Column]:
+    """``totals_from_items`` straight from a VARIANT document."""
+    return totals_from_items(order_items(doc, price_scale))

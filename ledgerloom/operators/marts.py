@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom import config as C
 from ledgerloom.functions.expr import MONEY, avg_money, div0, pct, round_ratio
 from ledgerloom.operators.joins import broadcast_if_small
-from ledgerloom.operators.lines import order_totals
+from ledgerloom.operators.lines import totals_from_items
 from ledgerloom.operators.rank import with_percent_rank
 from ledgerloom.operators.topn import top1_per_key
 
@@ -48,23 +48,22 @@ def dim_customers(current: DataFrame, slices: int = 64) -> DataFrame:
         "units_purchased", "customer_since_date", "customer_number", seg.alias("customer_value_segment"))
 
 
-def fct_sales_orders(stg_orders: DataFrame, price_scale: int = 2) -> DataFrame:
+def fct_sales_orders(order_items: DataFrame) -> DataFrame:
     """Orders with revenue summed over their parsed lines (0 when none); orders
     without a date are dropped.
 
-    The line rule is folded over each order's own JSON array (higher-order
+    The line rule is folded over each order's own typed items (higher-order
     functions), which equals grouping the exploded lines by order and joining
     back, without the explode, the shuffle or the join.
     """
-    rev, n = order_totals(F.col("ordered_products_json"), price_scale)
-    o = stg_orders.filter(F.col("order_date").isNotNull())
+    rev, n = totals_from_items(F.col("items"))
+    o = order_items.filter(F.col("order_date").isNotNull())
     return o.select(
         "order_id", "order_number", "customer_id", "order_date", "order_timestamp", "number_of_line_items",
         F.coalesce(rev, F.lit(0)).cast(MONEY).alias("total_revenue"),
         n.alias("parsed_line_items"), "promo_code",
         F.col("promo_code").isNotNull().alias("has_promo"),
-        (F.col("ordered_products_json").isNull() & F.col("ordered_products_raw").isNotNull())
-        .alias("has_unparsed_products"))
+        "has_unparsed_products")
 
 
 def fct_order_lines(lines: DataFrame, catalog: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:

@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom import config as C
 from ledgerloom.operators import marts, staging
-from ledgerloom.operators.lines import int_sales_order_lines
+from ledgerloom.operators.lines import int_order_items, lines_from_items
 from ledgerloom.plans import finance, marketing
 from ledgerloom.sources import seeds
 from ledgerloom.sources.retail import RawSources
 
 PUBLIC_MARTS = ["dim_customers", "dim_b2b_customers", "fct_sales_orders", "fct_order_lines",
                 "dim_regional_sales_targets", "fct_b2b_orders"]
+# Intermediates read by more than one mart: materialized once by ``publish``.
+MATERIALIZED_INTERMEDIATES = ["int_order_items"]
 
 
 def _complete(path: str) -> bool:
@@ -52,10 +54,13 @@ class RetailProject:
     def model(self, name: str) -> DataFrame:
         """``ref(name)``: the model's DataFrame (built once)."""
         if name not in self._models:
-            from ledgerloom.sources.sinks import published_path, read_table
+            from ledgerloom.sources.sinks import intermediate_path, published_path, read_table
             if (self.root and name in PUBLIC_MARTS and self.price_scale == 2
                     and _complete(published_path(self.root, name))):
                 self._models[name] = read_table(self.spark, published_path(self.root, name))
+            elif (self.root and name in MATERIALIZED_INTERMEDIATES and self.price_scale == 2
+                    and _complete(intermediate_path(self.root, name))):
+                self._models[name] = self.spark.read.parquet(intermediate_path(self.root, name))
             else:
                 self._models[name] = getattr(self, "_build_" + name)()
         return self._models[name]
@@ -95,8 +100,11 @@ class RetailProject:
     def _build_int_current_customers(self):
         return marts.int_current_customers(self["stg_customers"], self["stg_loyalty_segments"])
 
+    def _build_int_order_items(self):
+        return int_order_items(self["stg_sales_orders"], self.price_scale)
+
     def _build_int_sales_order_lines(self):
-        return int_sales_order_lines(self["stg_sales_orders"], self.price_scale)
+        return lines_from_items(self["int_order_items"])
 
     def _build_int_b2b_customer_health(self):
         return marts.int_b2b_customer_health(self["stg_ret_customers"], self["stg_ret_orders"],
@@ -110,7 +118,7 @@ class RetailProject:
         return marts.dim_b2b_customers(self["int_b2b_customer_health"])
 
     def _build_fct_sales_orders(self):
-        return marts.fct_sales_orders(self["stg_sales_orders"], self.price_scale)
+        return marts.fct_sales_orders(self["int_order_items"])
 
     def _build_fct_order_lines(self):
         return marts.fct_order_lines(self["int_sales_order_lines"], self["stg_product_catalog"])
@@ -160,8 +168,11 @@ class RetailProject:
         """Write the public marts, contract-enforced; later ``ref``s read them.
 
         Facts are range-partitioned on their date and written by month."""
-        from ledgerloom.sources.sinks import published_path, write_contracted
+        from ledgerloom.sources.sinks import intermediate_path, published_path, write_contracted, write_table
         assert self.root, "publish() needs a root folder"
+        for name in MATERIALIZED_INTERMEDIATES:
+            write_table(self[name], intermediate_path(self.root, name))
+            self._models.clear()
         reports = [write_contracted(self[name], name, published_path(self.root, name), on_violation)
                    for name in names]
         self._models.clear()

@@ -92,5 +92,9 @@ def landing_path(root: str, name: str) -> str:
     return os.path.join(root, "landed", name)
 
 
+def intermediate_path(root: str, name: str) -> str:
+    return os.path.join(root, "intermediate", name)
+
+
 def published_path(root: str, name: str) -> str:
     return os.path.join(root, "published", name)

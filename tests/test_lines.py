@@ -68,3 +68,12 @@ def test_unscaled_price_rounds_half_up(spark):
     lines = int_sales_order_lines(stg_sales_orders(raw), price_scale=0)
     got = {r.order_id: r.unit_price for r in lines.collect()}
     assert got[1] == Decimal("30.00") and got[12] == Decimal("3.00")
+
+
+def test_items_path_equals_lateral_flatten(spark):
+    from ledgerloom.operators.lines import int_order_items, lines_from_items
+    stg = stg_sales_orders(_raw(spark))
+    a = sorted(tuple(r) for r in int_sales_order_lines(stg).collect())
+    b = sorted(tuple(r) for r in lines_from_items(int_order_items(stg)).select(*int_sales_order_lines(stg).columns)
+               .collect())
+    assert a == b and len(a) == 8
