@@ -44,9 +44,11 @@ def top_region(p, as_of: dt.date, months: int = C.RECENT_MONTHS) -> DataFrame:
 
 
 def monthly_revenue(p, as_of: dt.date, months: int = 12) -> DataFrame:
+    """Time-ordered monthly series (at most ``months`` rows, so the final sort is tiny)."""
     o = _window(p["fct_sales_orders"], as_of, months)
     return o.groupBy(F.trunc("order_date", "month").alias("order_month")).agg(
-        F.sum("total_revenue").cast("decimal(38,2)").alias("monthly_revenue"), F.count(F.lit(1)).alias("orders"))
+        F.sum("total_revenue").cast("decimal(38,2)").alias("monthly_revenue"),
+        F.count(F.lit(1)).alias("orders")).orderBy("order_month")
 
 
 def at_risk_accounts(p) -> DataFrame:
@@ -154,3 +156,20 @@ def cancellation_kpis(p) -> DataFrame:
         (F.col("cancelled_orders").cast("double") / F.col("orders").cast("double")).alias("cancellation_rate"),
         F.when(F.col("accounts") > 0, F.col("_rev").cast("double") / F.col("accounts").cast("double"))
         .alias("revenue_per_account"))
+
+
+def execute_sql(p, sql_text: str, max_rows: int | None = None) -> DataFrame:
+    """Run SQL text over the project's models (``SELECT ... FROM fct_sales_orders ...``).
+
+    Models named in the text are registered as temporary views (lazily: a view is
+    a plan, nothing runs); the result is a DataFrame, bounded by ``max_rows`` when a
+    caller needs rows on the driver (``execute_sql(...).toPandas()``).
+    """
+    import re
+    from ledgerloom.plans.project import RetailProject
+    words = set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", sql_text))
+    for name in words:
+        if hasattr(RetailProject, "_build_" + name):
+            p[name].createOrReplaceTempView(name)
+    df = p.spark.sql(sql_text)
+    return df.limit(max_rows) if max_rows else df

@@ -379,3 +379,14 @@ for _key, _fn, _args in [
     ("q_cancellation_kpis", "cancellation_kpis", ()),
 ]:
     register(_key)(_question(_fn, *_args))
+
+
+# The chat app's "question -> SQL -> rows" step: SQL text over the governed models.
+SQL_TEXT_EXAMPLE = ("SELECT region, loyalty_segment_description AS loyalty_tier, count(*) AS customers, "
+                    "sum(units_purchased) AS units FROM dim_customers GROUP BY region, loyalty_segment_description")
+
+
+@register("sql_text")
+def q_sql_text(spark, sf_dir):
+    from ledgerloom.plans.questions import execute_sql
+    return execute_sql(project(spark, sf_dir), SQL_TEXT_EXAMPLE)

@@ -322,3 +322,7 @@ ORACLE["q_cancellation_kpis"] = query(
     "AS revenue_per_account FROM (SELECT a.region, count_if(o.is_cancelled_or_returned) AS cancelled_orders, "
     "count(*) AS orders, sum(o.amount) AS rev, count(DISTINCT o.b2b_customer_id) AS accounts FROM fct_b2b_orders o "
     "LEFT JOIN dim_b2b_customers a ON a.b2b_customer_id = o.b2b_customer_id GROUP BY 1)")
+
+from ledgerloom.plans.registry import SQL_TEXT_EXAMPLE  # noqa: E402
+
+ORACLE["sql_text"] = query(SQL_TEXT_EXAMPLE)
