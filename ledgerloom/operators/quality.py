@@ -146,16 +146,26 @@ def single_pass_tests(project, tests: list[ColumnTest]) -> DataFrame:
 
 
 def unique_tests(project, tests: list[ColumnTest]) -> DataFrame:
-    """Number of non-null key values that occur more than once (partial counts map-side)."""
-    out = None
+    """Number of non-null key values that occur more than once, for every test at once.
+
+    Each tested column contributes ``(model, column, key as text)`` rows; one
+    group-by (partial counts map-side) finds repeated keys for all tests in a
+    single shuffle, and a second, tiny aggregate counts them per test.  Tests
+    with no repeated key report 0.
+    """
+    spark = project.spark
+    keyed = None
     for t in tests:
-        dup = (project[t.model].filter(F.col(t.column).isNotNull()).groupBy(t.column).count()
-               .filter(F.col("count") > 1))
-        part = dup.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"), F.lit("unique").alias("test_name"),
-            "failures")
-        out = part if out is None else out.unionByName(part)
-    return out
+        part = (project[t.model].filter(F.col(t.column).isNotNull())
+                .select(F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
+                        F.col(t.column).cast("string").alias("_key")))
+        keyed = part if keyed is None else keyed.unionByName(part)
+    dups = (keyed.groupBy("model", "column_name", "_key").count().filter(F.col("count") > 1)
+            .groupBy("model", "column_name").agg(F.count(F.lit(1)).alias("_dups")))
+    declared = spark.createDataFrame([(t.model, t.column) for t in tests], "model string, column_name string")
+    return (declared.join(dups, ["model", "column_name"], "left")
+            .select("model", "column_name", F.lit("unique").alias("test_name"),
+                    F.coalesce(F.col("_dups"), F.lit(0)).cast("long").alias("failures")))
 
 
 def relationship_tests(project, tests: list[ColumnTest]) -> DataFrame:
