@@ -196,10 +196,11 @@ def run_tests(project, kind: str) -> DataFrame:
 
 def revenue_reconciliation(project, tolerance: float = 0.01) -> DataFrame:
     """Orders with revenue > 0 whose line total differs by more than ``tolerance``."""
-    lines = project["fct_order_lines"].groupBy("order_id").agg(F.sum("line_revenue").alias("line_total"))
+    lines = project["fct_order_lines"].groupBy("order_id").agg(
+        F.sum("line_revenue").cast("decimal(38,2)").alias("line_total"))
     o = project["fct_sales_orders"].filter(F.col("total_revenue") > 0).select("order_id", "total_revenue")
     j = o.join(lines, "order_id")
-    diff = F.abs(F.col("total_revenue") - F.col("line_total"))
+    diff = F.abs(F.col("total_revenue") - F.col("line_total")).cast("decimal(38,2)")
     return j.filter(diff > F.lit(tolerance)).select("order_id", "total_revenue", "line_total", diff.alias("diff"))
 
 

@@ -135,7 +135,14 @@ def _simple_frame(project, model_key: str, metrics: list[SimpleMetric], group_by
     aggs = [_agg(m.agg, F.expr(m.expr)).alias(m.name) for m in metrics]
     if not keys:  # global metric: one group, keyed by a constant so metrics still join on keys
         keys, names = [F.lit(1).alias("_all")], ["_all"]
-    return df.groupBy(*keys).agg(*aggs), names
+    return widen_decimals(df.groupBy(*keys).agg(*aggs)), names
+
+
+def widen_decimals(df: DataFrame) -> DataFrame:
+    """Decimal aggregates as decimal(38, scale): one result type whatever the input precision."""
+    from pyspark.sql.types import DecimalType
+    return df.select(*[F.col(f.name).cast(DecimalType(38, f.dataType.scale)).alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f.name) for f in df.schema.fields])
 
 
 def _join_on_keys(frames: list[DataFrame], keys: list[str]) -> DataFrame:

@@ -383,7 +383,8 @@ for _key, _fn, _args in [
 
 # The chat app's "question -> SQL -> rows" step: SQL text over the governed models.
 SQL_TEXT_EXAMPLE = ("SELECT region, loyalty_segment_description AS loyalty_tier, count(*) AS customers, "
-                    "sum(units_purchased) AS units FROM dim_customers GROUP BY region, loyalty_segment_description")
+                    "CAST(sum(units_purchased) AS BIGINT) AS units FROM dim_customers "
+                    "GROUP BY region, loyalty_segment_description")
 
 
 @register("sql_text")

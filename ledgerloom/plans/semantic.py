@@ -109,4 +109,5 @@ def semantic_aggregate(project, view: SemanticView, dimensions: list[str], measu
              "max": F.max, "min": F.min}[agg](F.col(view.synonyms.get(src, src))).alias(out)
             for out, (agg, src) in measures.items()]
     dims = [view.synonyms.get(d, d) for d in dimensions]
-    return rows.groupBy(*dims).agg(*aggs)
+    from ledgerloom.plans.metrics import widen_decimals
+    return widen_decimals(rows.groupBy(*dims).agg(*aggs))

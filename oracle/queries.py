@@ -9,8 +9,10 @@ ORACLE: dict[str, str] = {}
 
 
 def _live(source: str, table: str, flag: str = "deleted") -> str:
-    return (f"SELECT '{source}' AS source, count(*) AS total_rows, count_if({flag} IS NULL OR NOT {flag}) AS live_rows, "
-            f"count_if({flag}) AS deleted_rows, count_if({flag} IS NULL) AS null_flag_rows FROM {table}")
+    return (f"SELECT '{source}' AS source, count(*) AS total_rows, "
+            f"CAST(count_if({flag} IS NULL OR NOT {flag}) AS BIGINT) AS live_rows, "
+            f"CAST(count_if({flag}) AS BIGINT) AS deleted_rows, CAST(count_if({flag} IS NULL) AS BIGINT) AS null_flag_rows "
+            f"FROM {table}")
 
 
 ORACLE["live_rows"] = query(" UNION ALL ".join([
@@ -68,7 +70,7 @@ ORACLE["time_spine"] = query(
 ORACLE["metric_revenue_by_month"] = query(
     "SELECT CAST(date_trunc('month', order_date) AS DATE) AS metric_time__month, "
     "sum(total_revenue) AS total_b2c_revenue, count(order_id) AS total_b2c_orders, "
-    "sum(number_of_line_items) AS total_line_items FROM fct_sales_orders GROUP BY 1")
+    "CAST(sum(number_of_line_items) AS BIGINT) AS total_line_items FROM fct_sales_orders GROUP BY 1")
 
 ORACLE["metric_gap_filled"] = query(
     "SELECT s.date_day AS metric_time__day, coalesce(m.rev, 0) AS total_b2c_revenue "
@@ -96,7 +98,7 @@ ORACLE["metric_cancellation_rate"] = query(
 ORACLE["metric_units_per_customer"] = query(
     "SELECT loyalty_segment_description AS customer_loyalty_tier, "
     f"{_div('sum(units_purchased)', 'count(customer_id)')} AS avg_units_per_customer, "
-    "count(customer_id) AS total_customers, sum(units_purchased) AS total_units_purchased "
+    "count(customer_id) AS total_customers, CAST(sum(units_purchased) AS BIGINT) AS total_units_purchased "
     "FROM dim_customers GROUP BY 1")
 
 ORACLE["metric_derived"] = query(
@@ -128,9 +130,9 @@ ORACLE["semantic_b2b"] = query(
 
 ORACLE["raw_vs_governed"] = query(
     "SELECT (SELECT count(*) FROM raw_customers) AS raw_customer_rows, "
-    "(SELECT sum(units_purchased) FROM raw_customers) AS raw_units, "
+    "(SELECT CAST(sum(units_purchased) AS BIGINT) FROM raw_customers) AS raw_units, "
     "(SELECT count(*) FROM dim_customers) AS governed_customers, "
-    "(SELECT sum(units_purchased) FROM dim_customers) AS governed_units, "
+    "(SELECT CAST(sum(units_purchased) AS BIGINT) FROM dim_customers) AS governed_units, "
     "(SELECT count(*) FROM orders) AS raw_orders, (SELECT count(*) FROM fct_sales_orders) AS governed_orders")
 
 # ---------------------------------------------------------------- data quality
@@ -172,7 +174,7 @@ def _dq_sql(kind):
             continue
         head = f"SELECT '{t.model}' AS model, '{t.column}' AS column_name, '{t.test}' AS test_name, "
         if kind in ("not_null", "accepted_values", "between"):
-            parts.append(head + f"count_if({_rule_sql(t)}) AS failures FROM {_m(t.model)}")
+            parts.append(head + f"CAST(count_if({_rule_sql(t)}) AS BIGINT) AS failures FROM {_m(t.model)}")
         elif kind == "unique":
             parts.append(head + f"(SELECT count(*) FROM (SELECT {t.column} FROM {_m(t.model)} WHERE {t.column} "
                                 f"IS NOT NULL GROUP BY {t.column} HAVING count(*) > 1)) AS failures")
@@ -216,7 +218,7 @@ def _contract_sql():
                f"HAVING count(*) > 1))" if pk else "0")
         parts.append(f"SELECT '{model}' AS model, CAST(0 AS BIGINT) AS missing_columns, CAST(0 AS BIGINT) AS "
                      f"type_mismatches, CAST(0 AS BIGINT) AS extra_columns, "
-                     f"(SELECT count_if({rule}) FROM {_m(model)}) AS not_null_violations, "
+                     f"(SELECT CAST(count_if({rule}) AS BIGINT) FROM {_m(model)}) AS not_null_violations, "
                      f"CAST({dup} AS BIGINT) AS pk_duplicates")
     return query("\nUNION ALL\n".join(parts))
 
@@ -278,7 +280,7 @@ ORACLE["q_top10_ltv"] = query(
     "SELECT customer_id, customer_name, region, lifetime_revenue, total_orders FROM loyalty_campaign_targets "
     "ORDER BY lifetime_revenue DESC NULLS LAST, customer_id ASC LIMIT 10")
 ORACLE["q_revenue_by_category"] = query(
-    "SELECT product_category, CAST(sum(line_revenue) AS DECIMAL(38,2)) AS revenue, sum(quantity) AS units "
+    "SELECT product_category, CAST(sum(line_revenue) AS DECIMAL(38,2)) AS revenue, CAST(sum(quantity) AS BIGINT) AS units "
     "FROM fct_order_lines GROUP BY 1")
 ORACLE["q_latest_orders"] = query(
     "SELECT order_id, customer_id, order_timestamp, total_revenue FROM fct_sales_orders "
@@ -314,12 +316,12 @@ ORACLE["q_order_measures"] = query(
     "recognised_revenue, CAST(sum(revenue - net_revenue) AS DECIMAL(38,2)) AS returned_revenue, count(*) AS orders, "
     "count(revenue) AS n FROM consolidated_revenue GROUP BY 1)")
 ORACLE["q_product_measures"] = query(
-    "SELECT product_category, CAST(sum(line_revenue) AS DECIMAL(38,2)) AS net_revenue, sum(quantity) AS net_units, "
+    "SELECT product_category, CAST(sum(line_revenue) AS DECIMAL(38,2)) AS net_revenue, CAST(sum(quantity) AS BIGINT) AS net_units, "
     "count(DISTINCT customer_id) AS distinct_buyers FROM fct_order_lines GROUP BY 1")
 ORACLE["q_cancellation_kpis"] = query(
     "SELECT region, cancelled_orders, orders, CAST(cancelled_orders AS DOUBLE) / CAST(orders AS DOUBLE) "
     "AS cancellation_rate, CASE WHEN accounts > 0 THEN CAST(rev AS DOUBLE) / CAST(accounts AS DOUBLE) END "
-    "AS revenue_per_account FROM (SELECT a.region, count_if(o.is_cancelled_or_returned) AS cancelled_orders, "
+    "AS revenue_per_account FROM (SELECT a.region, CAST(count_if(o.is_cancelled_or_returned) AS BIGINT) AS cancelled_orders, "
     "count(*) AS orders, sum(o.amount) AS rev, count(DISTINCT o.b2b_customer_id) AS accounts FROM fct_b2b_orders o "
     "LEFT JOIN dim_b2b_customers a ON a.b2b_customer_id = o.b2b_customer_id GROUP BY 1)")
 
