@@ -22,6 +22,13 @@ BASE_CONF = {
     # A side is broadcast only when AQE has measured it below this size.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    # Post-shuffle partitions of ~128 MB and ~256 MB file splits: at 100 TB this keeps
+    # task counts in the hundreds of thousands, not millions, while each fits in memory.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    # A partition over 5x the median and 256 MB is split by AQE (skewed joins and rebalances).
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -56,6 +63,14 @@ def get_session(master: str | None = None, app: str = "ledgerloom",
     return spark
 
 
+def apply_sql_conf(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings above to an existing session (e.g. one a driver created)."""
+    for k, v in BASE_CONF.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cut lineage / published tables.
 
