@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom import config as C
+from ledgerloom.operators.combine import combine_on_keys
 
 RESULT_SCHEMA = "model string, column_name string, test_name string, failures long"
 
@@ -295,9 +296,10 @@ def contract_check(project, models=None) -> DataFrame:
         if pk:
             dup = (df.filter(F.col(pk).isNotNull()).groupBy(pk).count().filter(F.col("count") > 1)
                    .agg(F.count(F.lit(1)).alias("pk_duplicates")))
+            stats = combine_on_keys([stats, dup])
         else:
-            dup = spark.range(1).select(F.lit(0).cast("long").alias("pk_duplicates"))
-        row = stats.withColumn("_j", F.lit(1)).join(dup.withColumn("_j", F.lit(1)), "_j").select(
+            stats = stats.withColumn("pk_duplicates", F.lit(0).cast("long"))
+        row = stats.select(
             F.lit(model).alias("model"), F.lit(missing).cast("long").alias("missing_columns"),
             F.lit(mismatched).cast("long").alias("type_mismatches"), F.lit(extra).cast("long").alias("extra_columns"),
             "not_null_violations", F.col("pk_duplicates").cast("long").alias("pk_duplicates"))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import config as C
+from ledgerloom.operators.combine import combine_on_keys
 
 GRAINS = {"day": None, "week": "week", "month": "month", "quarter": "quarter", "year": "year"}
 
@@ -133,7 +134,7 @@ def _simple_frame(project, model_key: str, metrics: list[SimpleMetric], group_by
     if where:
         df = df.filter(F.expr(where))
     aggs = [_agg(m.agg, F.expr(m.expr)).alias(m.name) for m in metrics]
-    if not keys:  # global metric: one group, keyed by a constant so metrics still join on keys
+    if not keys:  # global metric: one group, keyed by a constant so all metric frames share a key
         keys, names = [F.lit(1).alias("_all")], ["_all"]
     return widen_decimals(df.groupBy(*keys).agg(*aggs)), names
 
@@ -145,20 +146,6 @@ def widen_decimals(df: DataFrame) -> DataFrame:
                        if isinstance(f.dataType, DecimalType) else F.col(f.name) for f in df.schema.fields])
 
 
-def _join_on_keys(frames: list[DataFrame], keys: list[str]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        r = f.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in f.columns if c not in keys])
-        cond = None
-        for k in keys:
-            c = out[k].eqNullSafe(r[f"_r_{k}"])
-            cond = c if cond is None else cond & c
-        out = out.join(r, cond, "full").select(
-            *[F.coalesce(out[k], r[f"_r_{k}"]).alias(k) for k in keys],
-            *[c for c in out.columns if c not in keys], *[c for c in f.columns if c not in keys])
-    return out
-
-
 def metric_query(project, metrics: list[str], group_by: list[str] | None = None,
                  where: str | None = None) -> DataFrame:
     """Evaluate simple, ratio and derived metrics at the same group keys.
@@ -190,7 +177,9 @@ def metric_query(project, metrics: list[str], group_by: list[str] | None = None,
     for model_key, ms in by_model.items():
         f, names = _simple_frame(project, model_key, ms, group_by, where)
         frames.append(f)
-    out = _join_on_keys(frames, names or [])
+    # Metrics of different semantic models meet on the group keys: stacked and
+    # folded in one group-by (null keys group together), not joined pairwise.
+    out = frames[0] if len(frames) == 1 else combine_on_keys(frames, names or [])
     cols = [F.col(k) for k in (names or []) if k != "_all"]
     for m in metrics:
         if m in SIMPLE_METRICS:

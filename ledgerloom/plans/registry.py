@@ -295,10 +295,8 @@ def q_raw_vs_governed(spark, sf_dir):
         F.count(F.lit(1)).alias("raw_orders"))
     gov_o = semantic_select(p, GOVERNED, ["b2c_revenue", "has_promo"]).agg(
         F.count(F.lit(1)).alias("governed_orders"))
-    k = F.lit(1).alias("_k")
-    out = raw_c.select(k, "*").join(gov_c.select(k, "*"), "_k").join(raw_o.select(k, "*"), "_k") \
-        .join(gov_o.select(k, "*"), "_k")
-    return out.drop("_k")
+    from ledgerloom.operators.combine import combine_on_keys
+    return combine_on_keys([raw_c, gov_c, raw_o, gov_o])
 
 
 # ---------------------------------------------------------------- data quality

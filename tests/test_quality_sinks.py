@@ -61,3 +61,15 @@ def test_fact_written_by_month(spark, tmp_path):
     parts = sorted(p for p in os.listdir(tmp_path / "f") if p.startswith("order_month="))
     assert parts == ["order_month=2020-01-01", "order_month=2020-02-01", "order_month=__HIVE_DEFAULT_PARTITION__"]
     assert sorted(r.order_id for r in read_table(spark, str(tmp_path / "f")).collect()) == [1, 2, 3]
+
+
+def test_combine_on_keys_null_keys_and_single_rows(spark):
+    from ledgerloom.operators.combine import combine_on_keys
+    a = spark.createDataFrame([("x", 1), (None, 2)], "k string, a long")
+    b = spark.createDataFrame([("x", 10.0), (None, 20.0), ("y", 30.0)], "k string, b double")
+    got = {r.k: (r.a, r.b) for r in combine_on_keys([a, b], ["k"]).collect()}
+    assert got == {"x": (1, 10.0), None: (2, 20.0), "y": (None, 30.0)}
+    one = combine_on_keys([a.agg(F.count("*").alias("n")), b.agg(F.sum("b").alias("s"))])
+    assert tuple(one.first()) == (2, 60.0)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
