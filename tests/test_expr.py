@@ -53,3 +53,24 @@ def test_avg_money_rounds_cents_exactly(spark):
                                "s decimal(38,2), n long")
     assert [r.x for r in df.select(avg_money("s", "n").alias("x")).collect()] == [
         Decimal("0.03"), Decimal("3.33"), None]
+
+
+def test_round_ratio_matches_decimal_half_up_property(spark):
+    from decimal import ROUND_HALF_UP, Decimal as Dm
+    from hypothesis import given, settings, strategies as st
+
+    pairs = []
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.integers(-10**12, 10**12), st.integers(1, 10**9), st.integers(0, 3))
+    def collect(n, d, digits):
+        pairs.append((n, d, digits))
+
+    collect()
+    rows = spark.createDataFrame(pairs, "n long, d long, k int")
+    for digits in range(4):
+        sub = rows.filter(F.col("k") == digits)
+        got = sub.select("n", "d", pct("n", "d", digits).alias("x")).collect()
+        for r in got:
+            exp = (Dm(r.n) * 100 / Dm(r.d)).quantize(Dm(1).scaleb(-digits), rounding=ROUND_HALF_UP)
+            assert r.x == float(exp), (r.n, r.d, digits, r.x, exp)
