@@ -25,6 +25,11 @@ PUBLIC_MARTS = ["dim_customers", "dim_b2b_customers", "fct_sales_orders", "fct_o
                 "dim_regional_sales_targets", "fct_b2b_orders"]
 # Intermediates read by more than one mart: materialized once by ``publish``.
 MATERIALIZED_INTERMEDIATES = ["int_order_items"]
+# Table-materialized models without a contract (report mart, marketing and finance
+# consumers), written after the public marts and built *from* the published marts.
+TABLE_MODELS = ["rpt_promo_effectiveness", "loyalty_campaign_targets", "regional_performance",
+                "regional_target_attainment", "b2b_account_health_report", "consolidated_revenue"]
+TABLE_MONTH = {"consolidated_revenue": "order_date"}
 
 
 def _complete(path: str) -> bool:
@@ -55,7 +60,7 @@ class RetailProject:
         """``ref(name)``: the model's DataFrame (built once)."""
         if name not in self._models:
             from ledgerloom.sources.sinks import intermediate_path, published_path, read_table
-            if (self.root and name in PUBLIC_MARTS and self.price_scale == 2
+            if (self.root and name in PUBLIC_MARTS + TABLE_MODELS and self.price_scale == 2
                     and _complete(published_path(self.root, name))):
                 self._models[name] = read_table(self.spark, published_path(self.root, name))
             elif (self.root and name in MATERIALIZED_INTERMEDIATES and self.price_scale == 2
@@ -164,10 +169,10 @@ class RetailProject:
         self._models.clear()
         return out
 
-    def publish(self, names=PUBLIC_MARTS, on_violation: str = "report") -> list[dict]:
-        """Write the public marts, contract-enforced; later ``ref``s read them.
-
-        Facts are range-partitioned on their date and written by month."""
+    def publish(self, names=PUBLIC_MARTS, on_violation: str = "report", tables=TABLE_MODELS) -> list[dict]:
+        """Write the public marts, contract-enforced, then the other table models
+        (which read the published marts, as consumer projects do); later ``ref``s
+        read the written tables.  Facts are rebalanced and written by month."""
         from ledgerloom.sources.sinks import intermediate_path, published_path, write_contracted, write_table
         assert self.root, "publish() needs a root folder"
         for name in MATERIALIZED_INTERMEDIATES:
@@ -176,4 +181,7 @@ class RetailProject:
         reports = [write_contracted(self[name], name, published_path(self.root, name), on_violation)
                    for name in names]
         self._models.clear()
+        for name in tables:
+            write_table(self[name], published_path(self.root, name), TABLE_MONTH.get(name))
+            self._models.clear()
         return reports

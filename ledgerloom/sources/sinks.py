@@ -34,6 +34,10 @@ TABLE_META: dict[str, tuple[str | None, dict[str, str]]] = {
 }
 
 
+# Partition column of month-partitioned tables (folder ``p_month=YYYY-MM-01``); dropped on read.
+PART_COL = "p_month"
+
+
 class ContractViolation(RuntimeError):
     pass
 
@@ -54,15 +58,15 @@ def write_table(df: DataFrame, path: str, month_of: str | None = None, mode: str
     so a hot month is written by several tasks and no task writes every month.
     """
     if month_of:
-        df = df.withColumn("order_month", F.trunc(F.col(month_of), "month")).hint("rebalance", "order_month")
-        df.write.mode(mode).partitionBy("order_month").parquet(path)
+        df = df.withColumn(PART_COL, F.trunc(F.col(month_of), "month")).hint("rebalance", PART_COL)
+        df.write.mode(mode).partitionBy(PART_COL).parquet(path)
     else:
         df.write.mode(mode).parquet(path)
 
 
 def read_table(spark, path: str) -> DataFrame:
     df = spark.read.parquet(path)
-    return df.drop("order_month") if "order_month" in df.columns else df
+    return df.drop(PART_COL) if PART_COL in df.columns else df
 
 
 def write_contracted(df: DataFrame, model: str, path: str, on_violation: str = "error",

@@ -58,8 +58,8 @@ def test_fact_written_by_month(spark, tmp_path):
     df = spark.createDataFrame(rows, "order_id long, order_date date")
     from ledgerloom.sources.sinks import write_table
     write_table(df, str(tmp_path / "f"), month_of="order_date")
-    parts = sorted(p for p in os.listdir(tmp_path / "f") if p.startswith("order_month="))
-    assert parts == ["order_month=2020-01-01", "order_month=2020-02-01", "order_month=__HIVE_DEFAULT_PARTITION__"]
+    parts = sorted(p for p in os.listdir(tmp_path / "f") if p.startswith("p_month="))
+    assert parts == ["p_month=2020-01-01", "p_month=2020-02-01", "p_month=__HIVE_DEFAULT_PARTITION__"]
     assert sorted(r.order_id for r in read_table(spark, str(tmp_path / "f")).collect()) == [1, 2, 3]
 
 
