@@ -117,3 +117,20 @@ def test_finance_risk_tiers(spark):
     assert {k: v.finance_risk_tier for k, v in rep.items()} == {
         "A": "high_risk", "B": "elevated_risk", "C": "monitor", "D": "standard"}
     assert (rep["A"].orders_last_6m, rep["A"].cancelled_last_6m, rep["B"].orders_last_6m) == (1, Decimal("5.00"), 0)
+
+
+def test_region_rollup_of_distinct_orders_is_additive(spark):
+    """Summing state-level distinct order counts to region level is exact only because an
+    order has one customer and a customer one state; check it on real data."""
+    from pyspark.sql import functions as F
+
+    from ledgerloom.plans.project import RetailProject
+    from tests.conftest import SF0001
+    p = RetailProject(spark, SF0001)
+    rolled = {(r.region, r.month): r.actual_orders
+              for r in p["regional_target_attainment"].filter(F.col("actual_orders") > 0).collect()}
+    direct = (p["fct_sales_orders"].join(p["dim_customers"].select("customer_id", "region"), "customer_id")
+              .filter(F.col("region").isNotNull())
+              .groupBy("region", F.trunc("order_date", "month").alias("month"))
+              .agg(F.count_distinct("order_id").alias("n")))
+    assert {(r.region, r.month): r.n for r in direct.collect()} == rolled
