@@ -17,8 +17,8 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
+import uuid
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, HERE)
@@ -37,17 +37,17 @@ def main() -> None:
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     from ledgerloom.plans.build import build
     from ledgerloom.plans.registry import QUERIES, use_materialized
-    from ledgerloom.session import get_session
+    from ledgerloom.session import checkpoint_dir, get_session
 
-    scratch = tempfile.mkdtemp(prefix="ledgerloom-bench-", dir="/tmp")
-    spark = get_session(f"local[{cpus}]", app="ledgerloom-bench", shuffle_partitions=max(8, 2 * cpus),
-                        extra={"spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
-                               "spark.local.dir": os.path.join(scratch, "local")})
+    spark = get_session(f"local[{cpus}]", app="ledgerloom-bench", shuffle_partitions=max(8, 2 * cpus))
+    # Build output goes to the session's shared folder (spark.checkpoint.dir); only an unset
+    # local-mode session gets a private scratch folder (see session.checkpoint_dir).
+    root = os.path.join(checkpoint_dir(spark), f"ledgerloom-bench-{uuid.uuid4().hex[:8]}")
     # Warm-up (JVM, codegen caches): a small query, not timed.
     QUERIES["active_products"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     if os.environ.get("BENCH_MODE", "build") == "build":
-        b = build(spark, sf_dir, os.path.join(scratch, "root"))
+        b = build(spark, sf_dir, root)
         times["build_land_raw"] = b["land_s"]
         times["build_publish_marts"] = b["publish_s"]
         use_materialized(sf_dir, b["root"])
