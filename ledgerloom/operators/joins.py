@@ -9,13 +9,31 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
+_CHECKED: dict[tuple, bool] = {}
+
+
+def _plan_key(df: DataFrame, max_rows: int):
+    try:
+        return (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # no plan hash available: do not memoize
+        return None
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has <= max_rows rows.
 
     ``limit(max_rows + 1).count()`` stops reading once the bound is passed,
-    so the check is cheap even when the answer is "no".
+    so the check is cheap even when the answer is "no".  The answer is
+    remembered per (logical plan, exact input files): overwriting a table
+    produces new file names, so a rewritten input is checked again.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = _plan_key(df, max_rows)
+    if key is not None and key in _CHECKED:
+        return _CHECKED[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _CHECKED[key] = ok
+    return ok
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:

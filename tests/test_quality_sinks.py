@@ -73,3 +73,15 @@ def test_combine_on_keys_null_keys_and_single_rows(spark):
     assert tuple(one.first()) == (2, 60.0)
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_size_check_is_remembered_per_plan_and_files(spark, tmp_path):
+    from ledgerloom.operators.joins import _CHECKED, has_at_most
+    spark.range(5).write.parquet(str(tmp_path / "s"))
+    df = spark.read.parquet(str(tmp_path / "s"))
+    assert has_at_most(df, 10) and has_at_most(df, 10)
+    n = len(_CHECKED)
+    spark.range(50).write.mode("overwrite").parquet(str(tmp_path / "s"))
+    df2 = spark.read.parquet(str(tmp_path / "s"))
+    assert not has_at_most(df2, 10)          # rewritten files -> checked again
+    assert len(_CHECKED) == n + 1
