@@ -12,7 +12,8 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom import config as C
 from ledgerloom.operators import marts, staging
@@ -20,6 +21,7 @@ from ledgerloom.operators.lines import int_order_items, lines_from_items
 from ledgerloom.plans import finance, marketing
 from ledgerloom.sources import seeds
 from ledgerloom.sources.retail import RawSources
+from ledgerloom.sources.sinks import PART_COL
 
 PUBLIC_MARTS = ["dim_customers", "dim_b2b_customers", "fct_sales_orders", "fct_order_lines",
                 "dim_regional_sales_targets", "fct_b2b_orders"]
@@ -49,6 +51,7 @@ class RetailProject:
         self.root = root
         self.raw = RawSources(spark, sf_dir, landed=self._landed)
         self._models: dict[str, DataFrame] = {}
+        self._partitioned: dict[str, DataFrame] = {}  # published tables read with their month column
 
     def _landed(self, name: str):
         from ledgerloom.sources.sinks import landing_path
@@ -62,6 +65,9 @@ class RetailProject:
             from ledgerloom.sources.sinks import intermediate_path, published_path, read_table
             if (self.root and name in PUBLIC_MARTS + TABLE_MODELS and self.price_scale == 2
                     and _complete(published_path(self.root, name))):
+                full = self.spark.read.parquet(published_path(self.root, name))
+                if PART_COL in full.columns:
+                    self._partitioned[name] = full
                 self._models[name] = read_table(self.spark, published_path(self.root, name))
             elif (self.root and name in MATERIALIZED_INTERMEDIATES and self.price_scale == 2
                     and _complete(intermediate_path(self.root, name))):
@@ -73,6 +79,25 @@ class RetailProject:
     def __getitem__(self, name: str) -> DataFrame:
         return self.model(name)
 
+    def window(self, name: str, date_col: str, lo: Column, hi: Column | None = None) -> DataFrame:
+        """Rows of model ``name`` with ``lo <= date_col < hi`` (``hi`` optional).
+
+        For a published month-partitioned table the implied folder bounds are added
+        (``trunc(lo, month) <= p_month < hi`` holds for every qualifying row), so the
+        scan prunes whole months; otherwise it is the plain filter.
+        """
+        cond = F.col(date_col) >= lo
+        if hi is not None:
+            cond = cond & (F.col(date_col) < hi)
+        df = self[name]
+        full = self._partitioned.get(name)
+        if full is None:
+            return df.filter(cond)
+        part = F.col(PART_COL) >= F.trunc(lo, "month")
+        if hi is not None:
+            part = part & (F.col(PART_COL) < hi)
+        return full.filter(part & cond).drop(PART_COL)
+
     # ------------------------------------------------------------ staging
     def _build_stg_customers(self):
         return staging.stg_customers(self.raw.customers)
@@ -149,7 +174,8 @@ class RetailProject:
                                                     self["dim_regional_sales_targets"])
 
     def _build_b2b_account_health_report(self):
-        return finance.b2b_account_health_report(self["dim_b2b_customers"], self["fct_b2b_orders"], self.as_of)
+        recent = self.window("fct_b2b_orders", "order_date", finance.recent_window_start(self.as_of))
+        return finance.b2b_account_health_report(self["dim_b2b_customers"], recent, self.as_of)
 
     def _build_consolidated_revenue(self):
         return finance.consolidated_revenue(self["fct_sales_orders"], self["fct_b2b_orders"])
@@ -167,6 +193,7 @@ class RetailProject:
             out.append(path)
         self.raw = RawSources(self.spark, self.sf_dir, landed=self._landed)
         self._models.clear()
+        self._partitioned.clear()
         return out
 
     def publish(self, names=PUBLIC_MARTS, on_violation: str = "report", tables=TABLE_MODELS) -> list[dict]:
@@ -184,4 +211,5 @@ class RetailProject:
         for name in tables:
             write_table(self[name], published_path(self.root, name), TABLE_MONTH.get(name))
             self._models.clear()
+            self._partitioned.clear()
         return reports

@@ -17,15 +17,16 @@ from ledgerloom import config as C
 from ledgerloom.functions.expr import avg_money
 
 
-def _window(df: DataFrame, as_of: dt.date, months: int, col: str = "order_date") -> DataFrame:
-    return df.filter((F.col(col) >= F.add_months(F.lit(as_of), -months)) & (F.col(col) < F.lit(as_of)))
+def _window(p, name: str, as_of: dt.date, months: int, col: str = "order_date") -> DataFrame:
+    """Trailing window [as_of - months, as_of) of a fact (prunes month folders when published)."""
+    return p.window(name, col, F.add_months(F.lit(as_of), -months), F.lit(as_of))
 
 
 def revenue_last_month(p, as_of: dt.date) -> DataFrame:
     """Total B2C revenue of the previous calendar month (half-open interval)."""
     start = F.trunc(F.add_months(F.lit(as_of), -1), "month")
     end = F.trunc(F.lit(as_of), "month")
-    o = p["fct_sales_orders"].filter((F.col("order_date") >= start) & (F.col("order_date") < end))
+    o = p.window("fct_sales_orders", "order_date", start, end)
     return o.agg(F.coalesce(F.sum("total_revenue"), F.lit(0)).cast("decimal(38,2)").alias("total_revenue"),
                  F.count(F.lit(1)).alias("orders")).select(start.alias("month_start"), "total_revenue", "orders")
 
@@ -37,7 +38,7 @@ def customers_by_tier(p) -> DataFrame:
 
 def top_region(p, as_of: dt.date, months: int = C.RECENT_MONTHS) -> DataFrame:
     """Region with the most B2C orders in the trailing window (ties: region name)."""
-    o = _window(p["fct_sales_orders"], as_of, months).select("customer_id")
+    o = _window(p, "fct_sales_orders", as_of, months).select("customer_id")
     c = p["dim_customers"].select("customer_id", "region")
     g = o.join(c, "customer_id").groupBy("region").agg(F.count(F.lit(1)).alias("orders"))
     return g.orderBy(F.desc("orders"), F.asc_nulls_last("region")).limit(1)
@@ -45,7 +46,7 @@ def top_region(p, as_of: dt.date, months: int = C.RECENT_MONTHS) -> DataFrame:
 
 def monthly_revenue(p, as_of: dt.date, months: int = 12) -> DataFrame:
     """Time-ordered monthly series (at most ``months`` rows, so the final sort is tiny)."""
-    o = _window(p["fct_sales_orders"], as_of, months)
+    o = _window(p, "fct_sales_orders", as_of, months)
     return o.groupBy(F.trunc("order_date", "month").alias("order_month")).agg(
         F.sum("total_revenue").cast("decimal(38,2)").alias("monthly_revenue"),
         F.count(F.lit(1)).alias("orders")).orderBy("order_month")

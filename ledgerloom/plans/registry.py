@@ -184,8 +184,8 @@ def q_account_risk(spark, sf_dir):
 
 @register("recent_b2b_orders")
 def q_recent_b2b_orders(spark, sf_dir):
-    from ledgerloom.plans.finance import recent_b2b_orders
-    return recent_b2b_orders(project(spark, sf_dir)["fct_b2b_orders"], C.DEFAULT_AS_OF)
+    from ledgerloom.plans.finance import recent_window_start
+    return project(spark, sf_dir).window("fct_b2b_orders", "order_date", recent_window_start(C.DEFAULT_AS_OF))
 
 
 # ---------------------------------------------------------------- consumers

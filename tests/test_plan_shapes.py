@@ -34,3 +34,21 @@ def test_soft_delete_filter_reaches_the_scan(spark, tmp_path):
     raw.write.parquet(str(tmp_path / "t"))
     plan = _plan(stg_ret_tickets(spark.read.parquet(str(tmp_path / "t"))))
     assert "PushedFilters: [Or(IsNull(_fivetran_deleted)" in plan
+
+
+def test_window_on_published_fact_prunes_month_folders(spark, tmp_path):
+    import datetime as dt
+
+    from ledgerloom.plans.project import RetailProject
+    from ledgerloom.sources.sinks import published_path, write_table
+    root = str(tmp_path)
+    rows = [(i, dt.date(2020, 1 + i % 12, 1 + i % 28)) for i in range(240)]
+    df = spark.createDataFrame(rows, "order_id long, order_date date")
+    write_table(df, published_path(root, "fct_b2b_orders"), month_of="order_date")
+    p = RetailProject(spark, "/nonexistent", root=root)
+    w = p.window("fct_b2b_orders", "order_date", F.lit(dt.date(2020, 3, 15)), F.lit(dt.date(2020, 5, 1)))
+    assert w.columns == ["order_id", "order_date"]
+    got = sorted(r.order_id for r in w.collect())
+    assert got == sorted(i for i, d in rows if dt.date(2020, 3, 15) <= d < dt.date(2020, 5, 1))
+    plan = _plan(w)
+    assert "PartitionFilters: [isnotnull(p_month" in plan and "p_month" in plan.split("PartitionFilters:")[1][:200]
