@@ -77,3 +77,22 @@ def test_percent_rank_has_no_single_partition_sort_of_all_rows(spark):
     plan = with_percent_rank(df, "u")._jdf.queryExecution().executedPlan().toString()
     # The only unpartitioned window runs over one row per range slice.
     assert "rangepartitioning" in plan.lower()
+
+
+def test_scd2_resolution_property(spark):
+    """int_current_customers vs a direct Python resolution on random version sets."""
+    rnd = random.Random(3)
+    rows, sid = [], 0
+    for cid in range(300):
+        for _ in range(rnd.randint(1, 4)):
+            sid += 1
+            vf = rnd.choice([None, D(2020, 1, 1) + dt.timedelta(days=rnd.randrange(5))])
+            rows.append((sid, cid, vf, rnd.random() < 0.7, rnd.choice([1, 3, 9])))
+    out = {r.customer_id: r.customer_name for r in int_current_customers(_stg(spark, rows), _loyalty(spark)).collect()}
+    exp = {}
+    for cid in {r[1] for r in rows}:
+        cur = [r for r in rows if r[1] == cid and r[3]]
+        if cur:
+            best = max(cur, key=lambda r: (r[2] is not None, r[2] or D(1, 1, 1), r[0]))
+            exp[cid] = f"n{best[0]}"
+    assert out == exp
