@@ -25,7 +25,7 @@ from fractions import Fraction
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,8 @@ from ledgerloom.llm.common import checkpointed, fresh, map_arrow, prepare, schem
 WEIGHTS = (3, 1, 2)
 MAX_EPOCHS = 2
 DOCS_PER_BUCKET = 2000
+#: Tables of one row per pattern or source are broadcast up to this many rows (their length is known here).
+MAX_BROADCAST_ROWS = 100_000
 
 
 def target_words(sizes: dict[str | None, int], weights=WEIGHTS, percent: int = 150,
@@ -112,6 +114,12 @@ class Mix:
     targets: dict[str | None, Fraction]
 
 
+def _side(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table that is joined to all documents by pattern or source, one of which may hold a third of them."""
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= MAX_BROADCAST_ROWS else table
+
+
 def _fill(pdf: pd.DataFrame) -> pd.DataFrame:
     """The documents of an edge bucket that are taken."""
     pdf = pdf.sort_values(["place", "doc_id", "text_hash"], na_position="last")
@@ -156,7 +164,7 @@ def mix(docs: DataFrame, members: Column, weights=WEIGHTS, percent: int = 150, m
             for (p, words, n), f in zip(totals, flow, strict=True)]
     plan_schema = "pattern string, full long, rest long, buckets long"
     place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keep), 32).cast("long")
-    placed = (sized.join(spark.createDataFrame(plan, plan_schema), "pattern")
+    placed = (sized.join(_side(spark, plan, plan_schema), "pattern")
               .withColumn("place", place).withColumn("bucket", F.expr("(place * buckets) >> 32")))
     sums = placed.where("rest > 0").groupBy("pattern", "rest", "bucket").agg(F.sum("size").alias("words"))
     # One row for each bucket, so a pattern's rows here are documents / docs_per_bucket.
@@ -166,7 +174,7 @@ def mix(docs: DataFrame, members: Column, weights=WEIGHTS, percent: int = 150, m
           SELECT *, sum(words) OVER (PARTITION BY pattern ORDER BY bucket) AS upto FROM {view})
         WHERE upto >= rest AND upto - words < rest""").collect()  # at most one for each pattern
     spark.catalog.dropTempView(view)
-    edge = spark.createDataFrame([tuple(r) for r in edges], "pattern string, edge long, room long")
+    edge = _side(spark, [tuple(r) for r in edges], "pattern string, edge long, room long")
     placed = placed.join(edge, "pattern", "left")
     filled = (placed.where("bucket = edge and size > 0").groupBy(*keep, "room", "place")
               .agg(F.sum("size").alias("words")).groupBy("pattern")
@@ -183,13 +191,10 @@ def mix(docs: DataFrame, members: Column, weights=WEIGHTS, percent: int = 150, m
 def words_taken(docs: DataFrame, **settings) -> DataFrame:
     """One row per document of single-source ``docs``: doc_id, size, source_size, target, taken, epochs."""
     found = mix(docs, F.array("source"), **settings)
-    sources = [(json.dumps([s], ensure_ascii=False, separators=(",", ":")), found.sizes[s], float(t))
-               for s, t in found.targets.items()]
-    table = docs.sparkSession.createDataFrame(sources, "source_pattern string, source_size long, target double")
-    # The pattern as Spark writes it; both are compared by the source that they name.
-    named = found.rows.withColumn("name", F.from_json("pattern", "array<string>")[0])
-    table = table.withColumn("name", F.from_json("source_pattern", "array<string>")[0])
-    return (named.join(table, named["name"].eqNullSafe(table["name"]))
+    sources = [(s, found.sizes[s], float(t)) for s, t in found.targets.items()]
+    table = _side(docs.sparkSession, sources, "name string, source_size long, target double")
+    named = found.rows.withColumn("of", F.from_json("pattern", "array<string>")[0])
+    return (named.join(table, named["of"].eqNullSafe(table["name"]))
             .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"),
                     F.col("epochs").cast("int").alias("epochs")))
 
