@@ -75,7 +75,8 @@ def known(spark: SparkSession, licenses: dict[str, str] = LICENSES) -> DataFrame
 
 def license_matches(docs: DataFrame, licenses: DataFrame | None = None) -> DataFrame:
     """One row per document: doc_id, canonical_sha256, license_id (null: no known licence)."""
-    licenses = known(docs.sparkSession) if licenses is None else licenses
+    if licenses is None:  # a table of fixed length, so it can go to every executor and no document is shuffled
+        licenses = F.broadcast(known(docs.sparkSession))
     digests = docs.select("doc_id", F.sha2(canonical(F.col("text")), 256).alias("canonical_sha256"))
     return (digests.join(licenses, digests["canonical_sha256"] == licenses["digest"], "left")
             .select("doc_id", "canonical_sha256", "license_id"))
