@@ -6,9 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_of", "live_rows", "epoch_ts", "epoch_date", "epoch_or_null_date", "blank_to_null",
-    "div0", "strict_json", "pct", "json_number", "json_text", "null_safe_eq",
-    "money", "MONEY", "SUM_MONEY", "round_ratio_units", "round_ratio", "avg_money",
+    "col_of", "live_rows", "epoch_ts", "epoch_date", "blank_to_null", "div0", "strict_json", "pct", "average",
+    "MONEY", "SUM_MONEY", "round_ratio_units", "round_ratio",
 ]
 
 MONEY = "decimal(18,2)"
@@ -39,9 +38,6 @@ def epoch_date(c) -> Column:
     return epoch_ts(c).cast("date")
 
 
-epoch_or_null_date = epoch_date
-
-
 def blank_to_null(c) -> Column:
     """``nullif(trim(c), '')``."""
     t = F.trim(col_of(c))
@@ -56,31 +52,22 @@ def div0(a, b) -> Column:
             .otherwise(a.cast("double") / b.cast("double")))
 
 
+#: White space that JSON allows around a value.
+JSON_SPACE = " \t\n\r"
+
+
 def strict_json(text) -> Column:
     """Parse JSON text to VARIANT, null on bad input.
 
-    ``try_parse_json`` accepts text after the first value (``'[1] x'``), so the
-    trimmed text must also start with ``[``/``{`` and end with the matching bracket.
+    ``try_parse_json`` accepts text after the first value (``'[1] x'``), so the text
+    without JSON white space must also start with ``[``/``{`` and end with the
+    matching bracket.
     """
-    t = F.trim(col_of(text))
+    t = F.btrim(col_of(text), F.lit(JSON_SPACE))
     ok = ((t.startswith("[") & t.endswith("]")) | (t.startswith("{") & t.endswith("}")))
     return F.when(ok, F.try_parse_json(t))
 
 
-def json_number(v, path: str, scale: int | None = 2, precision: int = 18) -> Column:
-    """``value:key::number(p,s)`` — numeric path value, null when absent or not numeric.
-
-    ``scale=0`` reproduces an unscaled ``number`` (rounded half-up to an integer).
-    """
-    if scale is None or scale == 0:
-        return F.try_variant_get(col_of(v), path, "decimal(38,0)")
-    return F.try_variant_get(col_of(v), path, f"decimal({precision},{scale})")
-
-
-def json_text(v, path: str) -> Column:
-    return F.try_variant_get(col_of(v), path, "string")
-
-
 def _scaled(c, scale: int) -> Column:
     """Decimal (or integer) value -> integral decimal(38,0) in units of 10^-scale."""
     c = col_of(c)
@@ -112,15 +99,7 @@ def pct(num, den, digits: int = 1, num_scale: int = 0, den_scale: int = 0) -> Co
     return round_ratio(num, den, 100, digits, num_scale, den_scale)
 
 
-def avg_money(total, count) -> Column:
-    """Average of a money column from its sum and count, rounded to cents (decimal(18,2))."""
-    units = round_ratio_units(total, count, 1, 2, 2, 0)
-    return (units.cast("decimal(38,0)") * F.lit(0.01).cast("decimal(3,2)")).cast(MONEY)
-
-
-def null_safe_eq(left, right) -> Column:
-    return col_of(left).eqNullSafe(col_of(right))
-
-
-def money(c) -> Column:
-    return col_of(c).cast(MONEY)
+def average(total, count) -> Column:
+    """Unrounded average (double) of a sum over a count; null for an empty group."""
+    total, count = col_of(total), col_of(count)
+    return F.when(count > 0, total.cast("double") / count.cast("double"))

@@ -1,11 +1,9 @@
 """Order line items from the parsed JSON document (M11) and per-order totals.
 
-One element-level rule (``line_fields``) feeds both shapes:
-
-* ``int_sales_order_lines`` — a lateral ``variant_explode`` (one row per element);
-* ``order_totals`` — the same rule folded over the element array of each order
-  with higher-order functions, so order revenue needs no explode, no shuffle
-  and no join back to the orders (a map-only projection).
+Each document is read once into typed items (``order_items``), and one element rule
+(``fields_of``) feeds both shapes: ``lines_from_items`` (one row per element) and
+``totals_from_items``, which folds the rule over the items of each order with
+higher-order functions, so order revenue needs no explode, shuffle or join back.
 
 Element semantics follow a lateral flatten: an array yields its elements, an
 object yields its member values, scalars and null yield nothing.
@@ -24,26 +22,22 @@ def element_type(price_scale: int = 2) -> str:
             f"price:{p},unit_price:{p}>")
 
 
-def line_fields(v: Column, price_scale: int = 2) -> dict[str, Column]:
-    """Typed fields of one line element (a VARIANT), read with a single typed cast.
-
-    quantity = qty, else quantity, else 1; unit_price = price, else unit_price, else 0.
-    A field that is absent or not readable as its type is null (then defaulted);
-    numeric text is read as a number; quantities round half-up to integers.
-    """
-    e = F.try_variant_get(v, "$", element_type(price_scale))
-    return fields_of(e)
+def product_of(e: Column) -> Column:
+    """The element's product id; null when absent or beyond BIGINT (the line is then dropped everywhere)."""
+    return e["product_id"].try_cast("long")
 
 
 def fields_of(e: Column) -> dict[str, Column]:
-    qty = F.coalesce(e["qty"], e["quantity"], F.lit(1)).cast("long")
-    price = F.coalesce(e["price"], e["unit_price"], F.lit(0)).cast("decimal(18,2)")
+    """Typed fields of one line element: quantity = qty, else quantity, else 1; unit_price = price, else
+    unit_price, else 0.  A number that its type cannot hold is null, so one bad line never stops the job."""
+    qty = F.coalesce(e["qty"], e["quantity"], F.lit(1)).try_cast("long")
+    price = F.coalesce(e["price"], e["unit_price"], F.lit(0)).try_cast("decimal(18,2)")
     return {
-        "product_id": e["product_id"].cast("long"),
+        "product_id": product_of(e),
         "product_name": e["name"],
         "quantity": qty,
         "unit_price": price,
-        "line_revenue": (qty * price).cast("decimal(18,2)"),
+        "line_revenue": (qty * price).try_cast("decimal(18,2)"),
     }
 
 
@@ -71,31 +65,12 @@ def lines_from_items(items: DataFrame) -> DataFrame:
     """posexplode of the typed items; elements without a product id are dropped."""
     e = items.select("order_id", "order_date", "customer_id", F.posexplode("items").alias("line_number", "it"))
     f = fields_of(F.col("it"))
-    return e.filter(F.col("it.product_id").isNotNull()).select(
+    return e.filter(product_of(F.col("it")).isNotNull()).select(
         "order_id", "order_date", "customer_id", "line_number",
         f["product_id"].alias("product_id"), f["product_name"].alias("product_name"),
         f["quantity"].alias("quantity"), f["unit_price"].alias("unit_price"), f["line_revenue"].alias("line_revenue"))
 
 
-def int_sales_order_lines(stg_orders: DataFrame, price_scale: int = 2) -> DataFrame:
-    """One row per JSON line element of every parsed order (lateral flatten form).
-
-    ``lines_from_items(int_order_items(...))`` gives the same rows; this variant
-    keeps the direct ``variant_explode`` formulation for callers that have only
-    the staged orders.
-    """
-    spark = stg_orders.sparkSession
-    orders = (stg_orders.filter(F.col("ordered_products_json").isNotNull())
-                        .select("order_id", "order_date", "customer_id", "ordered_products_json"))
-    exploded = orders.lateralJoin(spark.tvf.variant_explode(F.col("ordered_products_json").outer()))
-    f = line_fields(F.col("value"), price_scale)
-    lines = exploded.select("order_id", "order_date", "customer_id", F.col("pos").alias("line_number"),
-                            f["product_id"].alias("product_id"), f["product_name"].alias("product_name"),
-                            f["quantity"].alias("quantity"), f["unit_price"].alias("unit_price"),
-                            f["line_revenue"].alias("line_revenue"))
-    return lines.filter(F.col("product_id").isNotNull())
-
-
 def _elements(doc: Column) -> Column:
     """The values a lateral flatten of ``doc`` would produce, as array<variant>."""
     return F.coalesce(F.try_variant_get(doc, "$", "array<variant>"),
@@ -105,14 +80,9 @@ def _elements(doc: Column) -> Column:
 def totals_from_items(items: Column) -> tuple[Column, Column]:
     """(sum of line revenue, number of lines) over typed items; null when no line has
     a product id (as a left join to no lines)."""
-    kept = F.filter(items, lambda x: x["product_id"].isNotNull())
-    total = F.aggregate(kept, F.lit(0).cast("decimal(38,2)"),
-                        lambda acc, x: (acc + fields_of(x)["line_revenue"]).cast("decimal(38,2)"))
+    kept = F.filter(items, lambda x: product_of(x).isNotNull())
+    revenue = lambda x: F.coalesce(fields_of(x)["line_revenue"], F.lit(0))  # noqa: E731  as a sum skips nulls
+    total = F.aggregate(kept, F.lit(0).cast("decimal(38,2)"), lambda acc, x: (acc + revenue(x)).cast("decimal(38,2)"))
     n = F.size(kept)
     has = kept.isNotNull() & (n > 0)
     return F.when(has, total), F.when(has, n.cast("long"))
-
-
-def order_totals(doc: Column, price_scale: int = 2) -> tuple[Column, Column]:
-    """``totals_from_items`` straight from a VARIANT document."""
-    return totals_from_items(order_items(doc, price_scale))

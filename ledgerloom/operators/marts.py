@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import config as C
-from ledgerloom.functions.expr import MONEY, avg_money, div0, pct, round_ratio
-from ledgerloom.operators.joins import broadcast_if_small
+from ledgerloom.functions.expr import MONEY, average, div0, pct, round_ratio
 from ledgerloom.operators.lines import totals_from_items
 from ledgerloom.operators.rank import with_percent_rank
 from ledgerloom.operators.topn import top1_per_key
@@ -24,10 +23,8 @@ def int_current_customers(stg_customers: DataFrame, stg_loyalty: DataFrame) -> D
     deduped = top1_per_key(current, ["customer_id"],
                            [("valid_from_date", True), ("surrogate_id", True)],
                            payload=[c for c in CUSTOMER_COLS if c != "customer_id"] + ["surrogate_id"])
-    # Loyalty segments are a handful of tiers; checked before broadcast.
-    loyalty = broadcast_if_small(stg_loyalty.select(
-        F.col("loyalty_segment_id").alias("_lsid"), "loyalty_segment_description",
-        F.col("unit_threshold").alias("loyalty_unit_threshold")), 100_000)
+    loyalty = stg_loyalty.select(F.col("loyalty_segment_id").alias("_lsid"), "loyalty_segment_description",
+                                 F.col("unit_threshold").alias("loyalty_unit_threshold"))
     j = deduped.join(loyalty, deduped.loyalty_segment_id == loyalty._lsid, "left")
     return j.select(
         "customer_id", "customer_name", "city", "state", "region", "district", "postcode", "street",
@@ -36,9 +33,9 @@ def int_current_customers(stg_customers: DataFrame, stg_loyalty: DataFrame) -> D
         F.col("valid_from_date").alias("customer_since_date"))
 
 
-def dim_customers(current: DataFrame, slices: int = 64) -> DataFrame:
+def dim_customers(current: DataFrame) -> DataFrame:
     """Value segment from the global percent rank of units purchased (desc, nulls first)."""
-    ranked = with_percent_rank(current, "units_purchased", descending=True, nulls_first=True, slices=slices)
+    ranked = with_percent_rank(current, "units_purchased", descending=True, nulls_first=True)
     seg = (F.when(F.col("pct_rank") <= C.HIGH_VALUE_MAX_PCT_RANK, F.lit("high_value"))
             .when(F.col("pct_rank") <= C.MID_VALUE_MAX_PCT_RANK, F.lit("mid_value"))
             .otherwise(F.lit("low_value")))
@@ -60,17 +57,17 @@ def fct_sales_orders(order_items: DataFrame) -> DataFrame:
     o = order_items.filter(F.col("order_date").isNotNull())
     return o.select(
         "order_id", "order_number", "customer_id", "order_date", "order_timestamp", "number_of_line_items",
-        F.coalesce(rev, F.lit(0)).cast(MONEY).alias("total_revenue"),
+        F.coalesce(rev, F.lit(0)).try_cast(MONEY).alias("total_revenue"),
         n.alias("parsed_line_items"), "promo_code",
         F.col("promo_code").isNotNull().alias("has_promo"),
         "has_unparsed_products")
 
 
-def fct_order_lines(lines: DataFrame, catalog: DataFrame, broadcast_max_rows: int = 2_000_000) -> DataFrame:
+def fct_order_lines(lines: DataFrame, catalog: DataFrame) -> DataFrame:
     """Lines enriched with the active catalog; margin only where the cost is known."""
     p = catalog.select(F.col("product_id").alias("_pid"), F.col("product_name").alias("_pname"),
                        "category", "subcategory", "unit_cost")
-    j = lines.join(broadcast_if_small(p, broadcast_max_rows), lines.product_id == p._pid, "left")
+    j = lines.join(p, lines.product_id == p._pid, "left")
     margin = F.when(F.col("unit_cost").isNotNull(),
                     F.col("line_revenue") - F.col("quantity") * F.col("unit_cost"))
     return j.select(
@@ -148,14 +145,15 @@ PROMO_ATTRS = ["promo_code", "campaign_name", "campaign_type", "discount_pct", "
                "campaign_start", "campaign_end", "campaign_budget"]
 
 
-def rpt_promo_effectiveness(orders: DataFrame, campaigns: DataFrame, campaign_max_rows: int = 1_000_000) -> DataFrame:
+def rpt_promo_effectiveness(orders: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Campaign report: every campaign kept; orders count only inside the window.
 
     The campaigns are the preserved side of the left join, so they cannot be its
-    broadcast side.  Instead promo orders are inner-joined to the (checked-small)
-    campaigns — a broadcast hash join on the code with the date range as residual
-    condition — and aggregated per code; the few campaign rows are then
-    left-joined to that per-code result.
+    broadcast side.  Instead promo orders are inner-joined to the campaigns on the code,
+    with the date range as residual condition (a broadcast join where the planner or
+    AQE measures the campaigns as small), and aggregated per code; the campaign rows are
+    then left-joined to that per-code result.  ``order_id`` is unique in the order fact, so
+    orders are counted, and only the customers need a distinct count.
     """
     c = campaigns.select(
         "promo_code", "campaign_name", "campaign_type", "discount_pct", "target_channel",
@@ -163,12 +161,11 @@ def rpt_promo_effectiveness(orders: DataFrame, campaigns: DataFrame, campaign_ma
         F.col("budget_usd").alias("campaign_budget"))
     po = orders.filter(F.col("has_promo")).select("order_id", "order_date", "customer_id", "promo_code",
                                                  "total_revenue", "number_of_line_items")
-    small_c = broadcast_if_small(c.select(F.col("promo_code").alias("_code"), F.col("campaign_start").alias("_cs"),
-                                          F.col("campaign_end").alias("_ce")), campaign_max_rows)
-    in_window = po.join(small_c, (po.promo_code == small_c._code)
-                        & po.order_date.between(small_c._cs, small_c._ce))
+    span = c.select(F.col("promo_code").alias("_code"), F.col("campaign_start").alias("_cs"),
+                    F.col("campaign_end").alias("_ce"))
+    in_window = po.join(span, (po.promo_code == span._code) & po.order_date.between(span._cs, span._ce))
     agg = in_window.groupBy("_code", "_cs", "_ce").agg(
-        F.countDistinct("order_id").alias("total_orders"),
+        F.count("order_id").alias("total_orders"),
         F.countDistinct("customer_id").alias("unique_customers"),
         F.sum("total_revenue").alias("_gross"),
         F.sum("number_of_line_items").alias("_items"),
@@ -184,6 +181,6 @@ def rpt_promo_effectiveness(orders: DataFrame, campaigns: DataFrame, campaign_ma
         F.coalesce(F.col("unique_customers"), F.lit(0)).cast("long").alias("unique_customers"),
         gross.alias("gross_revenue"),
         F.coalesce(F.col("_items"), F.lit(0)).cast("long").alias("total_items_sold"),
-        F.coalesce(avg_money("_gross", "_n_rev"), F.lit(0).cast(MONEY)).alias("avg_order_value"),
+        F.coalesce(average("_gross", "_n_rev"), F.lit(0.0)).alias("avg_order_value"),
         pct(gross - budget, budget, 1, 2, 2).alias("campaign_roi_pct"),
         round_ratio(gross, budget, 1, 2, 2, 2).alias("revenue_per_dollar_spent"))

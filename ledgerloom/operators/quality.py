@@ -2,14 +2,15 @@
 
 Column tests (not_null / accepted_values / between) of one model are folded
 into a single aggregate pass with one ``count_if`` per rule; ``unique`` and
-``relationships`` each need their own shuffle (group by / anti join).  Every
-check returns a DataFrame of results; nothing is collected.
+``relationships`` group by the key in its own type first.  Every check returns a DataFrame of
+results, and ``failing_rows`` the rows behind any test; nothing is collected.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -131,7 +132,7 @@ def _failing_predicate(t: ColumnTest):
 
 
 def single_pass_tests(project, tests: list[ColumnTest]) -> DataFrame:
-    """not_null / accepted_values / between: one aggregate per model, one count_if per rule."""
+    """not_null / accepted_values / between, any mix of them: one aggregate per model, one count_if per rule."""
     spark = project.spark
     out = None
     by_model: dict[str, list[ColumnTest]] = {}
@@ -146,51 +147,70 @@ def single_pass_tests(project, tests: list[ColumnTest]) -> DataFrame:
     return out if out is not None else spark.createDataFrame([], RESULT_SCHEMA)
 
 
-def unique_tests(project, tests: list[ColumnTest]) -> DataFrame:
-    """Number of non-null key values that occur more than once, for every test at once.
+def _repeated(project, t: ColumnTest) -> DataFrame:
+    """Key values (in their own type) that occur more than once; only the key column is read and shuffled."""
+    key = F.col(t.column)
+    return (project[t.model].filter(key.isNotNull()).groupBy(key.alias("_key"))
+            .agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 1))
+
+
+def _orphans(project, t: ColumnTest) -> DataFrame:
+    """Child keys without a parent row, aggregated by key before the join: (_key, _rows)."""
+    pm, pc = t.parent
+    child = (project[t.model].filter(F.col(t.column).isNotNull()).groupBy(F.col(t.column).alias("_key"))
+             .agg(F.count(F.lit(1)).alias("_rows")))
+    parent = project[pm].select(F.col(pc).alias("_pk"))
+    return child.join(parent, child["_key"] == parent["_pk"], "left_anti")
 
-    Each tested column contributes ``(model, column, key as text)`` rows; one
-    group-by (partial counts map-side) finds repeated keys for all tests in a
-    single shuffle, and a second, tiny aggregate counts them per test.  Tests
-    with no repeated key report 0.
-    """
-    spark = project.spark
-    keyed = None
-    for t in tests:
-        part = (project[t.model].filter(F.col(t.column).isNotNull())
-                .select(F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
-                        F.col(t.column).cast("string").alias("_key")))
-        keyed = part if keyed is None else keyed.unionByName(part)
-    dups = (keyed.groupBy("model", "column_name", "_key").count().filter(F.col("count") > 1)
-            .groupBy("model", "column_name").agg(F.count(F.lit(1)).alias("_dups")))
-    declared = spark.createDataFrame([(t.model, t.column) for t in tests], "model string, column_name string")
-    return (declared.join(dups, ["model", "column_name"], "left")
-            .select("model", "column_name", F.lit("unique").alias("test_name"),
-                    F.coalesce(F.col("_dups"), F.lit(0)).cast("long").alias("failures")))
+
+def _counted(df: DataFrame, t: ColumnTest, failures) -> DataFrame:
+    return df.agg(failures.alias("failures")).select(
+        F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"), F.lit(t.test).alias("test_name"),
+        F.coalesce("failures", F.lit(0)).cast("long").alias("failures"))
+
+
+def unique_tests(project, tests: list[ColumnTest]) -> DataFrame:
+    """Number of non-null key values that occur more than once, per test."""
+    parts = [_counted(_repeated(project, t), t, F.count(F.lit(1))) for t in tests]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def relationship_tests(project, tests: list[ColumnTest]) -> DataFrame:
-    """Child rows whose non-null key has no parent row (left anti join)."""
-    out = None
-    for t in tests:
-        pm, pc = t.parent
-        parent = project[pm].select(F.col(pc).alias("_pk")).distinct()
-        child = project[t.model].filter(F.col(t.column).isNotNull())
-        orphans = child.join(parent, child[t.column] == parent["_pk"], "left_anti")
-        part = orphans.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
-            F.lit("relationships").alias("test_name"), "failures")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Child rows whose non-null key has no parent row."""
+    parts = [_counted(_orphans(project, t), t, F.sum("_rows")) for t in tests]
+    return reduce(DataFrame.unionByName, parts)
+
+
+ROW_RULES = ("not_null", "accepted_values", "between")
 
 
 def run_tests(project, kind: str) -> DataFrame:
-    ts = [t for t in TESTS if t.test == kind]
-    if kind in ("not_null", "accepted_values", "between"):
+    """``kind``: one kind of test, or ``row_rules`` for the three row rules in one pass per model."""
+    ts = [t for t in TESTS if t.test == kind or (kind == "row_rules" and t.test in ROW_RULES)]
+    if kind in (*ROW_RULES, "row_rules"):
         return single_pass_tests(project, ts)
-    if kind == "unique":
-        return unique_tests(project, ts)
-    return relationship_tests(project, ts)
+    return unique_tests(project, ts) if kind == "unique" else relationship_tests(project, ts)
+
+
+def failing_rows(project, t: ColumnTest) -> DataFrame:
+    """The rows that fail a declared test, as the model has them; for ``unique`` all rows of a repeated key."""
+    df = project[t.model]
+    if t.test in ROW_RULES:
+        return df.filter(_failing_predicate(t))
+    keys = (_repeated if t.test == "unique" else _orphans)(project, t).select("_key")
+    return df.join(keys, df[t.column] == keys["_key"], "left_semi")
+
+
+def failing_values(project, tests: list[ColumnTest]) -> DataFrame:
+    """What fails, over all ``tests``: model, column, test, the value as text and the rows that have it."""
+    parts = []
+    for t in tests:
+        bad = failing_rows(project, t)
+        parts.append(bad.groupBy(F.col(t.column).cast("string").alias("failing_value"))
+                     .agg(F.count(F.lit(1)).alias("rows"))
+                     .select(F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
+                             F.lit(t.test).alias("test_name"), "failing_value", "rows"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---------------------------------------------------------------- singular tests
@@ -240,7 +260,7 @@ def singular_tests(project) -> DataFrame:
 _L, _D, _S, _B, _DT = T.LongType(), T.DoubleType(), T.StringType(), T.BooleanType(), T.DateType()
 _M = T.DecimalType(18, 2)
 
-# model -> (primary key, [(column, type, not_null)])
+# Model -> (primary key, [(column, type, not_null)])
 CONTRACTS: dict[str, tuple[str | None, list[tuple[str, T.DataType, bool]]]] = {
     "dim_customers": ("customer_id", [
         ("customer_id", _L, True), ("customer_name", _S, True), ("region", _S, False), ("state", _S, False),
@@ -320,7 +340,8 @@ def enforce_contract(df: DataFrame, model: str) -> DataFrame:
 
 def source_freshness(project, as_of: dt.datetime = C.FRESHNESS_AS_OF,
                      warn_hours: int = C.FRESHNESS_WARN_HOURS, error_hours: int = C.FRESHNESS_ERROR_HOURS,
-                     sources=("customers", "sales_orders", "ret_customers", "ret_orders", "ret_tickets")) -> DataFrame:
+                     sources=("customers", "loyalty_segments", "sales_orders", "ret_customers", "ret_orders",
+                              "ret_tickets")) -> DataFrame:
     """Per source: last sync time, minutes since, PASS / WARN / ERROR."""
     out = None
     for s in sources:

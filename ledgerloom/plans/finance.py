@@ -22,9 +22,9 @@ def recent_b2b_orders(b2b_orders: DataFrame, as_of: dt.date, months: int = C.REC
 def b2b_account_health_report(accounts: DataFrame, b2b_orders: DataFrame, as_of: dt.date) -> DataFrame:
     """Lifetime account health plus trailing-6-month activity and a finance risk tier."""
     recent = recent_b2b_orders(b2b_orders, as_of).groupBy("b2b_customer_id").agg(
-        F.count(F.lit(1)).alias("recent_orders"),
-        F.sum("amount").alias("recent_revenue"),
-        F.sum(F.when(F.col("is_cancelled_or_returned"), F.col("amount")).otherwise(F.lit(0))).alias("recent_cancelled"))
+        F.count(F.lit(1)).alias("n_window"),
+        F.sum("amount").alias("sum_window"),
+        F.sum(F.when(F.col("is_cancelled_or_returned"), F.col("amount")).otherwise(F.lit(0))).alias("lost_window"))
     j = accounts.join(recent, "b2b_customer_id", "left")
     st = F.col("account_health_status")
     tier = (F.when((st == "at_risk") & (F.col("open_tickets") >= C.AT_RISK_OPEN_TICKETS), F.lit("high_risk"))
@@ -36,9 +36,9 @@ def b2b_account_health_report(accounts: DataFrame, b2b_orders: DataFrame, as_of:
         F.col("total_revenue").alias("lifetime_revenue"),
         F.col("total_orders").alias("lifetime_orders"),
         "health_score", "account_health_status", "open_tickets", "return_rate",
-        F.coalesce(F.col("recent_orders"), F.lit(0)).cast("long").alias("orders_last_6m"),
-        F.coalesce(F.col("recent_revenue"), F.lit(0)).cast("decimal(38,2)").alias("revenue_last_6m"),
-        F.coalesce(F.col("recent_cancelled"), F.lit(0)).cast("decimal(38,2)").alias("cancelled_last_6m"),
+        F.coalesce(F.col("n_window"), F.lit(0)).cast("long").alias("orders_last_6m"),
+        F.coalesce(F.col("sum_window"), F.lit(0)).cast("decimal(38,2)").alias("revenue_last_6m"),
+        F.coalesce(F.col("lost_window"), F.lit(0)).cast("decimal(38,2)").alias("cancelled_last_6m"),
         tier.alias("finance_risk_tier"))
 
 

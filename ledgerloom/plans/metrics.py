@@ -91,52 +91,71 @@ DERIVED_METRICS = {m.name: m for m in [
 ]}
 
 
-def _agg(kind: str, expr: Column) -> Column:
-    return {"sum": F.sum, "count": F.count, "count_distinct": F.count_distinct, "avg": F.avg,
-            "max": F.max, "min": F.min}[kind](expr)
-
-
-def _dimension_column(project, sm: SemanticModel, df: DataFrame, ref: str) -> tuple[DataFrame, Column, str]:
-    """Resolve ``dim`` (local) or ``entity__dim`` (through a foreign entity)."""
-    out = ref.replace("__", "_")
-    if "__" not in ref:
-        return df, F.expr(sm.dimensions[ref]).alias(out), out
-    entity, dim = ref.split("__", 1)
-    target = next(m for m in SEMANTIC_MODELS.values() if m.primary_entity == entity)
-    if target is sm:
-        return df, F.expr(sm.dimensions[dim]).alias(out), out
-    fk = sm.entity_keys[entity]
-    dim_df = project[target.name].select(F.col(target.entity_keys[entity]).alias(f"_fk_{entity}"),
-                                         F.expr(target.dimensions[dim]).alias(out))
-    if f"_fk_{entity}" in df.columns:  # already joined for another dimension
-        return df.join(dim_df, f"_fk_{entity}", "left"), F.col(out), out
-    df = df.join(dim_df, df[fk] == dim_df[f"_fk_{entity}"], "left")
-    return df, F.col(out), out
+AGGREGATES = {"sum": F.sum, "count": F.count, "count_distinct": F.count_distinct, "avg": F.avg, "max": F.max,
+              "min": F.min}
+#: Aggregates that can be taken in two steps, with the second step's aggregate.
+REAGGREGATE = {"sum": "sum", "count": "sum", "max": "max", "min": "min"}
 
 
-def _simple_frame(project, model_key: str, metrics: list[SimpleMetric], group_by: list[str],
-                  where: str | None) -> tuple[DataFrame, list[str]]:
-    sm = SEMANTIC_MODELS[model_key]
-    df = project[sm.name]
-    keys: list[Column] = []
-    names: list[str] = []
+def aggregate(kind: str, expr: Column) -> Column:
+    return AGGREGATES[kind](expr)
+
+
+def _split(sm: SemanticModel, group_by: list[str]) -> tuple[dict[str, Column], dict[str, dict[str, str]]]:
+    """Own keys (output name -> column), and per foreign entity its dimensions (output name -> expression)."""
+    own: dict[str, Column] = {}
+    foreign: dict[str, dict[str, str]] = {}
     for g in group_by:
         if g.startswith("metric_time"):
-            grain = g.split("__", 1)[1] if "__" in g else "day"
+            grain = GRAINS[g.split("__", 1)[1] if "__" in g else "day"]
             t = F.col(sm.time_dimension)
-            col = t if GRAINS[grain] is None else F.date_trunc(GRAINS[grain], t).cast("date")
-            keys.append(col.alias(g))
-            names.append(g)
+            own[g] = t if grain is None else F.date_trunc(grain, t).cast("date")
+        elif "__" not in g:
+            own[g] = F.expr(sm.dimensions[g])
         else:
-            df, col, name = _dimension_column(project, sm, df, g)
-            keys.append(col)
-            names.append(name)
-    if where:
-        df = df.filter(F.expr(where))
-    aggs = [_agg(m.agg, F.expr(m.expr)).alias(m.name) for m in metrics]
-    if not keys:  # global metric: one group, keyed by a constant so all metric frames share a key
-        keys, names = [F.lit(1).alias("_all")], ["_all"]
-    return widen_decimals(df.groupBy(*keys).agg(*aggs)), names
+            entity, dim = g.split("__", 1)
+            target = next(m for m in SEMANTIC_MODELS.values() if m.primary_entity == entity)
+            if target is sm:
+                own[g.replace("__", "_")] = F.expr(sm.dimensions[dim])
+            else:
+                foreign.setdefault(entity, {})[g.replace("__", "_")] = target.dimensions[dim]
+    return own, foreign
+
+
+def _with_entities(project, sm: SemanticModel, df: DataFrame, foreign: dict, keys: dict[str, str]) -> DataFrame:
+    """``df`` left-joined once to each foreign entity; ``keys``: entity -> its key column in ``df``."""
+    for entity, dims in foreign.items():
+        target = next(m for m in SEMANTIC_MODELS.values() if m.primary_entity == entity)
+        side = project[target.name].select(F.col(target.entity_keys[entity]).alias(f"_pk_{entity}"),
+                                           *[F.expr(e).alias(out) for out, e in dims.items()])
+        df = df.join(side, df[keys[entity]] == side[f"_pk_{entity}"], "left")
+    return df
+
+
+def _simple_frame(project, model_key: str, metrics: list[SimpleMetric], group_by: list[str],
+                  where: str | None) -> tuple[DataFrame, list[str]]:
+    """Metrics of one semantic model.  Where all of them add up and the filter needs the model's own columns
+    only, the fact is aggregated by its own keys and the entities' keys first, and joined after that."""
+    sm = SEMANTIC_MODELS[model_key]
+    df = project[sm.name]
+    own, foreign = _split(sm, group_by)
+    names = [g if g.startswith("metric_time") else g.replace("__", "_") for g in group_by]
+    if not names:  # global metric: one group, keyed by a constant so all metric frames share a key
+        own, names = {"_all": F.lit(1)}, ["_all"]
+    if foreign and not where and all(m.agg in REAGGREGATE for m in metrics):
+        entity_keys = {e: f"_fk_{e}" for e in foreign}
+        first = df.groupBy(*[c.alias(n) for n, c in own.items()],
+                           *[F.col(sm.entity_keys[e]).alias(k) for e, k in entity_keys.items()]).agg(
+            *[aggregate(m.agg, F.expr(m.expr)).alias(m.name) for m in metrics])
+        rows = _with_entities(project, sm, first, foreign, entity_keys)
+        out = rows.groupBy(*names).agg(*[aggregate(REAGGREGATE[m.agg], F.col(m.name)).alias(m.name) for m in metrics])
+    else:
+        rows = _with_entities(project, sm, df, foreign, {e: sm.entity_keys[e] for e in foreign})
+        if where:
+            rows = rows.filter(F.expr(where))
+        out = rows.groupBy(*[own[n].alias(n) if n in own else F.col(n) for n in names]).agg(
+            *[aggregate(m.agg, F.expr(m.expr)).alias(m.name) for m in metrics])
+    return widen_decimals(out), names
 
 
 def widen_decimals(df: DataFrame) -> DataFrame:
@@ -205,15 +224,34 @@ def data_time_spine(fact: DataFrame, date_col: str = "order_date") -> DataFrame:
     return b.select(F.explode(F.sequence("_lo", "_hi")).alias("date_day"))
 
 
-def gap_filled(project, metric: str, grain: str = "day", fill: float | int | None = 0) -> DataFrame:
-    """Metric per ``metric_time`` bucket over the spine: buckets without data appear,
-    with ``fill`` as value (``None`` keeps them null)."""
-    sm = SEMANTIC_MODELS[SIMPLE_METRICS[metric].model]
-    spine = data_time_spine(project[sm.name], sm.time_dimension)
+def gap_filled(project, metric: str, grain: str = "day", fill: float | int | None = 0,
+               group_by: list[str] | None = None, spine: DataFrame | None = None) -> DataFrame:
+    """A metric of any kind per ``metric_time`` bucket of the spine, for each combination of the ``group_by`` keys
+    that has data: buckets without data appear, with ``fill`` as value (``None`` keeps them null).  The spine is the
+    fact's own date range unless one is given (such as ``time_spine``)."""
+    group_by = list(group_by or [])
     key = f"metric_time__{grain}"
+    found = metric_query(project, [metric], [key, *group_by])
+    if spine is None:
+        simple = metric
+        while simple not in SIMPLE_METRICS:
+            simple = (RATIO_METRICS[simple].numerator if simple in RATIO_METRICS else DERIVED_METRICS[simple].inputs[0])
+        sm = SEMANTIC_MODELS[SIMPLE_METRICS[simple].model]
+        spine = data_time_spine(project[sm.name], sm.time_dimension)
     if GRAINS[grain] is not None:
         spine = spine.select(F.date_trunc(GRAINS[grain], "date_day").cast("date").alias("date_day")).distinct()
-    m = metric_query(project, [metric], [key])
-    j = spine.join(m, spine.date_day == m[key], "left")
-    val = F.col(metric) if fill is None else F.coalesce(F.col(metric), F.lit(fill).cast(m.schema[metric].dataType))
-    return j.select(F.col("date_day").alias(key), val.alias(metric))
+    names = [g.replace("__", "_") for g in group_by]
+    data = found.select(F.col(key).alias("_day"), *[F.col(n).alias(f"_g{k}") for k, n in enumerate(names)],
+                        F.col(metric).alias("_value"))
+    if names:
+        # Each combination gets the whole spine, as an array of days: one row per combination, no cross join.
+        days = spine.agg(F.array_sort(F.collect_list("date_day")).alias("_days")).select(F.lit(1).alias("_one"), "_days")
+        groups = found.select(*names).distinct().withColumn("_one", F.lit(1))
+        spine = groups.join(F.broadcast(days), "_one").select(*names, F.explode("_days").alias("date_day"))
+    cond = F.col("date_day") == F.col("_day")
+    for k, n in enumerate(names):
+        cond = cond & F.col(n).eqNullSafe(F.col(f"_g{k}"))
+    value = F.col("_value")
+    if fill is not None:
+        value = F.coalesce(value, F.lit(fill).cast(found.schema[metric].dataType))
+    return spine.join(data, cond, "left").select(F.col("date_day").alias(key), *names, value.alias(metric))

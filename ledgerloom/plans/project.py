@@ -2,15 +2,17 @@
 
 ``RetailProject`` builds every model lazily, once per project instance (a
 model used by two consumers is the same DataFrame object, so Spark can reuse
-its exchanges).  ``publish`` writes the public marts as Parquet tables in the
-shared checkpoint folder; consumer projects then read the published tables
-instead of re-running the recipe (cross-project references).
+its exchanges).  Without ``root`` everything derives from the star tables.  With ``root`` the
+project reads the newest published run there (see ``sources.sinks``): landed raw tables, shared
+intermediates and published tables come from that run, and one that it lacks is an error, never a
+silent re-computation.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,57 +23,66 @@ from ledgerloom.operators.lines import int_order_items, lines_from_items
 from ledgerloom.plans import finance, marketing
 from ledgerloom.sources import seeds
 from ledgerloom.sources.retail import RawSources
-from ledgerloom.sources.sinks import PART_COL
-
+from ledgerloom.sources.sinks import (
+    PART_COL,
+    TABLE_MONTH,
+    Run,
+    current_run,
+    with_comments,
+    write_contracted,
+    write_table,
+)
+
+RAW_TABLES = ["customers", "loyalty_segments", "sales_orders", "ret_customers", "ret_orders", "ret_tickets"]
 PUBLIC_MARTS = ["dim_customers", "dim_b2b_customers", "fct_sales_orders", "fct_order_lines",
                 "dim_regional_sales_targets", "fct_b2b_orders"]
-# Intermediates read by more than one mart: materialized once by ``publish``.
-MATERIALIZED_INTERMEDIATES = ["int_order_items"]
-# Table-materialized models without a contract (report mart, marketing and finance
-# consumers), written after the public marts and built *from* the published marts.
-TABLE_MODELS = ["rpt_promo_effectiveness", "loyalty_campaign_targets", "regional_performance",
-                "regional_target_attainment", "b2b_account_health_report", "consolidated_revenue"]
-TABLE_MONTH = {"consolidated_revenue": "order_date"}
-
-
-def _complete(path: str) -> bool:
-    return os.path.exists(os.path.join(path, "_SUCCESS"))
+# Intermediates read by more than one model: written once by a build.
+MATERIALIZED_INTERMEDIATES = ["int_order_items", "int_current_customers", "int_b2b_customer_health"]
+# Table-materialized models without a contract, in two steps: those of the second read one of the first.
+# Both are built *from* the published marts.
+TABLE_MODELS = [["rpt_promo_effectiveness", "loyalty_campaign_targets", "regional_performance",
+                 "b2b_account_health_report", "consolidated_revenue"], ["regional_target_attainment"]]
+LAYER_OF = {**dict.fromkeys(MATERIALIZED_INTERMEDIATES, "intermediate"),
+            **dict.fromkeys(PUBLIC_MARTS + [t for step in TABLE_MODELS for t in step], "published")}
+#: Independent tables that a build writes at the same time.
+WRITERS = 4
 
 
 class RetailProject:
-    """``root``: materialization folder (shared storage on a cluster).  When the raw
-    tables were landed there (``land``) or the public marts published (``publish``),
-    the project reads those tables instead of re-deriving them — the lineage is cut
-    at the written table, as consumers of published marts do."""
+    """``run``: a build that is going on; its finished tables are read, all others are derived."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = C.DEFAULT_AS_OF,
-                 price_scale: int = 2, rank_slices: int | None = None, root: str | None = None):
+                 price_scale: int = 2, root: str | None = None, run: Run | None = None):
         self.spark, self.sf_dir, self.as_of, self.price_scale = spark, sf_dir, as_of, price_scale
-        self.rank_slices = rank_slices or int(spark.conf.get("spark.sql.shuffle.partitions", "64"))
-        self.root = root
-        self.raw = RawSources(spark, sf_dir, landed=self._landed)
+        self.building = run is not None
+        self.run = run if run is not None else current_run(spark, root) if root else None
+        self._forget()
+
+    def _forget(self) -> None:
+        landed = self.run and (not self.building or self.run.tables["landed"])
+        self.raw = RawSources(self.spark, self.sf_dir, landed=self._landed if landed else None)
         self._models: dict[str, DataFrame] = {}
         self._partitioned: dict[str, DataFrame] = {}  # published tables read with their month column
 
-    def _landed(self, name: str):
-        from ledgerloom.sources.sinks import landing_path
-        if self.root and _complete(landing_path(self.root, name)):
-            return self.spark.read.parquet(landing_path(self.root, name))
-        return None
+    def _landed(self, name: str) -> DataFrame:
+        return self._read("landed", name)
+
+    def _read(self, layer: str, name: str) -> DataFrame:
+        if not self.run.has(layer, name):
+            raise LookupError(f"run {self.run.run_id} has no {layer} table {name}")
+        return self.spark.read.parquet(self.run.path(layer, name))
 
     def model(self, name: str) -> DataFrame:
         """``ref(name)``: the model's DataFrame (built once)."""
         if name not in self._models:
-            from ledgerloom.sources.sinks import intermediate_path, published_path, read_table
-            if (self.root and name in PUBLIC_MARTS + TABLE_MODELS and self.price_scale == 2
-                    and _complete(published_path(self.root, name))):
-                full = self.spark.read.parquet(published_path(self.root, name))
-                if PART_COL in full.columns:
-                    self._partitioned[name] = full
-                self._models[name] = read_table(self.spark, published_path(self.root, name))
-            elif (self.root and name in MATERIALIZED_INTERMEDIATES and self.price_scale == 2
-                    and _complete(intermediate_path(self.root, name))):
-                self._models[name] = self.spark.read.parquet(intermediate_path(self.root, name))
+            layer = LAYER_OF.get(name)
+            # Tables hold prices in cents; another price scale is always derived.
+            if layer and self.run and self.price_scale == 2 and (not self.building or self.run.has(layer, name)):
+                df = self._read(layer, name)
+                if PART_COL in df.columns:
+                    self._partitioned[name] = df
+                    df = df.drop(PART_COL)
+                self._models[name] = df
             else:
                 self._models[name] = getattr(self, "_build_" + name)()
         return self._models[name]
@@ -142,7 +153,7 @@ class RetailProject:
 
     # ------------------------------------------------------------ marts
     def _build_dim_customers(self):
-        return marts.dim_customers(self["int_current_customers"], self.rank_slices)
+        return marts.dim_customers(self["int_current_customers"])
 
     def _build_dim_b2b_customers(self):
         return marts.dim_b2b_customers(self["int_b2b_customer_health"])
@@ -181,35 +192,34 @@ class RetailProject:
         return finance.consolidated_revenue(self["fct_sales_orders"], self["fct_b2b_orders"])
 
     # ------------------------------------------------------------ materialization
-    def land(self, names=("customers", "loyalty_segments", "sales_orders", "ret_customers", "ret_orders",
-                          "ret_tickets")) -> list[str]:
-        """Write the raw tables as the connector lands them (Parquet, full replace)."""
-        from ledgerloom.sources.sinks import landing_path, write_table
-        assert self.root, "land() needs a root folder"
-        out = []
+    def _write_all(self, layer: str, names: list[str], write) -> list:
+        """``write(name, path)`` for independent tables, a few at a time.  Plans are made first, on one thread;
+        a table counts as there only when its own write has ended well."""
         for name in names:
-            path = landing_path(self.root, name)
-            write_table(self.raw.table(name), path)
-            out.append(path)
-        self.raw = RawSources(self.spark, self.sf_dir, landed=self._landed)
-        self._models.clear()
-        self._partitioned.clear()
-        return out
-
-    def publish(self, names=PUBLIC_MARTS, on_violation: str = "report", tables=TABLE_MODELS) -> list[dict]:
-        """Write the public marts, contract-enforced, then the other table models
-        (which read the published marts, as consumer projects do); later ``ref``s
-        read the written tables.  Facts are rebalanced and written by month."""
-        from ledgerloom.sources.sinks import intermediate_path, published_path, write_contracted, write_table
-        assert self.root, "publish() needs a root folder"
-        for name in MATERIALIZED_INTERMEDIATES:
-            write_table(self[name], intermediate_path(self.root, name))
-            self._models.clear()
-        reports = [write_contracted(self[name], name, published_path(self.root, name), on_violation)
-                   for name in names]
-        self._models.clear()
-        for name in tables:
-            write_table(self[name], published_path(self.root, name), TABLE_MONTH.get(name))
-            self._models.clear()
-            self._partitioned.clear()
-        return reports
+            _ = self.raw.table(name) if layer == "landed" else self[name]
+
+        def timed(name: str):
+            t0 = time.perf_counter()
+            out = write(name, self.run.path(layer, name))
+            return name, round(time.perf_counter() - t0, 3), out
+
+        with ThreadPoolExecutor(WRITERS) as pool:
+            done = list(pool.map(timed, names))
+        self.run.tables[layer] += names
+        self._forget()
+        return done
+
+    def land(self, names=RAW_TABLES) -> list:
+        """Write the raw tables as the connector lands them, straight from the sources."""
+        return self._write_all("landed", list(names), lambda name, path: write_table(self.raw.table(name), path))
+
+    def publish(self, tolerate: frozenset = frozenset()) -> list:
+        """Write intermediates, contract-checked marts, and the tables that read the marts."""
+        done = self._write_all("intermediate", MATERIALIZED_INTERMEDIATES,
+                               lambda name, path: write_table(self[name], path))
+        done += self._write_all("published", PUBLIC_MARTS,
+                                lambda name, path: write_contracted(self[name], name, path, tolerate))
+        for step in TABLE_MODELS:
+            done += self._write_all("published", step, lambda name, path: write_table(
+                with_comments(self[name], name), path, TABLE_MONTH.get(name)))
+        return done

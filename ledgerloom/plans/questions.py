@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import config as C
-from ledgerloom.functions.expr import avg_money
+from ledgerloom.functions.expr import average
 
 
 def _window(p, name: str, as_of: dt.date, months: int, col: str = "order_date") -> DataFrame:
@@ -38,9 +38,9 @@ def customers_by_tier(p) -> DataFrame:
 
 def top_region(p, as_of: dt.date, months: int = C.RECENT_MONTHS) -> DataFrame:
     """Region with the most B2C orders in the trailing window (ties: region name)."""
-    o = _window(p, "fct_sales_orders", as_of, months).select("customer_id")
+    o = _window(p, "fct_sales_orders", as_of, months).groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
     c = p["dim_customers"].select("customer_id", "region")
-    g = o.join(c, "customer_id").groupBy("region").agg(F.count(F.lit(1)).alias("orders"))
+    g = o.join(c, "customer_id").groupBy("region").agg(F.sum("n").alias("orders"))
     return g.orderBy(F.desc("orders"), F.asc_nulls_last("region")).limit(1)
 
 
@@ -57,10 +57,16 @@ def at_risk_accounts(p) -> DataFrame:
         "b2b_customer_id", "company_name", "region", "open_tickets", "return_rate", "health_score")
 
 
+def customer_ltv(p) -> DataFrame:
+    """Customers with their orders and lifetime revenue (null without orders)."""
+    act = p["fct_sales_orders"].groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("total_orders"), F.sum("total_revenue").cast("decimal(38,2)").alias("lifetime_revenue"))
+    return (p["dim_customers"].select("customer_id", "customer_name", "region").join(act, "customer_id", "left")
+            .select("customer_id", "customer_name", "region", "lifetime_revenue", "total_orders"))
+
+
 def top10_ltv(p, k: int = 10) -> DataFrame:
-    t = p["loyalty_campaign_targets"].select("customer_id", "customer_name", "region", "lifetime_revenue",
-                                             "total_orders")
-    return t.orderBy(F.desc_nulls_last("lifetime_revenue"), F.asc("customer_id")).limit(k)
+    return customer_ltv(p).orderBy(F.desc_nulls_last("lifetime_revenue"), F.asc("customer_id")).limit(k)
 
 
 def revenue_by_category(p) -> DataFrame:
@@ -99,17 +105,18 @@ def _band(c, hi, mid, names):
 
 
 def ltv_segments(p) -> DataFrame:
-    t = p["loyalty_campaign_targets"]
     ltv = F.coalesce(F.col("lifetime_revenue"), F.lit(0))
-    return t.groupBy(_band(ltv, C.LTV_HIGH_MIN, C.LTV_MID_MIN, ("high", "mid", "low")).alias("ltv_segment")).agg(
+    band = _band(ltv, C.LTV_HIGH_MIN, C.LTV_MID_MIN, ("high_value", "mid_value", "low_value"))
+    return customer_ltv(p).groupBy(band.alias("ltv_segment")).agg(
         F.count(F.lit(1)).alias("customers"), F.sum(ltv).cast("decimal(38,2)").alias("lifetime_revenue"))
 
 
 def price_tiers(p) -> DataFrame:
-    c = p["stg_product_catalog"]
-    return c.groupBy(_band(F.col("unit_cost"), C.PRICE_PREMIUM_MIN, C.PRICE_MID_MIN,
-                           ("premium", "mid_range", "budget")).alias("price_tier")).agg(
-        F.count(F.lit(1)).alias("products"))
+    """Active products by list price."""
+    from ledgerloom.sources.seeds import product_catalog
+    tier = _band(F.col("list_price"), C.PRICE_PREMIUM_MIN, C.PRICE_MID_MIN, ("premium", "mid_range", "budget"))
+    return (product_catalog(p.spark, p.sf_dir).filter("is_active").groupBy(tier.alias("price_tier"))
+            .agg(F.count(F.lit(1)).alias("products")))
 
 
 def favourite_category(p) -> DataFrame:
@@ -133,7 +140,7 @@ def order_measures(p) -> DataFrame:
         F.sum(F.col("revenue") - F.col("net_revenue")).cast("decimal(38,2)").alias("returned_revenue"),
         F.count(F.lit(1)).alias("orders"), F.count("revenue").alias("_n"))
     return g.select("channel", "total_revenue", "recognised_revenue", "returned_revenue", "orders",
-                    avg_money("total_revenue", "_n").alias("avg_order_value"))
+                    average("total_revenue", "_n").alias("avg_order_value"))
 
 
 def product_measures(p) -> DataFrame:
@@ -144,14 +151,15 @@ def product_measures(p) -> DataFrame:
 
 
 def cancellation_kpis(p) -> DataFrame:
-    """Per B2B region: cancelled orders, cancellation rate, revenue per account."""
-    o = p["fct_b2b_orders"].select("b2b_customer_id", "amount", "is_cancelled_or_returned")
+    """Per B2B region: cancelled orders, cancellation rate, revenue per account.  Orders are aggregated by
+    account before the join; an account then is one row, so accounts are counted without a distinct."""
+    o = p["fct_b2b_orders"].groupBy("b2b_customer_id").agg(
+        F.count_if("is_cancelled_or_returned").alias("_cancelled"), F.count(F.lit(1)).alias("_orders"),
+        F.sum("amount").cast("decimal(38,2)").alias("_amount"))
     a = p["dim_b2b_customers"].select("b2b_customer_id", "region")
-    j = o.join(a, "b2b_customer_id", "left")
-    g = j.groupBy("region").agg(
-        F.count_if(F.col("is_cancelled_or_returned")).alias("cancelled_orders"),
-        F.count(F.lit(1)).alias("orders"),
-        F.sum("amount").alias("_rev"), F.count_distinct("b2b_customer_id").alias("accounts"))
+    g = o.join(a, "b2b_customer_id", "left").groupBy("region").agg(
+        F.sum("_cancelled").alias("cancelled_orders"), F.sum("_orders").alias("orders"),
+        F.sum("_amount").alias("_rev"), F.count("b2b_customer_id").alias("accounts"))
     return g.select(
         "region", "cancelled_orders", "orders",
         (F.col("cancelled_orders").cast("double") / F.col("orders").cast("double")).alias("cancellation_rate"),

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import config as C
-from ledgerloom.operators.joins import has_at_most
 from ledgerloom.plans.project import RetailProject
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -155,9 +154,7 @@ def promo_misuse_rows(p: RetailProject) -> DataFrame:
     r = p["rpt_promo_effectiveness"].filter(F.col("total_orders") > 0).select(
         F.col("promo_code").alias("_code"), "campaign_start", "campaign_end")
     o = p["fct_sales_orders"].filter(F.col("has_promo")).select("order_id", "order_date", "promo_code")
-    # The report has one row per campaign, so the campaign seed's size bounds it.
-    small = has_at_most(p["stg_promo_campaigns"], 1_000_000)
-    j = o.join(F.broadcast(r) if small else r, o.promo_code == r._code)
+    j = o.join(r, o.promo_code == r._code)
     return j.filter(~F.col("order_date").between(F.col("campaign_start"), F.col("campaign_end"))).select(
         "promo_code", "order_id", "order_date", "campaign_start", "campaign_end")
 
@@ -234,6 +231,13 @@ def q_metric_gap_filled(spark, sf_dir):
     return gap_filled(project(spark, sf_dir), "total_b2c_revenue", "day", fill=0)
 
 
+@register("metric_gap_filled_ratio")
+def q_metric_gap_filled_ratio(spark, sf_dir):
+    """A ratio metric per month and promo flag; months without orders of a kind stay empty."""
+    from ledgerloom.plans.metrics import gap_filled
+    return gap_filled(project(spark, sf_dir), "avg_b2c_order_value", "month", fill=None, group_by=["has_promo"])
+
+
 @register("metric_aov")
 def q_metric_aov(spark, sf_dir):
     return _metrics(spark, sf_dir, ["avg_b2c_order_value", "total_b2c_orders"], ["customer__region", "has_promo"])
@@ -299,6 +303,14 @@ def q_raw_vs_governed(spark, sf_dir):
     return combine_on_keys([raw_c, gov_c, raw_o, gov_o])
 
 
+@register("raw_orders_by_region")
+def q_raw_orders_by_region(spark, sf_dir):
+    """Raw view across orders and customers: every customer version repeats its orders."""
+    from ledgerloom.plans.semantic import RAW, semantic_aggregate
+    return semantic_aggregate(project(spark, sf_dir), RAW, ["region"],
+                              {"order_rows": ("count", "order_datetime"), "line_items": ("sum", "number_of_line_items")})
+
+
 # ---------------------------------------------------------------- data quality
 def _dq(kind):
     def run(spark, sf_dir):
@@ -307,10 +319,18 @@ def _dq(kind):
     return run
 
 
-for _kind in ("not_null", "unique", "accepted_values", "between", "relationships"):
+for _kind in ("row_rules", "not_null", "unique", "accepted_values", "between", "relationships"):
     register(f"dq_{_kind}")(_dq(_kind))
 
 
+@register("dq_failing_values")
+def q_dq_failing_values(spark, sf_dir):
+    """What fails the value rules and references: each failing value with its number of rows."""
+    from ledgerloom.operators.quality import TESTS, failing_values
+    return failing_values(project(spark, sf_dir),
+                          [t for t in TESTS if t.test in ("accepted_values", "between", "relationships")])
+
+
 @register("dq_revenue_reconciliation")
 def q_dq_revenue_reconciliation(spark, sf_dir):
     from ledgerloom.operators.quality import revenue_reconciliation

@@ -1,9 +1,16 @@
-"""Semantic views: declared tables, many-to-one relationships, facts and dimensions.
+"""Semantic views: declared tables, relationships, facts and dimensions.
 
-``semantic_select(project, view, dimensions, facts)`` joins from the fact
-table along the declared relationships (left, many-to-one: no fan-out) and
-projects the requested names; ``semantic_aggregate`` groups by the dimensions
-and aggregates the facts.  Synonyms resolve to the same column.
+``semantic_select(project, view, names)`` joins from the base table along the declared relationships
+and projects the requested names; ``semantic_aggregate`` groups by dimensions and aggregates
+facts.  Synonyms resolve to the same column.
+
+The base is the first table, in the order of declaration, that no relationship points to.  In a governed view
+a referenced column is unique, so joins keep the base's rows; a measure of any other table than the base would be
+counted once per base row, so aggregating it is an error.  The raw view references a column that is not
+unique: its joins multiply rows, which is what it is there to show.
+
+Measures that add up are aggregated by the base's own keys before the join, so a hot key is reduced before
+the shuffle, and once more after it.
 """
 
 from __future__ import annotations
@@ -13,21 +20,30 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.plans.metrics import REAGGREGATE, aggregate, widen_decimals
+
 
 @dataclass(frozen=True)
 class SemanticView:
     tables: dict            # alias -> (model name, primary key)
-    relationships: list     # (from alias, fk column, to alias)
+    relationships: list     # (from alias, fk column, to alias, referenced column)
     facts: dict             # name -> (alias, column)
     dimensions: dict        # name -> (alias, column)
-    synonyms: dict = field(default_factory=dict)  # synonym -> name
+    synonyms: dict = field(default_factory=dict)  # name -> its synonyms
+    governed: bool = True
+
+    def name_of(self, word: str) -> str:
+        if word in self.facts or word in self.dimensions:
+            return word
+        return next((n for n, words in self.synonyms.items() if word in words), word)
 
 
 # ---------------------------------------------------------------- fixed values
 GOVERNED = SemanticView(
     tables={"sales_orders": ("fct_sales_orders", "order_id"), "customers": ("dim_customers", "customer_id"),
             "b2b_orders": ("fct_b2b_orders", "order_id"), "b2b_customers": ("dim_b2b_customers", "b2b_customer_id")},
-    relationships=[("sales_orders", "customer_id", "customers"), ("b2b_orders", "b2b_customer_id", "b2b_customers")],
+    relationships=[("sales_orders", "customer_id", "customers", "customer_id"),
+                   ("b2b_orders", "b2b_customer_id", "b2b_customers", "b2b_customer_id")],
     facts={"b2c_revenue": ("sales_orders", "total_revenue"), "line_items": ("sales_orders", "number_of_line_items"),
            "units_purchased": ("customers", "units_purchased"), "b2b_revenue": ("b2b_orders", "amount"),
            "b2b_account_total_revenue": ("b2b_customers", "total_revenue"),
@@ -43,15 +59,32 @@ GOVERNED = SemanticView(
                 "b2b_customer_id": ("b2b_customers", "b2b_customer_id"),
                 "company_name": ("b2b_customers", "company_name"), "b2b_region": ("b2b_customers", "region"),
                 "account_health_status": ("b2b_customers", "account_health_status")},
-    synonyms={"revenue": "b2c_revenue", "sales": "b2c_revenue", "tier": "loyalty_tier", "segment": "loyalty_tier",
-              "health status": "account_health_status", "company": "company_name"},
+    synonyms={
+        "b2c_revenue": ("b2c sales", "online revenue", "sales", "revenue"),
+        "line_items": ("items", "products ordered"),
+        "units_purchased": ("total units", "volume"),
+        "b2b_revenue": ("b2b sales", "wholesale revenue", "account revenue"),
+        "account_health_score": ("health", "account score"),
+        "open_support_tickets": ("open tickets", "unresolved tickets"),
+        "order_date": ("date", "purchase date", "transaction date"),
+        "has_promo": ("promoted", "discounted", "promo used"),
+        "customer_name": ("customer", "name", "buyer"),
+        "region": ("location", "area"),
+        "loyalty_tier": ("loyalty", "segment", "tier", "loyalty segment"),
+        "value_segment": ("value tier", "customer segment"),
+        "is_cancelled_or_returned": ("cancelled", "returned"),
+        "company_name": ("company", "account", "business"),
+        "account_health_status": ("health status", "account risk", "risk"),
+    },
 )
 
 # The ungoverned view over the raw tables (epoch numbers, JSON text, SCD2 versions).
 RAW = SemanticView(
     tables={"sales_orders": ("raw.sales_orders", "id"), "customers": ("raw.customers", "id"),
             "ret_orders": ("raw.ret_orders", "id"), "ret_customers": ("raw.ret_customers", "id")},
-    relationships=[("sales_orders", "customer_id", "customers"), ("ret_orders", "order_user_id", "ret_customers")],
+    relationships=[("sales_orders", "customer_id", "customers", "customer_id"),
+                   ("ret_orders", "order_user_id", "ret_customers", "id")],
+    governed=False,
     facts={"number_of_line_items": ("sales_orders", "number_of_line_items"),
            "b2b_order_amount": ("ret_orders", "amount"), "units_purchased": ("customers", "units_purchased")},
     dimensions={"order_datetime": ("sales_orders", "order_datetime"),
@@ -70,44 +103,67 @@ def _table(project, view: SemanticView, alias: str) -> DataFrame:
     return project[model]
 
 
-def _resolve(view: SemanticView, name: str) -> tuple[str, str, str]:
-    name = view.synonyms.get(name, name)
-    if name in view.facts:
-        return (name, *view.facts[name])
-    return (name, *view.dimensions[name])
+def _resolve(view: SemanticView, word: str) -> tuple[str, str, str]:
+    name = view.name_of(word)
+    return (name, *(view.facts.get(name) or view.dimensions[name]))
+
+
+def _base(view: SemanticView, aliases: set[str]) -> str:
+    referenced = {to for _, _, to, _ in view.relationships}
+    return next((a for a in view.tables if a in aliases and a not in referenced),
+                next(a for a in view.tables if a in aliases))
+
+
+def _steps(view: SemanticView, base: str, aliases: set[str]) -> list[tuple]:
+    """The relationships to follow from ``base`` to all of ``aliases``."""
+    steps, joined = [], {base}
+    for step in view.relationships:
+        if step[0] in joined and step[2] in aliases and step[2] not in joined:
+            steps.append(step)
+            joined.add(step[2])
+    if aliases - joined:
+        raise ValueError(f"no relationship path from {base} to {sorted(aliases - joined)}")
+    return steps
+
+
+def _joined(project, view: SemanticView, df: DataFrame, steps: list[tuple], resolved: list[tuple]) -> DataFrame:
+    """``df``, with the base's columns under ``alias.column``, joined to the columns that are asked for."""
+    for frm, fk, to, key in steps:
+        wanted = dict.fromkeys([key, *(c for _, a, c in resolved if a == to)])
+        side = _table(project, view, to).select(*[F.col(c).alias(f"{to}.{c}") for c in wanted])
+        df = df.join(side, df[f"`{frm}.{fk}`"] == side[f"`{to}.{key}`"], "left")
+    return df
 
 
 def semantic_select(project, view: SemanticView, names: list[str]) -> DataFrame:
-    """Rows of the base table with the requested facts/dimensions (left joins along
-    declared many-to-one relationships; the base is the table no relationship points to)."""
+    """Rows of the base table with the requested facts and dimensions (left joins)."""
     resolved = [_resolve(view, n) for n in names]
     aliases = {a for _, a, _ in resolved}
-    targets = {t for _, _, t in view.relationships}
-    base = next((a for a in aliases if a not in targets), None)
-    if base is None:  # only dimension-side names: select from that table itself
-        base = next(iter(aliases))
-    df = _table(project, view, base).select(*[F.col(c).alias(f"{base}.{c}") for c in _table(project, view, base).columns])
-    joined = {base}
-    for frm, fk, to in view.relationships:
-        if frm in joined and to in aliases and to not in joined:
-            pk = view.tables[to][1]
-            t = _table(project, view, to)
-            t = t.select(*[F.col(c).alias(f"{to}.{c}") for c in t.columns])
-            df = df.join(t, df[f"`{frm}.{fk}`"] == t[f"`{to}.{pk}`"], "left")
-            joined.add(to)
-    missing = aliases - joined
-    if missing:
-        raise ValueError(f"no relationship path from {base} to {sorted(missing)}")
+    base = _base(view, aliases)
+    rows = _table(project, view, base)
+    df = _joined(project, view, rows.select(*[F.col(c).alias(f"{base}.{c}") for c in rows.columns]),
+                 _steps(view, base, aliases), resolved)
     return df.select(*[F.col(f"`{a}.{c}`").alias(n) for n, a, c in resolved])
 
 
 def semantic_aggregate(project, view: SemanticView, dimensions: list[str], measures: dict) -> DataFrame:
     """``measures``: output name -> (agg, fact or dimension name)."""
-    names = [view.synonyms.get(n, n) for n in list(dimensions) + [src for _, src in measures.values()]]
-    rows = semantic_select(project, view, list(dict.fromkeys(names)))
-    aggs = [{"sum": F.sum, "count": F.count, "count_distinct": F.count_distinct, "avg": F.avg,
-             "max": F.max, "min": F.min}[agg](F.col(view.synonyms.get(src, src))).alias(out)
-            for out, (agg, src) in measures.items()]
-    dims = [view.synonyms.get(d, d) for d in dimensions]
-    from ledgerloom.plans.metrics import widen_decimals
-    return widen_decimals(rows.groupBy(*dims).agg(*aggs))
+    dims = [_resolve(view, d) for d in dimensions]
+    sources = {out: (agg, *_resolve(view, src)) for out, (agg, src) in measures.items()}
+    aliases = {a for _, a, _ in dims} | {a for _, _, a, _ in sources.values()}
+    base = _base(view, aliases)
+    if view.governed and (wrong := sorted(n for _, n, a, _ in sources.values() if a != base)):
+        raise ValueError(f"{wrong} are not facts of {base}: its rows would repeat them")
+    steps = _steps(view, base, aliases)
+    if all(agg in REAGGREGATE and a == base for agg, _, a, _ in sources.values()):
+        own = dict.fromkeys([c for _, a, c in dims if a == base] + [fk for frm, fk, _, _ in steps if frm == base])
+        first = _table(project, view, base).groupBy(*[F.col(c).alias(f"{base}.{c}") for c in own]).agg(
+            *[aggregate(agg, F.col(c)).alias(out) for out, (agg, _, _, c) in sources.items()])
+        rows = _joined(project, view, first, steps, dims)
+        aggs = [aggregate(REAGGREGATE[agg], F.col(out)).alias(out) for out, (agg, *_) in sources.items()]
+    else:
+        needed = dims + [(n, a, c) for _, n, a, c in sources.values()]
+        rows = _table(project, view, base)
+        rows = _joined(project, view, rows.select(*[F.col(c).alias(f"{base}.{c}") for c in rows.columns]), steps, needed)
+        aggs = [aggregate(agg, F.col(f"`{a}.{c}`")).alias(out) for out, (agg, _, a, c) in sources.items()]
+    return widen_decimals(rows.groupBy(*[F.col(f"`{a}.{c}`").alias(n) for n, a, c in dims]).agg(*aggs))

@@ -80,8 +80,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
-        if d.startswith("file:"):
-            d = d[len("file:"):]
         return d
     master = spark.sparkContext.master
     if not master.startswith("local"):

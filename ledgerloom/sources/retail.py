@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import config
-from ledgerloom.operators.joins import broadcast_if_small
 from ledgerloom.sources.star import read_star
 
 DAY = 86_400
@@ -52,10 +51,10 @@ def _ret_account_id(key: Column) -> Column:
 
 
 def geography(spark, sf_dir: str) -> DataFrame:
-    """nation -> (nation key, state name, region name); 25 rows, checked before broadcast."""
+    """nation -> (nation key, state name, region name)."""
     nation = read_star(spark, sf_dir, "nation")
     region = read_star(spark, sf_dir, "region")
-    return (nation.join(broadcast_if_small(region, 10_000), nation.n_regionkey == region.r_regionkey)
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
             .select("n_nationkey", F.col("n_name").alias("state"), F.col("r_name").alias("region")))
 
 
@@ -64,7 +63,7 @@ def geography(spark, sf_dir: str) -> DataFrame:
 def raw_customers(spark, sf_dir: str) -> DataFrame:
     """SCD2 customer versions: 1 + key % 3 versions per customer; key % 10 = 0 gets an
     extra open version (same start date as the latest when key % 20 = 0)."""
-    geo = broadcast_if_small(geography(spark, sf_dir), 100_000)
+    geo = geography(spark, sf_dir)
     c = read_star(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     k = F.col("c_custkey")
     df = (c.withColumn("n", (F.lit(1) + k % 3).cast("int"))
@@ -118,10 +117,11 @@ def raw_customers(spark, sf_dir: str) -> DataFrame:
 def raw_loyalty_segments(spark) -> DataFrame:
     """Four-row tier lookup (the connector lands it from the operational database)."""
     import datetime as dt
-    rows = [(i, d, t, dt.date(1990, 1, 1), None, False) for i, d, t in LOYALTY_TIERS]
+    synced_at = config.SYNC_TS - dt.timedelta(minutes=30)
+    rows = [(i, d, t, dt.date(1990, 1, 1), None, False, synced_at) for i, d, t in LOYALTY_TIERS]
     return spark.createDataFrame(
         rows, "loyalty_segment_id long, loyalty_segment_description string, unit_threshold long, "
-              "valid_from date, valid_to date, _fivetran_deleted boolean")
+              "valid_from date, valid_to date, _fivetran_deleted boolean, _fivetran_synced timestamp_ntz")
 
 
 def _json_pair(key: str, value: Column) -> Column:
@@ -138,7 +138,8 @@ def _line_element() -> Column:
     ok = F.col("l_orderkey")
     ln = F.col("l_linenumber")
     q = F.col("l_quantity").cast("long")
-    p = F.col("l_extendedprice").cast("decimal(18,2)")
+    # A feed fault: the prices of some orders come with a minus sign.
+    p = (F.col("l_extendedprice") * F.when(ok % 211 == 7, -1).otherwise(1)).cast("decimal(18,2)")
     has_pid = (ok + ln) % 41 != 0
     has_qty = ~((ok % 7 == 3) & (ln == 1))
     has_price = ~((ok % 11 == 5) & (ln == 2))
@@ -199,7 +200,7 @@ def raw_sales_orders(spark, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- B2B
 
 def raw_ret_customers(spark, sf_dir: str) -> DataFrame:
-    geo = broadcast_if_small(geography(spark, sf_dir), 100_000)
+    geo = geography(spark, sf_dir)
     s = read_star(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     k = F.col("s_suppkey")
     df = s.join(geo, s.s_nationkey == geo.n_nationkey, "left")
@@ -236,7 +237,7 @@ def raw_ret_orders(spark, sf_dir: str) -> DataFrame:
     return li.select(
         (F.col("l_orderkey") * 16 + ln).alias("id"),
         _ret_account_id(account).alias("order_user_id"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"),
+        (F.col("l_extendedprice") * F.when(rid % 223 == 5, -1).otherwise(1)).cast("decimal(18,2)").alias("amount"),
         status.alias("status"),
         reason.alias("cancel_return_reason"),
         F.col("l_shipdate").alias("created_at"),
@@ -267,13 +268,12 @@ class RawSources:
 
     def __init__(self, spark, sf_dir: str, landed=None):
         self.spark, self.sf_dir = spark, sf_dir
-        self._landed = landed  # name -> DataFrame of the landed table, or None
+        self._landed = landed  # None, or the reader of landed tables by name
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, name, fn):
         if name not in self._cache:
-            df = self._landed(name) if self._landed else None
-            self._cache[name] = df if df is not None else fn()
+            self._cache[name] = self._landed(name) if self._landed else fn()
         return self._cache[name]
 
     @property

@@ -1,14 +1,12 @@
 """Seed (reference) tables.
 
 * ``promo_campaigns`` — a small CSV shipped with the package (the seed file);
-* ``product_catalog`` — derived from ``part`` (grows with the data, so joins to
-  it use a size-checked broadcast);
+* ``product_catalog`` — derived from ``part``, with a few categories unlisted;
 * ``regional_sales_targets`` — derived from 1996 actuals of the star tables.
 """
 
 from __future__ import annotations
 
-import csv
 import datetime as dt
 import os
 from decimal import Decimal
@@ -16,7 +14,6 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import broadcast_if_small
 from ledgerloom.sources.retail import geography
 from ledgerloom.sources.star import read_star
 
@@ -36,15 +33,15 @@ EXTRA_TARGETS = [("pre_launch", dt.date(1994, 12, 1), Decimal("1000.00"), 10, "p
 
 
 def promo_campaigns(spark, path: str | None = None) -> DataFrame:
-    """Campaign seed.  Without ``path`` the packaged CSV (a handful of rows) is
-    parsed on the driver; with a shared ``path`` Spark reads it with the schema."""
+    """Campaign seed.  With a shared ``path`` Spark reads the CSV.  Without, the CSV text that ships with the
+    package (a handful of lines, which executors cannot open) is handed to Spark's CSV reader."""
+    reader = spark.read.schema(PROMO_SCHEMA).option("header", True).option("mode", "FAILFAST")
     if path:
-        return spark.read.schema(PROMO_SCHEMA).option("header", True).csv(path)
-    with open(os.path.join(SEED_DIR, "promo_campaigns.csv"), newline="") as fh:
-        rows = [(r["promo_code"], r["campaign_name"], int(r["discount_pct"]), r["campaign_type"],
-                 dt.date.fromisoformat(r["start_date"]), dt.date.fromisoformat(r["end_date"]),
-                 r["target_channel"], Decimal(r["budget_usd"])) for r in csv.DictReader(fh)]
-    return spark.createDataFrame(rows, PROMO_SCHEMA)
+        return reader.csv(path)
+    with open(os.path.join(SEED_DIR, "promo_campaigns.csv"), encoding="utf-8") as fh:
+        lines = [(line,) for line in fh.read().splitlines()[1:] if line]
+    text = spark.createDataFrame(lines, "line string")
+    return text.select(F.from_csv("line", PROMO_SCHEMA, {"mode": "FAILFAST"}).alias("c")).select("c.*")
 
 
 def product_catalog(spark, sf_dir: str) -> DataFrame:
@@ -54,8 +51,11 @@ def product_catalog(spark, sf_dir: str) -> DataFrame:
     return p.select(
         k.alias("product_id"),
         F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
+        F.when(k % 97 == 5, F.lit("UNLISTED")).otherwise(F.col("p_type")).alias("category"),
         F.col("p_brand").alias("subcategory"),
+        # List prices are a tenth to one and a half of the retail price, so all price tiers occur.
+        (F.col("p_retailprice").cast("decimal(12,2)") * F.when(k % 4 == 0, F.lit(Decimal("0.1")))
+         .when(k % 4 == 1, F.lit(Decimal("0.5"))).when(k % 4 == 2, F.lit(Decimal("1.5"))).otherwise(F.lit(Decimal("1.0")))).cast("decimal(14,3)").alias("list_price"),
         (F.col("p_retailprice").cast("decimal(12,2)") * F.lit(Decimal("0.6"))).cast("decimal(12,2)").alias("unit_cost"),
         F.date_add(F.lit("1990-01-01").cast("date"), (k % 1000).cast("int")).alias("launch_date"),
         (k % 11 != 0).alias("is_active"),
@@ -73,6 +73,8 @@ def regional_sales_targets(spark, sf_dir: str) -> DataFrame:
          .filter((F.col("o_orderdate") >= F.lit(f"{TARGET_YEAR}-01-01").cast("timestamp_ntz"))
                  & (F.col("o_orderdate") < F.lit(f"{TARGET_YEAR + 1}-01-01").cast("timestamp_ntz"))))
     li = read_star(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice")
+    # Only the year's orders count, so their lines are picked before they are summed.
+    li = li.join(o.select("o_orderkey"), li.l_orderkey == o.o_orderkey, "left_semi")
     per_order = li.groupBy("l_orderkey").agg(
         F.sum(F.col("l_quantity").cast("long") * F.col("l_extendedprice").cast("decimal(18,2)")).alias("rev"))
     cust = read_star(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
@@ -80,7 +82,7 @@ def regional_sales_targets(spark, sf_dir: str) -> DataFrame:
     region_keys = read_star(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("region"))
     base = (o.join(per_order, o.o_orderkey == per_order.l_orderkey, "left")
              .join(cust, o.o_custkey == cust.c_custkey)
-             .join(broadcast_if_small(geo, 100_000), F.col("c_nationkey") == F.col("n_nationkey"))
+             .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
              .groupBy("region")
              .agg((F.coalesce(F.sum("rev"), F.lit(0)) * 100).cast("long").alias("cents"),
                   F.count(F.lit(1)).alias("orders")))

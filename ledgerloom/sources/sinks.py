@@ -1,12 +1,12 @@
-"""Sinks: table materialization with contract enforcement and column comments.
+"""Sinks: build runs, table writes, and contracts checked before anything is published.
 
-``write_table`` is a full-replace Parquet write (idempotent: a retried or
-re-run job overwrites the same folder; Spark's commit protocol only exposes
-complete outputs).  ``write_contracted`` first casts to the declared contract
-(column set, order and types; a missing column fails before any work), writes,
-then validates not-null columns on the *written* files (a narrow columnar scan,
-not a second pass over the plan).  Primary keys are reported, not enforced, as
-in warehouses where key constraints are informational.
+A build writes into a folder of its own, ``root/runs/<run id>/{landed,intermediate,published}/<table>``,
+so it never overwrites what it or any reader reads.  Each contracted table is *staged* there: cast to
+its contract, written once, then checked on the written files (not-null columns and primary key).
+Only after all checks does ``publish_run`` add a manifest, by a rename within the file system; readers
+follow the newest manifest.  A crash before that leaves the previous run in force, and a later build starts
+a new run.  All paths go through the Hadoop file system of their scheme, so ``hdfs:``, ``s3a:``, ``abfss:`` and
+``file:`` roots behave alike.  Old runs are kept; ``old_runs`` lists those that may be removed.
 
 Facts are rebalanced on their month before the write (AQE splits a hot month
 across tasks instead of landing it in one) and written partitioned by month,
@@ -15,43 +15,114 @@ so date filters prune whole folders.
 
 from __future__ import annotations
 
-import os
+import json
+import time
+import uuid
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.quality import CONTRACTS, enforce_contract
+from ledgerloom.sources.descriptions import COLUMN_TEXT, TABLE_TEXT
 
-# Model -> (date column for month partitioning, column descriptions)
-TABLE_META: dict[str, tuple[str | None, dict[str, str]]] = {
-    "fct_sales_orders": ("order_date", {"total_revenue": "Sum of parsed line revenue; 0 when none",
-                                        "has_unparsed_products": "JSON text present but not parseable"}),
-    "fct_order_lines": ("order_date", {"line_margin": "Revenue minus quantity x unit cost, when cost known"}),
-    "fct_b2b_orders": ("order_date", {"is_cancelled_or_returned": "status in (cancelled, returned)"}),
-    "dim_customers": (None, {"customer_value_segment": "Percent rank of units purchased: <=0.2 high, <=0.6 mid"}),
-    "dim_b2b_customers": (None, {"health_score": "100 - 10 x open tickets - 20 if return rate > 0.2, floor 0"}),
-    "dim_regional_sales_targets": (None, {}),
-}
-
-
+# Model -> date column for month partitioning.
+TABLE_MONTH = {"fct_sales_orders": "order_date", "fct_order_lines": "order_date", "fct_b2b_orders": "order_date",
+               "consolidated_revenue": "order_date"}
 # Partition column of month-partitioned tables (folder ``p_month=YYYY-MM-01``); dropped on read.
 PART_COL = "p_month"
+LAYERS = ("landed", "intermediate", "published")
 
 
 class ContractViolation(RuntimeError):
     pass
 
 
-def with_comments(df: DataFrame, comments: dict[str, str]) -> DataFrame:
-    """Attach column descriptions as field metadata (persisted in the Parquet schema)."""
-    if not comments:
-        return df
-    return df.select(*[F.col(c).alias(c, metadata={"comment": comments[c]}) if c in comments else F.col(c)
-                       for c in df.columns])
+# ---------------------------------------------------------------- files through Hadoop
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    p, fs = _fs(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Appears under its name only when complete: written aside, then renamed to a new name."""
+    aside, fs = _fs(spark, f"{path}.writing")
+    out = fs.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(aside, _fs(spark, path)[0]):
+        raise OSError(f"cannot rename to {path}")
+
+
+# ---------------------------------------------------------------- runs
+
+@dataclass
+class Run:
+    """Tables of one build.  ``tables``: layer -> names that are written completely."""
+    root: str
+    run_id: str
+    tables: dict[str, list[str]] = field(default_factory=lambda: {k: [] for k in LAYERS})
+
+    def path(self, layer: str, name: str) -> str:
+        return f"{self.root.rstrip('/')}/runs/{self.run_id}/{layer}/{name}"
+
+    def has(self, layer: str, name: str) -> bool:
+        return name in self.tables[layer]
+
+
+def _manifests(root: str) -> str:
+    return f"{root.rstrip('/')}/manifests"
+
+
+def new_run(root: str) -> Run:
+    return Run(root, f"{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{time.time_ns() % 10**9:09d}-{uuid.uuid4().hex[:8]}")
 
 
-def write_table(df: DataFrame, path: str, month_of: str | None = None, mode: str = "overwrite") -> None:
-    """Full-replace Parquet table; with ``month_of`` partitioned by that date's month.
+def publish_run(spark: SparkSession, run: Run) -> None:
+    _write_text(spark, f"{_manifests(run.root)}/{run.run_id}.json", json.dumps({"run": run.run_id, "tables": run.tables}))
+
+
+def current_run(spark: SparkSession, root: str) -> Run:
+    """The newest published run; raises when there is none (nothing is derived anew in silence)."""
+    names = [n for n in _names(spark, _manifests(root)) if n.endswith(".json")]
+    if not names:
+        raise FileNotFoundError(f"no published run under {root}")
+    text = "".join(r.value for r in spark.read.text(f"{_manifests(root)}/{names[-1]}").collect())
+    found = json.loads(text)
+    return Run(root, found["run"], found["tables"])
+
+
+def old_runs(spark: SparkSession, root: str) -> list[str]:
+    """Folders of runs other than the one in force (replaced, or never published)."""
+    now = current_run(spark, root).run_id
+    return [f"{root.rstrip('/')}/runs/{n}" for n in _names(spark, f"{root.rstrip('/')}/runs") if n != now]
+
+
+# ---------------------------------------------------------------- tables
+
+def with_comments(df: DataFrame, model: str) -> DataFrame:
+    """Column descriptions, and the table's on its first column, as field metadata (kept in the Parquet schema)."""
+    def meta(k: int, c: str) -> dict:
+        out = {"comment": COLUMN_TEXT[c]} if c in COLUMN_TEXT else {}
+        return out | ({"table_comment": TABLE_TEXT[model]} if not k and model in TABLE_TEXT else {})
+
+    return df.select(*[F.col(c).alias(c, metadata=meta(k, c)) for k, c in enumerate(df.columns)])
+
+
+def write_table(df: DataFrame, path: str, month_of: str | None = None, mode: str = "errorifexists") -> None:
+    """Parquet table; with ``month_of`` partitioned by that date's month.
 
     The ``rebalance`` hint clusters rows by month without a sampling pass; AQE
     then splits a month that is too large for one task and merges small ones,
@@ -69,36 +140,28 @@ def read_table(spark, path: str) -> DataFrame:
     return df.drop(PART_COL) if PART_COL in df.columns else df
 
 
-def write_contracted(df: DataFrame, model: str, path: str, on_violation: str = "error",
-                     partition_facts: bool = True) -> dict:
-    """Enforce the model's contract, write it, validate not-null on the written table.
-
-    Returns ``{"model", "path", "not_null_violations"}``; raises ``ContractViolation``
-    when violations exist and ``on_violation == "error"``.
-    """
-    month_of, comments = TABLE_META.get(model, (None, {}))
-    typed = with_comments(enforce_contract(df, model), comments)
-    write_table(typed, path, month_of if partition_facts else None)
-    _, cols = CONTRACTS[model]
+def violations(written: DataFrame, model: str) -> dict[str, int]:
+    """Column -> rows that break a not-null rule, or values that break the primary key, of a staged table."""
+    pk, cols = CONTRACTS[model]
     required = [c for c, _, req in cols if req]
-    written = read_table(df.sparkSession, path)
-    rule = F.lit(False)
-    for c in required:
-        rule = rule | F.col(c).isNull()
-    violations = written.select(*required).agg(F.count_if(rule).alias("v")).first()["v"] if required else 0
-    report = {"model": model, "path": path, "not_null_violations": int(violations)}
-    if violations and on_violation == "error":
-        raise ContractViolation(f"{model}: {violations} rows violate not-null columns {required}")
-    return report
-
-
-def landing_path(root: str, name: str) -> str:
-    return os.path.join(root, "landed", name)
-
-
-def intermediate_path(root: str, name: str) -> str:
-    return os.path.join(root, "intermediate", name)
-
-
-def published_path(root: str, name: str) -> str:
-    return os.path.join(root, "published", name)
+    found = {}
+    if required:
+        row = written.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first()
+        found = {c: row[c] for c in required if row[c]}
+    if pk:
+        # Nulls of the key are counted above when it is required.
+        twice = written.where(F.col(pk).isNotNull()).groupBy(pk).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").count()
+        if twice:
+            found[pk] = found.get(pk, 0) + twice
+    return found
+
+
+def write_contracted(df: DataFrame, model: str, path: str, tolerate: frozenset = frozenset()) -> dict:
+    """Stages a contracted table and checks it; raises ``ContractViolation`` unless every broken
+    ``model.column`` is listed in ``tolerate``.  Missing columns and types that cannot be cast fail first."""
+    write_table(with_comments(enforce_contract(df, model), model), path, TABLE_MONTH.get(model))
+    found = violations(read_table(df.sparkSession, path), model)
+    bad = {c: n for c, n in found.items() if f"{model}.{c}" not in tolerate}
+    if bad:
+        raise ContractViolation(f"{model}: {bad}")
+    return {"model": model, "path": path, "violations": found}

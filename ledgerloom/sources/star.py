@@ -38,28 +38,10 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-# Tables whose rows feed per-row heavy work (JSON assembly, versions, parsing).
-SPREAD_TABLES = {"lineitem", "orders", "customer", "events"}
-
-
 def read_star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one star table with its declared schema.
 
     Downstream selects/filters prune the read schema and push predicates into
-    the Parquet scan; nothing here forces a column.  A Parquet row group is the
-    smallest scan split, so a large table stored as one or few row groups would
-    be read by one or few tasks; when a scan plans to fewer splits than the
-    cluster's default parallelism, its (pruned) rows are spread round-robin.  On
-    data laid out in many files or row groups (the normal case at scale) the
-    scan already has enough splits and nothing is added.
+    the Parquet scan; nothing here forces a column or a shuffle.
     """
-    df = spark.read.schema(STAR_SCHEMAS[name]).parquet(table_path(sf_dir, name))
-    if name in SPREAD_TABLES:
-        try:
-            target = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # e.g. a Spark Connect session: no RDD view, keep the scan as is
-            return df
-        if splits < target:
-            df = df.repartition(target)
-    return df
+    return spark.read.schema(STAR_SCHEMAS[name]).parquet(table_path(sf_dir, name))

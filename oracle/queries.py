@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.sql import AS_OF, query
-from oracle.sql import avg_money as avg_money_sql
+from oracle.sql import AS_OF, SYNCED, average, query
 
 ORACLE: dict[str, str] = {}
 
@@ -109,6 +108,14 @@ ORACLE["metric_derived"] = query(
     "FULL OUTER JOIN (SELECT region AS customer_region, count(customer_id) AS total_customers FROM dim_customers "
     "      GROUP BY 1) b ON a.customer_region IS NOT DISTINCT FROM b.customer_region")
 
+ORACLE["metric_gap_filled_ratio"] = query(
+    "SELECT s.m AS metric_time__month, g.has_promo, v.avg_b2c_order_value FROM (SELECT DISTINCT CAST(date_trunc('month', d) "
+    "AS DATE) AS m FROM (SELECT unnest(generate_series(CAST(min(order_date) AS TIMESTAMP), CAST(max(order_date) AS TIMESTAMP), "
+    "INTERVAL 1 DAY)) AS d FROM fct_sales_orders)) s CROSS JOIN (SELECT DISTINCT has_promo FROM fct_sales_orders) g "
+    "LEFT JOIN (SELECT CAST(date_trunc('month', order_date) AS DATE) AS m, has_promo, "
+    f"{_div('sum(total_revenue)', 'count(order_id)')} AS avg_b2c_order_value FROM fct_sales_orders GROUP BY 1, 2) v "
+    "ON v.m = s.m AND v.has_promo IS NOT DISTINCT FROM g.has_promo")
+
 ORACLE["metric_totals"] = query(
     "SELECT (SELECT count(customer_id) FROM dim_customers) AS total_customers, "
     "(SELECT count(order_id) FROM fct_sales_orders) AS total_b2c_orders, "
@@ -135,6 +142,12 @@ ORACLE["raw_vs_governed"] = query(
     "(SELECT CAST(sum(units_purchased) AS BIGINT) FROM dim_customers) AS governed_units, "
     "(SELECT count(*) FROM orders) AS raw_orders, (SELECT count(*) FROM fct_sales_orders) AS governed_orders")
 
+ORACLE["raw_orders_by_region"] = query(
+    "SELECT c.region, count(o.order_datetime) AS order_rows, CAST(sum(o.n) AS BIGINT) AS line_items FROM "
+    "(SELECT o_custkey, CASE WHEN o_orderkey % 89 = 0 THEN 0 ELSE date_diff('second', TIMESTAMP '1970-01-01', o_orderdate) END "
+    "AS order_datetime, (SELECT count(*) FROM lineitem l WHERE l.l_orderkey = orders.o_orderkey) AS n FROM orders) o "
+    "LEFT JOIN raw_customers c ON c.customer_id = o.o_custkey GROUP BY 1")
+
 # ---------------------------------------------------------------- data quality
 from ledgerloom.operators.quality import CONTRACTS, TESTS  # noqa: E402
 
@@ -185,6 +198,22 @@ def _dq_sql(kind):
     return query("\nUNION ALL\n".join(parts))
 
 
+_ROW_RULES = ("not_null", "accepted_values", "between")
+ORACLE["dq_row_rules"] = query("\nUNION ALL\n".join(
+    f"SELECT '{t.model}' AS model, '{t.column}' AS column_name, '{t.test}' AS test_name, "
+    f"CAST(count_if({_rule_sql(t)}) AS BIGINT) AS failures FROM {_m(t.model)}" for t in TESTS if t.test in _ROW_RULES))
+
+
+def _failing_sql(t):
+    bad = _rule_sql(t) if t.test in _ROW_RULES else (
+        f"ch.{t.column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {_m(t.parent[0])} pa WHERE pa.{t.parent[1]} = ch.{t.column})")
+    return (f"SELECT '{t.model}' AS model, '{t.column}' AS column_name, '{t.test}' AS test_name, "
+            f"CAST(ch.{t.column} AS VARCHAR) AS failing_value, count(*) AS rows FROM {_m(t.model)} ch WHERE {bad} GROUP BY ALL")
+
+
+ORACLE["dq_failing_values"] = query("\nUNION ALL\n".join(
+    _failing_sql(t) for t in TESTS if t.test in ("accepted_values", "between", "relationships")))
+
 for _kind in ("not_null", "unique", "accepted_values", "between", "relationships"):
     ORACLE[f"dq_{_kind}"] = _dq_sql(_kind)
 
@@ -225,16 +254,15 @@ def _contract_sql():
 
 ORACLE["dq_contract"] = _contract_sql()
 
-from ledgerloom import config as _C  # noqa: E402
-
-_FRESH_AS_OF = f"TIMESTAMP '{_C.FRESHNESS_AS_OF.isoformat(sep=' ')}'"
+_FRESH_AS_OF = "TIMESTAMP '2001-12-01 00:25:00'"
 ORACLE["source_freshness"] = query(
     f"SELECT source, max_synced, CAST(floor(date_diff('second', max_synced, {_FRESH_AS_OF}) / 60) AS BIGINT) "
     f"AS minutes_since_sync, CASE WHEN floor(date_diff('second', max_synced, {_FRESH_AS_OF}) / 60) > "
-    f"{_C.FRESHNESS_ERROR_HOURS * 60} THEN 'ERROR' WHEN floor(date_diff('second', max_synced, {_FRESH_AS_OF}) / 60) > "
-    f"{_C.FRESHNESS_WARN_HOURS * 60} THEN 'WARN' ELSE 'PASS' END AS freshness_status FROM ("
+    f"780 THEN 'ERROR' WHEN floor(date_diff('second', max_synced, {_FRESH_AS_OF}) / 60) > "
+    f"420 THEN 'WARN' ELSE 'PASS' END AS freshness_status FROM ("
     "SELECT 'customers' AS source, max(synced) AS max_synced FROM raw_customers "
-    f"UNION ALL SELECT 'sales_orders', max(TIMESTAMP '{_C.SYNC_TS.isoformat(sep=' ')}' - (o_orderkey % 720) "
+    "UNION ALL SELECT 'loyalty_segments', max(synced) FROM loyalty "
+    f"UNION ALL SELECT 'sales_orders', max({SYNCED} - (o_orderkey % 720) "
     "* INTERVAL 1 MINUTE) FROM orders "
     "UNION ALL SELECT 'ret_customers', max(synced) FROM ret_customers "
     "UNION ALL SELECT 'ret_orders', max(synced) FROM ret_orders "
@@ -249,7 +277,7 @@ ORACLE["audit_trace"] = query(
     "END AS promo_info, "
     "CASE WHEN o.o_orderkey % 53 = 0 THEN true WHEN o.o_orderkey % 3 = 0 THEN NULL ELSE false END "
     "AS _fivetran_deleted, "
-    f"TIMESTAMP '{_C.SYNC_TS.isoformat(sep=' ')}' - (o.o_orderkey % 720) * INTERVAL 1 MINUTE AS synced_at, "
+    f"{SYNCED} - (o.o_orderkey % 720) * INTERVAL 1 MINUTE AS synced_at, "
     "f.total_revenue FROM orders o JOIN fct_sales_orders f ON f.order_id = o.o_orderkey "
     "WHERE f.order_date >= DATE '1996-03-01' AND f.order_date < DATE '1996-04-01' "
     "AND f.customer_id IN (SELECT customer_id FROM dim_customers WHERE region = 'AMERICA')")
@@ -288,7 +316,7 @@ ORACLE["q_latest_orders"] = query(
 ORACLE["q_latest_synced"] = query(
     "SELECT o_orderkey AS id, o_custkey AS customer_id, "
     "CASE WHEN o_orderkey % 89 = 0 THEN 0 ELSE date_diff('second', TIMESTAMP '1970-01-01', o_orderdate) END "
-    f"AS order_datetime, TIMESTAMP '{_C.SYNC_TS.isoformat(sep=' ')}' - (o_orderkey % 720) * INTERVAL 1 MINUTE "
+    f"AS order_datetime, {SYNCED} - (o_orderkey % 720) * INTERVAL 1 MINUTE "
     "AS _fivetran_synced FROM orders ORDER BY _fivetran_synced DESC, id DESC LIMIT 10")
 ORACLE["q_spot_checks"] = query(
     "SELECT count(DISTINCT customer_id) AS distinct_customers, count(*) AS orders, "
@@ -298,12 +326,13 @@ ORACLE["q_scd2_versions"] = query(
 ORACLE["q_valid_to_histogram"] = query(
     "SELECT valid_to, count(*) AS versions FROM raw_customers GROUP BY 1")
 ORACLE["q_ltv_segment"] = query(
-    f"SELECT CASE WHEN ltv >= {_C.LTV_HIGH_MIN} THEN 'high' WHEN ltv >= {_C.LTV_MID_MIN} THEN 'mid' ELSE 'low' END "
+    f"SELECT CASE WHEN ltv >= 500 THEN 'high_value' WHEN ltv >= 100 THEN 'mid_value' ELSE 'low_value' END "
     "AS ltv_segment, count(*) AS customers, CAST(sum(ltv) AS DECIMAL(38,2)) AS lifetime_revenue "
     "FROM (SELECT coalesce(lifetime_revenue, 0) AS ltv FROM loyalty_campaign_targets) GROUP BY 1")
-ORACLE["q_price_tier"] = query(
-    f"SELECT CASE WHEN unit_cost >= {_C.PRICE_PREMIUM_MIN} THEN 'premium' WHEN unit_cost >= {_C.PRICE_MID_MIN} "
-    "THEN 'mid_range' ELSE 'budget' END AS price_tier, count(*) AS products FROM catalog GROUP BY 1")
+ORACLE["q_price_tier"] = (
+    "SELECT CASE WHEN price >= 1000 THEN 'premium' WHEN price >= 200 THEN 'mid_range' ELSE 'budget' END AS price_tier, "
+    "count(*) AS products FROM (SELECT CAST(p_retailprice AS DECIMAL(12,2)) * CASE p_partkey % 4 WHEN 0 THEN 0.1 "
+    "WHEN 1 THEN 0.5 WHEN 2 THEN 1.5 ELSE 1.0 END AS price FROM part WHERE p_partkey % 11 <> 0) GROUP BY 1")
 ORACLE["q_favourite_category"] = query(
     "SELECT customer_id, product_category AS favourite_category, CAST(rev AS DECIMAL(38,2)) AS category_revenue "
     "FROM (SELECT customer_id, product_category, rev, row_number() OVER (PARTITION BY customer_id "
@@ -311,7 +340,7 @@ ORACLE["q_favourite_category"] = query(
     "sum(line_revenue) AS rev FROM fct_order_lines WHERE product_category IS NOT NULL GROUP BY 1, 2)) WHERE rn = 1")
 ORACLE["q_order_measures"] = query(
     "SELECT channel, total_revenue, recognised_revenue, returned_revenue, orders, "
-    f"{avg_money_sql('total_revenue', 'n')} AS avg_order_value FROM (SELECT channel, "
+    f"{average('total_revenue', 'n')} AS avg_order_value FROM (SELECT channel, "
     "CAST(sum(revenue) AS DECIMAL(38,2)) AS total_revenue, CAST(sum(net_revenue) AS DECIMAL(38,2)) AS "
     "recognised_revenue, CAST(sum(revenue - net_revenue) AS DECIMAL(38,2)) AS returned_revenue, count(*) AS orders, "
     "count(revenue) AS n FROM consolidated_revenue GROUP BY 1)")

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import avg_money, blank_to_null, div0, epoch_date, epoch_ts, live_rows, pct, round_ratio
+from ledgerloom.functions.expr import average, blank_to_null, div0, epoch_date, epoch_ts, live_rows, pct, round_ratio
 
 
 def test_live_rows_keeps_false_and_null(spark):
@@ -48,11 +48,10 @@ def test_round_ratio_money_scales(spark):
     assert r.x == 1.25 and r.p == 125.0
 
 
-def test_avg_money_rounds_cents_exactly(spark):
+def test_average_is_not_rounded(spark):
     df = spark.createDataFrame([(Decimal("0.05"), 2), (Decimal("10.00"), 3), (Decimal("1.00"), 0)],
                                "s decimal(38,2), n long")
-    assert [r.x for r in df.select(avg_money("s", "n").alias("x")).collect()] == [
-        Decimal("0.03"), Decimal("3.33"), None]
+    assert [r.x for r in df.select(average("s", "n").alias("x")).collect()] == [0.025, 10 / 3, None]
 
 
 def test_round_ratio_matches_decimal_half_up_property(spark):

@@ -2,7 +2,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.lines import int_sales_order_lines, order_totals
+from ledgerloom.operators.lines import int_order_items, lines_from_items, totals_from_items
 from ledgerloom.operators.staging import stg_sales_orders
 
 EDGE_DOCS = [
@@ -17,9 +17,19 @@ EDGE_DOCS = [
     (14, '[{"product_id":14,"qty":1,"unit_price":"abc"}]'),
     (15, '[{"name":"no id","qty":1,"price":9}, {"product_id":15,"qty":2,"price":1.5}]'),
     (16, '[{"product_id":"16","qty":"2","price":"2.25"}]'),
+    # JSON white space around the document
+    (17, '\t[{"product_id":17,"qty":1,"price":1}]\r\n'), (18, ' \n {"a":{"product_id":18}}\n\t '),
+    # numbers that their types cannot hold
+    (19, '[{"product_id":19,"qty":1000000000000,"price":9999999999.99},{"product_id":19,"qty":1,"price":2}]'),
+    (20, '[{"product_id":99999999999999999999,"qty":1,"price":1},{"product_id":20,"qty":2,"price":1}]'),
+    (21, '[{"product_id":21,"qty":99999999999999999999,"price":1}]'),
 ]
 
 
+def int_sales_order_lines(stg, price_scale=2):
+    return lines_from_items(int_order_items(stg, price_scale))
+
+
 def _raw(spark):
     rows = [(i, i, 1, "c", 1700000000, t, 1, None, None, None, None) for i, t in EDGE_DOCS]
     return spark.createDataFrame(
@@ -41,6 +51,11 @@ def test_lines_edge_documents(spark):
         (14, 0): (14, 1, Decimal("0.00"), Decimal("0.00")),       # non-numeric price text -> 0
         (15, 1): (15, 2, Decimal("1.50"), Decimal("3.00")),       # element without product id dropped
         (16, 0): (16, 2, Decimal("2.25"), Decimal("4.50")),       # numeric text is read as a number
+        (17, 0): (17, 1, Decimal("1.00"), Decimal("1.00")), (18, 0): (18, 1, Decimal("0.00"), Decimal("0.00")),
+        (19, 0): (19, 10**12, Decimal("9999999999.99"), None),    # revenue beyond its type: null, the job goes on
+        (19, 1): (19, 1, Decimal("2.00"), Decimal("2.00")),
+        (20, 1): (20, 2, Decimal("1.00"), Decimal("2.00")),       # product id beyond BIGINT: dropped, also in the totals
+        (21, 0): (21, None, Decimal("1.00"), None),
     }
 
 
@@ -55,10 +70,11 @@ def test_strict_json_guard(spark):
 
 def test_fold_equals_explode_then_group(spark):
     stg = stg_sales_orders(_raw(spark))
-    rev, n = order_totals(F.col("ordered_products_json"))
-    fold = {r.order_id: (r.rev, r.n) for r in stg.select("order_id", rev.alias("rev"), n.alias("n")).collect()}
+    rev, n = totals_from_items(F.col("items"))
+    fold = {r.order_id: (r.rev, r.n) for r in
+            int_order_items(stg).select("order_id", rev.alias("rev"), n.alias("n")).collect()}
     grouped = {r.order_id: (r.rev, r.n) for r in int_sales_order_lines(stg).groupBy("order_id").agg(
-        F.sum("line_revenue").alias("rev"), F.count("*").alias("n")).collect()}
+        F.coalesce(F.sum("line_revenue"), F.lit(0)).alias("rev"), F.count("*").alias("n")).collect()}
     for oid, (r, k) in fold.items():
         assert grouped.get(oid, (None, None)) == (r, k), oid
 
@@ -71,9 +87,11 @@ def test_unscaled_price_rounds_half_up(spark):
 
 
 def test_items_path_equals_lateral_flatten(spark):
-    from ledgerloom.operators.lines import int_order_items, lines_from_items
+    """Positions and product ids against a lateral variant_explode of the documents."""
     stg = stg_sales_orders(_raw(spark))
-    a = sorted(tuple(r) for r in int_sales_order_lines(stg).collect())
-    b = sorted(tuple(r) for r in lines_from_items(int_order_items(stg)).select(*int_sales_order_lines(stg).columns)
-               .collect())
-    assert a == b and len(a) == 8
+    orders = stg.filter(F.col("ordered_products_json").isNotNull()).select("order_id", "ordered_products_json")
+    flat = orders.lateralJoin(spark.tvf.variant_explode(F.col("ordered_products_json").outer())).select(
+        "order_id", "pos", F.try_variant_get("value", "$.product_id", "long").alias("pid")).filter("pid is not null")
+    a = sorted(tuple(r) for r in flat.collect())
+    b = sorted(tuple(r) for r in int_sales_order_lines(stg).select("order_id", "line_number", "product_id").collect())
+    assert a == b and len(a) == 14

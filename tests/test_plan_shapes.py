@@ -40,11 +40,14 @@ def test_window_on_published_fact_prunes_month_folders(spark, tmp_path):
     import datetime as dt
 
     from ledgerloom.plans.project import RetailProject
-    from ledgerloom.sources.sinks import published_path, write_table
-    root = str(tmp_path)
+    from ledgerloom.sources.sinks import new_run, publish_run, write_table
+    root = f"file://{tmp_path}"
     rows = [(i, dt.date(2020, 1 + i % 12, 1 + i % 28)) for i in range(240)]
     df = spark.createDataFrame(rows, "order_id long, order_date date")
-    write_table(df, published_path(root, "fct_b2b_orders"), month_of="order_date")
+    run = new_run(root)
+    write_table(df, run.path("published", "fct_b2b_orders"), month_of="order_date")
+    run.tables["published"].append("fct_b2b_orders")
+    publish_run(spark, run)
     p = RetailProject(spark, "/nonexistent", root=root)
     w = p.window("fct_b2b_orders", "order_date", F.lit(dt.date(2020, 3, 15)), F.lit(dt.date(2020, 5, 1)))
     assert w.columns == ["order_id", "order_date"]
@@ -52,3 +55,29 @@ def test_window_on_published_fact_prunes_month_folders(spark, tmp_path):
     assert got == sorted(i for i, d in rows if dt.date(2020, 3, 15) <= d < dt.date(2020, 5, 1))
     plan = _plan(w)
     assert "PartitionFilters: [isnotnull(p_month" in plan and "p_month" in plan.split("PartitionFilters:")[1][:200]
+
+
+def test_aggregates_come_before_joins(spark):
+    """Only aggregated facts reach the joins, and the two reports need no Expand."""
+    from ledgerloom.plans import registry
+    from tests.conftest import SF0001
+    for key in ("promo_effectiveness", "regional_performance", "q_cancellation_kpis", "metric_aov", "semantic_select",
+                "semantic_b2b", "q_top_region"):
+        plan = _plan(registry.QUERIES[key](spark, SF0001))
+        assert "Expand" not in plan, key
+    joined = registry.QUERIES["metric_aov"](spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+    first_join = joined[joined.index("Join"):]
+    assert joined.index("Aggregate") < joined.index("Join") and "Aggregate" in first_join
+
+
+def test_building_a_query_runs_no_job(spark):
+    from ledgerloom.plans import registry
+    from tests.conftest import SF0001
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans-only", "no job may run")
+    try:
+        for key, fn in registry.QUERIES.items():
+            fn(spark, SF0001)
+        assert not tracker.getJobIdsForGroup("plans-only")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

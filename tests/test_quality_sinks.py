@@ -43,7 +43,8 @@ def test_contract_enforced_write(spark, tmp_path):
                                      "order_target int, notes string")
     rep = write_contracted(df, "dim_regional_sales_targets", str(tmp_path / "t"))
     back = read_table(spark, str(tmp_path / "t"))
-    assert rep["not_null_violations"] == 0
+    assert rep["violations"] == {}
+    assert all(f.metadata.get("comment") for f in back.schema.fields) and back.schema[0].metadata["table_comment"]
     assert [f.dataType.simpleString() for f in back.schema.fields] == [
         "string", "date", "decimal(18,2)", "bigint", "string"]
     with pytest.raises(ValueError):
@@ -51,6 +52,48 @@ def test_contract_enforced_write(spark, tmp_path):
     bad = spark.createDataFrame([(None, dt.date(2020, 1, 1), Decimal("1.00"), 1, "n")], df.schema)
     with pytest.raises(ContractViolation):
         write_contracted(bad, "dim_regional_sales_targets", str(tmp_path / "bad"))
+    told = frozenset({"dim_regional_sales_targets.region"})
+    assert write_contracted(bad, "dim_regional_sales_targets", str(tmp_path / "told"), told)["violations"] == {"region": 1}
+
+
+def test_primary_key_gate(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", dt.date(2020, 1, 1), Decimal(1), "s", False, None)] * 2,
+                               "order_id long, b2b_customer_id string, order_date date, amount decimal(18,2), status string, "
+                               "is_cancelled_or_returned boolean, cancel_return_reason string")
+    with pytest.raises(ContractViolation, match="order_id"):
+        write_contracted(df, "fct_b2b_orders", str(tmp_path / "t"))
+
+
+def test_every_published_column_is_described(spark):
+    from ledgerloom.plans.project import PUBLIC_MARTS, TABLE_MODELS, RetailProject
+    from ledgerloom.sources.descriptions import COLUMN_TEXT, TABLE_TEXT
+    from tests.conftest import SF0001
+    p = RetailProject(spark, SF0001)
+    for name in [*PUBLIC_MARTS, *(t for step in TABLE_MODELS for t in step)]:
+        assert name in TABLE_TEXT and not [c for c in p[name].columns if c not in COLUMN_TEXT], name
+
+
+def test_failing_rows_and_values(spark):
+    from ledgerloom.operators.quality import failing_rows, failing_values
+    child = spark.createDataFrame([(1, "x"), (1, "y"), (2, "q"), (3, None), (None, "q")], "id long, parent string")
+    p = FakeProject(spark, {"c": child, "p": spark.createDataFrame([("x",), ("y",), ("y",)], "pid string")})
+    tests = [ColumnTest("c", "id", "unique"), ColumnTest("c", "parent", "relationships", parent=("p", "pid")),
+             ColumnTest("c", "parent", "not_null"), ColumnTest("c", "id", "between", hi=2)]
+    rows = [sorted((tuple(r) for r in failing_rows(p, t).collect()), key=str) for t in tests]
+    assert rows == [[(1, "x"), (1, "y")], [(2, "q"), (None, "q")], [(3, None)], [(3, None)]]
+    got = {tuple(r)[1:] for r in failing_values(p, tests).collect()}
+    assert got == {("id", "unique", "1", 2), ("parent", "relationships", "q", 2), ("parent", "not_null", None, 1),
+                   ("id", "between", "3", 1)}
+
+
+def test_reconciliation_finds_a_seeded_mismatch(spark):
+    from ledgerloom.operators.quality import revenue_reconciliation
+    lines = spark.createDataFrame([(1, Decimal("5.00")), (1, Decimal("5.00")), (2, Decimal("1.00")), (3, Decimal("1.00"))],
+                                  "order_id long, line_revenue decimal(18,2)")
+    orders = spark.createDataFrame([(1, Decimal("10.00")), (2, Decimal("1.02")), (3, Decimal("1.01")), (4, Decimal("0.00"))],
+                                   "order_id long, total_revenue decimal(18,2)")
+    p = FakeProject(spark, {"fct_order_lines": lines, "fct_sales_orders": orders})
+    assert [(r.order_id, r.diff) for r in revenue_reconciliation(p).collect()] == [(2, Decimal("0.02"))]
 
 
 def test_fact_written_by_month(spark, tmp_path):
@@ -73,15 +116,3 @@ def test_combine_on_keys_null_keys_and_single_rows(spark):
     assert tuple(one.first()) == (2, 60.0)
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
-
-
-def test_size_check_is_remembered_per_plan_and_files(spark, tmp_path):
-    from ledgerloom.operators.joins import _CHECKED, has_at_most
-    spark.range(5).write.parquet(str(tmp_path / "s"))
-    df = spark.read.parquet(str(tmp_path / "s"))
-    assert has_at_most(df, 10) and has_at_most(df, 10)
-    n = len(_CHECKED)
-    spark.range(50).write.mode("overwrite").parquet(str(tmp_path / "s"))
-    df2 = spark.read.parquet(str(tmp_path / "s"))
-    assert not has_at_most(df2, 10)          # rewritten files -> checked again
-    assert len(_CHECKED) == n + 1

@@ -29,6 +29,20 @@ def test_health_score_and_status(spark):
     assert (h["A7"].return_rate, h["A7"].total_orders, h["A7"].health_score) == (None, 0, 100)
 
 
+def test_bands_of_lifetime_value(spark):
+    from ledgerloom.plans.questions import ltv_segments
+
+    class P(dict):
+        pass
+    cust = spark.createDataFrame([(k, f"n{k}", "R") for k in range(1, 8)],
+                                 "customer_id long, customer_name string, region string")
+    money = {1: "500.00", 2: "499.99", 3: "100.00", 4: "99.99", 5: "-3.00", 6: "12000.00"}
+    orders = spark.createDataFrame([(k, k, Decimal(m)) for k, m in money.items()],
+                                   "order_id long, customer_id long, total_revenue decimal(18,2)")
+    got = {r.ltv_segment: r.customers for r in ltv_segments(P(dim_customers=cust, fct_sales_orders=orders)).collect()}
+    assert got == {"high_value": 2, "mid_value": 2, "low_value": 3}   # no orders counts as 0
+
+
 def test_promo_window_bounds_and_budget(spark):
     camp = spark.createDataFrame([
         ("P", "p", 10, "seasonal", D(2020, 3, 1), D(2020, 3, 31), "all", Decimal("100.00")),
@@ -46,7 +60,7 @@ def test_promo_window_bounds_and_budget(spark):
         "number_of_line_items long, has_promo boolean")
     r = {x.promo_code: x for x in rpt_promo_effectiveness(orders, camp).collect()}
     assert (r["P"].total_orders, r["P"].gross_revenue, r["P"].campaign_roi_pct, r["P"].revenue_per_dollar_spent,
-            r["P"].avg_order_value) == (2, Decimal("125.00"), 25.0, 1.25, Decimal("62.50"))
+            r["P"].avg_order_value) == (2, Decimal("125.00"), 25.0, 1.25, 62.5)
     assert (r["Z"].total_orders, r["Z"].campaign_roi_pct, r["Z"].revenue_per_dollar_spent) == (1, None, None)
     assert (r["U"].total_orders, r["U"].gross_revenue, r["U"].campaign_roi_pct) == (0, Decimal("0.00"), -100.0)
 

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -58,7 +59,7 @@ def test_percent_rank_matches_window(spark):
     rnd = random.Random(11)
     rows = [(i, rnd.choice([None] + list(range(40)))) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, u long")
-    got = {r.id: r.pct_rank for r in with_percent_rank(df, "u", slices=7).collect()}
+    got = {r.id: r.pct_rank for r in with_percent_rank(df, "u").collect()}
     w = Window.orderBy(F.col("u").desc_nulls_first())
     exp = {r.id: r.p for r in df.select("id", F.percent_rank().over(w).alias("p")).collect()}
     assert got == exp
@@ -72,11 +73,41 @@ def test_percent_rank_single_row_and_ascending(spark):
     assert got == {2: 0.0, 3: 1 / 3, 4: 1 / 3, 1: 1.0}
 
 
-def test_percent_rank_has_no_single_partition_sort_of_all_rows(spark):
+def test_percent_rank_windows_are_bounded(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 37).alias("u"))
     plan = with_percent_rank(df, "u")._jdf.queryExecution().executedPlan().toString()
-    # The only unpartitioned window runs over one row per range slice.
-    assert "rangepartitioning" in plan.lower()
+    windows = [x for x in plan.splitlines() if "Window" in x]
+    # Every window is over counts of 16-bit digits (at most 65,537 in a group), never over the rows.
+    assert windows and all("sum(_c#" in x for x in windows)
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_percent_rank_of_a_million_values(spark, reuse):
+    """The same ranks whether exchanges are reused or made again; values of both signs, ties and nulls."""
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        n = 1_000_000
+        v = (F.col("id") * 7919 % n - n // 2) * 4_000_000_007
+        df = spark.range(n + 500).select(F.when(F.col("id") >= n + 100, None).when(F.col("id") >= n, 0).otherwise(v).alias("u"))
+        got = with_percent_rank(df, "u", descending=False, nulls_first=True)
+        place = F.col("u") / 4_000_000_007 + n // 2   # 0 .. n-1; the value 0 occurs 101 times
+        before = F.when(F.col("u").isNull(), 0).otherwise(400 + place + F.when(place > n // 2, 100).otherwise(0))
+        wrong = got.filter(~(F.abs(F.col("pct_rank") - before / (n + 499)) < 1e-12)).count()
+        assert wrong == 0 and got.count() == n + 500
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_percent_rank_extremes(spark):
+    rows = [(v,) for v in (-2**63, -1, 0, 1, 65535, 65536, 2**63 - 1, None, 2**32, -2**32)]
+    df = spark.createDataFrame(rows, "u long")
+    for down, first in ((True, True), (False, False), (True, False)):
+        got = {r.u: r.pct_rank for r in with_percent_rank(df, "u", down, first).collect()}
+        order = sorted((v for v, in rows if v is not None), reverse=down)
+        order = [None, *order] if first else [*order, None]
+        assert got == {v: k / 9 for k, v in enumerate(order)}
+    with pytest.raises(TypeError):
+        with_percent_rank(df.select(F.col("u").cast("string").alias("u")), "u")
 
 
 def test_scd2_resolution_property(spark):
