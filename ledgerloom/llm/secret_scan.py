@@ -1,8 +1,8 @@
 """Secret scans: base patterns, and a guess-cost rule for values in a credential context.
 
-The guess cost of a value is the least total of bits over all segmentations into dictionary
-words, dates, repeats, keyboard walks and brute-force characters (dynamic programming over
-end positions).  A value whose cost reaches ``min_bits`` is hard to guess, so it is a secret
+The guess cost of a value is the least total of bits over all segmentations into words (of a
+dictionary, or letters that read like a word), dates, repeats, keyboard walks and brute-force
+characters (dynamic programming over end positions).  A value whose cost reaches ``min_bits`` is hard to guess, so it is a secret
 and not a placeholder such as ``changeme``.  Base spans are always kept; the rule adds spans.
 
 Defined cases: a null text counts as empty and has no spans; texts of any length are scanned
@@ -67,6 +67,11 @@ DATE = re.compile(r"(?:19|20)\d\d(?:([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d
                   r"|(?:0?[1-9]|[12]\d|3[01])([-/._]?)(?:0?[1-9]|1[0-2])\2(?:19|20)\d\d", re.ASCII)
 
 
+#: Letters that read like a word of some language: at most three consonants or two vowels in a row.
+SPOKEN = re.compile(r"(?:[b-df-hj-np-tv-xz]{0,3}[aeiouyäöüáéíóúàèêçñß]{1,2})+[b-df-hj-np-tv-xz]{0,3}")
+SPOKEN_BITS = 2.2
+
+
 def _char_bits(c: str) -> float:
     if not c.isascii():
         return 8.0
@@ -96,6 +101,7 @@ def guess_bits(value: str, rules: GuessRules = GuessRules()) -> float:
     for a in range(n):
         if value[a].isdigit() and (m := DATE.match(value, a)):
             dates.setdefault(a, []).append(m.end())
+    spoken = {m.start(): m.end() for m in SPOKEN.finditer(low) if m.end() - m.start() >= 4}
     run_end, walk_end, turns = 0, 0, 0
     brute = float("inf")
     for a in range(n):
@@ -107,6 +113,8 @@ def guess_bits(value: str, rules: GuessRules = GuessRules()) -> float:
                 if rank := ranks.get(word):
                     upper = sum(c.isupper() for c in value[a:a + size])
                     offer(a, a + size, log2(rank + 1) + extra + (0 if not upper else 1 if upper in (1, size) else size))
+        if b := spoken.get(a):  # a word that the dictionary lacks: letters at the entropy of prose
+            offer(a, b, SPOKEN_BITS * (b - a) + sum(c.isupper() for c in value[a + 1:b]))
         for b in dates.get(a, ()):
             offer(a, b, log2(2 * rules.max_year_distance) + (log2(365) + 2 if b - a > 4 else 0))
         if a >= run_end:
