@@ -1,6 +1,6 @@
 """Small helpers shared by the operators: reading a table and mapping Arrow batches.
 
-An Arrow batch holds ``BATCH_ROWS`` rows, so a task's Python worker keeps a few
+An Arrow batch holds at most ``BATCH_ROWS`` rows and about ``BATCH_BYTES``, so a task's Python worker keeps a few
 hundred texts at a time, whatever the size of the input split.
 """
 
@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-BATCH_ROWS = 256
+BATCH_ROWS, BATCH_BYTES = 256, 16 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

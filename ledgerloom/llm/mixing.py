@@ -25,7 +25,7 @@ from fractions import Fraction
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -168,12 +168,9 @@ def mix(docs: DataFrame, members: Column, weights=WEIGHTS, percent: int = 150, m
               .withColumn("place", place).withColumn("bucket", F.expr("(place * buckets) >> 32")))
     sums = placed.where("rest > 0").groupBy("pattern", "rest", "bucket").agg(F.sum("size").alias("words"))
     # One row for each bucket, so a pattern's rows here are documents / docs_per_bucket.
-    sums.createOrReplaceTempView(view := f"mix_sums_{abs(hash(id(sums)))}")
-    edges = spark.sql(f"""
-        SELECT pattern, bucket AS edge, rest - upto + words AS room FROM (
-          SELECT *, sum(words) OVER (PARTITION BY pattern ORDER BY bucket) AS upto FROM {view})
-        WHERE upto >= rest AND upto - words < rest""").collect()  # at most one for each pattern
-    spark.catalog.dropTempView(view)
+    upto = F.sum("words").over(Window.partitionBy("pattern").orderBy("bucket"))
+    edges = (sums.withColumn("upto", upto).where("upto >= rest and upto - words < rest")  # at most one for each pattern
+             .select("pattern", "bucket", F.expr("rest - upto + words")).collect())
     edge = _side(spark, [tuple(r) for r in edges], "pattern string, edge long, room long")
     placed = placed.join(edge, "pattern", "left")
     filled = (placed.where("bucket = edge and size > 0").groupBy(*keep, "room", "place")
