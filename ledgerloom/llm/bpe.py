@@ -22,7 +22,7 @@ import re
 import unicodedata
 from collections.abc import Iterable
 from functools import lru_cache
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,9 @@ from ledgerloom.llm.common import map_arrow, schema_of, texts
 REMEMBERED = 1 << 18
 #: Fragments up to this length are scanned for each merge; longer ones use a heap.
 SCANNED = 24
-NEVER = (1 << 60, -1)
+TOKEN_BITS = 24
+TOKEN = (1 << TOKEN_BITS) - 1
+NEVER = 1 << 62
 #: Below this code point, Unicode's categories have not changed between versions.
 SETTLED = 0x530
 UNSETTLED = re.compile(f"[^\\x00-\\u{SETTLED - 1:04x}]")
@@ -70,7 +72,8 @@ class Encoder:
         self.ids: dict[str, int] = model["vocab"]
         self.tokens = {i: t for t, i in self.ids.items()}
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.ranks = {(self.ids[a], self.ids[b]): (k, self.ids[a + b])
+        # Of a mergeable pair: its rank, and the token that it makes, in one number that orders by rank.
+        self.ranks = {(self.ids[a], self.ids[b]): k << TOKEN_BITS | self.ids[a + b]
                       for k, (a, b) in reversed([*enumerate(merges)])}
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens |= {i: t for t, i in self.specials.items()}
@@ -129,27 +132,29 @@ class Encoder:
             ids[-1] = self.last[raw[-1]]
         if len(ids) > SCANNED:
             return self._by_heap(ids)
-        ranks = self.ranks
-        while len(ids) > 1:
-            found = [ranks.get(p, NEVER) for p in pairwise(ids)]
-            rank, new = least = min(found)
-            if rank == NEVER[0]:
-                break
+        get = self.ranks.get
+        found = [get(p, NEVER) for p in pairwise(ids)]
+        while found and (least := min(found)) < NEVER:
             k = found.index(least)
-            ids[k:k + 2] = [new]
+            ids[k] = least & TOKEN
+            del ids[k + 1], found[k]
+            if k:
+                found[k - 1] = get((ids[k - 1], ids[k]), NEVER)
+            if k < len(found):
+                found[k] = get((ids[k], ids[k + 1]), NEVER)
         return tuple(ids)
 
     def _by_heap(self, ids: list[int]) -> tuple[int, ...]:
         """The same for long fragments: a linked list, and a heap of the pairs that can be merged."""
         n, ranks = len(ids), self.ranks
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
-        heap = [(rank, k, new, a, b) for k, (a, b) in enumerate(pairwise(ids))
-                for rank, new in [ranks.get((a, b), NEVER)] if rank < NEVER[0]]
+        heap = [(m >> TOKEN_BITS, k, m & TOKEN, a, b) for k, (a, b) in enumerate(pairwise(ids))
+                if (m := ranks.get((a, b))) is not None]
         heapq.heapify(heap)
 
         def offer(k: int, j: int) -> None:
-            if m := ranks.get((ids[k], ids[j])):
-                heapq.heappush(heap, (m[0], k, m[1], ids[k], ids[j]))
+            if (m := ranks.get((ids[k], ids[j]))) is not None:
+                heapq.heappush(heap, (m >> TOKEN_BITS, k, m & TOKEN, ids[k], ids[j]))
 
         while heap:
             _, k, new, a, b = heapq.heappop(heap)
@@ -164,28 +169,29 @@ class Encoder:
                 offer(before[k], k)
         return tuple(i for i in ids if i >= 0)
 
-    def _of_word(self, word: str) -> tuple[int, str, str, bytes]:
-        """Tokens of a word: their number, ids and texts joined by blanks, and ids as int32."""
-        cut = self.fragments(word.encode("utf-8", "replace"))
-        ids = [i for k, part in enumerate(cut, 1) for i in self.fragment(part, k == len(cut))]
-        return self.packed(ids)
+    def _of_word(self, word: str) -> tuple[int, str, str, tuple[int, ...]]:
+        """Tokens of a word: their number, ids and texts joined by blanks, and the ids."""
+        *cut, last = self.fragments(word.encode("utf-8", "replace"))
+        ids = ()
+        for part in cut:
+            ids += self.fragment(part, False)
+        return self.packed(ids + self.fragment(last, True))
 
-    def packed(self, ids: list[int]) -> tuple[int, str, str, bytes]:
-        return (len(ids), " ".join(map(str, ids)), " ".join(self.tokens[i] for i in ids),
-                np.array(ids, np.int32).tobytes())
+    def packed(self, ids: tuple[int, ...]) -> tuple[int, str, str, tuple[int, ...]]:
+        return len(ids), " ".join(map(str, ids)), " ".join(map(self.tokens.__getitem__, ids)), ids
 
-    def encoded(self, text: str) -> list[tuple[int, str, str, bytes]]:
+    def encoded(self, text: str) -> list[tuple[int, str, str, tuple[int, ...]]]:
         """The packed tokens of each word and special token of ``text``."""
         out = []
         for k, part in enumerate(self.cut_specials.split(text)):
             if k % 2:
-                out.append(self.packed([self.specials[part]]))
+                out.append(self.packed((self.specials[part],)))
             elif part:
                 out += map(self.of_word, self.words(part))
         return out
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(b"".join(p[3] for p in self.encoded(text)), np.int32).tolist()
+        return [i for p in self.encoded(text) for i in p[3]]
 
     def decode(self, ids: Iterable[int]) -> str:
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
@@ -214,16 +220,16 @@ def bpe_tokens(docs: DataFrame, path: str, carry: tuple[str, ...] = (), with_ids
             ends, flat = [0], []
             for text in texts(batch):
                 parts = tool.encoded(text)
-                counts, ids, tokens, packed = zip(*parts, strict=True) if parts else ((), (), (), ())
+                counts, ids, tokens, of_words = zip(*parts, strict=True) if parts else ((), (), (), ())
                 out["n_tokens"].append(sum(counts))
                 out["ids_sha256"].append(hashlib.sha256(" ".join(ids).encode()).hexdigest())
                 out["decoded_sha256"].append(hashlib.sha256(" ".join(tokens).encode()).hexdigest())
                 if with_ids:
-                    flat += packed
+                    flat.append(np.fromiter(chain.from_iterable(of_words), np.int32, sum(counts)))
                     ends.append(ends[-1] + out["n_tokens"][-1])
             if with_ids:
                 out["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                                      pa.array(np.frombuffer(b"".join(flat), np.int32)))
+                                                      pa.array(np.concatenate(flat)))
             return out
         return each
 
