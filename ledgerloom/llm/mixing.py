@@ -8,8 +8,8 @@ node for each pattern and source, and is all that the driver sees.
 The words that flow from a pattern are then taken from its documents in a seeded order: whole
 repetitions of all documents, and one more for some.  For that last part documents are hashed into
 buckets of about ``docs_per_bucket``; whole buckets are taken up to one edge bucket, whose
-documents are taken one by one as long as they fit, then one more if that comes closer.  Documents
-are always taken whole.
+documents are taken one by one as long as they fit, and exchanged while that comes closer.
+Documents are always taken whole.
 
 Defined cases: a null text or source counts as an empty text, and as a source of its own that
 comes last; rows that agree in id, sources and text share one decision; a document without words
@@ -19,6 +19,7 @@ takes nothing; targets without any words are 0; an empty table gives an empty re
 from __future__ import annotations
 
 import json
+from bisect import bisect_left
 from collections import deque
 from dataclasses import dataclass
 from fractions import Fraction
@@ -120,19 +121,46 @@ def _side(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return F.broadcast(table) if len(rows) <= MAX_BROADCAST_ROWS else table
 
 
-def _fill(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The documents of an edge bucket that are taken."""
-    pdf = pdf.sort_values(["place", "doc_id", "text_hash"], na_position="last")
-    room, taken, rest = int(pdf["room"].iloc[0]), [], []
-    for k, words in enumerate(pdf["words"]):
+def chosen(sizes: list[int], room: int, rounds: int = 8) -> list[int]:
+    """Places of the documents to take, out of those in a seeded order, so that their sizes come near ``room``: first
+    all that still fit, one by one; then exchanges of one document (or none) for another (or none) while that comes
+    closer."""
+    taken, rest = [], []
+    for k, words in enumerate(sizes):
         if 0 < words <= room:
             room -= words
             taken.append(k)
         elif words:
-            rest.append((abs(room - words), k))
-    if rest and min(rest)[0] < room:
-        taken.append(min(rest)[1])
-    return pdf.iloc[taken][["pattern", "doc_id", "text_hash"]]
+            rest.append(k)
+    for _ in range(rounds):
+        inside = sorted((sizes[k], k) for k in taken) + [(0, -1)]
+        inside.sort()
+        values = [v for v, _ in inside]
+        best = (abs(room), None, None)
+        for k in [*rest, -1]:
+            new = sizes[k] if k >= 0 else 0
+            at = bisect_left(values, new - room)
+            for old, out in inside[max(0, at - 1):at + 1]:
+                best = min(best, (abs(room - new + old), k, out), key=lambda x: x[0])
+        _, k, out = best
+        if k is None:
+            break
+        if k >= 0:
+            taken.append(k)
+            rest.remove(k)
+            room -= sizes[k]
+        if out >= 0:
+            taken.remove(out)
+            rest.append(out)
+            room += sizes[out]
+    return taken
+
+
+def _fill(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The documents of an edge bucket that are taken."""
+    pdf = pdf.sort_values(["place", "doc_id", "text_hash"], na_position="last")
+    keep = chosen([int(x) for x in pdf["words"]], int(pdf["room"].iloc[0]))
+    return pdf.iloc[keep][["pattern", "doc_id", "text_hash"]]
 
 
 def mix(docs: DataFrame, members: Column, weights=WEIGHTS, percent: int = 150, max_epochs: int = MAX_EPOCHS,

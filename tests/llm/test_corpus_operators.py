@@ -165,6 +165,21 @@ def test_route_is_a_cheapest_flow():
         assert (-sum(flow), price) == best
 
 
+def test_chosen_documents_come_near():
+    rng = random.Random(4)
+    for _ in range(200):
+        sizes = [rng.choice([0, 5, 60, 300, 900, 4000]) + rng.randrange(50) for _ in range(rng.randint(0, 9))]
+        room = rng.randint(1, sum(sizes) + 1)
+        taken = mixing.chosen(sizes, room)
+        assert len(set(taken)) == len(taken) and all(sizes[k] for k in taken)
+        left = abs(room - sum(sizes[k] for k in taken))
+        free = set(range(len(sizes))) - set(taken)
+        for a in [None, *free]:  # no exchange of one for one comes closer
+            for b in [None, *taken]:
+                new = sum(sizes[k] for k in taken) + (sizes[a] if a is not None else 0) - (sizes[b] if b is not None else 0)
+                assert left <= abs(room - new)
+
+
 @pytest.mark.parametrize("per_bucket", [3, 2000])
 def test_mix_query(docs, no_docs, rows, per_bucket):
     sizes = Counter()
