@@ -244,10 +244,9 @@ def gap_filled(project, metric: str, grain: str = "day", fill: float | int | Non
     data = found.select(F.col(key).alias("_day"), *[F.col(n).alias(f"_g{k}") for k, n in enumerate(names)],
                         F.col(metric).alias("_value"))
     if names:
-        # Each combination gets the whole spine, as an array of days: one row per combination, no cross join.
-        days = spine.agg(F.array_sort(F.collect_list("date_day")).alias("_days")).select(F.lit(1).alias("_one"), "_days")
-        groups = found.select(*names).distinct().withColumn("_one", F.lit(1))
-        spine = groups.join(F.broadcast(days), "_one").select(*names, F.explode("_days").alias("date_day"))
+        # Each combination gets the whole spine, as one array of days (a scalar subquery, no cross join).
+        days = spine.agg(F.array_sort(F.collect_list("date_day")).alias("_days")).scalar()
+        spine = found.select(*names).distinct().select(*names, F.explode(days).alias("date_day"))
     cond = F.col("date_day") == F.col("_day")
     for k, n in enumerate(names):
         cond = cond & F.col(n).eqNullSafe(F.col(f"_g{k}"))

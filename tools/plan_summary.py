@@ -2,7 +2,7 @@
 
 usage: python -m tools.plan_summary [sf_dir] > docs/PLAN_SUMMARY.md
 Counts shuffles (Exchange), broadcasts, join strategies, windows, generators and
-aggregates in each query's final adaptive plan (after running it with the noop sink).
+aggregates in each query's final adaptive plan (after running that very execution).
 """
 
 from __future__ import annotations
