@@ -124,12 +124,13 @@ def guess_bits(value: str, rules: GuessRules = GuessRules()) -> float:
         if run_end - a >= 3:
             offer(a, run_end, _char_bits(value[a]) + log2(run_end - a))
         for unit in range(2, 9):  # repeats of a longer unit
-            if value[a:a + unit] == value[a + unit:a + 2 * unit] and len(set(value[a:a + unit])) > 1:
-                b = a + 2 * unit
-                while value[b:b + unit] == value[a:a + unit]:
-                    b += unit
-                if a < unit or value[a - unit:a] != value[a:a + unit]:
-                    offer(a, b, sum(map(_char_bits, value[a:a + unit])) + log2((b - a) // unit))
+            part = value[a:a + unit]
+            if part != value[a + unit:a + 2 * unit] or len(set(part)) == 1 or a >= unit and value[a - unit:a] == part:
+                continue  # only where such a run starts, so that each run is walked through once
+            b = a + 2 * unit
+            while value[b:b + unit] == part:
+                b += unit
+            offer(a, b, sum(map(_char_bits, part)) + log2((b - a) // unit))
         if a >= walk_end - 1:
             walk_end, turns, last = a + 1, 0, None
             while walk_end < n and low[walk_end] in NEIGHBOURS.get(low[walk_end - 1], ()):

@@ -84,6 +84,8 @@ def test_guess_cost_orders():
                        ("qwertyuiop", "qpwoeirutm"), ("abcabcabcabc", "abcxqzabkwmv"), ("P4ssword", "Pxzkvmrq")):
         assert cost(easy) < cost(hard) and cost(easy) < 40
     assert cost("x" * 100_000) < 40
+    for unit in ("ab", "1999", "banana", "xkqz12"):  # a repeat is walked through once, whatever its length
+        assert cost(unit * 20_000) < 60
     spans = secret_scan.scan("pwd: 'hX9$kq2!vLmzPq' passphrase: changeme https://u:hX9$kq2!vLmzPq@h", secret_scan.GuessRules())
     assert spans[5] == 2 and spans[4] == "guess:6:20,guess:53:67"
 
