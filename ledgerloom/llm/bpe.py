@@ -32,8 +32,9 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 
 from ledgerloom.llm.common import map_arrow, schema_of, texts
 
-#: Words that a worker remembers at most, and fragments (an eighth of it).
-REMEMBERED = 1 << 18
+#: Words that a worker remembers at most, and fragments (an eighth of it); longer ones are merged each time, so
+#: that the tables' memory is bounded too.
+REMEMBERED, LONGEST_REMEMBERED = 1 << 18, 64
 #: Fragments up to this length are scanned for each merge; longer ones use a heap.
 SCANNED = 24
 TOKEN_BITS = 24
@@ -172,10 +173,11 @@ class Encoder:
     def _of_word(self, word: str) -> tuple[int, str, str, tuple[int, ...]]:
         """Tokens of a word: their number, ids and texts joined by blanks, and the ids."""
         *cut, last = self.fragments(word.encode("utf-8", "replace"))
-        ids = ()
-        for part in cut:
-            ids += self.fragment(part, False)
-        return self.packed(ids + self.fragment(last, True))
+        parts = [self._fragment_ids(part, False) for part in cut]
+        return self.packed(tuple(chain(*parts, self._fragment_ids(last, True))))
+
+    def _fragment_ids(self, raw: bytes, ends: bool) -> tuple[int, ...]:
+        return (self.fragment if len(raw) <= LONGEST_REMEMBERED else self._fragment)(raw, ends)
 
     def packed(self, ids: tuple[int, ...]) -> tuple[int, str, str, tuple[int, ...]]:
         return len(ids), " ".join(map(str, ids)), " ".join(map(self.tokens.__getitem__, ids)), ids
@@ -187,7 +189,11 @@ class Encoder:
             if k % 2:
                 out.append(self.packed((self.specials[part],)))
             elif part:
-                out += map(self.of_word, self.words(part))
+                words = self.words(part)
+                if max(map(len, words), default=0) <= LONGEST_REMEMBERED:
+                    out += map(self.of_word, words)
+                else:
+                    out += [(self.of_word if len(w) <= LONGEST_REMEMBERED else self._of_word)(w) for w in words]
         return out
 
     def encode(self, text: str) -> list[int]:

@@ -122,6 +122,14 @@ def test_bpe_on_odd_characters(text):
     assert own.encode(text) == ids and own.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_long_words():
+    library, own = Tokenizer.from_file(PATH), bpe.Encoder(PATH)
+    chars = [chr(0x4E00 + k * 7919 % 0x5000) for k in range(20_000)]
+    for text in ("".join(chars), "".join(chars[:60]) + " " + "".join(chars), "ab" * 5_000, "q" * 70 + " q"):
+        assert own.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert own.of_word.cache_info().currsize == 2  # the words of at most LONGEST_REMEMBERED characters
+
+
 def test_every_character_below_the_settled_range():
     library, own = Tokenizer.from_file(PATH), bpe.encoder(PATH)
     for c in range(bpe.SETTLED):
