@@ -7,7 +7,8 @@ content is left out: head, scripts, styles, templates, ``hidden``, ``display:non
 ``visibility:hidden``, closed details and dialogs.
 
 Defined cases: a null or empty page gives empty text; broken markup never fails (a tag that the
-page's end cuts off is dropped, stray end tags are ignored); pages of any size and depth are rendered
+page's end cuts off, with no > after it, is dropped, quotes that open no value are ordinary characters, stray
+end tags are ignored); pages of any size and depth are rendered
 whole, without recursion; repeated rows are rendered each for itself; an empty table gives an empty result.
 """
 
@@ -23,10 +24,13 @@ from pyspark.sql import types as T
 
 from ledgerloom.llm.common import map_arrow, schema_of
 
-MARKUP = re.compile(r"""<!--(?:.*?-->|.*+)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)>"""
-                    r"""|<[!?/][^>]*>""", re.S)
+# As browsers read tags: a quote opens a value only after =, and only if it is closed; else it is an ordinary character.
+MARKUP = re.compile(r"""<!--(?:.*?-->|.*+)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[\s/]++|[^\s/>][^\s/>=]*+"""
+                    r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]++)?+)?+)*+)>|<[!?/][^>]*>""", re.S)
+#: Tags up to the next >, for a page whose quotes leave no > outside them.
+LOOSE = re.compile(r"<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>[^>]*)>")
 TAG_START = re.compile(r"</?[a-zA-Z]|<[!?]")
-ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
+ATTR = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>]++))?+)?+""")
 BLANKS = re.compile(r"[ \t\n\f\r]+")
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(hidden|collapse)", re.I)
 SHOWN_STYLE = re.compile(r"visibility\s*:\s*visible", re.I)
@@ -144,12 +148,15 @@ class Tree:
 
 def parse(html: str) -> Node:
     tree, at, n = Tree(), 0, len(html)
+    loose = False
     while at < n:
         lt = html.find("<", at)
         if lt < 0:
             tree.text(html[at:])
             break
-        m = MARKUP.match(html, lt)
+        m = loose and LOOSE.match(html, lt) or MARKUP.match(html, lt)
+        if not m and (m := LOOSE.match(html, lt)):
+            loose = True  # for the rest of the page, so that only one tag is read to the page's end
         if not m:
             if TAG_START.match(html, lt):  # cut off by the end of the page
                 if lt > at:

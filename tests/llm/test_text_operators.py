@@ -165,6 +165,20 @@ def test_rendering(html, text):
     assert html_render.render(html) == text
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ("<p class=it's>Hello</p><p>World</p>", "Hello\n\nWorld"), ('<img alt="foo""><p>rest of page</p>', "rest of page"),
+    ("<p it's>a</p><p title='x'>b</p>", "a\n\nb"), ('<p title="a>b" x=">">c', "c"), ("<p title=a\"hidden\">y", "y"),
+    ('<a href="x>y</a><p>z', "y\n\nz"), ('<a b="> c="', 'c="'), ('<a b="> <i>x</i> " y', 'x " y'), ("<a b='x'hidden>n</a>y", "y"),
+    ("x<a b=\"c' d", "x"), ("<a href=x/>y</a>", "y"), ("<a = b=>y", "y")])
+def test_unbalanced_quotes(html, text):
+    assert html_render.render(html) == text
+
+
+def test_quotes_cost_linear_time():
+    for page in ('<a b="> b="' * 100_000, "<a b='x\"" * 100_000, "<a b='>" * 100_000, '<a "' * 100_000 + ">y"):
+        html_render.parse(page)
+
+
 def test_deep_pages_and_query(spark):
     deep = "<div>" * 20_000 + "x" + "<table><tr><td>" * 300 + "y"
     assert html_render.render(deep).split() == ["x", "y"]
