@@ -44,6 +44,8 @@ MARGIN = {"p": 1, "h1": 1, "h2": 1, "h3": 1, "h4": 1, "h5": 1, "h6": 1, "ul": 1,
           "blockquote": 1, "table": 1, "figure": 1, "menu": 1, "dir": 1, "fieldset": 1, "hr": 1,
           **dict.fromkeys("html body div section article aside header footer main nav address form li dt dd center "
                           "figcaption details summary dialog hgroup search legend caption option optgroup".split(), 0)}
+#: What a head may hold; any other start tag ends an open one, as its end tag may be left out.
+HEAD_PARTS = frozenset("base link meta title script style template noscript noframes".split())
 LISTS = frozenset(("ul", "ol", "menu", "dir"))
 CELLS, ROW_GROUPS = frozenset(("td", "th")), frozenset(("thead", "tbody", "tfoot"))
 TABLE_PARTS = CELLS | ROW_GROUPS | {"tr", "caption", "colgroup"}
@@ -101,9 +103,15 @@ class Tree:
         while at is not None and len(self.stack) > at:
             self.pop()
 
+    def leave_head(self) -> None:
+        while self.stack[-1].name == "head":
+            self.pop()
+
     def start(self, name: str, attrs: str) -> None:
         if name == "html":
             return
+        if name not in HEAD_PARTS:
+            self.leave_head()
         if name in ENDS_P and self.count["p"]:
             self.end({"p"}, SCOPE)
         if name in IMPLIED:
@@ -129,6 +137,7 @@ class Tree:
 
     def finish(self, name: str) -> None:
         if name == "br":
+            self.leave_head()
             self.stack[-1].children.append(Node("br"))
         elif name == "p" and not self.count["p"]:
             self.stack[-1].children.append(Node("p"))
@@ -143,6 +152,8 @@ class Tree:
                     break
 
     def text(self, raw: str) -> None:
+        if self.stack[-1].name == "head" and raw.strip(" \t\n\f\r"):
+            self.leave_head()
         self.stack[-1].children.append(unescape(raw) if "&" in raw else raw)
 
 

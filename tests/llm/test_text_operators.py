@@ -174,6 +174,15 @@ def test_unbalanced_quotes(html, text):
     assert html_render.render(html) == text
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ("<html><head><title>t</title><h1>Hi</h1><p>text", "Hi\n\ntext"), ("<head><title>t</title>bare", "bare"),
+    ("<head><div>d</div><p>p</p></head><body>b", "d\n\np\n\nb"), ("<head><meta x><link y><title>t</title>\n<style>s</style><base>", ""),
+    ("<head><template><p>n</p>n</template><script>n</script> <p>y", "y"), ("<head><noscript><p>n</noscript>&amp;", "&"),
+    ("<head></br>x", "x"), ("<head><header>h</header>", "h")])
+def test_head_without_end(html, text):
+    assert html_render.render(html) == text
+
+
 def test_quotes_cost_linear_time():
     for page in ('<a b="> b="' * 100_000, "<a b='x\"" * 100_000, "<a b='>" * 100_000, '<a "' * 100_000 + ">y"):
         html_render.parse(page)
