@@ -205,6 +205,7 @@ class Page:
         self.lines: list[str] = []
         self.now: list[str] = []
         self.indent, self.marker, self.gap, self.space = "", "", 0, False
+        self.as_is = False  # whether the line is one of a ``pre``
 
     def text(self, raw: str) -> None:
         words = BLANKS.sub(" ", raw)
@@ -216,11 +217,14 @@ class Page:
         elif raw and self.now:
             self.space = True
 
-    def flush(self) -> None:
-        line = "".join(self.now).strip(" ")
-        self.now, self.space = [], False
+    def flush(self) -> bool:
+        """Ends the line; whether there was any."""
+        line = "".join(self.now)
+        line = line.expandtabs(8).rstrip() if self.as_is else line.strip(" ")
+        self.now, self.space, self.as_is = [], False, False
         if line:
             self.put(line)
+        return bool(line)
 
     def put(self, line: str) -> None:
         if self.lines and self.gap:
@@ -242,10 +246,12 @@ class Page:
             self.lines.append("")
 
     def literal(self, raw: str) -> None:
-        self.flush()
-        for line in raw.expandtabs(8).split("\n"):
-            if line.strip() or (self.lines and not self.gap):
-                self.put(line.rstrip())
+        """Text of a ``pre``: only a line feed ends the line, so inline elements stay on theirs."""
+        for k, part in enumerate(raw.split("\n")):
+            if k and not self.flush() and self.lines and not self.gap:
+                self.put("")
+            self.now.append(part)
+            self.as_is = True
 
     def result(self) -> list[str]:
         self.flush()
@@ -325,7 +331,7 @@ def render(html: str | None) -> str:
                 continue
             if name == "br":
                 if visible:
-                    page.line_break()
+                    page.literal("\n") if pre else page.line_break()
                 continue
             if name == "table":
                 page.block(1)

@@ -183,6 +183,15 @@ def test_head_without_end(html, text):
     assert html_render.render(html) == text
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ("<pre>x = <b>1</b>;</pre>", "x = 1;"), ("<pre><span>def</span> <span>f</span>():\n  <i>return</i>\t<b>1</b>\n\n# e\n</pre>z",
+                                             "def f():\n  return        1\n\n# e\n\nz"),
+    ("<pre>a<br>b<br><br>  <i>c</i></pre>", "a\nb\n\n  c"), ("<pre>a\n<b>\nb</b>  c</pre>", "a\n\nb  c"),
+    ("<ul><li><pre>a <b>b</b>\n c</pre></ul>", "- a b\n   c"), ("<table><td><pre>a<b>b</b>\nc</pre><td>d</table>", "ab  d\nc")])
+def test_pre_with_inline_elements(html, text):
+    assert html_render.render(html) == text
+
+
 def test_quotes_cost_linear_time():
     for page in ('<a b="> b="' * 100_000, "<a b='x\"" * 100_000, "<a b='>" * 100_000, '<a "' * 100_000 + ">y"):
         html_render.parse(page)
