@@ -61,7 +61,9 @@ IMPLIED = {"li": (frozenset(("li",)), LISTS), "dt": (frozenset(("dt", "dd")), fr
            "td": (CELLS | {"caption"}, frozenset(("table",))), "th": (CELLS | {"caption"}, frozenset(("table",))),
            "tr": (CELLS | {"tr", "caption", "colgroup"}, frozenset(("table",))),
            **dict.fromkeys(ROW_GROUPS, (CELLS | ROW_GROUPS | {"tr", "caption", "colgroup"}, frozenset(("table",))))}
-MAX_PAD, MAX_SPAN = 40, 1000
+MAX_SPAN = 1000
+#: Columns are narrowed, down to LEAST_WIDTH, where their padding would be more than PAD_SHARE times the table's text.
+LEAST_WIDTH, PAD_SHARE = 40, 16
 
 
 class Node:
@@ -266,35 +268,58 @@ def _span(node: Node, key: str) -> int:
     return min(int(value), MAX_SPAN) if value.isascii() and value.isdigit() and 0 < len(value) < 6 and int(value) else 1
 
 
+def _starts(widths: dict[int, int], spans: dict[int, dict[int, int]], columns: list[int], most: int) -> dict[int, int]:
+    """Where each column starts, if no cell is wider than ``most``.  ``spans``: by column, the widths of the cells
+    over several columns that end there, by their first column."""
+    starts, x = {}, 0
+    for c in columns:
+        starts[c] = x = max(x, *(starts[a] + min(n, most) + 2 for a, n in spans[c].items())) if c in spans else x
+        x += min(widths[c], most) + 2 if widths.get(c) else 0
+    return starts
+
+
 def _table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
-    """Rows of (lines, columns, rows) cells as aligned lines; a column is padded to its widest cell, up to MAX_PAD."""
-    placed, below, widths = [], {}, {}
+    """Rows of (lines, columns, rows) cells as aligned lines; a column is as wide as its widest cell.  Where that would
+    make a long text of a short one, columns are narrower, and what follows a longer cell has a line of its own."""
+    placed, below, widths, spans = [], {}, {}, {}
+    size, deep = 0, Counter()  # characters of the table, lines by column
     for row in rows:
-        at, line = 0, []
+        at, line, wide = 0, [], None
         below = {c: n - 1 for c, n in below.items() if n > 1}
         taken = dict(below)
         for cell, across, down in row:
             while at in taken:
                 at += 1
             line.append((at, cell))
+            if wide:
+                ends = spans.setdefault(at, {})
+                ends[wide[0]] = max(ends.get(wide[0], 0), wide[1])
+            wide = (at, max(map(len, cell))) if cell and across > 1 else None
             if down > 1:
                 below |= dict.fromkeys(range(at, at + across), down)
-            if across == 1 and cell:
-                widths[at] = max(widths.get(at, 0), min(MAX_PAD, max(map(len, cell))))
+            if cell:
+                if across == 1:
+                    widths[at] = max(widths.get(at, 0), max(map(len, cell)))
+                size += sum(len(x) - x.count(" ") for x in cell)
+                deep[at] += len(cell)
             at += across
         placed.append(line)
     columns = sorted({c for line in placed for c, _ in line} | set(widths))
-    starts, x = {}, 0
-    for c in columns:
-        starts[c] = x
-        x += widths[c] + 2 if widths.get(c) else 0
+    most = max([*widths.values(), *(n for x in spans.values() for n in x.values())], default=0)
+    starts = _starts(widths, spans, columns, most)
+    while most > LEAST_WIDTH and sum(n * starts[c] for c, n in deep.items()) > PAD_SHARE * size:
+        most = max(LEAST_WIDTH, most // 2)
+        starts = _starts(widths, spans, columns, most)
     out = []
     for line in placed:
         for k in range(max((len(cell) for _, cell in line), default=0)):
             text = ""
             for c, cell in line:
                 if k < len(cell) and cell[k]:
-                    text = (text.ljust(starts[c]) if len(text) < starts[c] or not text else text + "  ") + cell[k]
+                    if text and len(text) >= starts[c]:
+                        out.append(text)
+                        text = ""
+                    text = text.ljust(starts[c]) + cell[k]
             out.append(text)
     return out
 

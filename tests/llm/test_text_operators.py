@@ -192,6 +192,18 @@ def test_pre_with_inline_elements(html, text):
     assert html_render.render(html) == text
 
 
+def test_columns_of_long_cells_are_aligned():
+    long = "word " * 19 + "ends!"
+    got = html_render.render(f"<table><tr><td>{long}<td>1<td>x<tr><td>b<td>22<td>y<tr><td colspan=2>{long}{long}<td>z</table>")
+    first, second, third = got.split("\n")
+    assert first.index("1") == second.index("22") == 102 and first.index("x") == second.index("y") == third.index("z") == 202
+    # A very long cell among many short rows: its neighbours start where those of the other rows do.
+    long = "w" * 100_000
+    got = html_render.render("<table>" + f"<tr><td>{long}<td>1" + "<tr><td>b<td>2" * 5_000 + "</table>").split("\n")
+    assert got[0] == long and len({len(x) for x in got[1:]}) == 1 and len(got) == 5_002
+    assert got[1].split() == ["1"] and sum(map(len, got)) < 20 * 120_000
+
+
 def test_quotes_cost_linear_time():
     for page in ('<a b="> b="' * 100_000, "<a b='x\"" * 100_000, "<a b='>" * 100_000, '<a "' * 100_000 + ">y"):
         html_render.parse(page)
