@@ -32,9 +32,9 @@ KINDS = ("assign", "access", "hex", "guess")
 # Wider contexts than the base pattern: more names, other separators, quoted values, user:password@host.
 CONTEXT = re.compile(
     r"""(?ai:(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[_-]?key|credential|access[_-]?key|private[_-]?key|"""
-    r"""client[_-]?secret)["']?(?:[\x20\t]{0,8}(?::=|=>|[:=])[\x20\t]{0,8}|\x20is[:]?\x20)|bearer\x20{1,8})"""
+    r"""client[_-]?secret)["']?(?:[\x20\t]*+(?::=|=>|[:=])[\x20\t]*+|[\x20\t]++is:?[\x20\t]++)|bearer[\x20\t]++)"""
     r"""(?:"(?P<double>[^"\n]{4,})"|'(?P<single>[^'\n]{4,})'|(?P<bare>[^\s"'<>,;]{4,}))""")
-LOGIN = re.compile(r"://[^\s/:@]{1,256}:(?P<bare>[^\s/@]{4,256})@")
+LOGIN = re.compile(r"://[^\s/:@]++:(?P<bare>[^\s/@]{4,}+)@")
 
 # Common words of passwords and placeholders, most common first.
 WORDS = ("password", "admin", "welcome", "login", "qwerty", "dragon", "master", "monkey", "letmein", "secret", "shadow",
@@ -78,6 +78,24 @@ def _char_bits(c: str) -> float:
     return log2(10) if c.isdigit() else log2(26) if c.isalpha() else log2(33)
 
 
+#: Sizes of the character classes, and the shortest value of two classes that is priced by both together.
+CLASSES = {"upper": 26, "lower": 26, "digit": 10, "symbol": 33}
+MIXED_LENGTH = 7
+
+
+def _class(c: str) -> str | None:
+    return (None if not c.isascii() else "digit" if c.isdigit() else "symbol" if not c.isalpha()
+            else "upper" if c.isupper() else "lower")
+
+
+def _mixed_bits(value: str) -> float:
+    """The least price of a brute-force character: that of one of the whole value's alphabet where the value mixes
+    classes, as which class comes where is part of the guess.  Shorter values of two classes stay below 36 bits
+    either way."""
+    found = {_class(c) for c in value} - {None}
+    return log2(sum(CLASSES[k] for k in found)) if len(found) > 2 or len(found) == 2 and len(value) >= MIXED_LENGTH else 0.0
+
+
 @lru_cache(8)
 def _ranks(words: tuple[str, ...]) -> tuple[dict[str, int], int]:
     ranks: dict[str, int] = {}
@@ -88,7 +106,7 @@ def _ranks(words: tuple[str, ...]) -> tuple[dict[str, int], int]:
 
 def guess_bits(value: str, rules: GuessRules = GuessRules()) -> float:
     """The least cost in bits.  Each segment also costs one bit, for where it ends."""
-    n, (ranks, longest) = len(value), _ranks(rules.words)
+    n, (ranks, longest), mixed = len(value), _ranks(rules.words), _mixed_bits(value)
     low = value.lower() if len(value.lower()) == n else value
     plain = low.translate(_LEET)
     best = [0.0] + [float("inf")] * n
@@ -106,7 +124,7 @@ def guess_bits(value: str, rules: GuessRules = GuessRules()) -> float:
     brute = float("inf")
     for a in range(n):
         # Brute-force characters extend one span, so only the first of them pays for a segment.
-        brute = min(best[a] + 1, brute) + _char_bits(value[a]) + (value[a].isupper() and 1)
+        brute = min(best[a] + 1, brute) + max(_char_bits(value[a]) + value[a].isupper(), mixed)
         best[a + 1] = min(best[a + 1], brute)
         for size in range(2, min(longest, n - a) + 1):
             for word, extra in ((low[a:a + size], 0), (plain[a:a + size], 1)):

@@ -90,6 +90,27 @@ def test_guess_cost_orders():
     assert spans[5] == 2 and spans[4] == "guess:6:20,guess:53:67"
 
 
+@pytest.mark.parametrize("value", ["xK9$mQ2!", "v7#Lq@2Z", "T4&zR!9w", "k3x9q2m7", "aB3dE6gH", "zb!vnk#q", "K3X9Q2M7"])
+def test_random_values_of_eight_characters(value):
+    rules = secret_scan.GuessRules()
+    assert secret_scan.guess_bits(value) >= rules.min_bits
+    for text in (f"password: {value}", f"passphrase = '{value}'", f"postgres://app:{value.replace('@', '%')}@db/x"):
+        found = secret_scan.redacted(text, rules, "#")
+        assert value.replace("@", "%") not in found.replace("@", "%") and found != text
+    for easy in ("Summer2024!", "P4ssword", "Password123!", "changeme", "your_password", "1987-12-24", "Qwerty123"):
+        assert secret_scan.guess_bits(easy) < rules.min_bits
+
+
+def test_contexts_of_any_length():
+    rules, hard = secret_scan.GuessRules(), "hX9$kq2!vLmzPq"
+    for text, name in ((f"passphrase{' ' * 30}={' ' * 30}{hard}", hard), (f"pwd\t\t{' ' * 9}:{' ' * 9}'{hard}'", hard),
+                       (f"passphrase  is   {hard}", hard), (f"bearer{' ' * 20}{hard}", hard),
+                       (f"https://{'u' * 300}:{hard}@h", hard), (f"https://u:{hard * 20}@h", hard * 20)):
+        assert secret_scan.redacted(text, rules, "#") == text.replace(name, "#")
+    for text in ("password" + " " * 1_000_000, "://u:" * 200_000, "://" + "u" * 1_000_000 + ":" + "p" * 1_000_000):
+        assert secret_scan.guess_spans(text, [], rules)[0] == []
+
+
 def test_redaction(spark, docs, rows):
     text = "é password=abcdef123456 then " + "ab" * 16 + " pwd: 'hX9$kq2!vLmzPq'."
     got = secret_scan.redacted(text, secret_scan.GuessRules(), "#")
