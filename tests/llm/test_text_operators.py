@@ -330,6 +330,36 @@ def test_licences(spark):
     assert license_scan.license_matches(docs.limit(0)).collect() == []
 
 
+def test_wrapped_and_titled_licences(spark):
+    import hashlib
+    import textwrap
+    wrap = lambda x, n: "\n\n".join(textwrap.fill(p, n) for p in x.split("\n\n"))
+    isc, mit = license_scan.LICENSES["ISC"], license_scan.LICENSES["MIT"]
+    before = lambda x, words: x.replace(" " + words, "\n" + words)
+    notice = "Copyright (c) 2020 Somebody\nCopyright 2021, X\n * Copyright The Y Authors. All rights reserved.\n\n"
+    texts = [(1, notice + wrap(isc, 72), "ISC"), (2, notice + before(isc, "copyright notice"), "ISC"),
+             (3, before(mit, "COPYRIGHT HOLDERS"), "MIT"), (4, before(mit, "copyright notice"), "MIT"),
+             (5, "ISC License\n\n" + notice + wrap(isc, 72), "ISC"), (6, "The MIT License (MIT)\n\n" + notice + wrap(mit, 78), "MIT"),
+             *((10 + n, wrap(mit, n), "MIT") for n in range(40, 80)), (8, mit.replace("above copyright notice", "above"), None)]
+    docs = spark.createDataFrame([r[:2] for r in texts], "doc_id long, text string")
+    same([(r.doc_id, r.license_id) for r in license_scan.license_matches(docs).collect()], [(i, k) for i, _, k in texts])
+    # A digest among those of further texts; a table of one's own holds no others.
+    one = spark.createDataFrame([(1, "x  Y")], "doc_id long, text string")
+    digest = hashlib.sha256(b"x y").hexdigest()
+    own = license_scan.known(spark, {"Z": "z"}, {digest: "XY"})
+    assert license_scan.license_matches(one, own).first().license_id == "XY" and own.count() == 2
+
+
+def test_common_licences(spark):
+    from pathlib import Path
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "BSD": "BSD-3-Clause", "MPL-2.0": "MPL-2.0"}
+    if not all((folder / n).is_file() for n in names):
+        pytest.skip("no licence files")
+    docs = spark.createDataFrame([(n, (folder / n).read_text()) for n in names], "doc_id string, text string")
+    same([(r.doc_id, r.license_id) for r in license_scan.license_matches(docs).collect()], names.items())
+
+
 @pytest.mark.parametrize(("url", "host", "path", "rule", "verdict"), [
     (None, "", "", None, "allow"), ("", "", "", None, "allow"), ("no scheme/casino", "", "", None, "block"),
     ("http://WWW.Example.COM/en/x?y#z", "www.example.com", "/en/x", "www.example.com/en/", "allow"),
