@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
     bpe,
+    centroids,
     html_render,
     lang_id,
     license_scan,
     mixing,
     quality_rules,
+    ranked_search,
     secret_scan,
     simhash,
+    syncmers,
     topk,
     url_filter,
 )
@@ -64,6 +67,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.document_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -71,5 +86,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_bpe, op3_html_text, op4_quality_rules, op5_top_k,
                                    op6_language_id, op7_license_scan, op8_mixing, op9_url_filter, op10_simhash,
-                                   pipeline)}
-ORACLE = {"op5_top_k": topk.ORACLE, "op7_license_scan": license_scan.oracle(), "op9_url_filter": url_filter.oracle()}
+                                   op11_syncmers, op12_ranked_search, op13_centroids, pipeline)}
+ORACLE = {"op5_top_k": topk.ORACLE, "op7_license_scan": license_scan.oracle(), "op9_url_filter": url_filter.oracle(),
+          "op12_ranked_search": ranked_search.ORACLE, "op13_centroids": centroids.oracle()}

@@ -11,7 +11,7 @@ from ledgerloom.llm import queries
 def test_sql(spark, name):
     sf_dir = "/root/testdata/sf0.01"
     with duckdb.connect() as db:
-        for t in ("documents", "embeddings", "pages"):
+        for t in ("documents", "embeddings", "pages", "benchmark"):
             db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
         cursor = db.execute(queries.ORACLE[name])
         columns = [c[0] for c in cursor.description]
