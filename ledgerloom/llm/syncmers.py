@@ -7,6 +7,9 @@ a text's anchors, each as its distance from the anchor before (at most ``K - S``
 and 32 bits of its hash: ``gap * 2^32 + hash``.  Two fingerprints are matched by position: an anchor counts as found
 where the other text has it at the same distance from the anchor before, wherever in the text that is.
 
+For the same reason the edited text needs no pass of its own: its anchors are those of the kept half, those of the other
+text's start moved behind it, and those of the few k-mers across the seam (``spliced``; tested against a whole pass).
+
 A text is cut into chunks of ``CHUNK`` code points (with the first of the next chunk behind them), so the cost of
 taking substrings does not grow with its length.
 
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import checkpointed
 
-K, S, CHUNK, ROWS = 20, 5, 256, 64
+K, S, CHUNK, ROWS = 20, 5, 128, 64
 #: Inner substrings of a k-mer; their least hash is taken four at a time.
 INNER = K - S + 1
 HASH = (1 << 32) - 1
@@ -66,26 +69,43 @@ def _chunk_anchors(chunk: Column, start: Column) -> Column:
     return F.when(F.length(chunk) >= K, packed).otherwise(F.array().cast("array<bigint>"))
 
 
-def _relative(packed: Column) -> Column:
-    """Positions turned into distances from the anchor before."""
-    def gap(p: Column, i: Column) -> Column:
-        before = F.coalesce(F.get(packed, i - 1), F.lit(0).cast("long"))
-        return p - F.shiftleft(F.shiftright(before, 32), 32)
-    return F.transform(packed, gap)
-
-
-def anchors(text: Column) -> Column:
-    """The fingerprint of a text: array<bigint> of gap * 2^32 + hash."""
+def positions(text: Column) -> Column:
+    """The anchors of a text that is not null: array<bigint> of position * 2^32 + hash."""
     def of_chunks(chunks: Column) -> Column:
         behind = lambda i: F.coalesce(F.get(chunks, i + 1).substr(F.lit(1), F.lit(K - 1)), F.lit(""))
         return F.flatten(F.transform(chunks, lambda c, i: let(
             F.concat(c, behind(i)), lambda chunk: _chunk_anchors(chunk, i * CHUNK))))
 
-    def of_text(t: Column) -> Column:
-        packed = let(F.regexp_extract_all(t, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)), of_chunks)
-        return let(let(packed, _relative), lambda found: F.when(F.size(found) == 0, F.array(_short_hash(t))).otherwise(found))
+    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)), of_chunks)
+
 
-    return let(F.coalesce(text, F.lit("")), lambda t: F.when(t == "", F.array().cast("array<bigint>")).otherwise(of_text(t)))
+def spliced(own: Column, head: Column, other: Column, tail: Column) -> Column:
+    """The anchors of ``head + tail``, where ``head`` begins the text with the anchors ``own`` and ``tail`` begins that of
+    ``other``: those that lie within one of both, and those of the k-mers across the seam."""
+    left = F.least(F.length(head), F.lit(K - 1))
+    seam = F.concat(head.substr(F.length(head) - left + 1, left), tail.substr(F.lit(1), F.lit(K - 1)))
+    within = lambda p, end: F.shiftright(p, 32) + K <= end
+    kept = let(F.length(head), lambda n: F.filter(own, lambda p: within(p, n)))
+    across = let(F.struct(seam.alias("text"), (F.length(head) - left).alias("start")),
+                 lambda t: _chunk_anchors(t["text"], t["start"]))
+    moved = let(F.struct(F.length(tail).alias("n"), F.shiftleft(F.length(head).cast("long"), 32).alias("by")),
+                lambda t: F.transform(F.filter(other, lambda p: within(p, t["n"])), lambda p: p + t["by"]))
+    return F.concat(kept, across, moved)
+
+
+def fingerprint(packed: Column, text: Column) -> Column:
+    """The fingerprint of a text with these anchors: array<bigint> of gap * 2^32 + hash."""
+    def gap(p: Column, i: Column) -> Column:
+        before = F.coalesce(F.get(packed, i - 1), F.lit(0).cast("long"))
+        return p - F.shiftleft(F.shiftright(before, 32), 32)
+
+    return (F.when(F.size(packed) > 0, F.transform(packed, gap)).when(text == "", F.array().cast("array<bigint>"))
+            .otherwise(F.array(_short_hash(text))))
+
+
+def anchors(text: Column) -> Column:
+    """The fingerprint of a text."""
+    return let(F.coalesce(text, F.lit("")), lambda t: let(positions(t), lambda packed: fingerprint(packed, t)))
 
 
 def as_text(codes: Column) -> Column:
@@ -101,10 +121,14 @@ def likeness(a: Column, b: Column) -> Column:
 
 # Neighbours in the order of ids -------------------------------------------------------------------------------------
 
+#: What tells different rows apart: the id (0 where it is null), whether it is null, and the hash of the text.
+KEY = ("known_id", "no_id", "text_hash")
+
+
 def _places(docs: DataFrame) -> tuple[DataFrame, int]:
-    """doc_id, text_hash, place (0, 1, ... in descending order of ids) of the different rows, and their number."""
-    keys = docs.select("doc_id", "text_hash").distinct()
-    order = (F.col("doc_id").desc_nulls_last(), F.col("text_hash").asc())
+    """The key and place (0, 1, ... in descending order of ids) of the different rows, and their number."""
+    keys = docs.select(*KEY).distinct()
+    order = (F.col("no_id").asc(), F.col("known_id").desc(), F.col("text_hash").asc())
     placed = checkpointed(keys.repartitionByRange(*order).sortWithinPartitions(*order)
                           .withColumn("at", F.monotonically_increasing_id()))
     part = F.shiftright("at", ROW_BITS)
@@ -113,25 +137,26 @@ def _places(docs: DataFrame) -> tuple[DataFrame, int]:
     offsets = [(p, before) for (p, _), before in zip(sizes, [0, *accumulate(n for _, n in sizes)])]
     first = F.broadcast(docs.sparkSession.createDataFrame(offsets, "part long, before long"))
     place = F.col("before") + F.col("at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    return (placed.join(first, part == F.col("part")).select("doc_id", "text_hash", place.alias("place")),
-            sum(n for _, n in sizes))
+    return placed.join(first, part == F.col("part")).select(*KEY, place.alias("place")), sum(n for _, n in sizes)
 
 
 def with_next(docs: DataFrame, rows: int = ROWS, **columns: Callable[[Column], Column]) -> DataFrame:
     """Each different (doc_id, text) with its number of ``copies`` and the ``next_text`` after its last copy.
     ``columns``: further columns made of a text once, also given of the next one as ``next_<name>``."""
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    id_type = docs.schema["doc_id"].dataType
+    docs = docs.select(F.coalesce("doc_id", F.lit(0).cast(id_type)).alias("known_id"), F.col("doc_id").isNull().alias("no_id"),
+                       F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     places, n = _places(docs)
     blocks = max(-(-n // rows), 1)
-    one = docs.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    same = one["doc_id"].eqNullSafe(places["doc_id"]) & (one["text_hash"] == places["text_hash"])
-    placed = one.join(places, same).select(one["doc_id"], "text", "copies", "place")
+    # Grouped by the join's key, so each text is shuffled here and to its block, and nowhere else.
+    one = docs.groupBy(*KEY).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     block = F.floor(F.col("place") / rows)
     at = lambda k, guest: F.struct(k.cast("long").alias("block"), F.lit(guest).alias("guest"))
     # The first row of a block is also the last to be seen in the block before.
-    sent = placed.select("*", F.explode(F.when(
-        F.col("place") % rows == 0, F.array(at(block, False), at(F.pmod(block - 1, F.lit(blocks)), True)))
-        .otherwise(F.array(at(block, False)))).alias("to"))
+    sent = one.join(places, list(KEY)).select(
+        F.when(~F.col("no_id"), F.col("known_id")).alias("doc_id"), "text", "copies", "place",
+        F.explode(F.when(F.col("place") % rows == 0, F.array(at(block, False), at(F.pmod(block - 1, F.lit(blocks)), True)))
+                  .otherwise(F.array(at(block, False)))).alias("to"))
     beside = (sent.select("doc_id", "text", "copies", "place", "to.block", "to.guest").repartition("block")
               .select("*", *[make(F.col("text")).alias(name) for name, make in columns.items()]))
     order = Window.partitionBy("block").orderBy("guest", "place")
@@ -141,27 +166,29 @@ def with_next(docs: DataFrame, rows: int = ROWS, **columns: Callable[[Column], C
 
 # The query ----------------------------------------------------------------------------------------------------------
 
-def edited(text: Column, other: Column) -> Column:
-    """``text`` with its last half (rounded down) replaced by as much of the start of ``other``, or all of it."""
-    half = F.floor(F.length(text) / 2).cast("int")
-    return F.concat(text.substr(F.lit(1), F.length(text) - half), other.substr(F.lit(1), half))
-
-
 def document_fingerprints(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    rows = with_next(docs, codes=anchors)
+    rows = with_next(docs, packed=positions)
     # All copies of a row but the last are followed by a copy.
-    last = F.struct(F.lit(1).cast("long").alias("times"), F.col("next_text").alias("text"), F.col("next_codes").alias("codes"))
-    other = F.struct((F.col("copies") - 1).alias("times"), F.col("text").alias("text"), F.col("codes").alias("codes"))
-    pairs = rows.select("doc_id", "text", "codes", F.explode(
+    last = F.struct(F.lit(1).cast("long").alias("times"), F.col("next_text").alias("text"), F.col("next_packed").alias("packed"))
+    other = F.struct((F.col("copies") - 1).alias("times"), F.col("text").alias("text"), F.col("packed").alias("packed"))
+    pairs = rows.select("doc_id", "text", "packed", F.explode(
         F.when(F.col("copies") > 1, F.array(last, other)).otherwise(F.array(last))).alias("next"))
-    changed = pairs.withColumn("edited", edited(F.col("text"), F.col("next.text")))
-    printed = changed.withColumn("edited_codes", anchors(F.col("edited")))
+    # The edited text: its last half (rounded down) is replaced by as much of the next one's start, or all of it.
+    half = F.floor(F.length("text") / 2).cast("int")
+    cut = pairs.select("*", F.col("text").substr(F.lit(1), F.length("text") - half).alias("head"),
+                       F.col("next.text").substr(F.lit(1), half).alias("tail"))
+    changed = cut.select("doc_id", "text", "packed", "next", F.concat("head", "tail").alias("edited"), spliced(
+        F.col("packed"), F.col("head"), F.col("next.packed"), F.col("tail")).alias("edited_packed"))
+    printed = changed.select(
+        "doc_id", "text", "edited", "next.times", fingerprint(F.col("packed"), F.col("text")).alias("codes"),
+        fingerprint(F.col("edited_packed"), F.col("edited")).alias("edited_codes"),
+        fingerprint(F.col("next.packed"), F.col("next.text")).alias("next_codes"))
     found = printed.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         as_text(F.col("codes")).alias("fingerprint"), as_text(F.col("edited_codes")).alias("edited_fingerprint"),
         likeness(F.col("codes"), F.col("edited_codes")).alias("near_edited"),
-        likeness(F.col("codes"), F.col("next.codes")).alias("near_next"), F.col("next.times").alias("times"))
+        likeness(F.col("codes"), F.col("next_codes")).alias("near_next"), "times")
     few = found.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / COPIES))))
     return few.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.least(
         F.lit(COPIES), F.col("times") - F.col("part") * COPIES))).alias("copy")).drop("times", "part", "copy")
