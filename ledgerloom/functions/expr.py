@@ -52,20 +52,19 @@ def div0(a, b) -> Column:
             .otherwise(a.cast("double") / b.cast("double")))
 
 
-#: White space that JSON allows around a value.
-JSON_SPACE = " \t\n\r"
-
-
 def strict_json(text) -> Column:
-    """Parse JSON text to VARIANT, null on bad input.
+    """Parse JSON text to VARIANT, null unless the whole text is one JSON value.
 
-    ``try_parse_json`` accepts text after the first value (``'[1] x'``), so the text
-    without JSON white space must also start with ``[``/``{`` and end with the
-    matching bracket.
+    ``try_parse_json`` reads the first value and ignores what follows it, so the text is parsed twice inside something
+    else: as the only element of an array, and as the only member of an object.  What follows a first value would have
+    to close the array (then the object stays open and fails) or the object (then the array fails), or add an
+    element, which the array then shows.  Scalars are values too; the JSON text ``null`` is a value that is not SQL's null.
     """
-    t = F.btrim(col_of(text), F.lit(JSON_SPACE))
-    ok = ((t.startswith("[") & t.endswith("]")) | (t.startswith("{") & t.endswith("}")))
-    return F.when(ok, F.try_parse_json(t))
+    t = col_of(text)
+    alone = F.try_parse_json(F.concat(F.lit("["), t, F.lit("]")))
+    member = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}")))
+    whole = member.isNotNull() & F.try_variant_get(alone, "$[1]", "variant").isNull()
+    return F.when(whole, F.try_variant_get(alone, "$[0]", "variant"))
 
 
 def _scaled(c, scale: int) -> Column:

@@ -159,6 +159,21 @@ def _line_element() -> Column:
                     text.alias("doc"))
 
 
+def _feed_faults(k: Column, docs: Column) -> Column:
+    """The product text of an order: broken, repeated or followed by other text for some orders (none of these is one
+    JSON value), a scalar or JSON's null for others, and white space around it for some."""
+    rest = k % 97
+    return (F.when(rest == 0, F.lit("{bad"))
+            .when(rest == 1, F.concat(docs, F.lit(" "), docs))
+            .when(rest == 2, F.concat(docs, docs))
+            .when(rest == 3, F.lit('{"a":1} x {"b":2}'))
+            .when(rest == 4, F.concat(docs, F.lit("],["), docs))
+            .when(rest == 5, F.lit("7"))
+            .when(rest == 6, F.lit("null"))
+            .when(rest == 7, F.concat(F.lit("\n\t"), docs, F.lit(" ")))
+            .otherwise(docs))
+
+
 def raw_sales_orders(spark, sf_dir: str) -> DataFrame:
     """One row per order with its line items as JSON text (``ordered_products``)."""
     li = read_star(spark, sf_dir, "lineitem").select(
@@ -170,8 +185,7 @@ def raw_sales_orders(spark, sf_dir: str) -> DataFrame:
     df = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
     k = F.col("o_orderkey")
     docs = F.concat(F.lit("["), F.array_join(F.transform(F.col("elems"), lambda e: e["doc"]), ","), F.lit("]"))
-    products = (F.when(k % 97 == 0, F.lit("{bad"))
-                .otherwise(F.coalesce(docs, F.lit("[]"))))
+    products = _feed_faults(k, F.coalesce(docs, F.lit("[]")))
     clicked = F.coalesce(F.concat(F.lit("["), F.array_join(F.transform(F.col("elems"), lambda e: e["s_pk"]), ","),
                                   F.lit("]")), F.lit("[]"))
     prio = F.col("o_orderpriority")

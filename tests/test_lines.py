@@ -23,6 +23,11 @@ EDGE_DOCS = [
     (19, '[{"product_id":19,"qty":1000000000000,"price":9999999999.99},{"product_id":19,"qty":1,"price":2}]'),
     (20, '[{"product_id":99999999999999999999,"qty":1,"price":1},{"product_id":20,"qty":2,"price":1}]'),
     (21, '[{"product_id":21,"qty":99999999999999999999,"price":1}]'),
+    # more than one JSON value, or something after it: no value at all, so no line and no revenue
+    (22, '[{"product_id":1,"qty":2,"price":3}] [{"product_id":9,"qty":1,"price":1}]'), (23, '[1][2]'), (24, '[1]],[[2]'),
+    (25, '[1]} {"b":[2]'), (26, '{"a":1} x {"b":2}'), (27, '[{"product_id":1}],[{"product_id":2}]'), (28, '1,"v":2'),
+    (29, '[1]]'), (30, '{"a":1}}'), (31, '1]'), (32, '1}'), (33, '"a" "b"'), (34, '   '), (35, '"x"'), (36, 'true'),
+    (37, '{"product_id":37}'),
 ]
 
 
@@ -62,7 +67,9 @@ def test_lines_edge_documents(spark):
 def test_strict_json_guard(spark):
     s = stg_sales_orders(_raw(spark)).select("order_id", F.col("ordered_products_json").isNotNull().alias("ok"))
     ok = {r.order_id: r.ok for r in s.collect()}
-    assert not ok[2] and not ok[3] and not ok[4] and not ok[6] and not ok[7]
+    assert not ok[2] and not ok[3] and not ok[4]
+    assert ok[6] and ok[7] and ok[35] and ok[36] and ok[37]  # scalars and JSON's null are values (without lines)
+    assert not any(ok[k] for k in range(22, 35))
     assert not ok[9]          # trailing text after the JSON value is rejected
     assert not ok[10]         # duplicate keys
     assert ok[1] and ok[5] and ok[8]
