@@ -9,6 +9,7 @@ from ledgerloom import config as C
 from ledgerloom.functions.expr import MONEY, average, div0, pct, round_ratio
 from ledgerloom.operators.lines import totals_from_items
 from ledgerloom.operators.rank import with_percent_rank
+from ledgerloom.operators.staging import VERSION_ORDER
 from ledgerloom.operators.topn import top1_per_key
 
 CUSTOMER_COLS = ["customer_id", "customer_name", "city", "state", "region", "district", "postcode", "street",
@@ -21,7 +22,7 @@ def int_current_customers(stg_customers: DataFrame, stg_loyalty: DataFrame) -> D
     surrogate id breaks ties) -> loyalty tier lookup."""
     current = stg_customers.filter(F.col("is_current"))
     deduped = top1_per_key(current, ["customer_id"],
-                           [("valid_from_date", True), ("surrogate_id", True)],
+                           VERSION_ORDER,
                            payload=[c for c in CUSTOMER_COLS if c != "customer_id"] + ["surrogate_id"])
     loyalty = stg_loyalty.select(F.col("loyalty_segment_id").alias("_lsid"), "loyalty_segment_description",
                                  F.col("unit_threshold").alias("loyalty_unit_threshold"))
@@ -33,16 +34,23 @@ def int_current_customers(stg_customers: DataFrame, stg_loyalty: DataFrame) -> D
         F.col("valid_from_date").alias("customer_since_date"))
 
 
+CUSTOMER_ATTRIBUTES = ["customer_id", "customer_name", "region", "state", "city", "district", "postcode", "ship_to_address",
+                       "lat", "lon", "loyalty_segment_id", "loyalty_segment_description", "loyalty_unit_threshold",
+                       "units_purchased", "customer_since_date", "customer_number"]
+
+
+def customer_attributes(current: DataFrame) -> DataFrame:
+    """The customer dimension without the value segment, so without the global rank behind it."""
+    return current.select(*CUSTOMER_ATTRIBUTES)
+
+
 def dim_customers(current: DataFrame) -> DataFrame:
     """Value segment from the global percent rank of units purchased (desc, nulls first)."""
     ranked = with_percent_rank(current, "units_purchased", descending=True, nulls_first=True)
     seg = (F.when(F.col("pct_rank") <= C.HIGH_VALUE_MAX_PCT_RANK, F.lit("high_value"))
             .when(F.col("pct_rank") <= C.MID_VALUE_MAX_PCT_RANK, F.lit("mid_value"))
             .otherwise(F.lit("low_value")))
-    return ranked.select(
-        "customer_id", "customer_name", "region", "state", "city", "district", "postcode", "ship_to_address",
-        "lat", "lon", "loyalty_segment_id", "loyalty_segment_description", "loyalty_unit_threshold",
-        "units_purchased", "customer_since_date", "customer_number", seg.alias("customer_value_segment"))
+    return ranked.select(*CUSTOMER_ATTRIBUTES, seg.alias("customer_value_segment"))
 
 
 def fct_sales_orders(order_items: DataFrame) -> DataFrame:

@@ -139,7 +139,7 @@ def single_pass_tests(project, tests: list[ColumnTest]) -> DataFrame:
     for t in tests:
         by_model.setdefault(t.model, []).append(t)
     for model, ts in by_model.items():
-        row = project[model].agg(*[F.count_if(_failing_predicate(t)).alias(f"f{i}") for i, t in enumerate(ts)])
+        row = project.model(model, [t.column for t in ts]).agg(*[F.count_if(_failing_predicate(t)).alias(f"f{i}") for i, t in enumerate(ts)])
         stack = ", ".join(f"'{t.column}', '{t.test}', f{i}" for i, t in enumerate(ts))
         part = row.select(F.lit(model).alias("model"),
                           F.expr(f"stack({len(ts)}, {stack}) as (column_name, test_name, failures)"))
@@ -150,16 +150,16 @@ def single_pass_tests(project, tests: list[ColumnTest]) -> DataFrame:
 def _repeated(project, t: ColumnTest) -> DataFrame:
     """Key values (in their own type) that occur more than once; only the key column is read and shuffled."""
     key = F.col(t.column)
-    return (project[t.model].filter(key.isNotNull()).groupBy(key.alias("_key"))
+    return (project.model(t.model, [t.column]).filter(key.isNotNull()).groupBy(key.alias("_key"))
             .agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 1))
 
 
 def _orphans(project, t: ColumnTest) -> DataFrame:
     """Child keys without a parent row, aggregated by key before the join: (_key, _rows)."""
     pm, pc = t.parent
-    child = (project[t.model].filter(F.col(t.column).isNotNull()).groupBy(F.col(t.column).alias("_key"))
+    child = (project.model(t.model, [t.column]).filter(F.col(t.column).isNotNull()).groupBy(F.col(t.column).alias("_key"))
              .agg(F.count(F.lit(1)).alias("_rows")))
-    parent = project[pm].select(F.col(pc).alias("_pk"))
+    parent = project.model(pm, [pc]).select(F.col(pc).alias("_pk"))
     return child.join(parent, child["_key"] == parent["_pk"], "left_anti")
 
 
@@ -226,13 +226,13 @@ def revenue_reconciliation(project, tolerance: float = 0.01) -> DataFrame:
 
 
 def duplicate_current_customers(project) -> DataFrame:
-    return (project["dim_customers"].groupBy("customer_id").agg(F.count(F.lit(1)).alias("row_count"))
+    return (project.model("dim_customers", ["customer_id"]).groupBy("customer_id").agg(F.count(F.lit(1)).alias("row_count"))
             .filter(F.col("row_count") > 1))
 
 
 def orders_without_customers(project) -> DataFrame:
     o = project["fct_sales_orders"].select("order_id", "customer_id")
-    c = project["dim_customers"].select("customer_id")
+    c = project.model("dim_customers", ["customer_id"])
     return o.join(c, "customer_id", "left_anti").select("order_id", "customer_id")
 
 
@@ -336,7 +336,7 @@ def enforce_contract(df: DataFrame, model: str) -> DataFrame:
     return df.select(*[F.col(c).cast(t).alias(c) for c, t, _ in cols])
 
 
-# ---------------------------------------------------------------- freshness and audit
+# ---------------------------------------------------------------- freshness
 
 def source_freshness(project, as_of: dt.datetime = C.FRESHNESS_AS_OF,
                      warn_hours: int = C.FRESHNESS_WARN_HOURS, error_hours: int = C.FRESHNESS_ERROR_HOURS,
@@ -354,19 +354,3 @@ def source_freshness(project, as_of: dt.datetime = C.FRESHNESS_AS_OF,
                .otherwise(F.lit("PASS")))
     return out.select("source", F.col("max_synced").cast("timestamp_ntz").alias("max_synced"),
                       lag.alias("minutes_since_sync"), status.alias("freshness_status"))
-
-
-def audit_trace(project, region: str, month: str) -> DataFrame:
-    """Raw ``sales_orders`` rows behind one (region, month) cell of regional
-    performance: the fact keys of the cell, semi-joined back to the landed rows."""
-    c = project["dim_customers"].filter(F.col("region") == region).select("customer_id")
-    start = F.lit(month).cast("date")
-    cell = (project["fct_sales_orders"]
-            .filter((F.col("order_date") >= start) & (F.col("order_date") < F.add_months(start, 1)))
-            .join(c, "customer_id", "left_semi")
-            .select("order_id", "total_revenue"))
-    raw = project.raw.sales_orders.select(F.col("id").alias("order_id"), "customer_id", "order_datetime",
-                                         "promo_info", "_fivetran_deleted", "_fivetran_synced")
-    return raw.join(cell, "order_id").select(
-        "order_id", "customer_id", "order_datetime", "promo_info", "_fivetran_deleted",
-        F.col("_fivetran_synced").alias("synced_at"), "total_revenue")

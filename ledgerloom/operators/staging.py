@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.expr import blank_to_null, epoch_date, epoch_ts, live_rows, strict_json
+from ledgerloom.operators.topn import top1_per_key
+
+#: Which of a customer's current versions is in force: the latest start, then the largest surrogate id.
+VERSION_ORDER = [("valid_from_date", True), ("surrogate_id", True)]
 
 
 def stg_customers(raw: DataFrame) -> DataFrame:
@@ -26,6 +30,13 @@ def stg_customers(raw: DataFrame) -> DataFrame:
     )
 
 
+def current_versions(raw: DataFrame) -> DataFrame:
+    """The raw rows of the customer versions in force, one per customer."""
+    current = stg_customers(raw).filter("is_current").select("customer_id", "surrogate_id", "valid_from_date")
+    found = top1_per_key(current, ["customer_id"], VERSION_ORDER, payload=["surrogate_id"])
+    return raw.join(found.select(F.col("surrogate_id").alias("_id")), F.col("id") == F.col("_id"), "left_semi")
+
+
 def stg_loyalty_segments(raw: DataFrame) -> DataFrame:
     return raw.filter(live_rows()).select(
         "loyalty_segment_id", "loyalty_segment_description", "unit_threshold", "valid_from", "valid_to")

@@ -1,22 +1,29 @@
 """Metric layer: semantic models, simple / ratio / derived metrics, metric queries.
 
-A metric query ``metric_query(project, metrics, group_by, grain)`` resolves
+A metric query ``metric_query(project, metrics, group_by, where)`` resolves
 each metric to its semantic model, left-joins foreign dimensions through the
 shared entity, truncates ``metric_time`` to the grain, aggregates, and joins
 metrics of different models on null-safe group keys.  Spec resolution is a
 few dict lookups on the driver; all row work is one Spark plan.
+
+Every measure is aggregated by the model's own keys and its entities' keys before a dimension is joined: sums and
+counts are added up, an average travels as sum and count, a distinct count as the distinct values of each key.
+A filter on an entity's dimensions becomes a semi-join of the entity's key before that.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import config as C
+from ledgerloom.functions.expr import average
 from ledgerloom.operators.combine import combine_on_keys
+from ledgerloom.plans.predicates import Conjunct, conjuncts
 
 GRAINS = {"day": None, "week": "week", "month": "month", "quarter": "quarter", "year": "year"}
 
@@ -64,6 +71,9 @@ SEMANTIC_MODELS = {
     "b2b_orders": SemanticModel("fct_b2b_orders", "b2b_order",
                                 {"b2b_order": "order_id", "b2b_customer": "b2b_customer_id"}, "order_date",
                                 {"status": "status", "is_cancelled_or_returned": "is_cancelled_or_returned"}),
+    # Of this library: lines, which have no unique key of one column.
+    "order_lines": SemanticModel("fct_order_lines", None, {"sales_order": "order_id", "customer": "customer_id"}, "order_date",
+                                 {"product_category": "product_category", "has_catalog_match": "has_catalog_match"}),
 }
 
 SIMPLE_METRICS = {m.name: m for m in [
@@ -76,6 +86,14 @@ SIMPLE_METRICS = {m.name: m for m in [
     SimpleMetric("total_b2b_revenue", "b2b_orders", "sum", "amount"),
     SimpleMetric("b2b_cancelled_amount", "b2b_orders", "sum",
                  "case when is_cancelled_or_returned then amount else 0 end"),
+    # Of this library: measures of lines, and some that do not add up.
+    SimpleMetric("total_line_revenue", "order_lines", "sum", "line_revenue"),
+    SimpleMetric("total_line_units", "order_lines", "sum", "quantity"),
+    SimpleMetric("distinct_line_products", "order_lines", "count_distinct", "product_id"),
+    SimpleMetric("distinct_promo_codes", "sales_orders", "count_distinct", "promo_code"),
+    SimpleMetric("distinct_buyers", "sales_orders", "count_distinct", "customer_id"),
+    SimpleMetric("avg_items_per_order", "sales_orders", "avg", "number_of_line_items"),
+    SimpleMetric("largest_order", "sales_orders", "max", "total_revenue"),
 ]}
 
 RATIO_METRICS = {m.name: m for m in [
@@ -91,8 +109,8 @@ DERIVED_METRICS = {m.name: m for m in [
 ]}
 
 
-AGGREGATES = {"sum": F.sum, "count": F.count, "count_distinct": F.count_distinct, "avg": F.avg, "max": F.max,
-              "min": F.min}
+AGGREGATES = {"sum": F.sum, "count": F.count, "count_distinct": F.count_distinct, "max": F.max, "min": F.min,
+              "avg": lambda c: average(F.sum(c), F.count(c))}
 #: Aggregates that can be taken in two steps, with the second step's aggregate.
 REAGGREGATE = {"sum": "sum", "count": "sum", "max": "max", "min": "min"}
 
@@ -101,6 +119,19 @@ def aggregate(kind: str, expr: Column) -> Column:
     return AGGREGATES[kind](expr)
 
 
+def entity_model(entity: str) -> SemanticModel:
+    return next(m for m in SEMANTIC_MODELS.values() if m.primary_entity == entity)
+
+
+_WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
+
+
+def _columns(project, model: str, *expressions: str) -> DataFrame:
+    """The columns of a model that occur in the expressions (so a branch behind any other is left out)."""
+    words = {w for e in expressions for w in _WORD.findall(e)}
+    return project.model(model, [c for c in project[model].columns if c in words])
+
+
 def _split(sm: SemanticModel, group_by: list[str]) -> tuple[dict[str, Column], dict[str, dict[str, str]]]:
     """Own keys (output name -> column), and per foreign entity its dimensions (output name -> expression)."""
     own: dict[str, Column] = {}
@@ -114,7 +145,7 @@ def _split(sm: SemanticModel, group_by: list[str]) -> tuple[dict[str, Column], d
             own[g] = F.expr(sm.dimensions[g])
         else:
             entity, dim = g.split("__", 1)
-            target = next(m for m in SEMANTIC_MODELS.values() if m.primary_entity == entity)
+            target = entity_model(entity)
             if target is sm:
                 own[g.replace("__", "_")] = F.expr(sm.dimensions[dim])
             else:
@@ -125,37 +156,118 @@ def _split(sm: SemanticModel, group_by: list[str]) -> tuple[dict[str, Column], d
 def _with_entities(project, sm: SemanticModel, df: DataFrame, foreign: dict, keys: dict[str, str]) -> DataFrame:
     """``df`` left-joined once to each foreign entity; ``keys``: entity -> its key column in ``df``."""
     for entity, dims in foreign.items():
-        target = next(m for m in SEMANTIC_MODELS.values() if m.primary_entity == entity)
-        side = project[target.name].select(F.col(target.entity_keys[entity]).alias(f"_pk_{entity}"),
-                                           *[F.expr(e).alias(out) for out, e in dims.items()])
-        df = df.join(side, df[keys[entity]] == side[f"_pk_{entity}"], "left")
+        target = entity_model(entity)
+        pk = target.entity_keys[entity]
+        side = _columns(project, target.name, pk, *dims.values()).select(
+            F.col(pk).alias(f"_pk_{entity}"), *[F.expr(e).alias(out) for out, e in dims.items()])
+        df = df.join(side, df[keys[entity]] == side[f"_pk_{entity}"], "left").drop(f"_pk_{entity}")
+    return df
+
+
+def _filter_names(project, sm: SemanticModel) -> dict[str, tuple[str | None, str]]:
+    """What a filter may name for this model: name -> (foreign entity or None, expression)."""
+    names = {c: (None, c) for c in project[sm.name].columns}
+    names |= {n: (None, e) for n, e in sm.dimensions.items()}
+    if sm.time_dimension:
+        for grain, unit in GRAINS.items():
+            e = sm.time_dimension if unit is None else f"cast(date_trunc('{unit}', {sm.time_dimension}) as date)"
+            names[f"metric_time__{grain}"] = (None, e)
+        names["metric_time"] = names["metric_time__day"]
+    for entity in sm.entity_keys:
+        target = next((m for m in SEMANTIC_MODELS.values() if m.primary_entity == entity), None)
+        if target:
+            names |= {f"{entity}__{d}": (None if target is sm else entity, e) for d, e in target.dimensions.items()}
+    return names
+
+
+def _conjuncts(project, sm: SemanticModel, where: str) -> tuple[list[Conjunct], dict[str, tuple[str | None, str]]]:
+    names = _filter_names(project, sm)
+
+    def type_of(name: str):
+        entity, e = names[name]
+        source = sm if entity is None else entity_model(entity)
+        return project[source.name].select(F.expr(e).alias("x")).schema["x"].dataType
+
+    return conjuncts(project.spark, where, type_of, names), names
+
+
+def filtered(project, sm: SemanticModel, df: DataFrame, where: str | None) -> DataFrame:
+    """Rows of the model that meet ``where``.  A conjunct on the model's own names is a filter of its scan; one on the
+    names of one entity is a semi-join of that entity's key; any other (several entities in one conjunct, or one that holds
+    for rows without a match) joins the names it needs."""
+    if not where:
+        return df
+    parts, names = _conjuncts(project, sm, where)
+    by_entity: dict[str, list[Conjunct]] = {}
+    mixed = []
+    for part in parts:
+        entities = {names[n][0] for n in part.names}
+        if entities <= {None}:
+            df = part.on(df, {n: names[n][1] for n in part.names})
+        elif len(entities) == 1 and not part.holds_on_nulls:
+            by_entity.setdefault(entities.pop(), []).append(part)
+        else:
+            mixed.append(part)
+    for entity, own in by_entity.items():
+        target = entity_model(entity)
+        pk = target.entity_keys[entity]
+        used = {n: names[n][1] for part in own for n in part.names}
+        side = _columns(project, target.name, pk, *used.values()).select(
+            F.col(pk).alias("_pk"), *[F.expr(e).alias(n) for n, e in used.items()])
+        for part in own:
+            side = part.on(side, {n: f"`{n}`" for n in part.names})
+        side = side.select("_pk")
+        df = df.join(side, df[sm.entity_keys[entity]] == side["_pk"], "left_semi")
+    for part in mixed:
+        foreign: dict[str, dict[str, str]] = {}
+        for n in part.names:
+            if names[n][0]:
+                foreign.setdefault(names[n][0], {})[n] = names[n][1]
+        joined = _with_entities(project, sm, df, foreign, {e: sm.entity_keys[e] for e in foreign})
+        columns = {n: f"`{n}`" if names[n][0] else names[n][1] for n in part.names}
+        df = part.on(joined, columns).select(*df.columns)
     return df
 
 
 def _simple_frame(project, model_key: str, metrics: list[SimpleMetric], group_by: list[str],
                   where: str | None) -> tuple[DataFrame, list[str]]:
-    """Metrics of one semantic model.  Where all of them add up and the filter needs the model's own columns
-    only, the fact is aggregated by its own keys and the entities' keys first, and joined after that."""
+    """Metrics of one semantic model, filtered, aggregated by its own keys and its entities' keys, then joined to
+    the entities and aggregated to the group keys."""
     sm = SEMANTIC_MODELS[model_key]
-    df = project[sm.name]
     own, foreign = _split(sm, group_by)
+    asked = " ".join([*group_by, where or ""])
+    needed = [sm.time_dimension or "", *sm.entity_keys.values(), *[e for d, e in sm.dimensions.items() if d in asked],
+              *[m.expr for m in metrics], where or ""]
+    df = filtered(project, sm, _columns(project, sm.name, *needed), where)
     names = [g if g.startswith("metric_time") else g.replace("__", "_") for g in group_by]
     if not names:  # global metric: one group, keyed by a constant so all metric frames share a key
         own, names = {"_all": F.lit(1)}, ["_all"]
-    if foreign and not where and all(m.agg in REAGGREGATE for m in metrics):
-        entity_keys = {e: f"_fk_{e}" for e in foreign}
-        first = df.groupBy(*[c.alias(n) for n, c in own.items()],
-                           *[F.col(sm.entity_keys[e]).alias(k) for e, k in entity_keys.items()]).agg(
-            *[aggregate(m.agg, F.expr(m.expr)).alias(m.name) for m in metrics])
-        rows = _with_entities(project, sm, first, foreign, entity_keys)
-        out = rows.groupBy(*names).agg(*[aggregate(REAGGREGATE[m.agg], F.col(m.name)).alias(m.name) for m in metrics])
-    else:
-        rows = _with_entities(project, sm, df, foreign, {e: sm.entity_keys[e] for e in foreign})
-        if where:
-            rows = rows.filter(F.expr(where))
-        out = rows.groupBy(*[own[n].alias(n) if n in own else F.col(n) for n in names]).agg(
-            *[aggregate(m.agg, F.expr(m.expr)).alias(m.name) for m in metrics])
-    return widen_decimals(out), names
+    if not foreign:
+        return widen_decimals(df.groupBy(*[own[n].alias(n) for n in names]).agg(
+            *[aggregate(m.agg, F.expr(m.expr)).alias(m.name) for m in metrics])), names
+    entity_keys = {e: f"_fk_{e}" for e in foreign}
+    keys = [*[c.alias(n) for n, c in own.items()], *[F.col(sm.entity_keys[e]).alias(k) for e, k in entity_keys.items()]]
+
+    def over_entities(first: DataFrame, aggs: list[Column]) -> DataFrame:
+        return _with_entities(project, sm, first, foreign, entity_keys).groupBy(*names).agg(*aggs)
+
+    frames = []
+    plain = [m for m in metrics if m.agg != "count_distinct"]
+    if plain:
+        first, second = [], []
+        for m in plain:
+            e = F.expr(m.expr)
+            if m.agg == "avg":
+                first += [F.sum(e).alias(f"{m.name}_sum"), F.count(e).alias(f"{m.name}_n")]
+                second.append(average(F.sum(f"{m.name}_sum"), F.sum(f"{m.name}_n")).alias(m.name))
+            else:
+                first.append(aggregate(m.agg, e).alias(m.name))
+                second.append(aggregate(REAGGREGATE[m.agg], F.col(m.name)).alias(m.name))
+        frames.append(over_entities(df.groupBy(*keys).agg(*first), second))
+    # A key's repeated values meet before the join; a key whose values are all null still makes its group.
+    frames += [over_entities(df.select(*keys, F.expr(m.expr).alias("_value")).distinct(),
+                             [F.count_distinct("_value").alias(m.name)]) for m in metrics if m.agg == "count_distinct"]
+    return widen_decimals(frames[0] if len(frames) == 1 else combine_on_keys(frames, names)), names
 
 
 def widen_decimals(df: DataFrame) -> DataFrame:
@@ -170,8 +282,9 @@ def metric_query(project, metrics: list[str], group_by: list[str] | None = None,
     """Evaluate simple, ratio and derived metrics at the same group keys.
 
     ``group_by`` items: ``metric_time__<grain>``, a local dimension name, or
-    ``<entity>__<dimension>`` (joined through the entity).  Ratio results are
-    ``double(numerator) / double(denominator)`` (null when the denominator is 0).
+    ``<entity>__<dimension>`` (joined through the entity).  ``where`` is a filter text over the same names and the
+    models' own columns; each of its conjuncts holds for every model that takes part, so a name that one of them does
+    not have is an error.  Ratio results are ``double(numerator) / double(denominator)`` (null when the denominator is 0).
     """
     group_by = list(group_by or [])
     needed: list[str] = []

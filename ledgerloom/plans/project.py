@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,8 @@ TABLE_MODELS = [["rpt_promo_effectiveness", "loyalty_campaign_targets", "regiona
                  "b2b_account_health_report", "consolidated_revenue"], ["regional_target_attainment"]]
 LAYER_OF = {**dict.fromkeys(MATERIALIZED_INTERMEDIATES, "intermediate"),
             **dict.fromkeys(PUBLIC_MARTS + [t for step in TABLE_MODELS for t in step], "published")}
+#: Columns that cost a model work of their own (a branch with shuffles): a reader that does not ask for them skips it.
+SEPARABLE = {"dim_customers": frozenset({"customer_value_segment"})}
 #: Independent tables that a build writes at the same time.
 WRITERS = 4
 
@@ -72,13 +75,32 @@ class RetailProject:
             raise LookupError(f"run {self.run.run_id} has no {layer} table {name}")
         return self.spark.read.parquet(self.run.path(layer, name))
 
-    def model(self, name: str) -> DataFrame:
-        """``ref(name)``: the model's DataFrame (built once)."""
+    def model(self, name: str, columns: Iterable[str] | None = None) -> DataFrame:
+        """``ref(name)``: the model's DataFrame (built once), or these columns of it.  A model that is derived leaves out
+        the branches of its ``SEPARABLE`` columns unless they are asked for (Spark cannot drop such a join by itself)."""
+        if columns is None:
+            return self._whole(name)
+        wanted = list(dict.fromkeys(columns))
+        df = self._whole(name) if SEPARABLE.get(name, frozenset()) & set(wanted) else self._plain(name)
+        return df.select(*wanted)
+
+    def _is_table(self, name: str) -> bool:
+        """Whether the model is read from the run; one whose prices are not in cents is always derived."""
+        return bool(LAYER_OF.get(name) and self.run and self.price_scale == 2
+                    and (not self.building or self.run.has(LAYER_OF[name], name)))
+
+    def _plain(self, name: str) -> DataFrame:
+        if name not in SEPARABLE or self._is_table(name):
+            return self._whole(name)
+        key = f"{name} without {sorted(SEPARABLE[name])}"
+        if key not in self._models:
+            self._models[key] = getattr(self, f"_build_{name}_plain")()
+        return self._models[key]
+
+    def _whole(self, name: str) -> DataFrame:
         if name not in self._models:
-            layer = LAYER_OF.get(name)
-            # Tables hold prices in cents; another price scale is always derived.
-            if layer and self.run and self.price_scale == 2 and (not self.building or self.run.has(layer, name)):
-                df = self._read(layer, name)
+            if self._is_table(name):
+                df = self._read(LAYER_OF[name], name)
                 if PART_COL in df.columns:
                     self._partitioned[name] = df
                     df = df.drop(PART_COL)
@@ -155,6 +177,9 @@ class RetailProject:
     def _build_dim_customers(self):
         return marts.dim_customers(self["int_current_customers"])
 
+    def _build_dim_customers_plain(self):
+        return marts.customer_attributes(self["int_current_customers"])
+
     def _build_dim_b2b_customers(self):
         return marts.dim_b2b_customers(self["int_b2b_customer_health"])
 
@@ -178,7 +203,8 @@ class RetailProject:
         return marketing.loyalty_campaign_targets(self["dim_customers"], self["fct_sales_orders"], self.as_of)
 
     def _build_regional_performance(self):
-        return marketing.regional_performance(self["fct_sales_orders"], self["dim_customers"])
+        return marketing.regional_performance(self["fct_sales_orders"],
+                                              self.model("dim_customers", ["customer_id", "region", "state"]))
 
     def _build_regional_target_attainment(self):
         return marketing.regional_target_attainment(self["regional_performance"],

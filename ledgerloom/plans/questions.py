@@ -32,14 +32,14 @@ def revenue_last_month(p, as_of: dt.date) -> DataFrame:
 
 
 def customers_by_tier(p) -> DataFrame:
-    return p["dim_customers"].groupBy(F.col("loyalty_segment_description").alias("loyalty_tier")).agg(
+    return p.model("dim_customers", ["loyalty_segment_description"]).groupBy(F.col("loyalty_segment_description").alias("loyalty_tier")).agg(
         F.count(F.lit(1)).alias("customers"))
 
 
 def top_region(p, as_of: dt.date, months: int = C.RECENT_MONTHS) -> DataFrame:
     """Region with the most B2C orders in the trailing window (ties: region name)."""
     o = _window(p, "fct_sales_orders", as_of, months).groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
-    c = p["dim_customers"].select("customer_id", "region")
+    c = p.model("dim_customers", ["customer_id", "region"])
     g = o.join(c, "customer_id").groupBy("region").agg(F.sum("n").alias("orders"))
     return g.orderBy(F.desc("orders"), F.asc_nulls_last("region")).limit(1)
 
@@ -61,7 +61,7 @@ def customer_ltv(p) -> DataFrame:
     """Customers with their orders and lifetime revenue (null without orders)."""
     act = p["fct_sales_orders"].groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_orders"), F.sum("total_revenue").cast("decimal(38,2)").alias("lifetime_revenue"))
-    return (p["dim_customers"].select("customer_id", "customer_name", "region").join(act, "customer_id", "left")
+    return (p.model("dim_customers", ["customer_id", "customer_name", "region"]).join(act, "customer_id", "left")
             .select("customer_id", "customer_name", "region", "lifetime_revenue", "total_orders"))
 
 

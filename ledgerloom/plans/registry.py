@@ -269,6 +269,36 @@ def q_metric_totals(spark, sf_dir):
                                     "avg_b2b_order_value", "b2b_cancellation_rate"], [])
 
 
+@register("metric_filtered")
+def q_metric_filtered(spark, sf_dir):
+    """One filter over two semantic models: a dimension of the customers for both of them."""
+    return _metrics(spark, sf_dir, ["total_b2c_revenue", "total_b2c_orders", "total_customers"], ["customer__state"],
+                    where="customer__region = 'ASIA' and customer__loyalty_tier in ('Gold', 'Silver')")
+
+
+@register("metric_filtered_mixed")
+def q_metric_filtered_mixed(spark, sf_dir):
+    """Own names, a time grain, and conjuncts that also hold for orders of unknown customers."""
+    return _metrics(spark, sf_dir, ["avg_b2c_order_value", "total_b2c_orders", "distinct_promo_codes"],
+                    ["customer__region", "metric_time__year"],
+                    where="metric_time__month >= date'1995-06-01' and total_revenue > 0 and "
+                          "(customer__region is null or customer__region <> 'ASIA' or has_promo)")
+
+
+@register("metric_distinct_by_region")
+def q_metric_distinct_by_region(spark, sf_dir):
+    """Measures that do not add up, over an entity's dimension."""
+    return _metrics(spark, sf_dir, ["distinct_buyers", "distinct_promo_codes", "avg_items_per_order", "largest_order",
+                                    "total_b2c_orders"], ["customer__region", "has_promo"])
+
+
+@register("metric_line_products")
+def q_metric_line_products(spark, sf_dir):
+    """Lines: revenue, units and different products by the buyers' loyalty tier."""
+    return _metrics(spark, sf_dir, ["total_line_revenue", "total_line_units", "distinct_line_products"],
+                    ["customer__loyalty_tier"], where="product_category = 'PROMO'")
+
+
 # ---------------------------------------------------------------- semantic views
 @register("semantic_select")
 def q_semantic_select(spark, sf_dir):
@@ -278,6 +308,33 @@ def q_semantic_select(spark, sf_dir):
                               {"b2c_revenue": ("sum", "revenue"), "orders": ("count", "b2c_revenue")})
 
 
+@register("semantic_filtered")
+def q_semantic_filtered(spark, sf_dir):
+    """Governed view with a filter by synonyms: two on the customers, two on the orders."""
+    from ledgerloom.plans.semantic import GOVERNED, semantic_aggregate
+    return semantic_aggregate(project(spark, sf_dir), GOVERNED, ["state", "promoted"],
+                              {"b2c_revenue": ("sum", "online revenue"), "orders": ("count", "b2c_revenue")},
+                              where="area in ('ASIA', 'EUROPE') and `loyalty segment` <> 'Bronze' and "
+                                    "`purchase date` >= date'1995-01-01' and revenue > 1000")
+
+
+@register("semantic_filtered_rows")
+def q_semantic_filtered_rows(spark, sf_dir):
+    """Governed view, row by row: a filter on a table of which no column is asked for, and one across tables."""
+    from ledgerloom.plans.semantic import GOVERNED, semantic_select
+    return semantic_select(project(spark, sf_dir), GOVERNED, ["b2b_order_date", "b2b_revenue", "company"],
+                           where="risk = 'at_risk' and (returned or b2b_region = 'ASIA') and `wholesale revenue` > 50000")
+
+
+@register("raw_filtered")
+def q_raw_filtered(spark, sf_dir):
+    """Raw view with a filter; orders of unknown customers stay where the filter holds for them."""
+    from ledgerloom.plans.semantic import RAW, semantic_aggregate
+    return semantic_aggregate(project(spark, sf_dir), RAW, ["city"],
+                              {"order_rows": ("count", "order_datetime"), "line_items": ("sum", "number_of_line_items")},
+                              where="(region is null or region = 'AFRICA') and number_of_line_items >= 3 and promo_info = 'FLASH30'")
+
+
 @register("semantic_b2b")
 def q_semantic_b2b(spark, sf_dir):
     """Governed view: B2B revenue by account health status and order status."""
@@ -364,8 +421,22 @@ def q_source_freshness(spark, sf_dir):
 @register("audit_trace")
 def q_audit_trace(spark, sf_dir):
     """Trace one regional-performance cell back to its raw order rows and sync times."""
-    from ledgerloom.operators.quality import audit_trace
-    return audit_trace(project(spark, sf_dir), region="AMERICA", month="1996-03-01")
+    from ledgerloom.plans.lineage import regional_trace
+    return regional_trace(project(spark, sf_dir), region="AMERICA", month="1996-03-01")
+
+
+def _trace(metric: str, keys: dict):
+    def run(spark, sf_dir):
+        from ledgerloom.plans.lineage import audit_trace
+        return audit_trace(project(spark, sf_dir), metric, keys)
+    return run
+
+
+# A ratio over two measures of a feed with repeated ids; lines with their place in the order's array; and a derived
+# metric over two models, one of them the customer versions in force.
+register("trace_cancellation_rate")(_trace("b2b_cancellation_rate", {"metric_time__quarter": "1997-04-01", "status": "returned"}))
+register("trace_line_revenue")(_trace("total_line_revenue", {"product_category": "PROMO", "metric_time__month": "1996-05-01"}))
+register("trace_revenue_per_customer")(_trace("revenue_per_customer", {"customer__region": "EUROPE"}))
 
 
 # ---------------------------------------------------------------- business questions

@@ -11,6 +11,10 @@ unique: its joins multiply rows, which is what it is there to show.
 
 Measures that add up are aggregated by the base's own keys before the join, so a hot key is reduced before
 the shuffle, and once more after it.
+
+A filter text may use names and synonyms (in backticks where they have blanks).  Each conjunct is applied to the table
+that owns its columns, below the joins; one that spans tables, or that also holds for a row without a match, is
+applied to the joined rows.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.metrics import REAGGREGATE, aggregate, widen_decimals
+from ledgerloom.plans.predicates import Conjunct, conjuncts
 
 
 @dataclass(frozen=True)
@@ -96,11 +101,50 @@ RAW = SemanticView(
 )
 
 
-def _table(project, view: SemanticView, alias: str) -> DataFrame:
+def _table(project, view: SemanticView, alias: str, columns=None) -> DataFrame:
     model = view.tables[alias][0]
     if model.startswith("raw."):
-        return project.raw.table(model.split(".", 1)[1])
-    return project[model]
+        df = project.raw.table(model.split(".", 1)[1])
+        return df.select(*dict.fromkeys(columns)) if columns is not None else df
+    return project.model(model, columns)
+
+
+@dataclass(frozen=True)
+class _Filter:
+    """A filter text's conjuncts, each for one table or for the joined rows."""
+    conjuncts: list[Conjunct]
+    owners: dict[str, tuple[str, str]]  # name or synonym -> (alias, column)
+
+    def aliases(self, part: Conjunct) -> set[str]:
+        return {self.owners[n][0] for n in part.names}
+
+    def resolved(self) -> list[tuple[str, str, str]]:
+        return [(n, *self.owners[n]) for part in self.conjuncts for n in part.names]
+
+    def columns(self, alias: str) -> list[str]:
+        return [c for _, a, c in self.resolved() if a == alias]
+
+    def on_table(self, df: DataFrame, alias: str) -> DataFrame:
+        for part in self.conjuncts:
+            if self.aliases(part) == {alias}:
+                df = part.on(df, {n: f"`{self.owners[n][1]}`" for n in part.names})
+        return df
+
+    def below(self, alias: str) -> list[Conjunct]:
+        return [part for part in self.conjuncts if self.aliases(part) == {alias} and not part.holds_on_nulls]
+
+
+def _filter(project, view: SemanticView, where: str | None) -> _Filter:
+    columns = {**view.facts, **view.dimensions}
+    owners = columns | {w: columns[n] for n, words in view.synonyms.items() for w in words}
+    if not where:
+        return _Filter([], owners)
+
+    def type_of(name: str):
+        alias, column = owners[name]
+        return _table(project, view, alias).schema[column].dataType
+
+    return _Filter(conjuncts(project.spark, where, type_of, owners), owners)
 
 
 def _resolve(view: SemanticView, word: str) -> tuple[str, str, str]:
@@ -126,44 +170,66 @@ def _steps(view: SemanticView, base: str, aliases: set[str]) -> list[tuple]:
     return steps
 
 
-def _joined(project, view: SemanticView, df: DataFrame, steps: list[tuple], resolved: list[tuple]) -> DataFrame:
-    """``df``, with the base's columns under ``alias.column``, joined to the columns that are asked for."""
+def _joined(project, view: SemanticView, df: DataFrame, steps: list[tuple], resolved: list[tuple], found: _Filter) -> DataFrame:
+    """``df``, with the base's columns under ``alias.column``, joined to the columns that are asked for.  A table with conjuncts of
+    its own that fail on nulls is filtered by them and joined as an inner join, which is what they make of it."""
     for frm, fk, to, key in steps:
-        wanted = dict.fromkeys([key, *(c for _, a, c in resolved if a == to)])
-        side = _table(project, view, to).select(*[F.col(c).alias(f"{to}.{c}") for c in wanted])
-        df = df.join(side, df[f"`{frm}.{fk}`"] == side[f"`{to}.{key}`"], "left")
+        wanted = list(dict.fromkeys([key, *(c for _, a, c in resolved if a == to), *found.columns(to)]))
+        side = _table(project, view, to, wanted)
+        own = found.below(to)
+        for part in own:
+            side = part.on(side, {n: f"`{found.owners[n][1]}`" for n in part.names})
+        side = side.select(*[F.col(c).alias(f"{to}.{c}") for c in wanted])
+        df = df.join(side, df[f"`{frm}.{fk}`"] == side[f"`{to}.{key}`"], "inner" if own else "left")
+    # What is left spans tables, or holds for rows without a match.
+    for part in found.conjuncts:
+        aliases = found.aliases(part)
+        if len(aliases) != 1 or (aliases & {step[2] for step in steps} and part.holds_on_nulls):
+            df = part.on(df, {n: "`{}.{}`".format(*found.owners[n]) for n in part.names})
     return df
 
 
-def semantic_select(project, view: SemanticView, names: list[str]) -> DataFrame:
-    """Rows of the base table with the requested facts and dimensions (left joins)."""
-    resolved = [_resolve(view, n) for n in names]
-    aliases = {a for _, a, _ in resolved}
+def _base_rows(project, view: SemanticView, base: str, columns: list[str], found: _Filter) -> DataFrame:
+    """The base's columns, filtered by the conjuncts on it alone."""
+    return found.on_table(_table(project, view, base, [*columns, *found.columns(base)]), base)
+
+
+def _under_alias(df: DataFrame, alias: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{alias}.{c}") for c in df.columns])
+
+
+def semantic_select(project, view: SemanticView, names: list[str], where: str | None = None) -> DataFrame:
+    """Rows of the base table with the requested facts and dimensions (left joins), those that meet ``where``."""
+    resolved, found = [_resolve(view, n) for n in names], _filter(project, view, where)
+    aliases = {a for _, a, _ in resolved + found.resolved()}
     base = _base(view, aliases)
-    rows = _table(project, view, base)
-    df = _joined(project, view, rows.select(*[F.col(c).alias(f"{base}.{c}") for c in rows.columns]),
-                 _steps(view, base, aliases), resolved)
+    steps = _steps(view, base, aliases)
+    own = [c for _, a, c in resolved if a == base] + [fk for frm, fk, _, _ in steps if frm == base]
+    rows = _under_alias(_base_rows(project, view, base, own, found), base)
+    df = _joined(project, view, rows, steps, resolved, found)
     return df.select(*[F.col(f"`{a}.{c}`").alias(n) for n, a, c in resolved])
 
 
-def semantic_aggregate(project, view: SemanticView, dimensions: list[str], measures: dict) -> DataFrame:
-    """``measures``: output name -> (agg, fact or dimension name)."""
-    dims = [_resolve(view, d) for d in dimensions]
+def semantic_aggregate(project, view: SemanticView, dimensions: list[str], measures: dict, where: str | None = None) -> DataFrame:
+    """``measures``: output name -> (agg, fact or dimension name); over the rows that meet ``where``."""
+    dims, found = [_resolve(view, d) for d in dimensions], _filter(project, view, where)
     sources = {out: (agg, *_resolve(view, src)) for out, (agg, src) in measures.items()}
-    aliases = {a for _, a, _ in dims} | {a for _, _, a, _ in sources.values()}
+    aliases = {a for _, a, _ in dims + found.resolved()} | {a for _, _, a, _ in sources.values()}
     base = _base(view, aliases)
     if view.governed and (wrong := sorted(n for _, n, a, _ in sources.values() if a != base)):
         raise ValueError(f"{wrong} are not facts of {base}: its rows would repeat them")
     steps = _steps(view, base, aliases)
+    spanning = [c for n, a, c in found.resolved() if a == base and any(
+        n in part.names and found.aliases(part) != {base} for part in found.conjuncts)]
+    own = list(dict.fromkeys([c for _, a, c in dims if a == base] + [fk for frm, fk, _, _ in steps if frm == base] + spanning))
+    rows = _base_rows(project, view, base, [*own, *(c for _, _, a, c in sources.values() if a == base)], found)
     if all(agg in REAGGREGATE and a == base for agg, _, a, _ in sources.values()):
-        own = dict.fromkeys([c for _, a, c in dims if a == base] + [fk for frm, fk, _, _ in steps if frm == base])
-        first = _table(project, view, base).groupBy(*[F.col(c).alias(f"{base}.{c}") for c in own]).agg(
+        first = rows.groupBy(*[F.col(c).alias(f"{base}.{c}") for c in own]).agg(
             *[aggregate(agg, F.col(c)).alias(out) for out, (agg, _, _, c) in sources.items()])
-        rows = _joined(project, view, first, steps, dims)
+        rows = _joined(project, view, first, steps, dims, found)
         aggs = [aggregate(REAGGREGATE[agg], F.col(out)).alias(out) for out, (agg, *_) in sources.items()]
     else:
         needed = dims + [(n, a, c) for _, n, a, c in sources.values()]
-        rows = _table(project, view, base)
-        rows = _joined(project, view, rows.select(*[F.col(c).alias(f"{base}.{c}") for c in rows.columns]), steps, needed)
+        rows = _joined(project, view, _under_alias(rows, base), steps, needed, found)
         aggs = [aggregate(agg, F.col(f"`{a}.{c}`")).alias(out) for out, (agg, _, a, c) in sources.items()]
     return widen_decimals(rows.groupBy(*[F.col(f"`{a}.{c}`").alias(n) for n, a, c in dims]).agg(*aggs))

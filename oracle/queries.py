@@ -124,6 +124,32 @@ ORACLE["metric_totals"] = query(
     f"(SELECT {_div('sum(CASE WHEN is_cancelled_or_returned THEN amount ELSE 0 END)', 'sum(amount)')} "
     "FROM fct_b2b_orders) AS b2b_cancellation_rate")
 
+ORACLE["metric_filtered"] = query(
+    "SELECT b.state AS customer_state, a.rev AS total_b2c_revenue, a.n AS total_b2c_orders, b.n AS total_customers FROM "
+    "(SELECT state, count(customer_id) AS n FROM dim_customers WHERE region = 'ASIA' AND loyalty_segment_description IN "
+    "('Gold', 'Silver') GROUP BY 1) b LEFT JOIN (SELECT c.state, sum(o.total_revenue) AS rev, count(o.order_id) AS n "
+    "FROM fct_sales_orders o JOIN dim_customers c ON c.customer_id = o.customer_id WHERE c.region = 'ASIA' AND "
+    "c.loyalty_segment_description IN ('Gold', 'Silver') GROUP BY 1) a ON a.state IS NOT DISTINCT FROM b.state")
+
+ORACLE["metric_filtered_mixed"] = query(
+    "SELECT c.region AS customer_region, CAST(date_trunc('year', o.order_date) AS DATE) AS metric_time__year, "
+    f"{_div('sum(o.total_revenue)', 'count(o.order_id)')} AS avg_b2c_order_value, count(o.order_id) AS total_b2c_orders, "
+    "count(DISTINCT o.promo_code) AS distinct_promo_codes FROM fct_sales_orders o LEFT JOIN dim_customers c "
+    "ON c.customer_id = o.customer_id WHERE o.order_date >= DATE '1995-06-01' AND o.total_revenue > 0 AND "
+    "(c.region IS NULL OR c.region <> 'ASIA' OR o.has_promo) GROUP BY 1, 2")
+
+ORACLE["metric_distinct_by_region"] = query(
+    "SELECT c.region AS customer_region, o.has_promo, count(DISTINCT o.customer_id) AS distinct_buyers, "
+    "count(DISTINCT o.promo_code) AS distinct_promo_codes, "
+    f"{average('sum(o.number_of_line_items)', 'count(o.number_of_line_items)')} AS avg_items_per_order, "
+    "CAST(max(o.total_revenue) AS DECIMAL(38,2)) AS largest_order, count(o.order_id) AS total_b2c_orders "
+    "FROM fct_sales_orders o LEFT JOIN dim_customers c ON c.customer_id = o.customer_id GROUP BY 1, 2")
+
+ORACLE["metric_line_products"] = query(
+    "SELECT c.loyalty_segment_description AS customer_loyalty_tier, sum(l.line_revenue) AS total_line_revenue, "
+    "CAST(sum(l.quantity) AS BIGINT) AS total_line_units, count(DISTINCT l.product_id) AS distinct_line_products "
+    "FROM fct_order_lines l LEFT JOIN dim_customers c ON c.customer_id = l.customer_id WHERE l.product_category = 'PROMO' GROUP BY 1")
+
 # ---------------------------------------------------------------- semantic views
 ORACLE["semantic_select"] = query(
     "SELECT c.region, c.loyalty_segment_description AS loyalty_tier, sum(o.total_revenue) AS b2c_revenue, "
@@ -135,6 +161,22 @@ ORACLE["semantic_b2b"] = query(
     "count(o.amount) AS orders FROM fct_b2b_orders o LEFT JOIN dim_b2b_customers c "
     "ON c.b2b_customer_id = o.b2b_customer_id GROUP BY 1, 2")
 
+ORACLE["semantic_filtered"] = query(
+    "SELECT c.state, o.has_promo, sum(o.total_revenue) AS b2c_revenue, count(o.total_revenue) AS orders "
+    "FROM fct_sales_orders o JOIN dim_customers c ON c.customer_id = o.customer_id WHERE c.region IN ('ASIA', 'EUROPE') "
+    "AND c.loyalty_segment_description <> 'Bronze' AND o.order_date >= DATE '1995-01-01' AND o.total_revenue > 1000 GROUP BY 1, 2")
+
+ORACLE["semantic_filtered_rows"] = query(
+    "SELECT o.order_date AS b2b_order_date, o.amount AS b2b_revenue, c.company_name FROM fct_b2b_orders o "
+    "JOIN dim_b2b_customers c ON c.b2b_customer_id = o.b2b_customer_id WHERE c.account_health_status = 'at_risk' "
+    "AND (o.is_cancelled_or_returned OR c.region = 'ASIA') AND o.amount > 50000")
+
+ORACLE["raw_filtered"] = query(
+    "SELECT c.city, count(*) AS order_rows, CAST(sum(o.n) AS BIGINT) AS line_items FROM (SELECT o_custkey, "
+    "(SELECT count(*) FROM lineitem l WHERE l.l_orderkey = orders.o_orderkey) AS n FROM orders "
+    "WHERE o_orderpriority = '3-MEDIUM') o LEFT JOIN raw_customers c ON c.customer_id = o.o_custkey "
+    "WHERE (c.region IS NULL OR c.region = 'AFRICA') AND o.n >= 3 GROUP BY 1")
+
 ORACLE["raw_vs_governed"] = query(
     "SELECT (SELECT count(*) FROM raw_customers) AS raw_customer_rows, "
     "(SELECT CAST(sum(units_purchased) AS BIGINT) FROM raw_customers) AS raw_units, "
@@ -282,6 +324,28 @@ ORACLE["audit_trace"] = query(
     "WHERE f.order_date >= DATE '1996-03-01' AND f.order_date < DATE '1996-04-01' "
     "AND f.customer_id IN (SELECT customer_id FROM dim_customers WHERE region = 'AMERICA')")
 
+ORACLE["trace_cancellation_rate"] = query(
+    "SELECT metric, 'ret_orders' AS source_table, CAST(order_id AS VARCHAR) AS source_id, CAST(NULL AS INTEGER) AS position, "
+    "synced AS synced_at, CAST(amount AS DECIMAL(38,2)) AS contribution FROM ret_orders, "
+    "(VALUES ('b2b_cancelled_amount'), ('total_b2b_revenue')) m(metric) WHERE (deleted IS NULL OR NOT deleted) "
+    "AND status = 'returned' AND created_at >= TIMESTAMP '1997-04-01' AND created_at < TIMESTAMP '1997-07-01'")
+
+ORACLE["trace_line_revenue"] = query(
+    "SELECT 'total_line_revenue' AS metric, 'sales_orders' AS source_table, CAST(order_id AS VARCHAR) AS source_id, "
+    f"line_number AS position, {SYNCED} - (order_id % 720) * INTERVAL 1 MINUTE AS synced_at, "
+    "CAST(line_revenue AS DECIMAL(38,2)) AS contribution FROM fct_order_lines WHERE product_category = 'PROMO' "
+    "AND order_date >= DATE '1996-05-01' AND order_date < DATE '1996-06-01'")
+
+ORACLE["trace_revenue_per_customer"] = query(
+    "SELECT 'total_b2c_revenue' AS metric, 'sales_orders' AS source_table, CAST(o.order_id AS VARCHAR) AS source_id, "
+    f"CAST(NULL AS INTEGER) AS position, {SYNCED} - (o.order_id % 720) * INTERVAL 1 MINUTE AS synced_at, "
+    "CAST(o.total_revenue AS DECIMAL(38,2)) AS contribution FROM fct_sales_orders o JOIN dim_customers c "
+    "ON c.customer_id = o.customer_id WHERE c.region = 'EUROPE' UNION ALL "
+    "SELECT 'total_customers', 'customers', CAST(v.surrogate_id AS VARCHAR), NULL, r.synced, CAST(1 AS DECIMAL(38,2)) FROM "
+    "(SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY valid_from_date DESC NULLS LAST, surrogate_id DESC) AS rn "
+    "FROM stg_customers WHERE is_current) v JOIN raw_customers r ON r.surrogate_id = v.surrogate_id "
+    "WHERE v.rn = 1 AND v.region = 'EUROPE'")
+
 # ---------------------------------------------------------------- business questions
 _W6 = f"order_date >= CAST({AS_OF} - INTERVAL 6 MONTH AS DATE) AND order_date < {AS_OF}"
 _W12 = f"order_date >= CAST({AS_OF} - INTERVAL 12 MONTH AS DATE) AND order_date < {AS_OF}"

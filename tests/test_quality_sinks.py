@@ -16,6 +16,9 @@ class FakeProject:
     def __getitem__(self, name):
         return self.models[name]
 
+    def model(self, name, columns):
+        return self.models[name].select(*dict.fromkeys(columns))
+
 
 def test_single_pass_rules_one_bad_row_each(spark):
     m = spark.createDataFrame([(1, "a", 5), (2, None, 5), (3, "zz", 5), (4, "a", -1), (5, None, None)],

@@ -33,7 +33,8 @@ def test_bands_of_lifetime_value(spark):
     from ledgerloom.plans.questions import ltv_segments
 
     class P(dict):
-        pass
+        def model(self, name, columns):
+            return self[name].select(*columns)
     cust = spark.createDataFrame([(k, f"n{k}", "R") for k in range(1, 8)],
                                  "customer_id long, customer_name string, region string")
     money = {1: "500.00", 2: "499.99", 3: "100.00", 4: "99.99", 5: "-3.00", 6: "12000.00"}
