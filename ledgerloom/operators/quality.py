@@ -1,8 +1,9 @@
 """Data-quality operators: declared column tests, singular tests, contracts, freshness.
 
 Column tests (not_null / accepted_values / between) of one model are folded
-into a single aggregate pass with one ``count_if`` per rule; ``unique`` and
-``relationships`` group by the key in its own type first.  Every check returns a DataFrame of
+into a single aggregate pass with one ``count_if`` per rule.  ``unique``, ``relationships``, the contracts' primary keys and
+failing values share one histogram per key column (``key_counts``), in the key's own type.  Checks of a published run take
+what its writes have counted (``evidence``) instead of scanning those tables again.  Every check returns a DataFrame of
 results, and ``failing_rows`` the rows behind any test; nothing is collected.
 """
 
@@ -12,7 +13,7 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,54 +132,96 @@ def _failing_predicate(t: ColumnTest):
     raise ValueError(t.test)
 
 
+#: Names of measures that a write counts.
+ROWS, ANY_NULL, PRIMARY_KEY = "rows", "any_null", "repeated_keys"
+
+
+def null_measure(column: str) -> str:
+    return f"not_null:{column}"
+
+
+def _measure(t: ColumnTest) -> str:
+    return f"{t.test}:{t.column}"
+
+
+def row_measures(model: str) -> dict[str, Column]:
+    """What a write of the model counts: its rows, the failures of its row rules, and the nulls that its contract forbids."""
+    required = [c for c, _, req in CONTRACTS[model][1] if req] if model in CONTRACTS else []
+    out = {ROWS: F.count(F.lit(1))}
+    out |= {_measure(t): F.count_if(_failing_predicate(t)) for t in TESTS if t.model == model and t.test in ROW_RULES}
+    out |= {null_measure(c): F.count_if(F.col(c).isNull()) for c in required}
+    if required:
+        out[ANY_NULL] = F.count_if(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required]))
+    return out
+
+
+def _evidence(project, model: str) -> dict[str, int]:
+    return getattr(project, "evidence", lambda _: None)(model) or {}
+
+
 def single_pass_tests(project, tests: list[ColumnTest]) -> DataFrame:
     """not_null / accepted_values / between, any mix of them: one aggregate per model, one count_if per rule."""
     spark = project.spark
-    out = None
     by_model: dict[str, list[ColumnTest]] = {}
+    known = []
     for t in tests:
-        by_model.setdefault(t.model, []).append(t)
+        if _measure(t) in (seen := _evidence(project, t.model)):
+            known.append((t.model, t.column, t.test, seen[_measure(t)]))
+        else:
+            by_model.setdefault(t.model, []).append(t)
+    parts = [spark.createDataFrame(known, RESULT_SCHEMA)] if known or not by_model else []
     for model, ts in by_model.items():
-        row = project.model(model, [t.column for t in ts]).agg(*[F.count_if(_failing_predicate(t)).alias(f"f{i}") for i, t in enumerate(ts)])
+        row = project.model(model, [t.column for t in ts]).agg(
+            *[F.count_if(_failing_predicate(t)).alias(f"f{i}") for i, t in enumerate(ts)])
         stack = ", ".join(f"'{t.column}', '{t.test}', f{i}" for i, t in enumerate(ts))
-        part = row.select(F.lit(model).alias("model"),
-                          F.expr(f"stack({len(ts)}, {stack}) as (column_name, test_name, failures)"))
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], RESULT_SCHEMA)
+        parts.append(row.select(F.lit(model).alias("model"),
+                                F.expr(f"stack({len(ts)}, {stack}) as (column_name, test_name, failures)")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def key_counts(project, model: str, column: str) -> DataFrame:
+    """The key column's values (in their own type) with their rows: (_key, _rows).  The same DataFrame for all who ask in a
+    project, so Spark shuffles it once in a plan."""
+    cache = project.__dict__.setdefault("_key_counts", {})
+    if (model, column) not in cache:
+        key = F.col(column)
+        cache[model, column] = (project.model(model, [column]).filter(key.isNotNull()).groupBy(key.alias("_key"))
+                                .agg(F.count(F.lit(1)).alias("_rows")))
+    return cache[model, column]
 
 
 def _repeated(project, t: ColumnTest) -> DataFrame:
-    """Key values (in their own type) that occur more than once; only the key column is read and shuffled."""
-    key = F.col(t.column)
-    return (project.model(t.model, [t.column]).filter(key.isNotNull()).groupBy(key.alias("_key"))
-            .agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 1))
+    """Key values that occur more than once, with their rows."""
+    return key_counts(project, t.model, t.column).filter(F.col("_rows") > 1)
 
 
 def _orphans(project, t: ColumnTest) -> DataFrame:
-    """Child keys without a parent row, aggregated by key before the join: (_key, _rows)."""
-    pm, pc = t.parent
-    child = (project.model(t.model, [t.column]).filter(F.col(t.column).isNotNull()).groupBy(F.col(t.column).alias("_key"))
-             .agg(F.count(F.lit(1)).alias("_rows")))
-    parent = project.model(pm, [pc]).select(F.col(pc).alias("_pk"))
+    """Child keys without a parent row: (_key, _rows).  Both sides are histograms, so a hot key is one row."""
+    child, parent = key_counts(project, t.model, t.column), key_counts(project, *t.parent).select(F.col("_key").alias("_pk"))
     return child.join(parent, child["_key"] == parent["_pk"], "left_anti")
 
 
-def _counted(df: DataFrame, t: ColumnTest, failures) -> DataFrame:
-    return df.agg(failures.alias("failures")).select(
-        F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"), F.lit(t.test).alias("test_name"),
-        F.coalesce("failures", F.lit(0)).cast("long").alias("failures"))
+def _summed(project, tests: list[ColumnTest], failures: dict[int, DataFrame], known: dict[int, int]) -> DataFrame:
+    """One result row per test.  ``failures``: test number -> its parts (column ``_n``), added up in one shuffle for all."""
+    names = project.spark.createDataFrame([(i, t.model, t.column, t.test, known.get(i, 0)) for i, t in enumerate(tests)],
+                                          "_t int, model string, column_name string, test_name string, _n long")
+    parts = [df.select(F.lit(i).alias("_t"), *[F.lit(None).cast("string").alias(c) for c in ("model", "column_name", "test_name")],
+                       F.col("_n").cast("long").alias("_n")) for i, df in failures.items()]
+    return (reduce(DataFrame.unionByName, parts, names).groupBy("_t").agg(
+        *[F.max(c).alias(c) for c in ("model", "column_name", "test_name")], F.sum("_n").alias("failures")).drop("_t"))
 
 
 def unique_tests(project, tests: list[ColumnTest]) -> DataFrame:
     """Number of non-null key values that occur more than once, per test."""
-    parts = [_counted(_repeated(project, t), t, F.count(F.lit(1))) for t in tests]
-    return reduce(DataFrame.unionByName, parts)
+    known = {i: seen[PRIMARY_KEY] for i, t in enumerate(tests)
+             if PRIMARY_KEY in (seen := _evidence(project, t.model)) and CONTRACTS[t.model][0] == t.column}
+    return _summed(project, tests, {i: _repeated(project, t).select(F.lit(1).alias("_n"))
+                                    for i, t in enumerate(tests) if i not in known}, known)
 
 
 def relationship_tests(project, tests: list[ColumnTest]) -> DataFrame:
     """Child rows whose non-null key has no parent row."""
-    parts = [_counted(_orphans(project, t), t, F.sum("_rows")) for t in tests]
-    return reduce(DataFrame.unionByName, parts)
+    return _summed(project, tests, {i: _orphans(project, t).select(F.col("_rows").alias("_n")) for i, t in enumerate(tests)}, {})
 
 
 ROW_RULES = ("not_null", "accepted_values", "between")
@@ -201,15 +244,19 @@ def failing_rows(project, t: ColumnTest) -> DataFrame:
     return df.join(keys, df[t.column] == keys["_key"], "left_semi")
 
 
+def _failing_keys(project, t: ColumnTest) -> DataFrame:
+    """The failing values of a test with their rows: (_key, _rows)."""
+    if t.test in ROW_RULES:
+        return (project.model(t.model, [t.column]).filter(_failing_predicate(t)).groupBy(F.col(t.column).alias("_key"))
+                .agg(F.count(F.lit(1)).alias("_rows")))
+    return (_repeated if t.test == "unique" else _orphans)(project, t)
+
+
 def failing_values(project, tests: list[ColumnTest]) -> DataFrame:
     """What fails, over all ``tests``: model, column, test, the value as text and the rows that have it."""
-    parts = []
-    for t in tests:
-        bad = failing_rows(project, t)
-        parts.append(bad.groupBy(F.col(t.column).cast("string").alias("failing_value"))
-                     .agg(F.count(F.lit(1)).alias("rows"))
-                     .select(F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"),
-                             F.lit(t.test).alias("test_name"), "failing_value", "rows"))
+    parts = [_failing_keys(project, t).select(
+        F.lit(t.model).alias("model"), F.lit(t.column).alias("column_name"), F.lit(t.test).alias("test_name"),
+        F.col("_key").cast("string").alias("failing_value"), F.col("_rows").alias("rows")) for t in tests]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -309,16 +356,20 @@ def contract_check(project, models=None) -> DataFrame:
         mismatched = sum(1 for c, t, _ in cols if c in actual and actual[c] != t)
         extra = sum(1 for c in actual if c not in declared)
         nn = [c for c, _, req in cols if req and c in actual]
-        null_rule = F.lit(False)
-        for c in nn:
-            null_rule = null_rule | F.col(c).isNull()
-        stats = df.agg(F.count_if(null_rule).alias("not_null_violations"))
-        if pk:
-            dup = (df.filter(F.col(pk).isNotNull()).groupBy(pk).count().filter(F.col("count") > 1)
-                   .agg(F.count(F.lit(1)).alias("pk_duplicates")))
-            stats = combine_on_keys([stats, dup])
+        seen = _evidence(project, model)
+        if ANY_NULL in seen and (not pk or PRIMARY_KEY in seen):
+            stats = spark.createDataFrame([(seen[ANY_NULL], seen.get(PRIMARY_KEY, 0))],
+                                          "not_null_violations long, pk_duplicates long")
         else:
-            stats = stats.withColumn("pk_duplicates", F.lit(0).cast("long"))
+            null_rule = F.lit(False)
+            for c in nn:
+                null_rule = null_rule | F.col(c).isNull()
+            stats = project.model(model, nn).agg(F.count_if(null_rule).alias("not_null_violations"))
+            if pk:
+                dup = key_counts(project, model, pk).filter(F.col("_rows") > 1).agg(F.count(F.lit(1)).alias("pk_duplicates"))
+                stats = combine_on_keys([stats, dup])
+            else:
+                stats = stats.withColumn("pk_duplicates", F.lit(0).cast("long"))
         row = stats.select(
             F.lit(model).alias("model"), F.lit(missing).cast("long").alias("missing_columns"),
             F.lit(mismatched).cast("long").alias("type_mismatches"), F.lit(extra).cast("long").alias("extra_columns"),
@@ -345,8 +396,13 @@ def source_freshness(project, as_of: dt.datetime = C.FRESHNESS_AS_OF,
     """Per source: last sync time, minutes since, PASS / WARN / ERROR."""
     out = None
     for s in sources:
-        p = project.raw.table(s).agg(F.max("_fivetran_synced").alias("max_synced")).select(
-            F.lit(s).alias("source"), "max_synced")
+        seen = project.evidence(s, "landed")
+        if seen and seen["synced"] is not None:
+            p = project.spark.range(1).select(F.lit(s).alias("source"), F.timestamp_micros(F.lit(seen["synced"]))
+                                              .cast("timestamp_ntz").alias("max_synced"))
+        else:
+            p = project.raw.table(s).agg(F.max("_fivetran_synced").alias("max_synced")).select(
+                F.lit(s).alias("source"), "max_synced")
         out = p if out is None else out.unionByName(p)
     lag = F.floor((F.unix_seconds(F.lit(as_of).cast("timestamp")) -
                    F.unix_seconds(F.col("max_synced").cast("timestamp"))) / 60).cast("long")

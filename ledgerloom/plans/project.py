@@ -26,12 +26,11 @@ from ledgerloom.sources import seeds
 from ledgerloom.sources.retail import RawSources
 from ledgerloom.sources.sinks import (
     PART_COL,
-    TABLE_MONTH,
     Run,
     current_run,
-    with_comments,
     write_contracted,
-    write_table,
+    write_landed,
+    write_measured,
 )
 
 RAW_TABLES = ["customers", "loyalty_segments", "sales_orders", "ret_customers", "ret_orders", "ret_tickets"]
@@ -61,10 +60,18 @@ class RetailProject:
         self.run = run if run is not None else current_run(spark, root) if root else None
         self._forget()
 
+    def in_session(self, spark: SparkSession) -> RetailProject:
+        """The same project in another session."""
+        other = RetailProject(spark, self.sf_dir, self.as_of, self.price_scale)
+        other.run, other.building = self.run, self.building
+        other._forget()
+        return other
+
     def _forget(self) -> None:
         landed = self.run and (not self.building or self.run.tables["landed"])
         self.raw = RawSources(self.spark, self.sf_dir, landed=self._landed if landed else None)
         self._models: dict[str, DataFrame] = {}
+        self._key_counts: dict = {}
         self._partitioned: dict[str, DataFrame] = {}  # published tables read with their month column
 
     def _landed(self, name: str) -> DataFrame:
@@ -112,6 +119,13 @@ class RetailProject:
     def __getitem__(self, name: str) -> DataFrame:
         return self.model(name)
 
+    def evidence(self, name: str, layer: str | None = None) -> dict[str, int] | None:
+        """What the write of the table that this model (or landed table) is read from has counted; None where it is derived."""
+        layer = layer or LAYER_OF.get(name)
+        if layer is None or self.run is None or self.building or (layer != "landed" and not self._is_table(name)):
+            return None
+        return self.run.evidence.get(f"{layer}/{name}")
+
     def window(self, name: str, date_col: str, lo: Column, hi: Column | None = None) -> DataFrame:
         """Rows of model ``name`` with ``lo <= date_col < hi`` (``hi`` optional).
 
@@ -232,20 +246,20 @@ class RetailProject:
         with ThreadPoolExecutor(WRITERS) as pool:
             done = list(pool.map(timed, names))
         self.run.tables[layer] += names
+        self.run.evidence |= {f"{layer}/{name}": out["evidence"] for name, _, out in done if out["evidence"]}
         self._forget()
         return done
 
     def land(self, names=RAW_TABLES) -> list:
         """Write the raw tables as the connector lands them, straight from the sources."""
-        return self._write_all("landed", list(names), lambda name, path: write_table(self.raw.table(name), path))
+        return self._write_all("landed", list(names), lambda name, path: write_landed(self.raw.table(name), path))
 
     def publish(self, tolerate: frozenset = frozenset()) -> list:
         """Write intermediates, contract-checked marts, and the tables that read the marts."""
         done = self._write_all("intermediate", MATERIALIZED_INTERMEDIATES,
-                               lambda name, path: write_table(self[name], path))
+                               lambda name, path: write_measured(self[name], name, path))
         done += self._write_all("published", PUBLIC_MARTS,
                                 lambda name, path: write_contracted(self[name], name, path, tolerate))
         for step in TABLE_MODELS:
-            done += self._write_all("published", step, lambda name, path: write_table(
-                with_comments(self[name], name), path, TABLE_MONTH.get(name)))
+            done += self._write_all("published", step, lambda name, path: write_measured(self[name], name, path))
         return done

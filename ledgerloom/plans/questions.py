@@ -167,18 +167,72 @@ def cancellation_kpis(p) -> DataFrame:
         .alias("revenue_per_account"))
 
 
+#: Functions that leave SQL: they call any static Java method.
+ESCAPES = {"reflect", "java_method", "try_reflect"}
+
+
+#: Parts of a parsed text whose statement or table is known only when it runs.
+INDIRECT = ("ExecuteImmediate", "PlanWithUnresolvedIdentifier", "ExpressionWithUnresolvedIdentifier")
+
+
+class ReadOnlyQuery(ValueError):
+    """The text is not a query over the models."""
+
+
+def _children(node):
+    """Plans and expressions right below a parsed plan or expression, subqueries and CTEs included."""
+    for group in (node.children(), node.innerChildren()):
+        for k in range(group.size()):
+            yield group.apply(k)
+
+
+def _parsed(spark, sql_text: str) -> tuple[set[str], set[str]]:
+    """Tables that a text reads, and the names of its CTEs, from Spark's own parser; raises unless all of it only reads."""
+    from py4j.java_gateway import is_instance_of
+    gateway, logical = spark.sparkContext._gateway, "org.apache.spark.sql.catalyst.plans.logical"
+    refused = [f"{logical}.Command", f"{logical}.ParsedStatement", f"{logical}.ScriptTransformation",
+               f"{logical}.InsertIntoDir", f"{logical}.CompoundBody"]
+    tables, ctes, seen = set(), set(), set()
+    todo = [spark._jsparkSession.sessionState().sqlParser().parsePlan(sql_text)]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if any(is_instance_of(gateway, node, c) for c in refused) or any(k in kind for k in INDIRECT):
+            raise ReadOnlyQuery(f"{kind}: only queries are run")
+        if kind == "UnresolvedRelation":
+            parts = node.multipartIdentifier()
+            if parts.size() != 1:
+                raise ReadOnlyQuery(f"{node.tableName()}: only models can be read")
+            tables.add(parts.apply(0))
+        if kind == "UnresolvedFunction" and node.nameParts().last().lower() in ESCAPES:
+            raise ReadOnlyQuery(f"{node.nameParts().last()} may not be called")
+        if kind == "UnresolvedWith":
+            for k in range(node.cteRelations().size()):
+                ctes.add(node.cteRelations().apply(k)._1())
+        if is_instance_of(gateway, node, f"{logical}.LogicalPlan"):
+            todo += [node.expressions().apply(k) for k in range(node.expressions().size())]
+        elif is_instance_of(gateway, node, "org.apache.spark.sql.catalyst.expressions.PlanExpression"):
+            todo.append(node.plan())
+        todo += list(_children(node))
+    return tables, ctes
+
+
 def execute_sql(p, sql_text: str, max_rows: int | None = None) -> DataFrame:
     """Run SQL text over the project's models (``SELECT ... FROM fct_sales_orders ...``).
 
-    Models named in the text are registered as temporary views (lazily: a view is
-    a plan, nothing runs); the result is a DataFrame, bounded by ``max_rows`` when a
-    caller needs rows on the driver (``execute_sql(...).toPandas()``).
+    The text runs in a child session of its own, where the models that it reads are temporary views (lazily: a
+    view is a plan, nothing runs), so neither the caller's session nor another project sees them.  Anything but a query over
+    models and its own CTEs raises ``ReadOnlyQuery``.  The result is bounded by ``max_rows`` when a caller needs
+    rows on the driver (``execute_sql(...).toPandas()``).
     """
-    import re
     from ledgerloom.plans.project import RetailProject
-    words = set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", sql_text))
-    for name in words:
-        if hasattr(RetailProject, "_build_" + name):
-            p[name].createOrReplaceTempView(name)
-    df = p.spark.sql(sql_text)
+    from ledgerloom.session import apply_sql_conf
+    tables, ctes = _parsed(p.spark, sql_text)
+    unknown = {t for t in tables if not hasattr(RetailProject, "_build_" + t.lower())} - ctes
+    if unknown:
+        raise ReadOnlyQuery(f"{sorted(unknown)}: no such model")
+    child = p.in_session(apply_sql_conf(p.spark.newSession()))
+    for name in sorted(tables - ctes):
+        child[name.lower()].createOrReplaceTempView(name)
+    df = child.spark.sql(sql_text)
     return df.limit(max_rows) if max_rows else df

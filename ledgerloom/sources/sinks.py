@@ -2,7 +2,10 @@
 
 A build writes into a folder of its own, ``root/runs/<run id>/{landed,intermediate,published}/<table>``,
 so it never overwrites what it or any reader reads.  Each contracted table is *staged* there: cast to
-its contract, written once, then checked on the written files (not-null columns and primary key).
+its contract and written once; the write itself counts rows, nulls and every row rule (``DataFrame.observe``), and
+the primary key is grouped on the written files.  A task that Spark repeats is observed twice, so the counts
+are evidence only where their rows equal the written files' (read from the footers); otherwise the files are scanned.
+The evidence is kept in the manifest, and quality checks of a published run use it instead of scanning.
 Only after all checks does ``publish_run`` add a manifest, by a rename within the file system; readers
 follow the newest manifest.  A crash before that leaves the previous run in force, and a later build starts
 a new run.  All paths go through the Hadoop file system of their scheme, so ``hdfs:``, ``s3a:``, ``abfss:`` and
@@ -20,10 +23,10 @@ import time
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.quality import CONTRACTS, enforce_contract
+from ledgerloom.operators.quality import CONTRACTS, PRIMARY_KEY, ROWS, enforce_contract, null_measure, row_measures
 from ledgerloom.sources.descriptions import COLUMN_TEXT, TABLE_TEXT
 
 # Model -> date column for month partitioning.
@@ -70,10 +73,12 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
 
 @dataclass
 class Run:
-    """Tables of one build.  ``tables``: layer -> names that are written completely."""
+    """Tables of one build.  ``tables``: layer -> names that are written completely; ``evidence``: ``layer/name`` -> what the
+    write counted."""
     root: str
     run_id: str
     tables: dict[str, list[str]] = field(default_factory=lambda: {k: [] for k in LAYERS})
+    evidence: dict[str, dict[str, int]] = field(default_factory=dict)
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/runs/{self.run_id}/{layer}/{name}"
@@ -91,7 +96,8 @@ def new_run(root: str) -> Run:
 
 
 def publish_run(spark: SparkSession, run: Run) -> None:
-    _write_text(spark, f"{_manifests(run.root)}/{run.run_id}.json", json.dumps({"run": run.run_id, "tables": run.tables}))
+    _write_text(spark, f"{_manifests(run.root)}/{run.run_id}.json", json.dumps(
+        {"run": run.run_id, "tables": run.tables, "evidence": run.evidence}))
 
 
 def current_run(spark: SparkSession, root: str) -> Run:
@@ -101,7 +107,7 @@ def current_run(spark: SparkSession, root: str) -> Run:
         raise FileNotFoundError(f"no published run under {root}")
     text = "".join(r.value for r in spark.read.text(f"{_manifests(root)}/{names[-1]}").collect())
     found = json.loads(text)
-    return Run(root, found["run"], found["tables"])
+    return Run(root, found["run"], found["tables"], found.get("evidence", {}))
 
 
 def old_runs(spark: SparkSession, root: str) -> list[str]:
@@ -121,18 +127,27 @@ def with_comments(df: DataFrame, model: str) -> DataFrame:
     return df.select(*[F.col(c).alias(c, metadata=meta(k, c)) for k, c in enumerate(df.columns)])
 
 
-def write_table(df: DataFrame, path: str, month_of: str | None = None, mode: str = "errorifexists") -> None:
-    """Parquet table; with ``month_of`` partitioned by that date's month.
+def write_table(df: DataFrame, path: str, month_of: str | None = None, mode: str = "errorifexists",
+                measures: dict[str, Column] | None = None) -> dict[str, int] | None:
+    """Parquet table; with ``month_of`` partitioned by that date's month.  Returns what ``measures`` (with one named ``ROWS``) counted
+    on the way, or None where that cannot be trusted.
 
     The ``rebalance`` hint clusters rows by month without a sampling pass; AQE
     then splits a month that is too large for one task and merges small ones,
     so a hot month is written by several tasks and no task writes every month.
     """
+    seen = Observation() if measures else None
+    if measures:
+        df = df.observe(seen, *[c.alias(name) for name, c in measures.items()])
     if month_of:
         df = df.withColumn(PART_COL, F.trunc(F.col(month_of), "month")).hint("rebalance", PART_COL)
         df.write.mode(mode).partitionBy(PART_COL).parquet(path)
     else:
         df.write.mode(mode).parquet(path)
+    if not measures:
+        return None
+    counted = seen.get
+    return counted if counted[ROWS] == df.sparkSession.read.parquet(path).count() else None
 
 
 def read_table(spark, path: str) -> DataFrame:
@@ -140,28 +155,38 @@ def read_table(spark, path: str) -> DataFrame:
     return df.drop(PART_COL) if PART_COL in df.columns else df
 
 
-def violations(written: DataFrame, model: str) -> dict[str, int]:
-    """Column -> rows that break a not-null rule, or values that break the primary key, of a staged table."""
-    pk, cols = CONTRACTS[model]
-    required = [c for c, _, req in cols if req]
-    found = {}
-    if required:
-        row = written.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first()
-        found = {c: row[c] for c in required if row[c]}
-    if pk:
-        # Nulls of the key are counted above when it is required.
-        twice = written.where(F.col(pk).isNotNull()).groupBy(pk).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").count()
-        if twice:
-            found[pk] = found.get(pk, 0) + twice
-    return found
+def repeated_keys(written: DataFrame, pk: str) -> int:
+    """Values of the key that occur more than once (nulls are counted as nulls)."""
+    return (written.where(F.col(pk).isNotNull()).groupBy(pk).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").count())
 
 
 def write_contracted(df: DataFrame, model: str, path: str, tolerate: frozenset = frozenset()) -> dict:
     """Stages a contracted table and checks it; raises ``ContractViolation`` unless every broken
     ``model.column`` is listed in ``tolerate``.  Missing columns and types that cannot be cast fail first."""
-    write_table(with_comments(enforce_contract(df, model), model), path, TABLE_MONTH.get(model))
-    found = violations(read_table(df.sparkSession, path), model)
+    pk, cols = CONTRACTS[model]
+    measures = row_measures(model)
+    counted = write_table(with_comments(enforce_contract(df, model), model), path, TABLE_MONTH.get(model), measures=measures)
+    written = read_table(df.sparkSession, path)
+    if counted is None:
+        counted = written.agg(*[c.alias(name) for name, c in measures.items()]).first().asDict()
+    found = {c: n for c, _, required in cols if required and (n := counted[null_measure(c)])}
+    if pk:
+        counted[PRIMARY_KEY] = repeated_keys(written, pk)
+        if counted[PRIMARY_KEY]:
+            found[pk] = found.get(pk, 0) + counted[PRIMARY_KEY]
     bad = {c: n for c, n in found.items() if f"{model}.{c}" not in tolerate}
     if bad:
         raise ContractViolation(f"{model}: {bad}")
-    return {"model": model, "path": path, "violations": found}
+    return {"model": model, "path": path, "violations": found, "evidence": counted}
+
+
+def write_measured(df: DataFrame, model: str, path: str) -> dict:
+    """Writes a table without a contract; with its tests' row rules as evidence."""
+    return {"model": model, "path": path, "evidence": write_table(with_comments(df, model), path, TABLE_MONTH.get(model),
+                                                                  measures=row_measures(model))}
+
+
+def write_landed(df: DataFrame, path: str) -> dict:
+    """Writes a raw table; its rows and last sync time are evidence."""
+    return {"path": path, "evidence": write_table(df, path, measures={
+        ROWS: F.count(F.lit(1)), "synced": F.max(F.unix_micros(F.col("_fivetran_synced").cast("timestamp")))})}
