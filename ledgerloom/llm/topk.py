@@ -1,61 +1,92 @@
 """Exact top-k search by inner product, in tiles.
 
-Queries and rows are hashed into even blocks, each packed into one row.  Every (query block,
-shard) tile is one task's matrix product; the tile keeps the k best of each query.  The lists of
+Queries and rows are hashed into even blocks, each packed into one row with the smallest integers that hold it.  Every
+(query block, shard) tile is one task's matrix product; the tile keeps the k best of each query.  The lists of
 a query block are then merged in a tree, ``fan_in`` shards at a time, so no task ever holds
 more than a tile or ``fan_in`` lists.
 
 Tiles hold a bounded number of rows, so their number grows with queries times rows, which is
 what an exact search costs.  The product runs in float32 or float64 where all sums are exact
-there, else on Python integers.
+there, else on Python integers, so any finite component is exact.
 
 Defined cases: vectors that are null, or hold a null or non-finite component, and rows with a null id take no
-part; a repeated id counts once, with its smallest vector in array order; vectors of another length than the
-query's score nothing against it; ties go to the smaller id; with fewer than k other rows, all are returned;
-an empty table, or no query, gives an empty result.
+part; rows that repeat an id are each a row of their own, as candidates (also of one another) and as queries; vectors of
+another length than the query's score nothing against it; ties go to the smaller id; with fewer than k other rows, all
+are returned; a score beyond long is null, in its right place; an empty table, or no query, gives an empty result.
+Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ledgerloom.llm.centroids import LONG_MAX, SMALL, whole
 from ledgerloom.llm.common import checkpointed, prepare
 
 QUERY_BLOCK, SHARD, FAN_IN, STRIPE = 2048, 16384, 16, 2048
 
 
-def scaled(vector: Column, scale: int) -> Column:
-    """floor(scale * x) of each component as long; null if the vector has a null or non-finite component.
-    (A component of 2^63 / scale or more becomes the largest long.)"""
-    usable = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.when(usable, F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("long")))
+def _usable(vector: Column) -> Column:
+    return F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
 
 
-def _pack(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
-    """The rows of a block as one row: ids and vectors as bytes, one pair for each vector length."""
+def _bytes(numbers: np.ndarray) -> tuple[str, bytes]:
+    """Whole numbers as the smallest integers that hold them, or as text."""
+    if numbers.dtype == object:
+        return "big", ",".join(map(str, numbers.ravel())).encode()
+    low, high = int(numbers.min(initial=0)), int(numbers.max(initial=0))
+    kind = next(k for k in ("i1", "i2", "i4", "i8") if np.iinfo(k).min <= low and high <= np.iinfo(k).max)
+    return kind, numbers.astype(kind).tobytes()
+
+
+def _numbers(kind: str, data: bytes) -> np.ndarray:
+    if kind == "big":
+        return np.array([int(x) for x in data.split(b",")], dtype=object)
+    return np.frombuffer(data, kind).astype(np.int64)
+
+
+BLOCK = "width int, n int, ids binary, uids binary, kind string, vectors binary"
+
+
+def _pack(pdf: pd.DataFrame, key: str, scale: int) -> pd.DataFrame:
+    """The rows of a block as one row for each vector length (and apart those of large numbers)."""
     out = []
     for width, part in pdf.groupby(pdf["v"].map(len), sort=True):
-        part = part.sort_values("id")
-        out.append([int(part[k].iloc[0]) for k in keys]
-                   + [int(width), len(part), part["id"].to_numpy(np.int64).tobytes(),
-                      np.array(part["v"].tolist(), np.int64).reshape(len(part), width).tobytes()])
-    return pd.DataFrame(out, columns=[*keys, "width", "n", "ids", "vectors"])
+        part = part.sort_values(["id", "uid"])
+        values = np.array(part["v"].tolist(), np.float64).reshape(len(part), width)
+        large = np.abs(values).max(axis=1, initial=0.0) * scale >= SMALL
+        for rows in (~large, large):
+            if rows.any():
+                kind, data = _bytes(whole(values[rows], scale))
+                out.append([int(part[key].iloc[0]), int(width), int(rows.sum()), part["id"].to_numpy(np.int64)[rows].tobytes(),
+                            part["uid"].to_numpy(np.int64)[rows].tobytes(), kind, data])
+    return pd.DataFrame(out, columns=[key, *(c.split()[0] for c in BLOCK.split(", "))])
+
+
+def _blocks(rows: DataFrame, n_blocks: int, name: str, scale: int) -> DataFrame:
+    keyed = rows.withColumn(name, F.pmod(F.xxhash64("uid"), F.lit(n_blocks)).cast("int"))
+    return keyed.groupBy(name).applyInPandas(lambda pdf: _pack(pdf, name, scale), f"{name} int, {BLOCK}")
 
 
-def _blocks(rows: DataFrame, n_blocks: int, name: str) -> DataFrame:
-    schema = f"{name} int, width int, n int, ids binary, vectors binary"
-    keyed = rows.withColumn(name, F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int"))
-    return keyed.groupBy(name).applyInPandas(lambda pdf: _pack(pdf, [name]), schema)
+@dataclass(frozen=True)
+class Rows:
+    """``uids``: one for each row, also where ids repeat."""
+    ids: np.ndarray
+    uids: np.ndarray
+    vectors: np.ndarray
 
 
-def _unpack(row) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(row.ids, np.int64), np.frombuffer(row.vectors, np.int64).reshape(row.n, row.width)
+def _unpack(row) -> Rows:
+    return Rows(np.frombuffer(row.ids, np.int64), np.frombuffer(row.uids, np.int64),
+                _numbers(row.kind, row.vectors).reshape(row.n, row.width))
 
 
 def products(queries: np.ndarray, rows: np.ndarray) -> Callable[[slice, slice], np.ndarray]:
@@ -71,70 +102,87 @@ def products(queries: np.ndarray, rows: np.ndarray) -> Callable[[slice, slice],
 
 def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k best of a list by score, then by smaller id."""
-    order = np.lexsort((ids, -scores))[:k]
+    if scores.dtype == object:
+        order = np.array(sorted(range(len(ids)), key=lambda j: (-scores[j], ids[j]))[:k], np.int64)
+    else:
+        order = np.lexsort((ids, -scores))[:k]
     return ids[order], scores[order]
 
 
-def tile_best(qids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> list[tuple]:
+@dataclass(frozen=True)
+class Found:
+    """A query's best list."""
+    uid: int
+    query_id: int
+    ids: np.ndarray
+    scores: np.ndarray
+
+
+def tile_best(queries: Rows, rows: Rows, k: int) -> list[Found]:
     """For each query its k best rows of the shard.  Rows come in stripes; a stripe's products are only
     looked at where they reach the query's k-th best so far."""
-    score = products(queries, rows)
+    score = products(queries.vectors, rows.vectors)
     out = []
-    for start in range(0, len(qids), 256):
+    for start in range(0, len(queries.ids), 256):
         q = slice(start, start + 256)
-        names = qids[q]
-        lists = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in names]
-        least = np.full(len(names), -np.inf)
-        for at in range(0, len(ids), STRIPE):
-            own = ids[at:at + STRIPE]
+        uids = queries.uids[q]
+        lists: list[tuple] = [(np.empty(0, np.int64), None)] * len(uids)
+        least = None
+        for at in range(0, len(rows.ids), STRIPE):
+            ids, others = rows.ids[at:at + STRIPE], rows.uids[at:at + STRIPE]
             found = score(q, slice(at, at + STRIPE))
-            if found.shape[1] > k + 1 and np.isneginf(least).any() and found.dtype != object:
+            exact = found.dtype == object
+            if least is None:  # of a query with fewer than k rows so far, every row counts
+                least = np.full(len(uids), -math.inf, object if exact else np.float64)
+            mask = found >= least[:, None]
+            if found.shape[1] > k + 1 and not exact and np.isneginf(least).any():
                 # k + 1, as the query itself may be among them
-                floor = np.partition(found, found.shape[1] - k - 1, axis=1)[:, -k - 1]
-                mask = found >= np.maximum(least, floor)[:, None]
-            else:
-                mask = found >= least[:, None]
+                mask &= found >= np.partition(found, found.shape[1] - k - 1, axis=1)[:, -k - 1][:, None]
             line, column = np.nonzero(mask)
-            cuts = np.searchsorted(line, np.arange(len(names) + 1))
+            cuts = np.searchsorted(line, np.arange(len(uids) + 1))
             for i in np.flatnonzero(np.diff(cuts)):
                 c = column[cuts[i]:cuts[i + 1]]
-                values = found[i, c].astype(np.int64)
-                other = own[c] != names[i]
-                lists[i] = best_of(np.concatenate([lists[i][0], own[c][other]]),
-                                   np.concatenate([lists[i][1], values[other]]), k)
+                c = c[others[c] != uids[i]]
+                values = found[i, c] if exact else found[i, c].astype(np.int64)
+                old_ids, old = lists[i]
+                lists[i] = best_of(np.concatenate([old_ids, ids[c]]), values if old is None else np.concatenate([old, values]), k)
                 if len(lists[i][0]) == k:
                     least[i] = lists[i][1][-1]
-        out += [(int(n), a, b) for n, (a, b) in zip(names, lists, strict=True)]
+        out += [Found(int(u), int(i), a, b if b is not None else np.empty(0, np.int64))
+                for u, i, (a, b) in zip(uids, queries.ids[q], lists, strict=True)]
     return out
 
 
-LISTS = "q int, s int, query_ids binary, lengths binary, ids binary, scores binary"
+LISTS = "q int, s int, uids binary, query_ids binary, lengths binary, ids binary, kind string, scores binary"
 
 
-def _packed_lists(q: int, s: int, lists: list[tuple]) -> pd.DataFrame:
-    join = lambda k: np.concatenate([x[k] for x in lists] or [np.empty(0, np.int64)]).astype(np.int64).tobytes()
-    return pd.DataFrame([[q, s, np.array([x[0] for x in lists], np.int64).tobytes(),
-                          np.array([len(x[1]) for x in lists], np.int64).tobytes(), join(1), join(2)]],
+def _packed_lists(q: int, s: int, lists: list[Found]) -> pd.DataFrame:
+    long = lambda xs: np.array(xs, np.int64).tobytes()
+    scores = np.concatenate([x.scores for x in lists] or [np.empty(0, np.int64)])
+    kind, data = _bytes(scores)
+    return pd.DataFrame([[q, s, long([x.uid for x in lists]), long([x.query_id for x in lists]), long([len(x.ids) for x in lists]),
+                          np.concatenate([x.ids for x in lists] or [np.empty(0, np.int64)]).astype(np.int64).tobytes(), kind, data]],
                         columns=[c.split()[0] for c in LISTS.split(", ")])
 
 
-def _lists(row) -> list[tuple]:
-    names, lengths = np.frombuffer(row.query_ids, np.int64), np.frombuffer(row.lengths, np.int64)
-    cuts = np.cumsum(lengths)[:-1]
-    return list(zip(names.tolist(), np.split(np.frombuffer(row.ids, np.int64), cuts),
-                    np.split(np.frombuffer(row.scores, np.int64), cuts), strict=True)) if len(names) else []
+def _lists(row) -> list[Found]:
+    long = lambda b: np.frombuffer(b, np.int64)
+    cuts = np.cumsum(long(row.lengths))[:-1]
+    uids = long(row.uids).tolist()
+    scores = _numbers(row.kind, row.scores) if len(row.ids) else np.empty(0, np.int64)
+    return [Found(*x) for x in zip(uids, long(row.query_ids).tolist(), np.split(long(row.ids), cuts), np.split(scores, cuts),
+                                   strict=True)] if uids else []
 
 
 def _merged(k: int, fan_in: int):
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        by_query: dict[int, tuple] = {}
+        by_query: dict[int, Found] = {}
         for row in pdf.itertuples(index=False):
-            for name, ids, scores in _lists(row):
-                old = by_query.get(name)
-                by_query[name] = (ids, scores) if old is None else best_of(
-                    np.concatenate([old[0], ids]), np.concatenate([old[1], scores]), k)
-        return _packed_lists(int(pdf["q"].iloc[0]), int(pdf["s"].iloc[0]) // fan_in,
-                             [(n, *x) for n, x in by_query.items()])
+            for new in _lists(row):
+                old = by_query.get(new.uid)
+                by_query[new.uid] = new if old is None else Found(new.uid, new.query_id, *best_of(
+                    np.concatenate([old.ids, new.ids]), np.concatenate([old.scores, new.scores]), k))
+        return _packed_lists(int(pdf["q"].iloc[0]), int(pdf["s"].iloc[0]) // fan_in, list(by_query.values()))
     return merge
 
 
@@ -142,23 +190,26 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
           scale: int = 64, query_block: int = QUERY_BLOCK, shard: int = SHARD, fan_in: int = FAN_IN) -> DataFrame:
     """The k best other rows of each query row: query_id long, rank int, vec_id long, score long."""
     prepare(rows.sparkSession)
-    usable = (rows.select(F.col(id_col).cast("long").alias("id"), scaled(F.col(vector_col), scale).alias("v"),
-                          is_query.alias("is_query"))
-              .where("id is not null and v is not null"))
-    # Equal ids meet here; partial minima are taken before the shuffle.
-    one = checkpointed(usable.groupBy("id").agg(F.min("v").alias("v"), F.max("is_query").alias("is_query")))
+    usable = (rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), is_query.alias("is_query"))
+              .where(F.col("id").isNotNull() & F.col("v").isNotNull() & _usable(F.col("v"))))
+    # A number for each row, kept by writing it: rows that repeat an id stay apart.
+    one = checkpointed(usable.withColumn("uid", F.monotonically_increasing_id()))
     counts = one.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).first()
     n_q, n_s = -(-counts.q // query_block) or 1, -(-counts.n // shard) or 1
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    queries = _blocks(one.where("is_query"), n_q, "q").select("*", every(n_s).alias("s"))
-    shards = _blocks(one, n_s, "s").select("*", every(n_q).alias("q"))
+    queries = _blocks(one.where("is_query"), n_q, "q", scale).select("*", every(n_s).alias("s"))
+    shards = _blocks(one, n_s, "s", scale).select("*", every(n_q).alias("q"))
 
     def tile(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        lists = []
+        by_query: dict[int, Found] = {}
         for a in left.itertuples(index=False):
-            same = [b for b in right.itertuples(index=False) if b.width == a.width]
-            lists += [x for b in same for x in tile_best(*_unpack(a), *_unpack(b), k)]
-        return _packed_lists(int(key[0]), int(key[1]), lists)
+            for b in right.itertuples(index=False):
+                if b.width == a.width:
+                    for new in tile_best(_unpack(a), _unpack(b), k):
+                        old = by_query.get(new.uid)
+                        by_query[new.uid] = new if old is None else Found(new.uid, new.query_id, *best_of(
+                            np.concatenate([old.ids, new.ids]), np.concatenate([old.scores, new.scores]), k))
+        return _packed_lists(int(key[0]), int(key[1]), list(by_query.values()))
 
     tiles = queries.groupBy("q", "s").cogroup(shards.groupBy("q", "s")).applyInPandas(tile, LISTS)
     while True:
@@ -166,33 +217,28 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
         n_s = -(-n_s // fan_in)
         if n_s == 1:
             break
+    schema = pa.schema([("query_id", pa.int64()), ("rank", pa.int32()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def listed(batches):
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                found = _lists(row)
+        for batch in batches:
+            for row in batch.to_pandas().itertuples(index=False):
+                found = [(x.query_id, rank, int(i), int(score) if -LONG_MAX <= score <= LONG_MAX else None)
+                         for x in _lists(row) for rank, (i, score) in enumerate(zip(x.ids, x.scores, strict=True), 1)]
                 if found:
-                    yield pd.DataFrame({
-                        "query_id": np.repeat([x[0] for x in found], [len(x[1]) for x in found]),
-                        "rank": np.concatenate([np.arange(1, len(x[1]) + 1) for x in found]).astype(np.int32),
-                        "vec_id": np.concatenate([x[1] for x in found]),
-                        "score": np.concatenate([x[2] for x in found])})
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), schema)], schema=schema)
 
-    return tiles.mapInPandas(listed, T.StructType([T.StructField("query_id", T.LongType()),
-                                                   T.StructField("rank", T.IntegerType()),
-                                                   T.StructField("vec_id", T.LongType()),
-                                                   T.StructField("score", T.LongType())]))
+    return tiles.mapInArrow(listed, "query_id long, rank int, vec_id long, score long")
 
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT row_number() OVER () AS row_no, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.e::DOUBLE[], b.e::DOUBLE[]) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
+  SELECT a.row_no, a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.e::DOUBLE[], b.e::DOUBLE[]) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.row_no <> b.row_no WHERE a.vec_id % 20 = 0),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+  SELECT *, row_number() OVER (PARTITION BY row_no ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20"""

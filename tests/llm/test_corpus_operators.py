@@ -17,16 +17,13 @@ from ledgerloom.llm import components, mixing, simhash, topk
 
 def brute_top(vectors, k):
     out = []
-    usable = {}
-    for i, v in vectors:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            w = [int(np.floor(64 * float(np.float32(x)))) for x in v]
-            usable[i] = min(w, usable.get(i, w))
-    for q in usable:
+    usable = [(i, [int(np.floor(64 * float(np.float32(x)))) for x in v]) for i, v in vectors
+              if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    for at, (q, own) in enumerate(usable):
         if q % 20 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(usable[q], usable[c], strict=True)), c)
-                            for c in usable if c != q and len(usable[c]) == len(usable[q]))
-            out += [(q, r, c, -s) for r, (s, c) in enumerate(scores[:k], 1)]
+            scores = sorted((-sum(a * b for a, b in zip(own, w, strict=True)), c)
+                            for n, (c, w) in enumerate(usable) if n != at and len(w) == len(own))
+            out += [(q, r, c, -s if abs(s) < 2**63 else None) for r, (s, c) in enumerate(scores[:k], 1)]
     return out
 
 
@@ -42,6 +39,17 @@ def test_top_k(spark, n, block, shard, fan_in):
     same(found.collect(), brute_top(vectors, 20))
 
 
+@pytest.mark.parametrize("sizes", [[1.0, 1e8, 1e9], [1e-3, 1.0, 1e17, 3e38], [3e38]])
+def test_top_k_of_huge_components(spark, sizes):
+    rng = random.Random(len(sizes))
+    vectors = [(i, [float(np.float32(rng.choice([-1, 1, 0.3]) * rng.choice(sizes))) for _ in range(3)]) for i in range(70)]
+    vectors += [(60, vectors[3][1])] * 3 + [(61, vectors[4][1])] * 2
+    rows = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(3)
+    for block, shard in ((2, 9), (2048, 16384)):
+        found = topk.top_k(rows, F.col("vec_id") % 20 == 0, k=8, query_block=block, shard=shard, fan_in=2)
+        same(found.collect(), brute_top(vectors, 8))
+
+
 def test_top_k_of_nothing(spark):
     rows = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(rows, F.col("vec_id") % 20 == 0).collect() == []
