@@ -1,11 +1,13 @@
 """Language identification: averaged hashed subword embeddings and a linear softmax.
 
-A text's subwords are the character n-grams of its lower-cased words, with a blank at either
-end.  Each is hashed to a row of an embedding table; the text's vector is their average, and a
+A text's subwords are the character n-grams of its lower-cased words (letters with their combining marks, by Unicode
+category), with a blank at either end.  Each is hashed to a row of an embedding table; the text's vector is their average, and a
 linear softmax over it gives the languages.  Both are trained together by stochastic gradient
 descent in numpy, on a bounded sample of labelled texts: at most ``sample_per_lang`` texts of each
 language, those with the smallest hashes, and of each text one window of ``sample_chars``
-characters at a hashed place.  Prediction always uses the whole text.
+characters at a hashed place.  Of more than ``most_langs`` labels the most frequent ones are learned.  Prediction always
+uses the whole text, adding up pieces of at most ``PIECE`` characters that end at a blank (a piece without one is cut at its
+end), so its memory does not grow with the text.
 
 Calibration: a temperature, fitted on a fifth of the sample that the training does not see, makes
 the scores probabilities; texts whose score is below ``threshold`` - chosen there so that at
@@ -18,8 +20,10 @@ any labelled text all rows are ``und``; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
+import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +34,45 @@ from pyspark.sql import types as T
 from ledgerloom.llm.common import map_arrow, schema_of
 
 UNKNOWN = "und"
-NOT_LETTERS = re.compile(r"[\W\d_]+")
-LETTER = re.compile(r"[^\W\d_]")
+PIECE = 1 << 16
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """For each code point 2 for a letter, 1 for a combining mark, else 0."""
+    return np.array([{"L": 2, "M": 1}.get(unicodedata.category(chr(c))[0], 0) for c in range(0x110000)], np.uint8)
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _plain(text: str) -> np.ndarray:
+    """Code points of the lower-cased words, with one blank before, between and after them; empty without a letter.
+    Marks belong to a word where they follow a letter or another mark of it."""
+    codes = _codes(text.lower())
+    kinds = _kinds()[codes]
+    if not (kinds == 2).any():
+        return np.empty(0, np.uint32)
+    # A mark counts if the last code point before it that is no mark is a letter.
+    places = np.arange(len(codes))
+    base = np.maximum.accumulate(np.where(kinds != 1, places, -1))
+    part = (kinds == 2) | ((kinds == 1) & (base >= 0) & (kinds[np.maximum(base, 0)] == 2))
+    keep = part.copy()
+    keep[1:] |= part[:-1]  # the first code point after a word becomes its blank
+    out = np.where(part, codes, np.uint32(32))[keep]
+    return np.concatenate([[32], out, [32] if part[-1] else []]).astype(np.uint32)
+
+
+def pieces(text: str, size: int = PIECE) -> Iterator[str]:
+    at = 0
+    while at < len(text):
+        end = at + size
+        if end < len(text):
+            blank = max(text.rfind(c, at, end) for c in " \n\t")
+            end = blank if blank > at else end
+        yield text[at:end]
+        at = end
 
 
 @dataclass(frozen=True)
@@ -39,7 +80,8 @@ class Settings:
     buckets: int = 1 << 16
     width: int = 16
     sizes: tuple[int, ...] = (1, 2, 3, 4)
-    sample_per_lang: int = 1500      # bound of the training sample; languages are few
+    sample_per_lang: int = 1500      # bounds of the training sample
+    most_langs: int = 200
     sample_chars: int = 600
     epochs: int = 6
     rate: float = 2.0
@@ -48,9 +90,8 @@ class Settings:
 
 
 def subwords(text: str, settings: Settings) -> np.ndarray:
-    """The buckets of all n-grams of the words of ``text`` (letters only, lower case)."""
-    plain = f" {NOT_LETTERS.sub(' ', text.lower()).strip()} "
-    codes = np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), np.uint32)
+    """The buckets of all n-grams of the words of ``text`` (letters and their marks, lower case)."""
+    codes = _plain(text)
     if len(codes) < 3:
         return np.empty(0, np.int64)
     blank = codes == 32
@@ -81,13 +122,15 @@ class Model:
     threshold: float
 
     def logits(self, text: str) -> np.ndarray | None:
-        found = subwords(text, self.settings)
-        if not len(found):
-            return None
-        return self.weights[found].mean(0) + self.bias
+        total, n = np.zeros(len(self.langs)), 0
+        for piece in pieces(text):
+            found = subwords(piece, self.settings)
+            total += self.weights[found].sum(0, dtype=np.float64)
+            n += len(found)
+        return total / n + self.bias if n else None
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.langs or not text or not LETTER.search(text) or (z := self.logits(text)) is None:
+        if not self.langs or not text or (z := self.logits(text)) is None:
             return UNKNOWN, 0.0
         p = softmax(z[None] / self.temperature)[0]
         best = int(p.argmax())
@@ -150,7 +193,8 @@ def training_sample(docs: DataFrame, use: Column, settings: Settings) -> list[tu
     usable = (docs.where(use & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
               .select("lang", "text", place.alias("h")))
     # Repeated rows have one hash and count once.
-    counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).collect()}
+    labels = usable.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n"))
+    counts = {r.lang: r.n for r in labels.orderBy(F.desc("n"), "lang").limit(settings.most_langs).collect()}
     if not counts:
         return []
     # Hashes are even, so a threshold per language leaves about sample_per_lang rows (with some

@@ -18,13 +18,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Fixed patterns and spellings, but for NOTICE_LINE also used by the SQL below.  They match within a lower-cased text.
-COPYRIGHT_LINE = r"(^|\n)[ \t*#/>;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
-#: The lines that the operator drops: those that look like a notice, not the text of a licence that happens to break before
-#: the word copyright.  (RE2 has no lookahead; the SQL drops any line that begins with the word.)
-NOTICE_LINE = (r"(^|\n)[ \t*#/>;-]*(copyright(?![a-z]|[ \t]*([,.;)]|\r?\n|$)|[ \t]+(notices?|holders?|owners?|laws?|licen[cs]es?"
-               r"|statements?|permissions?|treaty|treaties|disclaimers?|interests?|lines?|protection|infringements?|claims?|on|and"
-               r"|or|in|to|the software)(?![a-z]))|\(c\)|\u00A9|all rights reserved)[^\n]*")
+# Fixed patterns and spellings, also used by the SQL below.  They match within a lower-cased text.
+#: The lines that are dropped: those that look like a notice.  A line that begins with the word copyright is text of the
+#: licence where one of these follows: punctuation or the line's end, or a word that continues a sentence.
+NOTICE_START, NOTICE_WORD, NOTICE_OTHER = r"[ \t*#/>;-]*", "copyright", r"(\(c\)|\u00A9|all rights reserved)"
+NO_NOTICE = (r"([a-z]|[ \t]*([,.;)]|\r?$)|[ \t]+(notices?|holders?|owners?|laws?|licen[cs]es?"
+             r"|statements?|permissions?|treaty|treaties|disclaimers?|interests?|lines?|protection|infringements?|claims?|on|and"
+             r"|or|in|to|the software)([^a-z]|$))")
+NOTICE_LINE = (rf"(^|\n){NOTICE_START}({NOTICE_WORD}(?!{NO_NOTICE.replace('$', r'(?=\n)|$')})|{NOTICE_OTHER})[^\n]*")
 PUNCTUATION = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\u00A0\u00A7\u00A9\u00AB\u00AE\u00BB\u2013\u2014\u2018\u2019\u201C\u201D\u2022\u2026]+"
 SPELLINGS = (("licence", "license"), ("licencing", "licensing"), ("favour", "favor"), ("behaviour", "behavior"),
              ("honour", "honor"), ("labour", "labor"), ("organis", "organiz"), ("recognis", "recogniz"),
@@ -61,8 +62,9 @@ LICENSES = {
     "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
 }
 
-#: Titles under which these texts are published, as texts of their own.  (With the line ``MIT License`` a text stays unknown.)
-TITLES = {"ISC": ("ISC License", "ISC License (ISC)", "The ISC License"), "MIT": ("The MIT License", "The MIT License (MIT)"),
+#: Titles under which these texts are published, as texts of their own.
+TITLES = {"ISC": ("ISC License", "ISC License (ISC)", "The ISC License"),
+          "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
           "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD")}
 #: Digests of the canonical forms of further texts: those of Debian's common-licenses, and those that common packages carry
 #: (Apache-2.0 without its appendix; BSD texts with holder or owner, numbered, titled).
@@ -126,17 +128,24 @@ def oracle() -> str:
     quote = lambda x: "'" + x.replace("'", "''") + "'"
 
     def form(column: str) -> str:
+        """RE2 looks nowhere ahead, so the SQL judges line by line."""
         out = f"translate(coalesce({column}, ''), '{UPPER}', '{LOWER}')"
-        out = f"regexp_replace({out}, {quote(COPYRIGHT_LINE)}, '\\1', 'g')"
+        start, other = f"^{NOTICE_START}", quote(_re2(f"^{NOTICE_START}{NOTICE_OTHER}"))
+        notice = (f"(regexp_matches(l, {quote(f'{start}{NOTICE_WORD}')}) AND NOT regexp_matches(l, "
+                  f"{quote(f'{start}{NOTICE_WORD}{NO_NOTICE}')})) OR regexp_matches(l, {other})")
+        out = f"array_to_string(list_filter(string_split({out}, chr(10)), lambda l: NOT ({notice})), chr(10))"
         out = f"regexp_replace({out}, {quote(_re2(PUNCTUATION))}, ' ', 'g')"
         for old, new in SPELLINGS:
             out = f"replace({out}, {quote(old)}, {quote(new)})"
         return f"trim({out}, ' ')"
 
-    values = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in sorted(LICENSES.items()))
+    texts = [*LICENSES.items(), *((k, f"{t}\n\n{LICENSES[k]}") for k, titles in TITLES.items() for t in titles)]
+    values = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in sorted(texts))
+    digests = ", ".join(f"('{d}', '{k}')" for d, k in sorted(DIGESTS.items()))
     return f"""
-WITH known AS (SELECT sha256({form('t')}) AS digest, min(id) AS license_id FROM (VALUES {values}) x(id, t)
-               WHERE {form('t')} <> '' GROUP BY 1),
+WITH known AS (SELECT digest, min(id) AS license_id FROM (
+    SELECT sha256({form('t')}) AS digest, id FROM (VALUES {values}) x(id, t) WHERE {form('t')} <> ''
+    UNION ALL SELECT * FROM (VALUES {digests}) y(digest, id)) GROUP BY 1),
 digests AS (SELECT doc_id, sha256({form('text')}) AS canonical_sha256 FROM documents)
 SELECT doc_id, canonical_sha256, license_id FROM digests LEFT JOIN known ON canonical_sha256 = digest"""
 

@@ -3,7 +3,9 @@
 Base rules count words, symbols, repeated lines and words in repeated 3-word windows.
 The compression rule compares the text with its zstandard frame: as a whole, and in
 fixed chunks.  A low ratio means repetitive text, a high one incompressible text (keys,
-random strings).  Short texts compress less, so both limits depend on the length.
+random strings).  Short texts compress less, so both limits depend on the length.  Chunks outside
+their limits reject a text where they follow one another for ``max_bad_run_bytes``, as a block of base64 or one
+repeated block in an otherwise good text does, or where they are more than ``max_bad_chunk_share`` of all chunks.
 
 Defined cases: a null text counts as empty; an empty text has zero words and fails the base
 rules; repeated rows are judged each for itself; texts of any length are judged whole; an
@@ -41,7 +43,8 @@ class Rules:
     level: int = 3
     chunk_bytes: int = 4096
     min_chunk_bytes: int = 1024      # a shorter last chunk is joined to the one before
-    max_bad_chunk_share: float = 0.5
+    max_bad_chunk_share: float = 0.25
+    max_bad_run_bytes: int = 8192
     whole: tuple[Band, ...] = (Band(512, 0.30, 0.90), Band(2048, 0.25, 0.80), Band(8192, 0.20, 0.72),
                                Band(1 << 62, 0.15, 0.70))
     chunk: Band = field(default=Band(1 << 62, 0.20, 0.72))
@@ -91,8 +94,13 @@ def compression_verdict(raw: bytes, rules: Rules, packer: zstandard.ZstdCompress
         if cuts[-1] - cuts[-2] < rules.min_chunk_bytes:
             del cuts[-2]
         ratios = [len(packer.compress(raw[a:b])) / (b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
-        bad = sum(not rules.chunk.lowest <= r <= rules.chunk.highest for r in ratios) / len(ratios)
-        kept = kept and bad <= rules.max_bad_chunk_share
+        outside = [not rules.chunk.lowest <= r <= rules.chunk.highest for r in ratios]
+        bad = sum(outside) / len(ratios)
+        run = longest = 0
+        for out, a, b in zip(outside, cuts, cuts[1:], strict=False):
+            run = run + b - a if out else 0
+            longest = max(longest, run)
+        kept = kept and bad <= rules.max_bad_chunk_share and longest < rules.max_bad_run_bytes
     return whole, bad, kept
 
 

@@ -3,6 +3,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import zstandard
@@ -279,8 +280,63 @@ def test_compression_bands():
         assert whole > 0.9 and bad == (0.0 if n == 4096 else 1.0), size
 
 
+def test_compression_alone_decides():
+    """Texts that meet all base rules and whose whole ratio is in its band."""
+    import base64
+    import random
+    rules, packer = quality_rules.Rules(), zstandard.ZstdCompressor(level=3)
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    prose = lambda n: " ".join(rng.choice(words[:600]) for _ in range(n))
+    noise = lambda n: base64.b64encode(bytes(rng.randrange(256) for _ in range(n))).decode()
+    block = "the same line stands here again " * 800
+    cases = [(prose(9000), True), (prose(4000) + " " + noise(15_000), False), (prose(9000) + "\n" + noise(12_000) + "\n" + prose(9000), False),
+             (prose(9000) + " " + noise(1500), True), (prose(12_000) + " " + block, False), (prose(400), True)]
+    for text, expected in cases:
+        judged = quality_rules.judge(text, rules, packer)
+        assert not judged[5] and judged[6] is expected, (len(text), judged)
+
+
 # Languages ----------------------------------------------------------------------------------------------------------
 
+def test_letters_and_words():
+    settings = lang_id.Settings()
+    for text in ("½", "x²"[1:], "Ⅷ", "①", "١٢", "_", "\u0301", "...", "", " \n"):
+        assert not len(lang_id.subwords(text, settings)), text
+    plain = lambda t: "".join(map(chr, lang_id._plain(t)))
+    assert plain("Ab, c9d½e") == " ab c d e "
+    # combining marks stay inside Indic and Thai words; alone they are no word
+    assert plain("हिन्दी ที่นี่") == " हिन्दी ที่นี่ " and plain("- \u0301 a\u0301\u0300! \u0301b") == " a\u0301\u0300 b "
+    assert plain("  x²y ") == " x y " and plain("𝔘n 你好") == " 𝔘n 你好 "
+
+
+def test_prediction_is_softmax_of_the_averaged_vectors():
+    import math
+    import random
+    rng = random.Random(2)
+    settings = lang_id.Settings(buckets=64, sizes=(1, 2, 3))
+    langs = ("a", "b", "c")
+    weights = np.array([[rng.uniform(-2, 2) for _ in langs] for _ in range(64)], np.float32)
+    model = lang_id.Model(settings, langs, weights, np.array([0.1, -0.2, 0.3]), 0.7, 0.5)
+    for text in ("ab, ç1d Ab", "Nur ein Satz", "x", "é" * 50, "ab " * 40_000, "z" * 150_000):
+        words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        bag = []
+        for word in words:
+            w = f" {word} "
+            bag += [w[i:i + n] for n in settings.sizes for i in range(len(w) - n + 1) if w[i:i + n].strip()]
+        if len(text) < 1000:  # the buckets are those of the n-grams, one by one
+            assert len(lang_id.subwords(text, settings)) == len(bag)
+        mean = weights[lang_id.subwords(text, settings)].astype(np.float64).mean(0) + model.bias
+        powers = [math.exp(z / 0.7) for z in mean]
+        label, score = model.predict(text)
+        if len(words) > 1 or len(text) < 1000:
+            assert label == langs[int(np.argmax(mean))] and math.isclose(score, max(powers) / sum(powers), rel_tol=1e-6)
+    assert model.predict("½ ② …") == ("und", 0.0) == model.predict(None)
+    text = "один два\tтри " * 30_000 + "w" * 200_000
+    assert "".join(lang_id.pieces(text)) == text and max(map(len, lang_id.pieces(text))) <= lang_id.PIECE
+
+
+
 def test_language_query(spark, docs, no_docs, rows):
     import zlib
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 4 == 2
@@ -326,7 +382,7 @@ def test_licences(spark):
              (7, "Copyright x\nCopyright y"), (1, "x")]
     docs = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("*", "1 digest", "2 license_id")
     found = [(r.doc_id, r.license_id) for r in license_scan.license_matches(docs).collect()]
-    same(found, [(1, "MIT"), (2, "MIT"), (3, None), (4, None), (5, "MIT-notice"), (None, "MIT"), (7, None), (1, None)])
+    same(found, [(1, "MIT"), (2, "MIT"), (3, "MIT"), (4, None), (5, "MIT-notice"), (None, "MIT"), (7, None), (1, None)])
     assert license_scan.license_matches(docs.limit(0)).collect() == []
 
 
