@@ -1,22 +1,32 @@
 """Secret scans: base patterns, and a guess-cost rule for values in a credential context.
 
-The guess cost of a value is the least total of bits over all segmentations into words (of a
-dictionary, or letters that read like a word), dates, repeats, keyboard walks and brute-force
-characters (dynamic programming over end positions).  A value whose cost reaches ``min_bits`` is hard to guess, so it is a secret
-and not a placeholder such as ``changeme``.  Base spans are always kept; the rule adds spans.
+The guess cost of a value is the least total of bits over all segmentations into words of a
+dictionary, runs of letters at the price of their pairs, dates, repeats, keyboard walks and brute-force
+characters (dynamic programming over end positions).  Dictionary and pairs come from a public
+tokenizer's vocabulary, whose order is by frequency.  A value whose cost reaches ``min_bits`` is hard
+to guess, so it is a secret and not a placeholder such as ``changeme``.  A value with blanks is priced
+word by word, and words that read as prose are free: a sentence is no secret (nor, then, a passphrase
+of ordinary words).  References (``${NAME}``, ``process.env.NAME``) and URLs without credentials are no
+values.  Base spans are always kept; the rule adds spans.
 
 Defined cases: a null text counts as empty and has no spans; texts of any length are scanned
 whole; overlapping spans of different kinds are all reported, and redaction merges them;
-repeated rows are scanned each for itself; an empty table gives an empty result.
+repeated rows are scanned each for itself; an empty table gives an empty result; of other columns,
+clashing names included, the scan reads none and the redaction keeps all.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import unicodedata
+from bisect import bisect_right
+from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
 from math import log2
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -32,9 +42,17 @@ KINDS = ("assign", "access", "hex", "guess")
 # Wider contexts than the base pattern: more names, other separators, quoted values, user:password@host.
 CONTEXT = re.compile(
     r"""(?ai:(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[_-]?key|credential|access[_-]?key|private[_-]?key|"""
-    r"""client[_-]?secret)["']?(?:[\x20\t]*+(?::=|=>|[:=])[\x20\t]*+|[\x20\t]++is:?[\x20\t]++)|bearer[\x20\t]++)"""
+    r"""client[_-]?secret)["']?(?:[\x20\t]*+(?::=|=>|[:=])[\x20\t]*+|(?P<said>[\x20\t]++is:?[\x20\t]++))|(?P<bearer>bearer[\x20\t]++))"""
     r"""(?:"(?P<double>[^"\n]{4,})"|'(?P<single>[^'\n]{4,})'|(?P<bare>[^\s"'<>,;]{4,}))""")
 LOGIN = re.compile(r"://[^\s/:@]++:(?P<bare>[^\s/@]{4,}+)@")
+#: Names of values that stand elsewhere, and URLs without credentials.
+REFERENCE = re.compile(r"\$\{[\w.]+\}|\$\([\w ./-]+\)|\$[A-Z][A-Z_]{2,}|%[A-Z][A-Z_]{2,}%|\{\{[^{}]*\}\}"
+                       r"|(?:process\.env|os\.environ|os\.getenv|System\.getenv|getenv|ENV)[.\[(].*|[A-Za-z][\w+.-]*://[^\s@]*")
+#: A word, or a short number, of a sentence with the punctuation around it.
+PROSE_WORD = re.compile(r"[^\w\s]{0,3}(?:([^\W\d_]+(?:['\u2019./-][^\W\d_]+)*)|\d{1,4})[^\w\s]{0,3}|[^\w\s]{1,3}")
+#: A call of code, if all its names read as words.
+CALL = re.compile(r"[A-Za-z_]+(?:\.[A-Za-z_]+)*\([^()\d]*\)?")
+LETTERS = re.compile(r"[^\W\d_]+")
 
 # Common words of passwords and placeholders, most common first.
 WORDS = ("password", "admin", "welcome", "login", "qwerty", "dragon", "master", "monkey", "letmein", "secret", "shadow",
@@ -54,6 +72,8 @@ class GuessRules:
     min_bits: float = 40.0
     words: tuple[str, ...] = field(default=WORDS)
     max_year_distance: int = 150
+    #: Tokenizer file (readable on every executor) whose tokens follow ``words``; None: no more words, pairs of ``words``.
+    vocabulary: str | None = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _neighbours() -> dict[str, set[str]]:
@@ -67,11 +87,6 @@ DATE = re.compile(r"(?:19|20)\d\d(?:([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d
                   r"|(?:0?[1-9]|[12]\d|3[01])([-/._]?)(?:0?[1-9]|1[0-2])\2(?:19|20)\d\d", re.ASCII)
 
 
-#: Letters that read like a word of some language: at most three consonants or two vowels in a row.
-SPOKEN = re.compile(r"(?:[b-df-hj-np-tv-xz]{0,3}[aeiouyäöüáéíóúàèêçñß]{1,2})+[b-df-hj-np-tv-xz]{0,3}")
-SPOKEN_BITS = 2.2
-
-
 def _char_bits(c: str) -> float:
     if not c.isascii():
         return 8.0
@@ -96,17 +111,60 @@ def _mixed_bits(value: str) -> float:
     return log2(sum(CLASSES[k] for k in found)) if len(found) > 2 or len(found) == 2 and len(value) >= MIXED_LENGTH else 0.0
 
 
+#: Shortest and longest tokens that count as words, and the shortest that is looked for in other spelling (p4ssw0rd).
+TOKEN_LENGTHS, LEET_LENGTH = (3, 16), 5
+
+
+@dataclass(frozen=True)
+class Lexicon:
+    ranks: dict[str, int]         # by word, from 1
+    few: frozenset[str]           # words that other spellings of digits and symbols are looked up in
+    longest: int
+    pairs: dict[tuple[str, str], float]  # bits of a letter after another; after "" at the start
+
+
 @lru_cache(8)
-def _ranks(words: tuple[str, ...]) -> tuple[dict[str, int], int]:
+def lexicon(words: tuple[str, ...], vocabulary: str | None) -> Lexicon:
+    """One for each Python worker.  Tokens are ranked in the order of the vocabulary; the pairs are those of its whole
+    words, each counted once."""
     ranks: dict[str, int] = {}
     for k, w in enumerate(words, 1):
         ranks.setdefault(w.lower(), k)
-    return ranks, max(map(len, ranks), default=0)
+    few, whole = set(ranks), set(ranks)
+    if vocabulary:
+        with open(vocabulary, encoding="utf-8") as f:
+            ids = json.load(f)["model"]["vocab"]
+        k = len(ranks)
+        for token in sorted(ids, key=ids.get):
+            word = token.removesuffix("</w>")
+            if word.isascii() and word.isalpha() and TOKEN_LENGTHS[0] <= len(word) <= TOKEN_LENGTHS[1]:
+                if word != token:
+                    whole.add(word)
+                if word not in ranks:
+                    k += 1
+                    ranks[word] = k
+                    if len(word) >= LEET_LENGTH:
+                        few.add(word)
+    seen = Counter(p for w in whole for p in zip(["", *w], w, strict=False))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    pairs = {}
+    for a in ["", *letters]:
+        total = sum(seen[a, b] + 0.5 for b in letters)
+        pairs |= {(a, b): log2(total / (seen[a, b] + 0.5)) for b in letters}
+    return Lexicon(ranks, frozenset(few), max(map(len, ranks), default=0), pairs)
+
+
+@lru_cache(4096)
+def _letter(c: str) -> str:
+    """The plain lower-case letter of ``c``, or nothing."""
+    base = unicodedata.normalize("NFD", c)[0].lower()
+    return base if "a" <= base <= "z" else ""
 
 
 def guess_bits(value: str, rules: GuessRules = GuessRules()) -> float:
     """The least cost in bits.  Each segment also costs one bit, for where it ends."""
-    n, (ranks, longest), mixed = len(value), _ranks(rules.words), _mixed_bits(value)
+    n, lex, mixed = len(value), lexicon(rules.words, rules.vocabulary), _mixed_bits(value)
+    ranks, pairs = lex.ranks, lex.pairs
     low = value.lower() if len(value.lower()) == n else value
     plain = low.translate(_LEET)
     best = [0.0] + [float("inf")] * n
@@ -119,20 +177,24 @@ def guess_bits(value: str, rules: GuessRules = GuessRules()) -> float:
     for a in range(n):
         if value[a].isdigit() and (m := DATE.match(value, a)):
             dates.setdefault(a, []).append(m.end())
-    spoken = {m.start(): m.end() for m in SPOKEN.finditer(low) if m.end() - m.start() >= 4}
-    run_end, walk_end, turns = 0, 0, 0
-    brute = float("inf")
+    run_end, walk_end, turns = 0, 0, []  # turns: where a keyboard walk changes its way
+    brute = spoken = float("inf")
+    before = ""
     for a in range(n):
-        # Brute-force characters extend one span, so only the first of them pays for a segment.
+        # Brute-force characters and letters by their pairs extend one span, so only the first pays for a segment.
         brute = min(best[a] + 1, brute) + max(_char_bits(value[a]) + value[a].isupper(), mixed)
         best[a + 1] = min(best[a + 1], brute)
-        for size in range(2, min(longest, n - a) + 1):
-            for word, extra in ((low[a:a + size], 0), (plain[a:a + size], 1)):
-                if rank := ranks.get(word):
-                    upper = sum(c.isupper() for c in value[a:a + size])
-                    offer(a, a + size, log2(rank + 1) + extra + (0 if not upper else 1 if upper in (1, size) else size))
-        if b := spoken.get(a):  # a word that the dictionary lacks: letters at the entropy of prose
-            offer(a, b, SPOKEN_BITS * (b - a) + sum(c.isupper() for c in value[a + 1:b]))
+        if letter := _letter(value[a]):
+            spoken = (min(best[a] + 1 + pairs["", letter], spoken + pairs[before, letter] if before else float("inf"))
+                      + value[a].isupper())
+            best[a + 1] = min(best[a + 1], spoken)
+        before = letter
+        for size in range(2, min(lex.longest, n - a) + 1):
+            word, other = low[a:a + size], plain[a:a + size]
+            if (rank := ranks.get(word)) or other != word and other in lex.few:
+                upper = sum(c.isupper() for c in value[a:a + size])
+                offer(a, a + size, (log2(rank + 1) if rank else log2(ranks[other] + 1) + 1)
+                      + (0 if not upper else 1 if upper in (1, size) else size))
         for b in dates.get(a, ()):
             offer(a, b, log2(2 * rules.max_year_distance) + (log2(365) + 2 if b - a > 4 else 0))
         if a >= run_end:
@@ -150,18 +212,47 @@ def guess_bits(value: str, rules: GuessRules = GuessRules()) -> float:
                 b += unit
             offer(a, b, sum(map(_char_bits, part)) + log2((b - a) // unit))
         if a >= walk_end - 1:
-            walk_end, turns, last = a + 1, 0, None
+            walk_end, turns, last = a + 1, [], None
             while walk_end < n and low[walk_end] in NEIGHBOURS.get(low[walk_end - 1], ()):
                 step = ord(low[walk_end]) - ord(low[walk_end - 1])
                 row = next((r for r in ROWS if low[walk_end] in r and low[walk_end - 1] in r), None)
                 way = (row is None, row and row.index(low[walk_end]) - row.index(low[walk_end - 1]) or step)
-                turns += last is not None and way != last
+                if last is not None and way != last:
+                    turns.append(walk_end - 1)
                 last, walk_end = way, walk_end + 1
         if walk_end - a >= 4:
-            offer(a, walk_end, log2(47) + log2(walk_end - a) + 2 * turns)
+            offer(a, walk_end, log2(47) + log2(walk_end - a) + 2 * (len(turns) - bisect_right(turns, a)))
     return best[n]
 
 
+def reads_as_prose(word: str, rules: GuessRules) -> bool:
+    """Whether a word between blanks is one of a sentence: a word of the dictionary, letters whose pairs are cheaper than
+    brute force (small, capital or with a capital first), letters of other scripts, or a short number."""
+    m = PROSE_WORD.fullmatch(word)
+    lex = lexicon(rules.words, rules.vocabulary)
+    for part in LETTERS.findall(m[1]) if m and m[1] else ():
+        plain = [_letter(c) for c in part]
+        if not (part[1:].islower() or part.isupper() or not part.isascii() or len(part) == 1):
+            return False
+        if len(part) > 2 and all(plain) and "".join(plain) not in lex.ranks and (
+                sum(lex.pairs[p] for p in zip(["", *plain], plain, strict=False)) >= _char_bits("a") * len(part)):
+            return False
+    return m is not None
+
+
+def value_bits(value: str, rules: GuessRules = GuessRules(), said: bool = False) -> float:
+    """What a value in a credential context costs.  ``said``: it follows a word ("is", "bearer") and no sign, so a
+    single word may be prose too."""
+    if REFERENCE.fullmatch(value.strip()):
+        return 0.0
+    if CALL.fullmatch(value) and all(reads_as_prose(w, rules) for w in LETTERS.findall(value)):
+        return 0.0
+    words = value.split()
+    if len(words) == 1 and not said:
+        return guess_bits(value, rules)
+    return sum(guess_bits(w, rules) for w in words if not (REFERENCE.fullmatch(w) or reads_as_prose(w, rules)))
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the base patterns, sorted."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
@@ -173,10 +264,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def guess_spans(text: str, base: list[tuple[int, int, int]], rules: GuessRules) -> tuple[list, float]:
     """Spans of hard values that no base span holds, and the highest cost of all values (0 if there is none)."""
     found, most, k = [], 0.0, 0
-    values = sorted({m.span(m.lastgroup) for p in (CONTEXT, LOGIN) for m in p.finditer(text)})
+    values = sorted({(*m.span(m.lastgroup), p is CONTEXT and (m["said"] or m["bearer"]) is not None)
+                     for p in (CONTEXT, LOGIN) for m in p.finditer(text)})
     reach = -1  # the furthest end of the base spans that start at or before the value
-    for start, end in values:
-        bits = guess_bits(text[start:end], rules)
+    for start, end, said in values:
+        bits = value_bits(text[start:end], rules, said)
         most = max(most, bits)
         while k < len(base) and base[k][0] <= start:
             reach, k = max(reach, base[k][2]), k + 1
