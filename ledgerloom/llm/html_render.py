@@ -4,18 +4,25 @@ A page becomes a tree - with the end tags that HTML lets authors leave out - and
 text: blocks on lines of their own with blank lines where they have margins, list items with
 bullets or numbers and indents, table cells in aligned columns, ``pre`` as it stands.  Invisible
 content is left out: head, scripts, styles, templates, ``hidden``, ``display:none``,
-``visibility:hidden``, closed details and dialogs.
+``visibility:hidden``, closed details and dialogs.  Rules of style sheets are not read, so what only a class hides is shown.
+
+Time and text are in proportion to the page, whatever its markup: open elements are looked up by name, spans of
+rows are kept as intervals, and three layout rules bound what nesting and padding add: lines are indented by
+``MAX_INDENT`` columns at most, the cells of tables in more than ``MAX_TABLES`` tables are blocks, and a table whose padding
+would be ``MOST_SHARE`` times its text has its cells on lines of their own.  No rule drops text.
 
 Defined cases: a null or empty page gives empty text; broken markup never fails (a tag that the
 page's end cuts off, with no > after it, is dropped, quotes that open no value are ordinary characters, stray
 end tags are ignored); pages of any size and depth are rendered
-whole, without recursion; repeated rows are rendered each for itself; an empty table gives an empty result.
+whole, without recursion; repeated rows are rendered each for itself; an empty table gives an empty result; other
+columns, clashing names included, are not read.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_left, bisect_right, insort
+from collections import Counter, defaultdict
 from html import unescape
 
 import pyarrow as pa
@@ -61,9 +68,11 @@ IMPLIED = {"li": (frozenset(("li",)), LISTS), "dt": (frozenset(("dt", "dd")), fr
            "td": (CELLS | {"caption"}, frozenset(("table",))), "th": (CELLS | {"caption"}, frozenset(("table",))),
            "tr": (CELLS | {"tr", "caption", "colgroup"}, frozenset(("table",))),
            **dict.fromkeys(ROW_GROUPS, (CELLS | ROW_GROUPS | {"tr", "caption", "colgroup"}, frozenset(("table",))))}
-MAX_SPAN = 1000
+#: The most columns and rows that a cell spans.
+MAX_SPAN = {"colspan": 1000, "rowspan": 65_534}
+MAX_INDENT, MAX_TABLES = 40, 32
 #: Columns are narrowed, down to LEAST_WIDTH, where their padding would be more than PAD_SHARE times the table's text.
-LEAST_WIDTH, PAD_SHARE = 40, 16
+LEAST_WIDTH, PAD_SHARE, MOST_SHARE = 40, 16, 256
 
 
 class Node:
@@ -80,30 +89,34 @@ class Node:
 
 
 class Tree:
-    """Builds the tree.  ``count`` holds how many elements of a name are open, so that tags that have nothing to
-    end cost nothing."""
+    """Builds the tree.  ``at`` holds where on the stack the open elements of a name are, lowest first, so no tag
+    walks down the stack."""
 
     def __init__(self):
         self.root = Node("html")
-        self.stack, self.count = [self.root], Counter(html=1)
+        self.stack, self.at = [self.root], defaultdict(list, html=[0])
 
-    def pop(self) -> str:
-        name = self.stack.pop().name
-        self.count[name] -= 1
-        return name
+    def pop(self) -> None:
+        self.at[self.stack.pop().name].pop()
+
+    def push(self, node: Node) -> None:
+        self.stack[-1].children.append(node)
+        self.at[node.name].append(len(self.stack))
+        self.stack.append(node)
+
+    def top(self, names) -> int:
+        """Where the innermost open element of ``names`` is; 0, the root, if there is none."""
+        return max((self.at[n][-1] for n in names if self.at.get(n)), default=0)
+
+    def cut(self, height: int) -> None:
+        while len(self.stack) > height:
+            self.pop()
 
     def end(self, names: frozenset | set, stop: frozenset) -> None:
         """Ends the outermost open element of ``names`` above the innermost one of ``stop``."""
-        if not any(self.count[n] for n in names):
-            return
-        at = None
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].name in names:
-                at = k
-            elif self.stack[k].name in stop:
-                break
-        while at is not None and len(self.stack) > at:
-            self.pop()
+        if open_ := [self.at[n] for n in names if self.at.get(n)]:
+            floor = self.top(stop)
+            self.cut(min((x[bisect_right(x, floor)] for x in open_ if x[-1] > floor), default=len(self.stack)))
 
     def leave_head(self) -> None:
         while self.stack[-1].name == "head":
@@ -114,44 +127,29 @@ class Tree:
             return
         if name not in HEAD_PARTS:
             self.leave_head()
-        if name in ENDS_P and self.count["p"]:
+        if name in ENDS_P and self.at["p"]:
             self.end({"p"}, SCOPE)
         if name in IMPLIED:
             self.end(*IMPLIED[name])
-        if self.count["table"]:
-            if name in CELLS and not self._inside("tr"):
-                self.push(Node("tr"))
-        node = Node(name, attrs)
-        if name == "body" and self.count["head"]:
+        if name in CELLS and self.at["table"] and self.top(("tr",)) <= self.top(("table", "td", "th")):
+            self.push(Node("tr"))
+        if name == "body":
             self.end({"head"}, frozenset())
-        self.stack[-1].children.append(node)
-        if name not in VOID:
-            self.stack.append(node)
-            self.count[name] += 1
-
-    def push(self, node: Node) -> None:
-        self.stack[-1].children.append(node)
-        self.stack.append(node)
-        self.count[node.name] += 1
-
-    def _inside(self, name: str) -> bool:
-        return next((n.name == name for n in reversed(self.stack) if n.name in (name, "table", "td", "th")), False)
+        if name in VOID:
+            self.stack[-1].children.append(Node(name, attrs))
+        else:
+            self.push(Node(name, attrs))
 
     def finish(self, name: str) -> None:
         if name == "br":
             self.leave_head()
             self.stack[-1].children.append(Node("br"))
-        elif name == "p" and not self.count["p"]:
+        elif name == "p" and not self.at["p"]:
             self.stack[-1].children.append(Node("p"))
-        elif self.count[name] and name not in ("html", "body"):
+        elif self.at.get(name) and name not in ("html", "body"):
             stop = frozenset(("table",)) if name in TABLE_PARTS else frozenset() if name == "table" else SCOPE - {name}
-            for k in range(len(self.stack) - 1, 0, -1):
-                if self.stack[k].name == name:
-                    while len(self.stack) > k:
-                        self.pop()
-                    break
-                if self.stack[k].name in stop:
-                    break
+            if self.at[name][-1] > self.top(stop):
+                self.cut(self.at[name][-1])
 
     def text(self, raw: str) -> None:
         if self.stack[-1].name == "head" and raw.strip(" \t\n\f\r"):
@@ -206,7 +204,7 @@ class Page:
     def __init__(self):
         self.lines: list[str] = []
         self.now: list[str] = []
-        self.indent, self.marker, self.gap, self.space = "", "", 0, False
+        self.indent, self.marker, self.gap, self.space = 0, "", 0, False
         self.as_is = False  # whether the line is one of a ``pre``
 
     def text(self, raw: str) -> None:
@@ -232,9 +230,8 @@ class Page:
         if self.lines and self.gap:
             self.lines += [""] * self.gap
         self.gap = 0
-        lead = self.indent
-        if self.marker:
-            lead, self.marker = self.indent[:-len(self.marker)] + self.marker, ""
+        lead = " " * min(self.indent - len(self.marker), MAX_INDENT) + self.marker
+        self.marker = ""
         self.lines.append((lead + line).rstrip(" "))
 
     def block(self, margin: int) -> None:
@@ -265,7 +262,57 @@ class Page:
 
 def _span(node: Node, key: str) -> int:
     value = (node.get(key) or "") if key in node.attrs.lower() else ""
-    return min(int(value), MAX_SPAN) if value.isascii() and value.isdigit() and 0 < len(value) < 6 and int(value) else 1
+    return min(int(value), MAX_SPAN[key]) if value.isascii() and value.isdigit() and 0 < len(value) < 6 and int(value) else 1
+
+
+class Below:
+    """The columns that cells of earlier rows take, as intervals that do not overlap: by first column, the column after
+    the last and the row from which they are free.  ``far`` joins neighbours, so that they are passed in one step."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.taken: dict[int, tuple[int, int]] = {}
+        self.far: dict[int, tuple[int, int]] = {}
+
+    def drop(self, start: int) -> None:
+        del self.taken[start]
+        del self.starts[bisect_left(self.starts, start)]
+
+    def free(self, at: int, row: int) -> int:
+        """The first column from ``at`` on that is free in ``row``."""
+        passed = []
+        while self.starts:
+            hop = self.far.get(at)
+            if hop is None or hop[1] <= row:
+                k = bisect_right(self.starts, at) - 1
+                if k < 0:
+                    break
+                hop = self.taken[self.starts[k]]
+                if hop[1] <= row:
+                    self.drop(self.starts[k])
+                    continue
+                if hop[0] <= at:
+                    break
+            passed.append((at, hop[1]))
+            at = hop[0]
+        until = 1 << 60
+        for start, ends in reversed(passed):
+            until = min(until, ends)
+            self.far[start] = (at, until)
+        return at
+
+    def take(self, start: int, end: int, until: int) -> None:
+        """Takes the columns of a cell whose first is free; the cell goes before what it overlaps."""
+        while (k := bisect_left(self.starts, start)) < len(self.starts) and (old := self.starts[k]) < end:
+            rest = self.taken[old]
+            self.drop(old)
+            if rest[0] > end:
+                insort(self.starts, end)
+                self.taken[end] = rest
+            if until < rest[1]:
+                self.far.clear()
+        insort(self.starts, start)
+        self.taken[start] = (end, until)
 
 
 def _starts(widths: dict[int, int], spans: dict[int, dict[int, int]], columns: list[int], most: int) -> dict[int, int]:
@@ -281,28 +328,27 @@ def _starts(widths: dict[int, int], spans: dict[int, dict[int, int]], columns: l
 def _table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     """Rows of (lines, columns, rows) cells as aligned lines; a column is as wide as its widest cell.  Where that would
     make a long text of a short one, columns are narrower, and what follows a longer cell has a line of its own."""
-    placed, below, widths, spans = [], {}, {}, {}
+    placed, below, widths, spans = [], Below(), {}, {}
     size, deep = 0, Counter()  # characters of the table, lines by column
-    for row in rows:
-        at, line, wide = 0, [], None
-        below = {c: n - 1 for c, n in below.items() if n > 1}
-        taken = dict(below)
+    for k, row in enumerate(rows):
+        at, line, wide, kept = 0, [], None, []
         for cell, across, down in row:
-            while at in taken:
-                at += 1
+            at = below.free(at, k)
             line.append((at, cell))
             if wide:
                 ends = spans.setdefault(at, {})
                 ends[wide[0]] = max(ends.get(wide[0], 0), wide[1])
             wide = (at, max(map(len, cell))) if cell and across > 1 else None
             if down > 1:
-                below |= dict.fromkeys(range(at, at + across), down)
+                kept.append((at, at + across, k + down))
             if cell:
                 if across == 1:
                     widths[at] = max(widths.get(at, 0), max(map(len, cell)))
                 size += sum(len(x) - x.count(" ") for x in cell)
                 deep[at] += len(cell)
             at += across
+        for cell in kept:
+            below.take(*cell)
         placed.append(line)
     columns = sorted({c for line in placed for c, _ in line} | set(widths))
     most = max([*widths.values(), *(n for x in spans.values() for n in x.values())], default=0)
@@ -310,12 +356,14 @@ def _table_lines(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     while most > LEAST_WIDTH and sum(n * starts[c] for c, n in deep.items()) > PAD_SHARE * size:
         most = max(LEAST_WIDTH, most // 2)
         starts = _starts(widths, spans, columns, most)
+    if sum(n * starts[c] for c, n in deep.items()) > MOST_SHARE * size:
+        starts = dict.fromkeys(starts, 0)
     out = []
     for line in placed:
         for k in range(max((len(cell) for _, cell in line), default=0)):
-            text = ""
+            text, line = "", [x for x in line if k < len(x[1])]
             for c, cell in line:
-                if k < len(cell) and cell[k]:
+                if cell[k]:
                     if text and len(text) >= starts[c]:
                         out.append(text)
                         text = ""
@@ -360,7 +408,9 @@ def render(html: str | None) -> str:
                 continue
             if name == "table":
                 page.block(1)
-                tables.append([])
+                tables.append([] if len(tables) < MAX_TABLES else None)
+            elif tables and tables[-1] is None and (name == "tr" or name in CELLS):
+                page.block(0)
             elif name == "tr" and tables:
                 tables[-1].append([])
             elif name in CELLS and tables and tables[-1]:
@@ -374,11 +424,11 @@ def render(html: str | None) -> str:
                 kind = lists[-1] if lists and lists[-1][0] != "item" else ["ul", 1]
                 marker = f"{kind[1]}. " if kind[0] == "ol" else "- "
                 kind[1] += 1
-                page.indent += " " * len(marker)
+                page.indent += len(marker)
                 page.marker = marker
                 lists.append(["item", len(marker)])
             elif name in ("dd", "blockquote"):
-                page.indent += "  "
+                page.indent += 2
             elif name in ("pre", "xmp"):
                 pre += 1
             work.append((node, True, visible))
@@ -390,9 +440,11 @@ def render(html: str | None) -> str:
         if name == "table":
             rows = tables.pop()
             page.flush()
-            for line in _table_lines(rows):
+            for line in _table_lines(rows or []):
                 page.put(line)
             page.block(1)
+        elif tables and tables[-1] is None and (name == "tr" or name in CELLS):
+            page.block(0)
         elif name in CELLS and tables and tables[-1] and len(pages) > 1:
             pages.pop()
             tables[-1][-1].append((page.result(), _span(node, "colspan"), _span(node, "rowspan")))
@@ -401,10 +453,9 @@ def render(html: str | None) -> str:
         if name in LISTS:
             lists.pop()
         elif name == "li":
-            width = lists.pop()[1]
-            page.indent, page.marker = page.indent[:-width], ""
+            page.indent, page.marker = page.indent - lists.pop()[1], ""
         elif name in ("dd", "blockquote"):
-            page.indent = page.indent[:-2]
+            page.indent -= 2
         elif name in ("pre", "xmp"):
             pre -= 1
     return "\n".join(pages[0].result()).replace("\xa0", " ")
