@@ -3,7 +3,8 @@
 Documents are aggregated by the set of sources they belong to (their pattern).  A flow network sends
 words from patterns to the quotas of their sources; each further repetition of a pattern costs more
 than the one before, so a document is repeated only where fresh words run out.  The network has one
-node for each pattern and source, and is all that the driver sees.
+node for each pattern and source, and is all that the driver sees; more than ``MAX_PATTERNS`` different patterns
+are an error.  A pattern and a source that only have each other need no network.
 
 The words that flow from a pattern are then taken from its documents in a seeded order: whole
 repetitions of all documents, and one more for some.  For that last part documents are hashed into
@@ -13,14 +14,15 @@ Documents are always taken whole.
 
 Defined cases: a null text or source counts as an empty text, and as a source of its own that
 comes last; rows that agree in id, sources and text share one decision; a document without words
-takes nothing; targets without any words are 0; an empty table gives an empty result.
+takes nothing; targets without any words are 0; an empty table gives an empty result; other columns, clashing
+names included, stay as they are in the mix.
 """
 
 from __future__ import annotations
 
 import json
 from bisect import bisect_left
-from collections import deque
+from collections import Counter, deque
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -35,8 +37,12 @@ from ledgerloom.llm.common import checkpointed, fresh, map_arrow, prepare, schem
 WEIGHTS = (3, 1, 2)
 MAX_EPOCHS = 2
 DOCS_PER_BUCKET = 2000
-#: Tables of one row per pattern or source are broadcast up to this many rows (their length is known here).
-MAX_BROADCAST_ROWS = 100_000
+#: The most patterns whose sums the driver takes.
+MAX_PATTERNS = 1_000_000
+#: Tables of one row per pattern or source are broadcast up to this many bytes (their size is known here).
+MAX_BROADCAST_BYTES = 8 << 20
+#: Buckets of a pattern are added up in groups of this many first.
+BUCKETS_PER_GROUP = 1024
 
 
 def target_words(sizes: dict[str | None, int], weights=WEIGHTS, percent: int = 150,
@@ -60,54 +66,93 @@ def target_words(sizes: dict[str | None, int], weights=WEIGHTS, percent: int = 1
 
 
 def route(patterns: list[tuple[list, int]], quotas: dict, max_epochs: int = MAX_EPOCHS) -> list[int]:
-    """Words taken from each pattern (its sources, its words): a maximum flow of least cost, by successive shortest
-    paths.  The k-th repetition of a pattern costs 2k - 1 a word."""
-    first = {s: 2 + len(patterns) + k for k, s in enumerate(quotas)}
-    graph: list[list[int]] = [[] for _ in range(2 + len(patterns) + len(quotas))]
-    arcs: list[list[int]] = []  # to, capacity, cost
-
-    def arc(a: int, b: int, capacity: int, cost: int) -> None:
-        graph[a].append(len(arcs))
-        arcs.append([b, capacity, cost])
-        graph[b].append(len(arcs))
-        arcs.append([a, 0, -cost])
+    """Words taken from each pattern (its sources, its words): a maximum flow of least cost.  The k-th repetition of a
+    pattern costs 2k - 1 a word.
 
-    for p, (members, words) in enumerate(patterns):
-        for epoch in range(1, max_epochs + 1):
-            arc(0, 2 + p, words, 2 * epoch - 1)
-        for s in members:
-            arc(2 + p, first[s], max_epochs * words, 0)
-    for s, quota in quotas.items():
-        arc(first[s], 1, quota, 0)
-    while True:
-        cost, via, queue, waits = {0: 0}, {}, deque([0]), {0}
-        while queue:
-            a = queue.popleft()
-            waits.discard(a)
-            for k in graph[a]:
-                b, capacity, price = arcs[k]
-                if capacity and cost[a] + price < cost.get(b, 1 << 60):
-                    cost[b], via[b] = cost[a] + price, k
-                    if b not in waits:
-                        queue.append(b)
-                        waits.add(b)
-        if 1 not in via:
-            break
-        path, at = [], 1
-        while at:
-            path.append(via[at])
-            at = arcs[via[at] ^ 1][0]
-        room = min(arcs[k][1] for k in path)
-        for k in path:
-            arcs[k][1] -= room
-            arcs[k ^ 1][1] += room
+    Only the arcs into patterns cost anything and no path comes back to their common start, so a path costs what its first arc
+    does: the flow is cheapest if the k-th repetitions are opened in turn, each after the flow is maximal without them."""
+    uses = Counter(s for members, _ in patterns for s in members)
     taken = [0] * len(patterns)
-    for k in graph[0]:
-        if not k & 1:
-            taken[arcs[k][0] - 2] += arcs[k ^ 1][1]
+    tied = []
+    for p, (members, words) in enumerate(patterns):
+        if len(members) == 1 and uses[members[0]] == 1:
+            taken[p] = min(quotas.get(members[0], 0), max_epochs * words)
+        elif members and words:
+            tied.append(p)
+    if tied:
+        net = Network(2 + len(tied))
+        named = sorted({s for p in tied for s in patterns[p][0]}, key=lambda s: (s is None, s or ""))
+        node = {s: net.node() for s in named}
+        into = [net.arc(0, 2 + k, 0) for k in range(len(tied))]
+        for k, p in enumerate(tied):
+            for s in patterns[p][0]:
+                net.arc(2 + k, node[s], max_epochs * patterns[p][1])
+        for s in named:
+            net.arc(node[s], 1, quotas.get(s, 0))
+        for _ in range(max_epochs):
+            for k, p in enumerate(tied):
+                net.room[into[k]] += patterns[p][1]
+            net.fill()
+        for k, p in enumerate(tied):
+            taken[p] = net.room[into[k] ^ 1]
     return taken
 
 
+class Network:
+    """Arcs with room, from node 0 to node 1, filled along shortest paths, all of one length at a time."""
+
+    def __init__(self, nodes: int):
+        self.out: list[list[int]] = [[] for _ in range(nodes)]
+        self.to: list[int] = []
+        self.room: list[int] = []  # an arc's reverse has the number ^ 1
+
+    def node(self) -> int:
+        self.out.append([])
+        return len(self.out) - 1
+
+    def arc(self, a: int, b: int, room: int) -> int:
+        for x, y, r in ((a, b, room), (b, a, 0)):
+            self.out[x].append(len(self.to))
+            self.to.append(y)
+            self.room.append(r)
+        return len(self.to) - 2
+
+    def levels(self) -> list[int]:
+        level = [-1] * len(self.out)
+        level[0] = 0
+        queue = deque([0])
+        while queue and level[1] < 0:
+            a = queue.popleft()
+            for k in self.out[a]:
+                if self.room[k] and level[self.to[k]] < 0:
+                    level[self.to[k]] = level[a] + 1
+                    queue.append(self.to[k])
+        return level
+
+    def fill(self) -> None:
+        """Makes the flow maximal."""
+        while (level := self.levels())[1] >= 0:
+            tried, path = [0] * len(self.out), []
+            while True:
+                at = self.to[path[-1]] if path else 0
+                if at == 1:
+                    room = min(self.room[k] for k in path)
+                    for k in path:
+                        self.room[k] -= room
+                        self.room[k ^ 1] += room
+                    del path[next(i for i, k in enumerate(path) if not self.room[k]):]
+                elif tried[at] < len(self.out[at]):
+                    k = self.out[at][tried[at]]
+                    if self.room[k] and level[self.to[k]] == level[at] + 1:
+                        path.append(k)
+                    else:
+                        tried[at] += 1
+                elif path:
+                    tried[self.to[path.pop() ^ 1]] += 1
+                else:
+                    break
+
+
 @dataclass(frozen=True)
 class Mix:
     rows: DataFrame               # doc_id, text_hash, pattern, size, epochs: one row per document
@@ -118,7 +163,8 @@ class Mix:
 def _side(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A table that is joined to all documents by pattern or source, one of which may hold a third of them."""
     table = spark.createDataFrame(rows, schema)
-    return F.broadcast(table) if len(rows) <= MAX_BROADCAST_ROWS else table
+    size = sum(len(x.encode("utf-8", "surrogatepass")) if isinstance(x, str) else 8 for row in rows for x in row)
+    return F.broadcast(table) if size <= MAX_BROADCAST_BYTES else table  # beyond: AQE, which splits hot keys
 
 
 def chosen(sizes: list[int], room: int, rounds: int = 8) -> list[int]:
@@ -156,6 +202,24 @@ def chosen(sizes: list[int], room: int, rounds: int = 8) -> list[int]:
     return taken
 
 
+def _edges(spark: SparkSession, sums: DataFrame) -> list[tuple]:
+    """(pattern, edge bucket, words that it may give): at most one for each pattern.  ``sums`` has one row for each
+    bucket; groups of buckets are added up first, so a window sees documents / docs_per_bucket / BUCKETS_PER_GROUP rows of a
+    pattern, then the buckets of one group."""
+
+    def edge(rows: DataFrame, place: str) -> DataFrame:
+        upto = F.col("before") + F.sum("words").over(Window.partitionBy("pattern").orderBy(place))
+        return rows.withColumn("upto", upto).where("upto >= rest and upto - words < rest")
+
+    group = F.expr(f"bucket div {BUCKETS_PER_GROUP}")
+    coarse = (sums.groupBy("pattern", "rest", group.alias("group")).agg(F.sum("words").alias("words"))
+              .withColumn("before", F.lit(0).cast("long")))
+    found = [tuple(r) for r in edge(coarse, "group").selectExpr("pattern", "group", "upto - words").collect()]
+    inside = (sums.withColumn("group", group)
+              .join(_side(spark, found, "pattern string, group long, before long"), ["pattern", "group"]))
+    return [tuple(r) for r in edge(inside, "bucket").selectExpr("pattern", "bucket", "rest - upto + words").collect()]
+
+
 def _fill(pdf: pd.DataFrame) -> pd.DataFrame:
     """The documents of an edge bucket that are taken."""
     pdf = pdf.sort_values(["place", "doc_id", "text_hash"], na_position="last")
@@ -179,8 +243,10 @@ def mix(docs: DataFrame, members: Column, weights=WEIGHTS, percent: int = 150, m
         return each
 
     sized = checkpointed(map_arrow(keyed, worker, schema_of(keyed, keep, ("size", T.LongType()))))
-    totals = sorted((r.pattern, r.words, r.n) for r in
-                    sized.groupBy("pattern").agg(F.sum("size").alias("words"), F.count("*").alias("n")).collect())
+    sums = sized.groupBy("pattern").agg(F.sum("size").alias("words"), F.count("*").alias("n"))
+    totals = sorted((r.pattern, r.words, r.n) for r in sums.limit(MAX_PATTERNS + 1).collect())
+    if len(totals) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} different patterns of sources")
     patterns = [(json.loads(p), words) for p, words, _ in totals]
     sizes: dict[str | None, int] = {}
     for sources, words in patterns:
@@ -194,12 +260,9 @@ def mix(docs: DataFrame, members: Column, weights=WEIGHTS, percent: int = 150, m
     place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keep), 32).cast("long")
     placed = (sized.join(_side(spark, plan, plan_schema), "pattern")
               .withColumn("place", place).withColumn("bucket", F.expr("(place * buckets) >> 32")))
-    sums = placed.where("rest > 0").groupBy("pattern", "rest", "bucket").agg(F.sum("size").alias("words"))
-    # One row for each bucket, so a pattern's rows here are documents / docs_per_bucket.
-    upto = F.sum("words").over(Window.partitionBy("pattern").orderBy("bucket"))
-    edges = (sums.withColumn("upto", upto).where("upto >= rest and upto - words < rest")  # at most one for each pattern
-             .select("pattern", "bucket", F.expr("rest - upto + words")).collect())
-    edge = _side(spark, [tuple(r) for r in edges], "pattern string, edge long, room long")
+    edges = _edges(spark, checkpointed(placed.where("rest > 0").groupBy("pattern", "rest", "bucket")
+                                       .agg(F.sum("size").alias("words"))))
+    edge = _side(spark, edges, "pattern string, edge long, room long")
     placed = placed.join(edge, "pattern", "left")
     filled = (placed.where("bucket = edge and size > 0").groupBy(*keep, "room", "place")
               .agg(F.sum("size").alias("words")).groupBy("pattern")
