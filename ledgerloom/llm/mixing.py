@@ -10,11 +10,12 @@ The words that flow from a pattern are then taken from its documents in a seeded
 repetitions of all documents, and one more for some.  For that last part documents are hashed into
 buckets of about ``docs_per_bucket``; whole buckets are taken up to one edge bucket, whose
 documents are taken one by one as long as they fit, and exchanged while that comes closer.
-Documents are always taken whole.
+Documents are always taken whole.  Rows that agree in id, sources and text count as copies of one document: the edge
+bucket takes any number of them, and that number is dealt over the partitions they lie in by running counts.
 
 Defined cases: a null text or source counts as an empty text, and as a source of its own that
-comes last; rows that agree in id, sources and text share one decision; a document without words
-takes nothing; targets without any words are 0; an empty table gives an empty result; other columns, clashing
+comes last; rows that agree in id, sources and text are taken copy by copy (if their other columns differ, which
+of them the mix repeats depends on where they lie); a document without words takes nothing; targets without any words are 0; an empty table gives an empty result; other columns, clashing
 names included, stay as they are in the mix.
 """
 
@@ -167,21 +168,20 @@ def _side(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     return F.broadcast(table) if size <= MAX_BROADCAST_BYTES else table  # beyond: AQE, which splits hot keys
 
 
-def chosen(sizes: list[int], room: int, rounds: int = 8) -> list[int]:
-    """Places of the documents to take, out of those in a seeded order, so that their sizes come near ``room``: first
-    all that still fit, one by one; then exchanges of one document (or none) for another (or none) while that comes
-    closer."""
-    taken, rest = [], []
+def chosen(sizes: list[int], room: int, copies: list[int] | None = None, rounds: int = 1000) -> dict[int, int]:
+    """Places of the documents to take, out of those in a seeded order, and how many of their copies (one each, if not
+    given), so that their sizes come near ``room``: first all that still fit, one by one; then exchanges of one document
+    (or none) for another (or none) while that comes closer, ``rounds`` times at most."""
+    copies = copies or [1] * len(sizes)
+    taken: dict[int, int] = {}
     for k, words in enumerate(sizes):
-        if 0 < words <= room:
-            room -= words
-            taken.append(k)
-        elif words:
-            rest.append(k)
+        if 0 < words <= room and copies[k]:
+            taken[k] = min(copies[k], room // words)
+            room -= taken[k] * words
     for _ in range(rounds):
-        inside = sorted((sizes[k], k) for k in taken) + [(0, -1)]
-        inside.sort()
+        inside = sorted([(sizes[k], k) for k in taken] + [(0, -1)])
         values = [v for v, _ in inside]
+        rest = [k for k, words in enumerate(sizes) if words and taken.get(k, 0) < copies[k]]
         best = (abs(room), None, None)
         for k in [*rest, -1]:
             new = sizes[k] if k >= 0 else 0
@@ -191,14 +191,12 @@ def chosen(sizes: list[int], room: int, rounds: int = 8) -> list[int]:
         _, k, out = best
         if k is None:
             break
-        if k >= 0:
-            taken.append(k)
-            rest.remove(k)
-            room -= sizes[k]
-        if out >= 0:
-            taken.remove(out)
-            rest.append(out)
-            room += sizes[out]
+        for place, step in ((k, 1), (out, -1)):
+            if place >= 0:
+                room -= step * sizes[place]
+                taken[place] = taken.get(place, 0) + step
+                if not taken[place]:
+                    del taken[place]
     return taken
 
 
@@ -221,10 +219,25 @@ def _edges(spark: SparkSession, sums: DataFrame) -> list[tuple]:
 
 
 def _fill(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The documents of an edge bucket that are taken."""
+    """The documents of an edge bucket that are taken, and how many copies of each."""
     pdf = pdf.sort_values(["place", "doc_id", "text_hash"], na_position="last")
-    keep = chosen([int(x) for x in pdf["words"]], int(pdf["room"].iloc[0]))
-    return pdf.iloc[keep][["pattern", "doc_id", "text_hash"]]
+    keep = chosen([int(x) for x in pdf["words"]], int(pdf["room"].iloc[0]), [int(x) for x in pdf["copies"]])
+    return pdf.iloc[list(keep)][[*KEY, "full", "copies"]].assign(more=list(keep.values()))
+
+
+KEY = ("doc_id", "text_hash", "pattern")
+
+
+def _shares(parts: DataFrame) -> DataFrame:
+    """``parts``: the key, ``part``, ``here`` (its copies in that partition) and ``more`` (of all its copies, how many are
+    taken).  Adds ``dealt``: how many of those here.  The window sees one row for each partition a document lies in."""
+    before = F.sum("here").over(Window.partitionBy(*KEY).orderBy("part")) - F.col("here")
+    return parts.withColumn("dealt", F.least("here", F.greatest(F.lit(0).cast("long"), F.col("more") - before)))
+
+
+def _same_key(left: DataFrame, right: DataFrame) -> Column:
+    return (left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_hash"] == right["text_hash"])
+            & (left["pattern"] == right["pattern"]))
 
 
 def mix(docs: DataFrame, members: Column, weights=WEIGHTS, percent: int = 150, max_epochs: int = MAX_EPOCHS,
@@ -264,15 +277,23 @@ def mix(docs: DataFrame, members: Column, weights=WEIGHTS, percent: int = 150, m
                                        .agg(F.sum("size").alias("words"))))
     edge = _side(spark, edges, "pattern string, edge long, room long")
     placed = placed.join(edge, "pattern", "left")
-    filled = (placed.where("bucket = edge and size > 0").groupBy(*keep, "room", "place")
-              .agg(F.sum("size").alias("words")).groupBy("pattern")
-              .applyInPandas(_fill, T.StructType([sized.schema[n] for n in ("pattern", "doc_id", "text_hash")])))
-    filled = filled.select("pattern", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"),
-                           F.lit(1).alias("chosen"))
-    more = F.when(F.col("bucket") < F.col("edge"), 1).otherwise(F.coalesce("chosen", F.lit(0)))
-    rows = (placed.join(filled, (placed["pattern"] == filled["pattern"]) & placed["doc_id"].eqNullSafe(filled["id"])
-                        & (placed["text_hash"] == filled["hash"]) & (placed["bucket"] == placed["edge"]), "left")
-            .select("doc_id", "text_hash", placed["pattern"], "size", (F.col("full") + more).alias("epochs")))
+    decision = T.StructType([*(sized.schema[n] for n in KEY),
+                             *(T.StructField(n, T.LongType()) for n in ("full", "copies", "more"))])
+    filled = checkpointed(placed.where("bucket = edge and size > 0").groupBy(*keep, "room", "place", "full")
+                          .agg(F.max("size").alias("words"), F.count("*").alias("copies"))
+                          .groupBy("pattern").applyInPandas(_fill, decision))
+    joined = placed.join(filled, _same_key(placed, filled) & (placed["bucket"] == placed["edge"]), "left")
+    more = F.when(F.col("bucket") < F.col("edge"), 1).when(F.col("more") == F.col("copies"), 1).otherwise(0)
+    rows = (joined.where("more is null or more = copies")
+            .select(*(placed[n] for n in KEY), "size", (placed["full"] + more).alias("epochs")))
+    partial = filled.where("more < copies")
+    if not partial.isEmpty():
+        marked = sized.withColumn("part", F.spark_partition_id())
+        parts = (marked.join(partial, _same_key(marked, partial))
+                 .groupBy(*(marked[n] for n in KEY), "size", "full", "more", "part").agg(F.count("*").alias("here")))
+        dealt = _shares(parts).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("here"))))
+        rows = rows.unionByName(dealt.select(
+            *KEY, "size", (F.col("full") + F.when(F.col("copy") <= F.col("dealt"), 1).otherwise(0)).alias("epochs")))
     return Mix(rows, sizes, targets)
 
 
@@ -290,11 +311,34 @@ def words_taken(docs: DataFrame, **settings) -> DataFrame:
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: the rows of ``docs`` as often as they are taken, with all their columns."""
     found = mix(docs, F.array("source"), **settings)
-    id_, mark, pattern, epochs = fresh(docs, "mix_id", "mix_hash", "mix_pattern", "mix_epochs")
-    decided = (found.rows.where("epochs > 0").groupBy("doc_id", "text_hash", "pattern").agg(F.max("epochs").alias("e"))
-               .select(F.col("doc_id").alias(id_), F.col("text_hash").alias(mark), F.col("pattern").alias(pattern),
-                       F.col("e").alias(epochs)))
-    return (docs.join(decided, docs["doc_id"].eqNullSafe(decided[id_]) & (F.xxhash64(docs["text"]) == decided[mark])
-                      & (F.to_json(F.array(docs["source"])) == decided[pattern]))
-            .withColumn(epochs, F.explode(F.sequence(F.lit(1).cast("long"), F.col(epochs))))
-            .select(*docs.columns))
+    id_, mark, pattern, epochs, more, part, nth = fresh(docs, "mix_id", "mix_hash", "mix_pattern", "mix_epochs", "mix_more",
+                                                        "mix_part", "mix_nth")
+
+    def decided(rows: DataFrame, **values: Column) -> DataFrame:
+        side = rows.select(F.col("doc_id").alias(id_), F.col("text_hash").alias(mark), F.col("pattern").alias(pattern),
+                           *(v.alias(n) for n, v in values.items()))
+        return docs.join(side, docs["doc_id"].eqNullSafe(side[id_]) & (F.xxhash64(docs["text"]) == side[mark])
+                         & (F.to_json(F.array(docs["source"])) == side[pattern]))
+
+    def repeated(rows: DataFrame) -> DataFrame:
+        times = F.explode(F.sequence(F.lit(1).cast("long"), F.col(epochs)))
+        return rows.where(F.col(epochs) > 0).withColumn(epochs, times).select(*docs.columns)
+
+    each = (found.rows.groupBy(*KEY)
+            .agg(F.min("epochs").alias("low"), F.max("epochs").alias("high"), F.sum("epochs").alias("all"), F.count("*").alias("n"))
+            .where("high > 0"))
+    uneven = checkpointed(each.where("low < high"))
+    if uneven.isEmpty():
+        return repeated(decided(each, **{epochs: F.col("high")}))
+    # documents with some copies taken once more: their rows are fixed first, then numbered in each partition
+    some = checkpointed(decided(uneven, **{epochs: F.col("low"), more: F.expr("`all` - n * low")}))
+    some = some.withColumn(part, F.spark_partition_id())
+    key = [F.col(n).alias(k) for n, k in zip((id_, mark, pattern), KEY, strict=True)]
+    parts = _shares(some.groupBy(*key, F.col(part).alias("part"), F.col(more).alias("more"))
+                    .agg(F.count("*").alias("here"))).select(*KEY, "part", "dealt")
+    rows = some.withColumn(nth, F.row_number().over(Window.partitionBy(id_, mark, pattern, part).orderBy(F.lit(0))))
+    numbered = rows.join(parts, rows[id_].eqNullSafe(parts["doc_id"]) & (rows[mark] == parts["text_hash"])
+                         & (rows[pattern] == parts["pattern"]) & (rows[part] == parts["part"]))
+    times = rows[epochs] + F.when(rows[nth] <= parts["dealt"], 1).otherwise(0)
+    some = numbered.select(*(rows[c] for c in docs.columns), times.alias(epochs))
+    return repeated(decided(each.where("low = high"), **{epochs: F.col("high")})).unionByName(repeated(some))
