@@ -1,10 +1,10 @@
 """Build entry point: land the raw tables, check and publish the marts.
 
-    python -m ledgerloom.plans.build --sf-dir /data/star --root <shared folder> [--tolerate model.column]...
+    python -m ledgerloom.plans.build --sf-dir /data/star --root <shared folder> [--tolerate model.column]... [--keep-runs N]
 
 ``root`` defaults to ``spark.checkpoint.dir`` (a shared folder on a cluster).  Every build is a run of its
 own; it is published only when all of it was written and all contracts hold, so a failed or repeated
-build never touches the tables that readers see.
+build never touches the tables that readers see.  ``--keep-runs`` removes all but the newest N runs once the new one is published.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import time
 
 from ledgerloom.plans.project import RetailProject
 from ledgerloom.session import checkpoint_dir, get_session
-from ledgerloom.sources.sinks import new_run, publish_run
+from ledgerloom.sources.sinks import new_run, publish_run, remove_old_runs
 
 # Contract rules that the star-table adapter breaks on purpose (undated orders keep their lines; order and line
 # numbers repeat in the star data).  Callers that build from it must say so.
@@ -42,9 +42,15 @@ def main() -> None:
     ap.add_argument("--root")
     ap.add_argument("--master")
     ap.add_argument("--tolerate", action="append", default=[])
+    ap.add_argument("--keep-runs", type=int)
     args = ap.parse_args()
+    if args.keep_runs is not None and args.keep_runs < 1:
+        ap.error("--keep-runs: the run in force is always kept")
     spark = get_session(args.master)
-    print(json.dumps(build(spark, args.sf_dir, args.root, frozenset(args.tolerate))))
+    out = build(spark, args.sf_dir, args.root, frozenset(args.tolerate))
+    if args.keep_runs is not None:
+        out["removed"] = remove_old_runs(spark, out["root"], args.keep_runs)
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":

@@ -9,7 +9,7 @@ The evidence is kept in the manifest, and quality checks of a published run use
 Only after all checks does ``publish_run`` add a manifest, by a rename within the file system; readers
 follow the newest manifest.  A crash before that leaves the previous run in force, and a later build starts
 a new run.  All paths go through the Hadoop file system of their scheme, so ``hdfs:``, ``s3a:``, ``abfss:`` and
-``file:`` roots behave alike.  Old runs are kept; ``old_runs`` lists those that may be removed.
+``file:`` roots behave alike.  Old runs are kept until a caller asks for ``remove_old_runs``.
 
 Facts are rebalanced on their month before the write (AQE splits a hot month
 across tasks instead of landing it in one) and written partitioned by month,
@@ -35,6 +35,8 @@ TABLE_MONTH = {"fct_sales_orders": "order_date", "fct_order_lines": "order_date"
 # Partition column of month-partitioned tables (folder ``p_month=YYYY-MM-01``); dropped on read.
 PART_COL = "p_month"
 LAYERS = ("landed", "intermediate", "published")
+# A run id starts with the time at which the run began (UTC), so ids sort by time.
+BEGUN = "%Y%m%dT%H%M%S"
 
 
 class ContractViolation(RuntimeError):
@@ -92,7 +94,7 @@ def _manifests(root: str) -> str:
 
 
 def new_run(root: str) -> Run:
-    return Run(root, f"{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{time.time_ns() % 10**9:09d}-{uuid.uuid4().hex[:8]}")
+    return Run(root, f"{time.strftime(BEGUN, time.gmtime())}-{time.time_ns() % 10**9:09d}-{uuid.uuid4().hex[:8]}")
 
 
 def publish_run(spark: SparkSession, run: Run) -> None:
@@ -116,6 +118,24 @@ def old_runs(spark: SparkSession, root: str) -> list[str]:
     return [f"{root.rstrip('/')}/runs/{n}" for n in _names(spark, f"{root.rstrip('/')}/runs") if n != now]
 
 
+def remove_old_runs(spark: SparkSession, root: str, keep: int = 2, abandoned_after_hours: float = 48) -> list[str]:
+    """Removes the published runs but the newest ``keep`` (one at least), and runs begun more than ``abandoned_after_hours``
+    ago that were never published; younger ones may be builds at work.  A manifest goes before its tables, so no reader
+    is led to a run that is half gone; readers that opened an older run must be done with it.  Returns the run ids."""
+    if keep < 1:
+        raise ValueError("the run in force is always kept")
+    published = [n.removesuffix(".json") for n in _names(spark, _manifests(root)) if n.endswith(".json")]
+    begun_by = time.strftime(BEGUN, time.gmtime(time.time() - 3600 * abandoned_after_hours))
+    begun = _names(spark, f"{root.rstrip('/')}/runs")
+    gone = [n for n in begun if n not in published and n.split("-")[0] < begun_by] + published[:-keep]
+    for run_id in gone:
+        for path in (f"{_manifests(root)}/{run_id}.json", f"{root.rstrip('/')}/runs/{run_id}"):
+            p, fs = _fs(spark, path)
+            if fs.exists(p) and not fs.delete(p, True):
+                raise OSError(f"cannot remove {path}")
+    return gone
+
+
 # ---------------------------------------------------------------- tables
 
 def with_comments(df: DataFrame, model: str) -> DataFrame:

@@ -50,6 +50,29 @@ def test_broken_contract_is_not_published(spark, tmp_path):
         sinks.current_run(spark, root)
 
 
+def test_old_and_abandoned_runs_are_removed(spark, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}/w"
+    assert sinks.remove_old_runs(spark, root) == []
+    runs = []
+    for day, published in enumerate([True, False, True, True, False], 1):
+        monkeypatch.setattr(sinks.time, "strftime", lambda *_, d=day: f"2020010{d}T000000")
+        run = sinks.new_run(root)
+        spark.range(day).write.parquet(run.path("published", "t"))
+        if published:
+            sinks.publish_run(spark, run)
+        runs.append(run)
+    ids = [r.run_id for r in runs]
+    monkeypatch.setattr(sinks.time, "strftime", lambda *_: "20200105T000000")  # the last is not old enough
+    with pytest.raises(ValueError):
+        sinks.remove_old_runs(spark, root, keep=0)
+    assert sorted(sinks.remove_old_runs(spark, root, keep=2)) == ids[:2]
+    assert sinks.current_run(spark, root).run_id == ids[3]
+    assert [spark.read.parquet(r.path("published", "t")).count() for r in runs[2:]] == [3, 4, 5]
+    assert sinks.remove_old_runs(spark, root, keep=1, abandoned_after_hours=0) == [ids[2]]
+    assert [n for n in ids if sinks.path_exists(spark, f"{root}/runs/{n}")] == ids[3:]
+    assert sinks.old_runs(spark, root) == [f"{root}/runs/{ids[4]}"]
+
+
 def test_absent_table_is_an_error(spark, tmp_path):
     run = sinks.new_run(f"file://{tmp_path}")
     sinks.publish_run(spark, run)
