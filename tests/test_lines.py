@@ -2,6 +2,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.expr import strict_json
 from ledgerloom.operators.lines import int_order_items, lines_from_items, totals_from_items
 from ledgerloom.operators.staging import stg_sales_orders
 
@@ -35,8 +36,8 @@ def int_sales_order_lines(stg, price_scale=2):
     return lines_from_items(int_order_items(stg, price_scale))
 
 
-def _raw(spark):
-    rows = [(i, i, 1, "c", 1700000000, t, 1, None, None, None, None) for i, t in EDGE_DOCS]
+def _raw(spark, docs=EDGE_DOCS):
+    rows = [(i, i, 1, "c", 1700000000, t, 1, None, None, None, None) for i, t in docs]
     return spark.createDataFrame(
         rows, "id long, order_number long, customer_id long, customer_name string, order_datetime long, "
               "ordered_products string, number_of_line_items long, clicked_items string, promo_info string, "
@@ -102,3 +103,25 @@ def test_items_path_equals_lateral_flatten(spark):
     a = sorted(tuple(r) for r in flat.collect())
     b = sorted(tuple(r) for r in int_sales_order_lines(stg).select("order_id", "line_number", "product_id").collect())
     assert a == b and len(a) == 14
+
+
+def test_flat_arrays_are_the_values_that_two_parses_find(spark):
+    """A text that is read by one parse is the same value, or none, as by the two that reject what follows it."""
+    texts = ['[]', '[1]', '[1,]', '["a]', '["a","b"]', '[1]\n', ' [1]', '[{"a":"]"}]', '[{"a":"["}]', '[[1],[2]]', '[1 2]',
+             '[{"a":1}', '{"a":[1]}', '[1]]', '[null]', '[{"a":1,"a":2}]', '[1],[2]', '["x\\u005d"]', '', None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    alone = F.try_parse_json(F.concat(F.lit("["), "t", F.lit("]")))
+    member = F.try_parse_json(F.concat(F.lit('{"v":'), "t", F.lit("}")))
+    two = F.when(member.isNotNull() & F.try_variant_get(alone, "$[1]", "variant").isNull(),
+                 F.try_variant_get(alone, "$[0]", "variant"))
+    got = df.select("t", F.to_json(strict_json("t")).alias("one"), F.to_json(two).alias("two")).collect()
+    assert [r.t for r in got if r.one != r.two] == []
+    assert {r.t for r in got if r.one is not None} == {
+        '[]', '[1]', '["a","b"]', '[1]\n', ' [1]', '[{"a":"]"}]', '[{"a":"["}]', '[[1],[2]]', '{"a":[1]}', '[null]', '["x\\u005d"]'}
+
+
+def test_elements_of_other_kinds_are_lines_without_a_product(spark):
+    docs = [(1, '[1, "x", null, [2], {"product_id":3}, {"product_id":"a","qty":{}}]'), (2, '{"b":{"product_id":4},"a":5}')]
+    items = int_order_items(stg_sales_orders(_raw(spark, docs))).select("order_id", F.transform(
+        "items", lambda e: F.coalesce(e["product_id"].cast("int"), F.lit(-1))).alias("ids"))
+    assert {r.order_id: r.ids for r in items.collect()} == {1: [-1, -1, -1, -1, 3, -1], 2: [-1, 4]}
