@@ -19,6 +19,7 @@ applied to the joined rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -124,10 +125,17 @@ class _Filter:
     def columns(self, alias: str) -> list[str]:
         return [c for _, a, c in self.resolved() if a == alias]
 
-    def on_table(self, df: DataFrame, alias: str) -> DataFrame:
-        for part in self.conjuncts:
-            if self.aliases(part) == {alias}:
+    def on_table(self, df: DataFrame, alias: str, computed: Callable[[DataFrame, set[str]], DataFrame]) -> DataFrame:
+        """Filtered by the conjuncts on this table alone; ``computed`` comes before the first on columns that it changes."""
+        late = []
+        for part in (p for p in self.conjuncts if self.aliases(p) == {alias}):
+            if computed(df, columns := {self.owners[n][1] for n in part.names}) is not df:
+                late.append((part, columns))
+            else:
                 df = part.on(df, {n: f"`{self.owners[n][1]}`" for n in part.names})
+        df = computed(df, {c for _, columns in late for c in columns})
+        for part, _ in late:
+            df = part.on(df, {n: f"`{self.owners[n][1]}`" for n in part.names})
         return df
 
     def below(self, alias: str) -> list[Conjunct]:
@@ -191,7 +199,8 @@ def _joined(project, view: SemanticView, df: DataFrame, steps: list[tuple], reso
 
 def _base_rows(project, view: SemanticView, base: str, columns: list[str], found: _Filter) -> DataFrame:
     """The base's columns, filtered by the conjuncts on it alone."""
-    return found.on_table(_table(project, view, base, [*columns, *found.columns(base)]), base)
+    return found.on_table(_table(project, view, base, [*columns, *found.columns(base)]), base,
+                          lambda df, names: project.for_filter(view.tables[base][0], df, names))
 
 
 def _under_alias(df: DataFrame, alias: str) -> DataFrame:

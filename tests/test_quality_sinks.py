@@ -119,3 +119,24 @@ def test_combine_on_keys_null_keys_and_single_rows(spark):
     assert tuple(one.first()) == (2, 60.0)
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_failing_values_derive_a_model_once_for_all_its_rules(spark):
+    from ledgerloom.operators.quality import ColumnTest, failing_values
+
+    class Counted(FakeProject):
+        asked = []
+
+        def model(self, name, columns=None):
+            self.asked.append(name)
+            return super().model(name, columns)
+
+    rows = [(-1.5, "x", -2), (-1.5, "y", 7), (None, "x", None), (3.0, None, -2), (float("nan"), "ok", 200)]
+    df = spark.createDataFrame(rows, "a double, b string, c long")
+    tests = [ColumnTest("m", "a", "between", lo=0, hi=100), ColumnTest("m", "b", "accepted_values", values=("ok", "y")),
+             ColumnTest("m", "c", "between", lo=0), ColumnTest("m", "c", "between", hi=100), ColumnTest("m", "a", "not_null")]
+    p = Counted(spark, {"m": df})
+    got = sorted((tuple(r) for r in failing_values(p, tests).collect()), key=str)
+    assert got == sorted([("m", "a", "between", "-1.5", 2), ("m", "a", "between", "NaN", 1), ("m", "b", "accepted_values", "x", 2),
+                          ("m", "c", "between", "-2", 2), ("m", "c", "between", "200", 1), ("m", "a", "not_null", None, 1)], key=str)
+    assert p.asked == ["m"]
