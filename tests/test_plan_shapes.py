@@ -81,3 +81,28 @@ def test_building_a_query_runs_no_job(spark):
         assert not tracker.getJobIdsForGroup("plans-only")
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_each_document_is_parsed_once_per_branch(spark):
+    """Four parses are written in ``strict_json``, of which one row takes one or two; filters on what is read from the
+    documents add none."""
+    from ledgerloom.plans import registry
+    from tests.conftest import SF0001
+    branches = {"order_lines": 1, "line_margin": 1, "q_favourite_category": 1, "q_revenue_by_category": 1, "q_product_measures": 1,
+                "semantic_filtered": 1, "metric_filtered_mixed": 2, "metric_line_products": 2, "dq_revenue_reconciliation": 2,
+                "dq_singular": 3, "dq_between": 4, "dq_failing_values": 5}
+    for key, n in branches.items():
+        plan = registry.QUERIES[key](spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parse_json") <= 4 * n, (key, plan.count("parse_json"))
+
+
+def test_grouped_lines_are_not_broadcast_by_their_size_in_the_file(spark):
+    from ledgerloom.sources.retail import raw_sales_orders
+    from tests.conftest import SF0001
+    plan = _plan(raw_sales_orders(spark, SF0001))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_splits_and_partitions_fit_a_tasks_memory(spark):
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "64MB"
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32MB"
