@@ -11,7 +11,9 @@ For the same reason the edited text needs no pass of its own: its anchors are th
 text's start moved behind it, and those of the few k-mers across the seam (``spliced``; tested against a whole pass).
 
 A text is cut into chunks of ``CHUNK`` code points (with the first of the next chunk behind them), so the cost of
-taking substrings does not grow with its length.
+taking substrings does not grow with its length.  ``with_anchors`` makes a row of each chunk and a column of each hash in it,
+which Spark compiles (functions of array elements it interprets, at several times the cost), and puts the chunks' anchors
+together again by the row's key, without a shuffle of its own.  ``positions`` gives the same of a column.
 
 ``with_next`` puts beside each document the next one in descending order of ids.  Places in that order come from the
 ids and text hashes alone (a range shuffle of small rows, written once); texts then meet in blocks of ``ROWS``
@@ -27,7 +29,7 @@ read whole; no documents give an empty result.  Other columns, whatever their na
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,7 +37,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import checkpointed
 
-K, S, CHUNK, ROWS = 20, 5, 128, 64
+K, S, ROWS = 20, 5, 64
+#: With its more than 100 columns of hashes a chunk's projection is compiled in many small methods; in a single large one,
+#: as whole-stage code of fewer columns, the JVM would not compile it further.
+CHUNK = 96
+#: Substrings are taken from pieces that begin at every so many code points, as their cost grows with what they are taken from.
+PIECE = 8
 #: Inner substrings of a k-mer; their least hash is taken four at a time.
 INNER = K - S + 1
 HASH = (1 << 32) - 1
@@ -79,6 +86,33 @@ def positions(text: Column) -> Column:
     return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)), of_chunks)
 
 
+def with_anchors(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``rows`` with ``packed``, the ``positions`` of their ``text``; ``key`` tells the rows apart.  Rows that lie together by
+    some of ``key`` stay where they are."""
+    others, long = [c for c in rows.columns if c not in key], CHUNK + K - 1
+    # With each chunk what it has of the next one; the row itself goes with its first chunk.
+    chunks = F.regexp_extract_all("text", F.lit(f"(?s)(?=(.{{1,{long}}})).{{1,{CHUNK}}}"), F.lit(1))
+    parts = F.transform(F.when(F.col("text") == "", F.array(F.lit(""))).otherwise(chunks), lambda c, i: F.struct(
+        c.alias("chunk"), i.alias("at"), F.when(i == 0, F.struct(*others)).alias("row")))
+    each = rows.select(*key, F.explode(parts).alias("part")).select(*key, "part.*")
+    starts = range(long - S + 1)
+    piece = lambda j, n: F.substring(f"piece_{j // PIECE}", j % PIECE + 1, n)
+    pieces = each.select("*", F.length("chunk").alias("n"), *[
+        F.substring("chunk", j + 1, PIECE + K - 1).alias(f"piece_{j // PIECE}") for j in starts[::PIECE]])
+    hashes = pieces.select("*", *[F.xxhash64(piece(j, S)).alias(f"hash_{j}") for j in starts])
+    none = F.lit(-1).cast("long")
+
+    def anchor(i: int) -> Column:
+        inner = [f"hash_{i + q}" for q in range(INNER)]
+        return F.when((F.col("n") >= i + K) & (F.least(inner[0], inner[-1]) == F.least(*inner)), F.shiftleft(
+            (F.col("at") * CHUNK + i).cast("long"), 32).bitwiseOR(_short_hash(piece(i, K)))).otherwise(none)
+
+    found = hashes.select(*key, "at", "row", F.array_remove(F.array(*map(anchor, range(CHUNK))), none).alias("packed"))
+    whole = found.groupBy(*key).agg(F.first("row", ignorenulls=True).alias("row"),
+                                    F.sort_array(F.collect_list(F.struct("at", "packed"))).alias("parts"))
+    return whole.select(*key, "row.*", F.flatten("parts.packed").alias("packed"))
+
+
 def spliced(own: Column, head: Column, other: Column, tail: Column) -> Column:
     """The anchors of ``head + tail``, where ``head`` begins the text with the anchors ``own`` and ``tail`` begins that of
     ``other``: those that lie within one of both, and those of the k-mers across the seam."""
@@ -95,11 +129,9 @@ def spliced(own: Column, head: Column, other: Column, tail: Column) -> Column:
 
 def fingerprint(packed: Column, text: Column) -> Column:
     """The fingerprint of a text with these anchors: array<bigint> of gap * 2^32 + hash."""
-    def gap(p: Column, i: Column) -> Column:
-        before = F.coalesce(F.get(packed, i - 1), F.lit(0).cast("long"))
-        return p - F.shiftleft(F.shiftright(before, 32), 32)
-
-    return (F.when(F.size(packed) > 0, F.transform(packed, gap)).when(text == "", F.array().cast("array<bigint>"))
+    before = F.slice(F.concat(F.array(F.lit(0).cast("long")), packed), F.lit(1), F.size(packed))
+    gaps = F.zip_with(packed, before, lambda p, b: p - b.bitwiseAND(F.lit(~HASH)))
+    return (F.when(F.size(packed) > 0, gaps).when(text == "", F.array().cast("array<bigint>"))
             .otherwise(F.array(_short_hash(text))))
 
 
@@ -140,9 +172,9 @@ def _places(docs: DataFrame) -> tuple[DataFrame, int]:
     return placed.join(first, part == F.col("part")).select(*KEY, place.alias("place")), sum(n for _, n in sizes)
 
 
-def with_next(docs: DataFrame, rows: int = ROWS, **columns: Callable[[Column], Column]) -> DataFrame:
-    """Each different (doc_id, text) with its number of ``copies`` and the ``next_text`` after its last copy.
-    ``columns``: further columns made of a text once, also given of the next one as ``next_<name>``."""
+def with_next(docs: DataFrame, rows: int = ROWS) -> DataFrame:
+    """Each different (doc_id, text) with the anchors of the text, ``packed``, its number of ``copies``, and ``next_text`` and
+    ``next_packed`` of what follows its last copy."""
     id_type = docs.schema["doc_id"].dataType
     docs = docs.select(F.coalesce("doc_id", F.lit(0).cast(id_type)).alias("known_id"), F.col("doc_id").isNull().alias("no_id"),
                        F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
@@ -157,10 +189,10 @@ def with_next(docs: DataFrame, rows: int = ROWS, **columns: Callable[[Column], C
         F.when(~F.col("no_id"), F.col("known_id")).alias("doc_id"), "text", "copies", "place",
         F.explode(F.when(F.col("place") % rows == 0, F.array(at(block, False), at(F.pmod(block - 1, F.lit(blocks)), True)))
                   .otherwise(F.array(at(block, False)))).alias("to"))
-    beside = (sent.select("doc_id", "text", "copies", "place", "to.block", "to.guest").repartition("block")
-              .select("*", *[make(F.col("text")).alias(name) for name, make in columns.items()]))
+    beside = with_anchors(sent.select("doc_id", "text", "copies", "place", "to.block", "to.guest").repartition("block"),
+                          ("block", "guest", "place"))
     order = Window.partitionBy("block").orderBy("guest", "place")
-    following = beside.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in ("text", *columns)])
+    following = beside.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in ("text", "packed")])
     return following.where(~F.col("guest")).drop("block", "guest", "place")
 
 
@@ -168,7 +200,7 @@ def with_next(docs: DataFrame, rows: int = ROWS, **columns: Callable[[Column], C
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    rows = with_next(docs, packed=positions)
+    rows = with_next(docs)
     # All copies of a row but the last are followed by a copy.
     last = F.struct(F.lit(1).cast("long").alias("times"), F.col("next_text").alias("text"), F.col("next_packed").alias("packed"))
     other = F.struct((F.col("copies") - 1).alias("times"), F.col("text").alias("text"), F.col("packed").alias("packed"))
