@@ -95,19 +95,19 @@ def with_anchors(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     parts = F.transform(F.when(F.col("text") == "", F.array(F.lit(""))).otherwise(chunks), lambda c, i: F.struct(
         c.alias("chunk"), i.alias("at"), F.when(i == 0, F.struct(*others)).alias("row")))
     each = rows.select(*key, F.explode(parts).alias("part")).select(*key, "part.*")
+    # As SQL text: so many expressions take the driver seconds to build one call at a time.
     starts = range(long - S + 1)
-    piece = lambda j, n: F.substring(f"piece_{j // PIECE}", j % PIECE + 1, n)
-    pieces = each.select("*", F.length("chunk").alias("n"), *[
-        F.substring("chunk", j + 1, PIECE + K - 1).alias(f"piece_{j // PIECE}") for j in starts[::PIECE]])
-    hashes = pieces.select("*", *[F.xxhash64(piece(j, S)).alias(f"hash_{j}") for j in starts])
-    none = F.lit(-1).cast("long")
+    piece = lambda j, n: f"substring(piece_{j // PIECE}, {j % PIECE + 1}, {n})"
+    pieces = each.selectExpr("*", "length(chunk) AS n", *[
+        f"substring(chunk, {j + 1}, {PIECE + K - 1}) AS piece_{j // PIECE}" for j in starts[::PIECE]])
+    hashes = pieces.selectExpr("*", *[f"xxhash64({piece(j, S)}) AS hash_{j}" for j in starts])
 
-    def anchor(i: int) -> Column:
+    def anchor(i: int) -> str:
         inner = [f"hash_{i + q}" for q in range(INNER)]
-        return F.when((F.col("n") >= i + K) & (F.least(inner[0], inner[-1]) == F.least(*inner)), F.shiftleft(
-            (F.col("at") * CHUNK + i).cast("long"), 32).bitwiseOR(_short_hash(piece(i, K)))).otherwise(none)
+        return (f"CASE WHEN n >= {i + K} AND least({inner[0]}, {inner[-1]}) = least({', '.join(inner)}) THEN "
+                f"shiftleft(CAST(at * {CHUNK} + {i} AS bigint), 32) | (xxhash64({piece(i, K)}) & {HASH}L) ELSE -1L END")
 
-    found = hashes.select(*key, "at", "row", F.array_remove(F.array(*map(anchor, range(CHUNK))), none).alias("packed"))
+    found = hashes.selectExpr(*key, "at", "row", f"array_remove(array({', '.join(map(anchor, range(CHUNK)))}), -1L) AS packed")
     whole = found.groupBy(*key).agg(F.first("row", ignorenulls=True).alias("row"),
                                     F.sort_array(F.collect_list(F.struct("at", "packed"))).alias("parts"))
     return whole.select(*key, "row.*", F.flatten("parts.packed").alias("packed"))
